@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from partsmith import schemas as S
 
 # fixed values: words a lax boolean accepts (compared lower-cased)
-TRUE_WORDS = ["1", "true", "t", "yes", "y", "on"]
-FALSE_WORDS = ["0", "false", "f", "no", "n", "off"]
+TRUE_WORDS = ["1", "1.0", "true", "t", "yes", "y", "on"]
+FALSE_WORDS = ["0", "0.0", "false", "f", "no", "n", "off"]
 
 
 def _c(x: Column | str) -> Column:
@@ -24,28 +24,20 @@ def _c(x: Column | str) -> Column:
 def lax_long(x: Column | str) -> Column:
     """String -> BIGINT the lenient way: ``"12"`` and ``"12.0"`` give 12,
     ``"12.5"``, ``"abc"`` and booleans give NULL (a coercion failure)."""
-    s = F.trim(_c(x).cast("string"))
-    exact = s.try_cast("bigint")
-    d = s.try_cast("double")
-    whole = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
-    return (F.when(exact.isNotNull(), exact)
-             .when(whole, d.cast("bigint"))
-             .otherwise(F.lit(None).cast("bigint")))
+    dec = _c(x).cast("string").try_cast("decimal(38,9)")
+    return F.when(dec == F.floor(dec), dec.try_cast("bigint"))
 
 
 def lax_double(x: Column | str) -> Column:
     """String -> DOUBLE; booleans and non-numbers give NULL."""
-    s = F.trim(_c(x).cast("string"))
-    return s.try_cast("double")
+    return _c(x).cast("string").try_cast("double")
 
 
 def lax_bool(x: Column | str) -> Column:
     """String -> BOOLEAN accepting the usual words and the numbers 0/1 only."""
     s = F.lower(F.trim(_c(x).cast("string")))
-    d = s.try_cast("double")
-    return (F.when(s.isin(*TRUE_WORDS) | (d == 1.0), F.lit(True))
-             .when(s.isin(*FALSE_WORDS) | (d == 0.0), F.lit(False))
-             .otherwise(F.lit(None).cast("boolean")))
+    return (F.when(s.isin(*TRUE_WORDS), F.lit(True))
+             .when(s.isin(*FALSE_WORDS), F.lit(False)))
 
 
 def coercion_failed(raw: Column | str, typed: Column) -> Column:

@@ -96,3 +96,92 @@ SELECT 'C' || c_custkey AS sku, c_name AS mfr_part_number,
             ELSE TIMESTAMP '{PRIOR_TS}' END AS last_updated,
        '{{"c":' || c_custkey || '}}' AS raw_json
 FROM customer"""
+
+
+# ---------------------------------------------------------------------------
+# events -> landed product documents (JSON text), with lax value forms
+# ---------------------------------------------------------------------------
+def _s(x):
+    return F.col(x).cast("string") if isinstance(x, str) else x.cast("string")
+
+
+def event_documents(events: DataFrame) -> DataFrame:
+    """One product document per event (JSON text in ``doc``), carrying
+    ``event_id``, ``ts`` and ``user_id`` as order/identity columns.
+
+    The document uses API key names and mixes value forms the ingest must
+    coerce: stock as "12" / 6.55 / 12.0 / null / "n/a", isHot as true / "yes" /
+    0 / 2, a zero catalogId (falls back to wmCatalogId), params with empty
+    slots, and a zero minBuyNumber (falsy default)."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    k = F.get_json_object(F.col("props"), "$.k")
+    fl = F.floor(F.col("value")).cast("bigint")
+    stock = (F.when(eid % 5 == 0, F.concat(F.lit('"'), _s(fl), F.lit('"')))
+              .when(eid % 5 == 1, _s(F.col("value")))
+              .when(eid % 5 == 2, F.concat(_s(fl), F.lit(".0")))
+              .when(eid % 5 == 3, F.lit("null"))
+              .otherwise(F.lit('"n/a"')))
+    hot = (F.when(eid % 4 == 0, F.lit("true")).when(eid % 4 == 1, F.lit('"yes"'))
+            .when(eid % 4 == 2, F.lit("0")).otherwise(F.lit("2")))
+    brand = F.when(eid % 3 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(',"brandNameEn":"'), F.upper(F.col("event_type")), F.lit('"')))
+    cat = F.when(eid % 4 == 0, F.lit("0")).otherwise(_s(uid % 25))
+    doc = F.concat(
+        F.lit('{"productId":'), _s(eid),
+        F.lit(',"productCode":"C'), _s(uid * 20), F.lit('"'),
+        F.lit(',"productModel":"'), F.col("event_type"), F.lit('"'),
+        brand,
+        F.lit(',"productIntroEn":"k='), k, F.lit('"'),
+        F.lit(',"catalogId":'), cat,
+        F.lit(',"wmCatalogId":'), _s(uid % 5 + 100),
+        F.lit(',"stockNumber":'), stock,
+        F.lit(',"minBuyNumber":'), _s(eid % 3),
+        F.lit(',"isHot":'), hot,
+        F.lit(',"paramVOList":[{"paramNameEn":"'), F.col("event_type"),
+        F.lit('","paramValue":"'), k, F.lit('"},{"paramName":"unit","paramValueEn":""}'),
+        F.lit(',{"paramName":"seen","paramValue":"'), F.when(eid % 2 == 0, _s(eid)).otherwise(F.lit("")),
+        F.lit('"}]}'))
+    return events.select("event_id", "ts", "user_id", doc.alias("doc"))
+
+
+# SQL twin: the typed record each event document must become.
+EVENT_RECORDS_SQL = """
+SELECT event_id, ts, user_id, doc, sku, mfr_part_number, brand_name, description, category_id,
+       stock, moq, is_hot, stock_bad OR hot_bad AS rejected,
+       CASE WHEN stock_bad OR hot_bad THEN concat_ws(',', CASE WHEN stock_bad THEN 'stockNumber' END,
+                                                      CASE WHEN hot_bad THEN 'isHot' END) END AS reject_reason,
+       k, event_type
+FROM (
+  SELECT event_id, ts, user_id, event_type, k,
+    '{"productId":' || event_id || ',"productCode":"C' || (user_id * 20) || '"'
+    || ',"productModel":"' || event_type || '"'
+    || CASE WHEN event_id % 3 = 0 THEN '' ELSE ',"brandNameEn":"' || upper(event_type) || '"' END
+    || ',"productIntroEn":"k=' || k || '"'
+    || ',"catalogId":' || CASE WHEN event_id % 4 = 0 THEN '0' ELSE CAST(user_id % 25 AS VARCHAR) END
+    || ',"wmCatalogId":' || (user_id % 5 + 100)
+    || ',"stockNumber":' || CASE event_id % 5
+          WHEN 0 THEN '"' || CAST(floor(value) AS BIGINT) || '"'
+          WHEN 1 THEN CAST(value AS VARCHAR)
+          WHEN 2 THEN CAST(floor(value) AS BIGINT) || '.0'
+          WHEN 3 THEN 'null' ELSE '"n/a"' END
+    || ',"minBuyNumber":' || (event_id % 3)
+    || ',"isHot":' || CASE event_id % 4 WHEN 0 THEN 'true' WHEN 1 THEN '"yes"' WHEN 2 THEN '0' ELSE '2' END
+    || ',"paramVOList":[{"paramNameEn":"' || event_type || '","paramValue":"' || k
+    || '"},{"paramName":"unit","paramValueEn":""},{"paramName":"seen","paramValue":"'
+    || CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE '' END || '"}]}' AS doc,
+    'C' || (user_id * 20) AS sku,
+    event_type AS mfr_part_number,
+    CASE WHEN event_id % 3 = 0 THEN NULL ELSE upper(event_type) END AS brand_name,
+    'k=' || k AS description,
+    CAST(CASE WHEN event_id % 4 = 0 OR user_id % 25 = 0 THEN user_id % 5 + 100 ELSE user_id % 25 END AS BIGINT) AS category_id,
+    CAST(CASE event_id % 5
+          WHEN 0 THEN floor(value)
+          WHEN 1 THEN CASE WHEN value = floor(value) THEN floor(value) END
+          WHEN 2 THEN floor(value)
+          WHEN 3 THEN 0 ELSE NULL END AS BIGINT) AS stock,
+    CAST(CASE WHEN event_id % 3 = 0 THEN 1 ELSE event_id % 3 END AS BIGINT) AS moq,
+    CAST(CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE 0 END AS BIGINT) AS is_hot,
+    (event_id % 5 = 1 AND value <> floor(value)) OR event_id % 5 = 4 AS stock_bad,
+    event_id % 4 = 3 AS hot_bad
+  FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
+)"""

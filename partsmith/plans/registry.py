@@ -32,4 +32,5 @@ def load_all() -> None:
     """Import every plans module so that its queries register."""
     from partsmith.plans import (  # noqa: F401
         catalog_queries,
+        ingest_queries,
     )

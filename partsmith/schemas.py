@@ -122,6 +122,8 @@ DOC_PRODUCT_ID = "productId"
 DOC_CATALOG_ID = "catalogId"
 DOC_WM_CATALOG_ID = "wmCatalogId"
 DOC_PARAMS = "paramVOList"
+# Key columns a document must not send as an explicit null.
+REQUIRED_DOC_STRINGS = ["sku", "mfr_part_number"]
 PARAM_KEYS = ["paramNameEn", "paramName", "paramValueEn", "paramValue"]
 PRICE_KEYS = ["ladder", "usdPrice"]
 # Page and facet envelopes.

@@ -185,3 +185,79 @@ FROM (
     event_id % 4 = 3 AS hot_bad
   FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
 )"""
+
+
+# ---------------------------------------------------------------------------
+# category tree: region (root) -> nation -> customer (leaf), as an adjacency list
+# ---------------------------------------------------------------------------
+def categories_from_tables(region: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFrame:
+    """Adjacency list ``id, parent_id, name_en, name_cn, code`` of a three-level
+    tree that grows with ``customer``.  Some leaves have an empty English name
+    (and a local name), a few have neither, so name fallbacks have work."""
+    k = F.col("c_custkey")
+    roots = region.select((F.col("r_regionkey") + 1).cast("bigint").alias("id"),
+                          F.lit(None).cast("bigint").alias("parent_id"),
+                          F.col("r_name").alias("name_en"),
+                          F.lit(None).cast("string").alias("name_cn"),
+                          F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"))
+    mids = nation.select((F.col("n_nationkey") + 100).cast("bigint").alias("id"),
+                         (F.col("n_regionkey") + 1).cast("bigint").alias("parent_id"),
+                         F.col("n_name").alias("name_en"),
+                         F.lower(F.col("n_name")).alias("name_cn"),
+                         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"))
+    leaves = customer.select((k + 1000).cast("bigint").alias("id"),
+                             (F.col("c_nationkey") + 100).cast("bigint").alias("parent_id"),
+                             F.when(k % 13 == 0, F.lit("")).otherwise(F.col("c_name")).alias("name_en"),
+                             F.when(k % 26 == 0, F.lit(None).cast("string"))
+                             .when(k % 13 == 0, F.concat(F.lit("cn-"), k.cast("string")))
+                             .alias("name_cn"),
+                             F.lit(None).cast("string").alias("code"))
+    return roots.unionByName(mids).unionByName(leaves)
+
+
+CATEGORIES_SQL = """
+SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, CAST(NULL AS BIGINT) AS parent_id, r_name AS name_en,
+       CAST(NULL AS VARCHAR) AS name_cn, 'R' || r_regionkey AS code FROM region
+UNION ALL
+SELECT CAST(n_nationkey + 100 AS BIGINT), CAST(n_regionkey + 1 AS BIGINT), n_name, lower(n_name),
+       'N' || n_nationkey FROM nation
+UNION ALL
+SELECT CAST(c_custkey + 1000 AS BIGINT), CAST(c_nationkey + 100 AS BIGINT),
+       CASE WHEN c_custkey % 13 = 0 THEN '' ELSE c_name END,
+       CASE WHEN c_custkey % 26 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'cn-' || c_custkey END,
+       CAST(NULL AS VARCHAR) FROM customer"""
+
+
+def vendor_rows_from_events(events: DataFrame) -> DataFrame:
+    """Second-vendor rows keyed like catalog products (half of them match an
+    existing product), with ``ts``/``event_id`` as the order of arrival."""
+    from partsmith.functions.coerce import epoch_to_timestamp, tier_label, timestamp_to_epoch
+    eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    return events.select(
+        F.concat(F.lit("C"), (uid * 20).cast("string")).alias("sku"),
+        et.alias("mfr_part_number"),
+        F.when(eid % 3 != 0, F.upper(et)).alias("brand_name"),
+        F.concat(F.lit("k="), F.get_json_object("props", "$.k")).alias("description"),
+        (uid % 25).alias("category_id"),
+        F.concat(F.lit("https://example.com/"), uid.cast("string"), F.lit(".pdf")).alias("pdf_url"),
+        F.floor(F.col("value")).cast("bigint").alias("vendor_stock"),
+        F.col("props").alias("vendor_price_ladder"),
+        tier_label(F.when(et == "view", 1).otherwise(0),
+                   F.when(et == "click", 1).when(et == "error", None).otherwise(0))
+        .alias("vendor_library_type"),
+        F.concat(F.lit('{"e":'), eid.cast("string"), F.lit("}")).alias("vendor_extra"),
+        epoch_to_timestamp(timestamp_to_epoch("ts")).alias("vendor_last_updated"),
+        "ts", "event_id")
+
+
+VENDOR_ROWS_SQL = """
+SELECT 'C' || (user_id * 20) AS sku, event_type AS mfr_part_number,
+       CASE WHEN event_id % 3 <> 0 THEN upper(event_type) END AS brand_name,
+       'k=' || json_extract_string(props, '$.k') AS description,
+       user_id % 25 AS category_id, 'https://example.com/' || user_id || '.pdf' AS pdf_url,
+       CAST(floor(value) AS BIGINT) AS vendor_stock, props AS vendor_price_ladder,
+       CASE WHEN event_type = 'view' THEN 'Basic' WHEN event_type = 'click' THEN 'Preferred'
+            ELSE 'Extended' END AS vendor_library_type,
+       '{"e":' || event_id || '}' AS vendor_extra,
+       CAST(date_trunc('second', ts) AS TIMESTAMP) AS vendor_last_updated, ts, event_id
+FROM events"""

@@ -33,4 +33,5 @@ def load_all() -> None:
     from partsmith.plans import (  # noqa: F401
         catalog_queries,
         ingest_queries,
+        merge_queries,
     )

@@ -34,4 +34,5 @@ def load_all() -> None:
         catalog_queries,
         ingest_queries,
         merge_queries,
+        tree_queries,
     )

@@ -40,15 +40,28 @@ def term_in_any(term: str, columns: list[str]) -> Column:
     return out
 
 
+def code_points(x: Column | str) -> Column:
+    """Folded text as an array of code points (newlines included), O(length)."""
+    return F.regexp_extract_all(fold(x), F.lit(r"(?s)."), F.lit(0))
+
+
 def trigrams(x: Column | str) -> Column:
     """Distinct trigrams of the folded text as array<string>; empty when shorter
-    than three characters (``sequence(1, 0)`` would count *down*, so guard it)."""
-    s = fold(x)
-    n = F.length(s)
-    grams = F.transform(F.sequence(F.lit(1), n - (GRAM - 1)),
-                        lambda i: F.substring(s, i, GRAM))
-    return F.when(n >= GRAM, F.array_distinct(grams)).otherwise(
-        F.array().cast("array<string>"))
+    than three characters.
+
+    The text is split into code points once and the grams are built by array
+    index (O(1) each); taking ``substring(text, i, 3)`` instead would rescan
+    the UTF-8 bytes from the start for every position, O(length^2) per value."""
+    def grams(a):
+        n = F.size(a)
+        body = F.transform(F.slice(a, 1, F.greatest(n - (GRAM - 1), F.lit(1))),
+                           lambda ch, i: F.concat(ch, a[i + 1], a[i + 2]))
+        return F.when(n >= GRAM, F.array_distinct(body)).otherwise(
+            F.array().cast("array<string>"))
+
+    # bind the code-point array once, then index into it
+    return F.coalesce(F.transform(F.array(code_points(x)), grams)[0],
+                      F.array().cast("array<string>"))
 
 
 def literal_trigrams(term: str) -> list[str]:

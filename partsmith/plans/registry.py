@@ -35,4 +35,6 @@ def load_all() -> None:
         ingest_queries,
         merge_queries,
         tree_queries,
+        vendor_queries,
+        index_queries,
     )

@@ -37,4 +37,5 @@ def load_all() -> None:
         tree_queries,
         vendor_queries,
         index_queries,
+        report_queries,
     )

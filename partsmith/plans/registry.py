@@ -38,4 +38,5 @@ def load_all() -> None:
         vendor_queries,
         index_queries,
         report_queries,
+        planner_queries,
     )

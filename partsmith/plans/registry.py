@@ -39,4 +39,5 @@ def load_all() -> None:
         index_queries,
         report_queries,
         planner_queries,
+        publish_queries,
     )

@@ -45,23 +45,19 @@ def code_points(x: Column | str) -> Column:
     return F.regexp_extract_all(fold(x), F.lit(r"(?s)."), F.lit(0))
 
 
+# fixed value: every overlapping window of three code points, in one regex pass
+TRIGRAM_PATTERN = r"(?s)(?=(.{3}))"
+
+
 def trigrams(x: Column | str) -> Column:
     """Distinct trigrams of the folded text as array<string>; empty when shorter
     than three characters.
 
-    The text is split into code points once and the grams are built by array
-    index (O(1) each); taking ``substring(text, i, 3)`` instead would rescan
-    the UTF-8 bytes from the start for every position, O(length^2) per value."""
-    def grams(a):
-        n = F.size(a)
-        body = F.transform(F.slice(a, 1, F.greatest(n - (GRAM - 1), F.lit(1))),
-                           lambda ch, i: F.concat(ch, a[i + 1], a[i + 2]))
-        return F.when(n >= GRAM, F.array_distinct(body)).otherwise(
-            F.array().cast("array<string>"))
-
-    # bind the code-point array once, then index into it
-    return F.coalesce(F.transform(F.array(code_points(x)), grams)[0],
-                      F.array().cast("array<string>"))
+    A zero-width lookahead yields every overlapping three-character window in
+    one linear pass over the text (taking ``substring(text, i, 3)`` for each
+    position would rescan the UTF-8 bytes from the start: O(length^2))."""
+    grams = F.regexp_extract_all(fold(x), F.lit(TRIGRAM_PATTERN), F.lit(1))
+    return F.coalesce(F.array_distinct(grams), F.array().cast("array<string>"))
 
 
 def literal_trigrams(term: str) -> list[str]:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsmith.functions.text import literal_trigrams, trigrams, usable_terms
+from partsmith.operators.ordering import spread
 from partsmith.operators.search import search_predicate
 
 
@@ -24,9 +25,10 @@ def build_postings(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
     """One row per distinct trigram of each (row, column) value: ``trigram``,
     the key columns, ``column`` (name of the text column).  A pure
     projection + generator per column: no shuffle."""
+    src = spread(df.select(*keys, *columns))
     parts = []
     for c in columns:
-        parts.append(df.select(*keys, F.lit(c).alias("column"),
+        parts.append(src.select(*keys, F.lit(c).alias("column"),
                                F.explode(trigrams(c)).alias("trigram")))
     posts = reduce(lambda a, b: a.unionByName(b), parts)
     return posts.select("trigram", *keys, "column")

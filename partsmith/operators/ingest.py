@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from partsmith import schemas as S
 from partsmith.functions import coerce as C
+from partsmith.operators.ordering import spread
 from partsmith.sources.documents import doc_value, parse_documents, raw_key
 
 def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
@@ -27,7 +28,7 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
     Three narrow projections (raw strings -> typed values -> defaults and
     reject flags) so that each coercion is evaluated once per value; they run
     in one stage, without a shuffle."""
-    parsed = parse_documents(docs, doc_col)
+    parsed = parse_documents(spread(docs), doc_col)
     carry = [c for c in docs.columns if c != doc_col]
     types = dict((n, t) for n, t, _ in S.PRODUCT_FIELDS)
     doc_cols = [c for c in S.PRODUCT_COLUMNS

@@ -43,3 +43,17 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx"
     return out.select(*[c for c in df.columns],
                       (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local") + 1)
                       .cast("bigint").alias(name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work (document parsing, trigram generation) at
+    least one task per core.
+
+    A large input already arrives in many scan splits and is returned as is;
+    an input that lands in fewer partitions than the cluster's parallelism
+    (e.g. one small file with a single row group) is spread round-robin —
+    a shuffle of a small input, paid only when it is small."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -64,8 +64,13 @@ def search(df: DataFrame, all: Iterable[str] | None = None,  # noqa: A002 - API
            any: Iterable[str] | None = None,  # noqa: A002
            none: Iterable[str] | None = None,
            columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows of ``df`` matching a substring search over ``columns``."""
-    return df.filter(search_predicate(all, any, none, columns))
+    """Rows of ``df`` matching a substring search over ``columns`` (default:
+    the indexed catalog columns that ``df`` has)."""
+    return df.filter(search_predicate(all, any, none, columns or indexed_columns(df)))
+
+
+def indexed_columns(df: DataFrame) -> list[str]:
+    return [c for c in S.SEARCH_INDEXED_COLUMNS if c in df.columns]
 
 
 def catalog_filter(df: DataFrame, category_ids=None, brand_ids=None,
@@ -87,7 +92,7 @@ def catalog_filter(df: DataFrame, category_ids=None, brand_ids=None,
         pred = pred & (F.col(stock_col) > 0)
     if keyword:
         k = keyword.lower()
-        cols = list(keyword_columns or S.SEARCH_INDEXED_COLUMNS)
+        cols = list(keyword_columns or indexed_columns(df))
         pred = pred & term_in_any(k, cols) if len(cols) else pred
     return df.filter(pred)
 

@@ -79,12 +79,9 @@ def format_size_exact(x: Column | str) -> Column:
 def compare_to_baseline(stats: DataFrame, baseline: str, name_col: str = "name",
                         value_col: str = "logical_bytes") -> DataFrame:
     """Add ``pct_vs_base``: percent difference against the baseline row (0
-    when the baseline is 0).  The baseline is one row, broadcast by design."""
-    base = stats.filter(F.col(name_col) == baseline).select(
-        F.col(value_col).alias("__base"), F.lit(1).alias("__one"))
-    return (stats.withColumn("__one", F.lit(1)).join(F.broadcast(base), "__one", "left")
-            .withColumn("pct_vs_base", pct_change(value_col, "__base"))
-            .drop("__one", "__base"))
+    when the baseline is 0).  The baseline value is a scalar subquery."""
+    base = stats.filter(F.col(name_col) == baseline).agg(F.max(value_col)).scalar()
+    return stats.withColumn("pct_vs_base", pct_change(value_col, base))
 
 
 def ranked(df: DataFrame, name_col: str, order: Sequence[str], unknown_rank: int = 999) -> DataFrame:

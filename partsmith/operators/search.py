@@ -117,17 +117,14 @@ def page(df: DataFrame, page_no: int, page_size: int = S.PAGE_SIZE,
 def page_envelope(df: DataFrame, page_no: int, page_size: int = S.PAGE_SIZE,
                   order: Sequence[str] = (S.PRODUCT_KEY,)) -> DataFrame:
     """A page of rows plus the envelope fields ``total_row``, ``total_page``,
-    ``curr_page``.  The total is one global count (a partial aggregate, one
-    row), attached by a broadcast join on a constant key."""
+    ``curr_page``.  The total is one global count (partial aggregates, one
+    row) evaluated once as a scalar subquery — no join."""
     rows = page(df, page_no, page_size, order)
-    total = df.agg(F.count(F.lit(1)).alias("total_row")).select(
-        F.col("total_row").cast("bigint").alias("total_row"),
-        ((F.col("total_row") + F.lit(page_size - 1)) / F.lit(page_size)).cast("bigint")
-        .alias("total_page"),
-        F.lit(1).alias("_one"))
-    return (rows.withColumn("_one", F.lit(1))
-            .join(F.broadcast(total), "_one", "inner").drop("_one")
-            .withColumn("curr_page", F.lit(page_no).cast("bigint")))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return rows.select(
+        "*", total.cast("bigint").alias("total_row"),
+        F.floor((total + F.lit(page_size - 1)) / F.lit(page_size)).cast("bigint").alias("total_page"),
+        F.lit(page_no).cast("bigint").alias("curr_page"))
 
 
 def facet_counts(df: DataFrame, facet_col: str, name_col: str | None = None) -> DataFrame:
@@ -138,9 +135,8 @@ def facet_counts(df: DataFrame, facet_col: str, name_col: str | None = None) ->
     keys = [facet_col] + ([name_col] if name_col else [])
     facets = df.filter(F.col(facet_col).isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total_count")).withColumn("_one", F.lit(1))
-    return (facets.withColumn("_one", F.lit(1))
-            .join(F.broadcast(total), "_one").drop("_one"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return facets.select("*", total.alias("total_count"))
 
 
 def fold_equals(col: str, value: str) -> Column:

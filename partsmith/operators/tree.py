@@ -135,6 +135,5 @@ def work_list(tree_leaves: DataFrame, catalog_counts: DataFrame | None,
     else:
         base = base.withColumn("product_num", F.lit(None).cast("bigint"))
     indexed = global_index(base, ["path_key"], "cat_idx")
-    total = base.agg(F.count(F.lit(1)).alias("total_cats")).withColumn("__one", F.lit(1))
-    out = indexed.withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one").drop("__one")
+    out = indexed.select("*", base.agg(F.count(F.lit(1))).scalar().alias("total_cats"))
     return out.filter(F.col("product_num").isNull() | (F.col("product_num") != 0))

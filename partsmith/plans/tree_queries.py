@@ -78,10 +78,8 @@ def category_leaf_counts(spark, sf):
         F.count(F.lit(1)).alias("n"))
     lc = leaves.join(per_leaf, "id", "left").select(
         "id", "path", F.coalesce("n", F.lit(0)).cast("bigint").alias("product_num"))
-    total = lc.agg(F.sum("product_num").cast("bigint").alias("total_expected")) \
-              .withColumn("__one", F.lit(1))
-    return (lc.withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one")
-            .select("id", "path", "product_num", "total_expected"))
+    total = lc.agg(F.sum("product_num").cast("bigint")).scalar()
+    return lc.select("id", "path", "product_num", total.alias("total_expected"))
 
 
 # --- A7: per-node counts, every node counts its whole subtree ----------------------

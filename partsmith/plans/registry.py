@@ -40,4 +40,5 @@ def load_all() -> None:
         report_queries,
         planner_queries,
         publish_queries,
+        stream_queries,
     )

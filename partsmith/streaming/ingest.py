@@ -25,14 +25,16 @@ ORDER = ["source_file", "page", "pos"]
 
 class VersionedTable:
     """A table stored as ``<root>/v<NNNNNNNN>`` folders plus a pointer table
-    ``<root>/_current`` naming the committed version (written with Spark, so
-    it works on any file system the cluster uses)."""
+    naming the committed version (written with Spark, so it works on any file
+    system the cluster uses).  Tables committed together share one pointer
+    (default: ``<root>/_current``)."""
 
-    def __init__(self, spark: SparkSession, root: str, schema):
+    def __init__(self, spark: SparkSession, root: str, schema, pointer: str | None = None):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.pointer = pointer or f"{self.root}/_current"
 
     def _pointer(self) -> str:
-        return f"{self.root}/_current"
+        return self.pointer
 
     def current_version(self) -> int | None:
         try:
@@ -60,17 +62,34 @@ class VersionedTable:
             return self.read(version - 1)
         return self.spark.createDataFrame([], self.schema)
 
-    def commit(self, df: DataFrame, version: int) -> None:
+    def write(self, df: DataFrame, version: int) -> None:
+        """Write a version folder without publishing it."""
         df.write.mode("overwrite").parquet(self.path(version))
+
+    def publish(self, version: int) -> None:
+        """Move the pointer: the version becomes the committed one."""
         self.spark.createDataFrame([(str(version),)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self._pointer())
 
+    def commit(self, df: DataFrame, version: int) -> None:
+        self.write(df, version)
+        self.publish(version)
+
+
+def catalog_tables(spark: SparkSession, table_root: str) -> tuple[VersionedTable, VersionedTable]:
+    """``products`` and ``product_params`` under one root, sharing a pointer so
+    that both move to a new version together."""
+    pointer = f"{table_root.rstrip('/')}/_current"
+    return (VersionedTable(spark, f"{table_root}/products", S.PRODUCT_SCHEMA, pointer),
+            VersionedTable(spark, f"{table_root}/product_params", S.PARAM_SCHEMA, pointer))
+
 
 def ingest_batch(products: VersionedTable, params: VersionedTable, batch: DataFrame,
                  version: int, run_ts, include_raw_json: bool = True) -> None:
     """Merge one micro-batch of page envelopes (``doc``, ``source_file``)."""
     rows = inline_pages(batch)
-    recs = records_from_documents(rows, include_raw_json)
+    # parsed once, used by the product merge and the parameter refresh
+    recs = records_from_documents(rows, include_raw_json).persist()
     cat = catalog_rows(recs, keep=ORDER)
     rules = {"last_updated": const(F.lit(run_ts).cast("timestamp_ntz"))}
     if not include_raw_json:
@@ -79,16 +98,17 @@ def ingest_batch(products: VersionedTable, params: VersionedTable, batch: DataFr
     new_params = params_rows(recs).select(*S.PARAM_SCHEMA.fieldNames())
     refreshed = refresh_children(params.base_for(version), cat.select(S.PRODUCT_KEY), new_params,
                                  S.PRODUCT_KEY)
-    products.commit(merged, version)
-    params.commit(refreshed, version)
+    products.write(merged, version)
+    params.write(refreshed, version)
+    products.publish(version)  # one pointer for both tables
+    recs.unpersist()
 
 
 def run_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: str, run_ts,
                include_raw_json: bool = True, files_per_trigger: int = 1,
                mark_unseen_stock: bool = True) -> int:
     """Drain ``landing`` into ``table_root``; returns the final version number."""
-    products = VersionedTable(spark, f"{table_root}/products", S.PRODUCT_SCHEMA)
-    params = VersionedTable(spark, f"{table_root}/product_params", S.PARAM_SCHEMA)
+    products, params = catalog_tables(spark, table_root)
     start = products.current_version()
     offset = 0 if start is None else start + 1
 
@@ -106,7 +126,8 @@ def run_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: s
     if mark_unseen_stock and final is not None:
         marked = mark_unseen(products.read(final), F.lit(run_ts).cast("timestamp_ntz"),
                              S.STOCK_COLUMNS)
-        products.commit(marked, final + 1)
-        params.commit(params.read(final), final + 1)
+        products.write(marked, final + 1)
+        params.write(params.read(final), final + 1)
+        products.publish(final + 1)
         final += 1
     return final if final is not None else -1

@@ -11,7 +11,7 @@ from partsmith import schemas as S
 from partsmith.operators.ingest import catalog_rows, records_from_documents
 from partsmith.operators.merge import const, mark_unseen, merge
 from partsmith.sources.documents import inline_pages
-from partsmith.streaming.ingest import ORDER, VersionedTable, run_stream
+from partsmith.streaming.ingest import ORDER, catalog_tables, run_stream
 
 RUN_TS = "2024-03-01 00:00:00"
 
@@ -42,7 +42,8 @@ def test_stream_equals_batch_and_replay_is_harmless(spark, scratch):
     landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
     _land(landing)
     final = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False)
-    streamed = VersionedTable(spark, f"{table}/products", S.PRODUCT_SCHEMA).read(final)
+    products, params_t = catalog_tables(spark, table)
+    streamed = products.read(final)
 
     # batch: one merge of every page in file/page/position order
     env = spark.read.text(landing).select(F.col("value").alias("doc"),
@@ -55,26 +56,26 @@ def test_stream_equals_batch_and_replay_is_harmless(spark, scratch):
         return sorted((r.sku, r.mfr_part_number, r.stock) for r in df.collect())
 
     assert snap(streamed) == snap(batch) == [("C1", "a2", 9), ("C2", "b", 7), ("C4", "d", 0)]
-    params = VersionedTable(spark, f"{table}/product_params", S.PARAM_SCHEMA).read(final)
+    params = params_t.read(final)
     assert params.count() == 0  # C1's last page carried no params
 
     # a second run over the same checkpoint finds nothing new: same table
     again = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False)
     assert again == final
-    assert snap(VersionedTable(spark, f"{table}/products", S.PRODUCT_SCHEMA).read()) == snap(batch)
+    assert snap(products.read()) == snap(batch)
 
 
 def test_stream_marks_unseen_at_the_end(spark, scratch):
     landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
     _land(landing)
-    products = VersionedTable(spark, f"{table}/products", S.PRODUCT_SCHEMA)
+    products, params_t = catalog_tables(spark, table)
     old = spark.createDataFrame([("C9", "z", 3)], "sku string, mfr_part_number string, stock long")
     from partsmith.operators.align import align_schema
     seed = align_schema(old.withColumn("last_updated", F.lit("2024-01-01").cast("timestamp_ntz")),
                         S.PRODUCT_SCHEMA)
-    products.commit(seed, 0)
-    VersionedTable(spark, f"{table}/product_params", S.PARAM_SCHEMA).commit(
-        spark.createDataFrame([], S.PARAM_SCHEMA), 0)
+    products.write(seed, 0)
+    params_t.write(spark.createDataFrame([], S.PARAM_SCHEMA), 0)
+    products.publish(0)
     final = run_stream(spark, landing, table, ckpt, RUN_TS)
     out = {r.sku: r.stock for r in products.read(final).collect()}
     assert out["C9"] == 0 and out["C1"] == 9

@@ -50,11 +50,10 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
     for c in S.REQUIRED_DOC_STRINGS:
         # explicit null vs absent key: only looked up when the value is NULL
         keys = list(dict.fromkeys([S.doc_key(c), c]))
-        present = F.arrays_overlap(F.json_object_keys(F.col(doc_col)),
-                                   F.array(*[F.lit(k) for k in keys]))
+        present = F.arrays_overlap(F.col("doc_keys"), F.array(*[F.lit(k) for k in keys]))
         raw_cols.append(F.when(doc_value(c).isNull(), F.coalesce(present, F.lit(False)))
                         .otherwise(F.lit(False)).alias(f"n__{c}"))
-    unparsable = F.json_object_keys(F.col(doc_col)).isNull()
+    unparsable = F.col("doc_keys").isNull()
     stage1 = parsed.select(*carry, F.col(doc_col), unparsable.alias("__unparsable"), *raw_cols)
 
     # 2. typed values (each coercion once)

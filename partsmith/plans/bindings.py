@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from partsmith import schemas as S
 from partsmith.operators.align import align_schema
+from partsmith.operators.ordering import spread
 from partsmith.sources.tables import read_table
 
 # fixed value: wall clock of the simulated ingest run (one literal per run)
@@ -141,7 +142,7 @@ def event_documents(events: DataFrame) -> DataFrame:
         F.lit('","paramValue":"'), k, F.lit('"},{"paramName":"unit","paramValueEn":""}'),
         F.lit(',{"paramName":"seen","paramValue":"'), F.when(eid % 2 == 0, _s(eid)).otherwise(F.lit("")),
         F.lit('"}]}'))
-    return events.select("event_id", "ts", "user_id", doc.alias("doc"))
+    return spread(events).select("event_id", "ts", "user_id", doc.alias("doc"))
 
 
 # SQL twin: the typed record each event document must become.

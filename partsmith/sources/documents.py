@@ -97,16 +97,19 @@ NESTED_TYPES = {f.name: f.dataType for f in PRODUCT_DOC_SCHEMA.fields
 
 
 def parse_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """Add one STRING column ``k__<key>`` per known document key.
-
-    ``json_tuple`` parses each document once and yields every top-level value
-    as text (nested lists as their JSON text).  Being a generator it is also a
-    boundary the optimizer does not inline through, so later filters on
-    derived flags stay small.  ``doc_keys`` lists the keys actually present
-    (NULL when the document is not a JSON object)."""
-    carry = [c for c in docs.columns]
+    """Add ``doc_keys`` (keys the document carries; NULL when it is not a
+    JSON object) and one STRING column ``k__<key>`` per known document key.
+
+    Both come out of generators: ``json_tuple`` parses each document once and
+    yields every top-level value as text (nested lists as their JSON text).
+    A generator is also a boundary the optimizer does not inline through, so
+    filters on flags derived from them stay above it instead of being pushed
+    (and re-evaluated) further down the plan."""
+    carry = [c for c in docs.columns if c != doc_col]
+    keyed = docs.select(*carry, F.inline(F.array(F.struct(
+        F.col(doc_col).alias(doc_col), F.json_object_keys(F.col(doc_col)).alias("doc_keys")))))
     gen = F.json_tuple(F.col(doc_col), *DOC_KEYS).alias(*[f"k__{k}" for k in DOC_KEYS])
-    return docs.select(*carry, gen)
+    return keyed.select("*", gen)
 
 
 def raw_key(key: str) -> Column:

@@ -205,3 +205,18 @@ def refresh_children(children: DataFrame, batch_parents: DataFrame,
                .drop("__last_batch", batch_col))
     kept = children.join(parent_keys, on=key, how="left_anti")
     return kept.unionByName(new.select(*children.columns))
+
+
+def write_keyed_table(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
+                      path: str | None = None) -> None:
+    """Persist a keyed table bucketed and sorted by its key (a catalog table,
+    optionally at an explicit ``path``).
+
+    A later merge or join on the key reads it already hash-partitioned into
+    ``buckets`` partitions, so the large side is not shuffled at all; only the
+    batch is exchanged to match (choose ``buckets`` equal to the session's
+    shuffle partitions, or let AQE coalesce the batch side)."""
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

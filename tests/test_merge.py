@@ -101,3 +101,19 @@ def test_running_sum_matches_window(spark):
 def test_product_schema_round_trip(spark):
     empty = spark.createDataFrame([], S.PRODUCT_SCHEMA)
     assert merge(empty, empty, ["sku"]).columns == S.PRODUCT_COLUMNS
+
+
+def test_bucketed_target_is_not_shuffled(spark, scratch):
+    from partsmith.operators.merge import write_keyed_table
+
+    parts = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    rows = [(f"k{i}", i, "x") for i in range(200)]
+    target = spark.createDataFrame(rows, "k string, v long, s string")
+    write_keyed_table(target, "t_bucketed_merge", ["k"], parts, f"{scratch}/t")
+    src = _s(spark, [("k5", 50, "y", 1), ("k500", 5, "z", 2)])
+    bucketed = merge(spark.table("t_bucketed_merge"), src, ["k"], order_by=["seq"])
+    plain = merge(target, src, ["k"], order_by=["seq"])
+    assert _sorted(bucketed) == _sorted(plain)
+    plan = bucketed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1  # only the batch side

@@ -137,3 +137,13 @@ def work_list(tree_leaves: DataFrame, catalog_counts: DataFrame | None,
     indexed = global_index(base, ["path_key"], "cat_idx")
     out = indexed.select("*", base.agg(F.count(F.lit(1))).scalar().alias("total_cats"))
     return out.filter(F.col("product_num").isNull() | (F.col("product_num") != 0))
+
+
+def single_category_work_list(spark, category_id: int) -> DataFrame:
+    """Work list of a run aimed at one category: that category alone, its
+    count unknown (NULL), index 1 of 1.  Such a run expects no total and must
+    not mark unseen products afterwards (the rest of the catalog was not
+    visited)."""
+    return spark.createDataFrame(
+        [(int(category_id), f"Category #{int(category_id)}", None, 1, 1)],
+        "id long, path string, product_num long, cat_idx long, total_cats long")

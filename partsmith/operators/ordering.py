@@ -53,7 +53,11 @@ def spread(df: DataFrame) -> DataFrame:
     an input that lands in fewer partitions than the cluster's parallelism
     (e.g. one small file with a single row group) is spread round-robin —
     a shuffle of a small input, paid only when it is small."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

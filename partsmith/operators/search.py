@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partsmith import schemas as S
-from partsmith.functions.text import fold, term_in_any, usable_terms
+from partsmith.functions.text import term_in_any, usable_terms
 
 
 def as_list(value) -> list | None:
@@ -138,6 +138,3 @@ def facet_counts(df: DataFrame, facet_col: str, name_col: str | None = None) ->
     total = df.agg(F.count(F.lit(1))).scalar()
     return facets.select("*", total.alias("total_count"))
 
-
-def fold_equals(col: str, value: str) -> Column:
-    return fold(col) == F.lit(value.lower())

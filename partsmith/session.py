@@ -61,7 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when nothing is configured (a unit test on a laptop) do we
     fall back to a fresh local scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -19,7 +19,6 @@ STR = T.StringType()
 
 # Columns that never arrive in a product document.
 _NOT_IN_DOC = set(S.VENDOR_COLUMNS) | {"last_updated", "raw_json", "category_id"}
-_SPECIAL = {"price_ladder", "product_images"}
 
 
 def _doc_fields() -> list[T.StructField]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from partsmith.functions import coerce as C
 from partsmith.operators.ingest import drop_keyless, params_rows, records_from_documents
+from partsmith.operators.ordering import spread
 from partsmith.plans.bindings import EVENT_RECORDS_SQL, event_documents, t
 from partsmith.plans.registry import query
 from partsmith.sources.documents import inline_pages
@@ -97,7 +98,7 @@ def price_ladder_json(spark, sf):
     it as JSON text, then read the text back into rows: the round trip shows
     that NULL fields survive (``"usdPrice":null``) and ``[]`` stands for no
     ladder."""
-    li = t(spark, sf, "lineitem")
+    li = spread(t(spark, sf, "lineitem"))  # per-row JSON work: use every core
     ladder = F.when(F.col("l_orderkey") % 10 != 0, F.array(
         F.struct(F.lit(1).cast("bigint").alias("ladder"),
                  F.col("l_extendedprice").alias("usdPrice")),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from partsmith.functions.coerce import epoch_to_timestamp, tier_label, timestamp_to_epoch
 from partsmith.functions.formatting import format_duration
 from partsmith.operators.enrich import enrich
+from partsmith.operators.ordering import spread
 from partsmith.plans.bindings import VENDOR_TABLES_SQL, t, vendor_tables
 from partsmith.plans.registry import query
 
@@ -28,7 +29,7 @@ SELECT 'C' || c.part_code AS sku, c.mfr AS mfr_part_number, c.manufacturer_id AS
 FROM comps c LEFT JOIN vcats cat ON cat.id = c.category_id
              LEFT JOIN vmfrs m ON m.id = c.manufacturer_id""")
 def vendor_enrich_join(spark, sf):
-    comps, cats, mfrs = vendor_tables(t(spark, sf, "lineitem"), t(spark, sf, "supplier"),
+    comps, cats, mfrs = vendor_tables(spread(t(spark, sf, "lineitem")), t(spark, sf, "supplier"),
                                       t(spark, sf, "part"))
     return enrich(comps, cats, mfrs)
 

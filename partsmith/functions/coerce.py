@@ -1,8 +1,11 @@
-"""Column expressions that turn loosely typed document values into typed columns.
+"""Expressions that turn loosely typed document values into typed columns.
 
 Documents are parsed with every scalar as STRING (a typed ``from_json`` nulls a
-whole record on one mistyped field), then each value is coerced here.  All of
-these are plain Catalyst expressions, so they stay inside whole-stage codegen.
+whole record on one mistyped field), then each value is coerced here.  Each
+rule is written once, as SQL expression text (``*_sql``), so that wide
+projections can be handed to Spark in a single ``selectExpr`` call; the
+Column-returning helpers wrap the same text.  Arguments are SQL expressions —
+a column name is one.  All of these are plain Catalyst expressions.
 """
 
 from __future__ import annotations
@@ -17,81 +20,131 @@ TRUE_WORDS = ["1", "1.0", "true", "t", "yes", "y", "on"]
 FALSE_WORDS = ["0", "0.0", "false", "f", "no", "n", "off"]
 
 
-def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def _in_list(words: list[str]) -> str:
+    return ", ".join("'" + w + "'" for w in words)
 
 
-def lax_long(x: Column | str) -> Column:
-    """String -> BIGINT the lenient way: ``"12"`` and ``"12.0"`` give 12,
+# --- SQL text of each rule ----------------------------------------------------------
+def lax_long_sql(x: str) -> str:
+    """String -> BIGINT the lenient way: ``"12"`` and ``"12.0"`` give 12;
     ``"12.5"``, ``"abc"`` and booleans give NULL (a coercion failure)."""
-    dec = _c(x).cast("string").try_cast("decimal(38,9)")
-    return F.when(dec == F.floor(dec), dec.try_cast("bigint"))
+    d = f"try_cast(CAST({x} AS STRING) AS DECIMAL(38,9))"
+    return f"CASE WHEN {d} = floor({d}) THEN try_cast({d} AS BIGINT) END"
 
 
-def lax_double(x: Column | str) -> Column:
+def lax_double_sql(x: str) -> str:
     """String -> DOUBLE; booleans and non-numbers give NULL."""
-    return _c(x).cast("string").try_cast("double")
+    return f"try_cast(CAST({x} AS STRING) AS DOUBLE)"
 
 
-def lax_bool(x: Column | str) -> Column:
+def lax_bool_sql(x: str) -> str:
     """String -> BOOLEAN accepting the usual words and the numbers 0/1 only."""
-    s = F.lower(F.trim(_c(x).cast("string")))
-    return (F.when(s.isin(*TRUE_WORDS), F.lit(True))
-             .when(s.isin(*FALSE_WORDS), F.lit(False)))
+    s = f"lower(trim(CAST({x} AS STRING)))"
+    return (f"CASE WHEN {s} IN ({_in_list(TRUE_WORDS)}) THEN true "
+            f"WHEN {s} IN ({_in_list(FALSE_WORDS)}) THEN false END")
 
 
-def coercion_failed(raw: Column | str, typed: Column) -> Column:
-    """True when a value was present but could not be coerced."""
-    return _c(raw).isNotNull() & typed.isNull()
+def coercion_failed_sql(raw: str, typed: str) -> str:
+    """A value was present but could not be coerced."""
+    return f"({raw} IS NOT NULL AND {typed} IS NULL)"
 
 
-def falsy_default(x: Column | str, default) -> Column:
+def falsy_default_sql(x: str, default) -> str:
     """``x or default``: NULL *and zero* become the default."""
-    kind = "double" if isinstance(default, float) else "bigint"
-    c = _c(x).cast(kind)
-    return F.coalesce(F.nullif(c, F.lit(0).cast(kind)), F.lit(default).cast(kind))
+    kind = "DOUBLE" if isinstance(default, float) else "BIGINT"
+    return (f"coalesce(nullif(CAST({x} AS {kind}), CAST(0 AS {kind})), "
+            f"CAST({default!r} AS {kind}))")
 
 
-def flag01(x: Column | str) -> Column:
+def flag01_sql(x: str) -> str:
     """Boolean -> 0/1 as BIGINT; NULL -> 0."""
-    return F.when(_c(x), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    return f"CAST(CASE WHEN {x} THEN 1 ELSE 0 END AS BIGINT)"
 
 
-def first_nonzero(a: Column | str, b: Column | str) -> Column:
+def first_nonzero_sql(a: str, b: str) -> str:
     """``a or b`` for ids: zero counts as missing."""
-    return F.coalesce(F.nullif(_c(a), F.lit(0)), _c(b))
+    return f"coalesce(nullif({a}, 0), {b})"
 
 
-def first_nonempty(*xs: Column | str) -> Column:
+def first_nonempty_sql(*xs: str) -> str:
     """``a or b or ""`` for strings: empty counts as missing."""
-    return F.coalesce(*[F.nullif(_c(x), F.lit("")) for x in xs], F.lit(""))
+    return "coalesce(" + ", ".join(f"nullif({x}, '')" for x in xs) + ", '')"
 
 
-def tier_label(basic: Column | str, preferred: Column | str) -> Column:
+def tier_label_sql(basic: str, preferred: str) -> str:
     """Vendor library tier: basic=1 -> Basic, else preferred=1 -> Preferred,
     else Extended (NULL flags fall through to Extended)."""
-    return (F.when(_c(basic) == 1, F.lit(S.TIER_BASIC))
-             .when(_c(preferred) == 1, F.lit(S.TIER_PREFERRED))
-             .otherwise(F.lit(S.TIER_EXTENDED)))
+    return (f"CASE WHEN {basic} = 1 THEN '{S.TIER_BASIC}' "
+            f"WHEN {preferred} = 1 THEN '{S.TIER_PREFERRED}' ELSE '{S.TIER_EXTENDED}' END")
 
 
-def epoch_to_timestamp(x: Column | str) -> Column:
+def epoch_to_timestamp_sql(x: str) -> str:
     """Epoch seconds -> TIMESTAMP_NTZ (UTC wall clock)."""
-    return F.timestamp_seconds(_c(x)).cast("timestamp_ntz")
+    return f"CAST(timestamp_seconds({x}) AS TIMESTAMP_NTZ)"
 
 
-def timestamp_to_epoch(x: Column | str) -> Column:
+def timestamp_to_epoch_sql(x: str) -> str:
     """TIMESTAMP_NTZ (UTC wall clock) -> whole epoch seconds."""
-    return F.unix_seconds(_c(x).cast("timestamp"))
+    return f"unix_seconds(CAST({x} AS TIMESTAMP))"
 
 
-def prefixed_key(prefix: str, x: Column | str) -> Column:
+def prefixed_key_sql(prefix: str, x: str) -> str:
     """``prefix || x`` with NULL propagation (a NULL id gives a NULL key)."""
-    return F.concat(F.lit(prefix), _c(x).cast("string"))
+    return f"concat('{prefix}', CAST({x} AS STRING))"
 
 
-def json_array_text(arr: Column | str) -> Column:
+def json_array_text_sql(x: str) -> str:
     """Array of structs -> JSON text that keeps NULL fields; missing -> ``[]``."""
-    c = _c(arr)
-    return F.when(c.isNull(), F.lit("[]")).otherwise(
-        F.to_json(c, {"ignoreNullFields": "false"}))
+    return f"CASE WHEN {x} IS NULL THEN '[]' ELSE to_json({x}, map('ignoreNullFields', 'false')) END"
+
+
+# --- Column helpers (same rules) -------------------------------------------------------
+def lax_long(x: str) -> Column:
+    return F.expr(lax_long_sql(x))
+
+
+def lax_double(x: str) -> Column:
+    return F.expr(lax_double_sql(x))
+
+
+def lax_bool(x: str) -> Column:
+    return F.expr(lax_bool_sql(x))
+
+
+def falsy_default(x: str, default) -> Column:
+    return F.expr(falsy_default_sql(x, default))
+
+
+def flag01(x: str) -> Column:
+    return F.expr(flag01_sql(x))
+
+
+def first_nonzero(a: str, b: str) -> Column:
+    return F.expr(first_nonzero_sql(a, b))
+
+
+def first_nonempty(*xs: str) -> Column:
+    return F.expr(first_nonempty_sql(*xs))
+
+
+def tier_label(basic: str, preferred: str) -> Column:
+    return F.expr(tier_label_sql(basic, preferred))
+
+
+def epoch_to_timestamp(x: str) -> Column:
+    return F.expr(epoch_to_timestamp_sql(x))
+
+
+def timestamp_to_epoch(x: str) -> Column:
+    return F.expr(timestamp_to_epoch_sql(x))
+
+
+def prefixed_key(prefix: str, x: str) -> Column:
+    return F.expr(prefixed_key_sql(prefix, x))
+
+
+def json_array_text(x: Column | str) -> Column:
+    """Array column (or SQL expression) -> JSON text keeping NULL fields."""
+    if isinstance(x, str):
+        return F.expr(json_array_text_sql(x))
+    return F.when(x.isNull(), F.lit("[]")).otherwise(F.to_json(x, {"ignoreNullFields": "false"}))

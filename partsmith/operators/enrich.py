@@ -27,7 +27,7 @@ def enrich(components: DataFrame, categories: DataFrame, manufacturers: DataFram
     j = (c.join(cat, F.col("c.category_id") == F.col("__cat_id"), "left")
           .join(mfr, F.col("c.manufacturer_id") == F.col("__mfr_id"), "left"))
     return j.select(
-        prefixed_key(KEY_PREFIX, F.col("c.part_code")).alias("sku"),
+        prefixed_key(KEY_PREFIX, "c.part_code").alias("sku"),
         F.col("c.mfr").alias("mfr_part_number"),
         F.col("c.manufacturer_id").cast("bigint").alias("brand_id"),
         F.col("__mfr").alias("brand_name"),
@@ -39,9 +39,9 @@ def enrich(components: DataFrame, categories: DataFrame, manufacturers: DataFram
         F.col("c.datasheet").alias("pdf_url"),
         F.col("c.stock").cast("bigint").alias("vendor_stock"),
         F.col("c.price").alias("vendor_price_ladder"),
-        tier_label(F.col("c.basic"), F.col("c.preferred")).alias("vendor_library_type"),
+        tier_label("c.basic", "c.preferred").alias("vendor_library_type"),
         F.col("c.extra").alias("vendor_extra"),
-        epoch_to_timestamp(F.col("c.last_update")).alias("vendor_last_updated"),
+        epoch_to_timestamp("c.last_update").alias("vendor_last_updated"),
     )
 
 

@@ -7,14 +7,21 @@ nested lists, optional raw document, and a reject flag with its reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partsmith import schemas as S
 from partsmith.functions import coerce as C
 from partsmith.operators.ordering import spread
-from partsmith.sources.documents import doc_value, parse_documents, raw_key
+from partsmith.sources.documents import doc_value_sql as _doc_value_sql
+from partsmith.sources.documents import parse_documents
+from partsmith.sources.documents import raw_key_sql as _raw_key_sql
+
+
+def _q(name: str) -> str:
+    return "`" + name + "`"
+
 
 def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
                            doc_col: str = "doc") -> DataFrame:
@@ -27,110 +34,111 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
 
     Three narrow projections (raw strings -> typed values -> defaults and
     reject flags) so that each coercion is evaluated once per value; they run
-    in one stage, without a shuffle."""
+    in one stage, without a shuffle.  Each projection is one ``selectExpr``
+    of SQL expressions (see ``functions.coerce``)."""
     parsed = parse_documents(spread(docs), doc_col)
     carry = [c for c in docs.columns if c != doc_col]
+    keep = [_q(c) for c in carry]
     types = dict((n, t) for n, t, _ in S.PRODUCT_FIELDS)
     doc_cols = [c for c in S.PRODUCT_COLUMNS
                 if c not in S.VENDOR_COLUMNS and c not in ("last_updated", "raw_json")]
 
     # 1. raw (string) values under canonical names
-    raw_cols = []
+    raw = []
     for c in doc_cols:
         if c == "category_id":
-            raw_cols.append(F.coalesce(raw_key(S.DOC_CATALOG_ID), raw_key("catalog_id"))
-                            .alias("r__catalog_id"))
-            raw_cols.append(F.coalesce(raw_key(S.DOC_WM_CATALOG_ID), raw_key("wm_catalog_id"))
-                            .alias("r__wm_catalog_id"))
+            raw.append(f"coalesce({_raw_key_sql(S.DOC_CATALOG_ID)}, {_raw_key_sql('catalog_id')})"
+                       " AS r__catalog_id")
+            raw.append(f"coalesce({_raw_key_sql(S.DOC_WM_CATALOG_ID)}, "
+                       f"{_raw_key_sql('wm_catalog_id')}) AS r__wm_catalog_id")
         else:
-            raw_cols.append(doc_value(c).alias(f"r__{c}"))
-    raw_cols.append(F.coalesce(raw_key(S.DOC_PRODUCT_ID), raw_key("product_id"))
-                    .alias("r__product_id"))
-    raw_cols.append(F.coalesce(raw_key(S.DOC_PARAMS), raw_key("params")).alias("r__params"))
+            raw.append(f"{_doc_value_sql(c)} AS r__{c}")
+    raw.append(f"coalesce({_raw_key_sql(S.DOC_PRODUCT_ID)}, {_raw_key_sql('product_id')})"
+               " AS r__product_id")
+    raw.append(f"coalesce({_raw_key_sql(S.DOC_PARAMS)}, {_raw_key_sql('params')}) AS r__params")
     for c in S.REQUIRED_DOC_STRINGS:
         # explicit null vs absent key: only looked up when the value is NULL
-        keys = list(dict.fromkeys([S.doc_key(c), c]))
-        present = F.arrays_overlap(F.col("doc_keys"), F.array(*[F.lit(k) for k in keys]))
-        raw_cols.append(F.when(doc_value(c).isNull(), F.coalesce(present, F.lit(False)))
-                        .otherwise(F.lit(False)).alias(f"n__{c}"))
-    unparsable = F.col("doc_keys").isNull()
-    stage1 = parsed.select(*carry, F.col(doc_col), unparsable.alias("__unparsable"), *raw_cols)
+        keys = ", ".join(f"'{k}'" for k in dict.fromkeys([S.doc_key(c), c]))
+        raw.append(f"CASE WHEN {_doc_value_sql(c)} IS NULL THEN "
+                   f"coalesce(arrays_overlap(doc_keys, array({keys})), false) ELSE false END"
+                   f" AS n__{c}")
+    stage1 = parsed.selectExpr(*keep, _q(doc_col), "doc_keys IS NULL AS __unparsable", *raw)
 
     # 2. typed values (each coercion once)
     typed = []
     for c in doc_cols:
-        r = F.col(f"r__{c}") if c != "category_id" else None
         dtype = types[c]
+        r = f"r__{c}"
         if c == "category_id":
-            typed.append(C.lax_long(F.col("r__catalog_id")).alias("t__catalog_id"))
-            typed.append(C.lax_long(F.col("r__wm_catalog_id")).alias("t__wm_catalog_id"))
+            typed.append(f"{C.lax_long_sql('r__catalog_id')} AS t__catalog_id")
+            typed.append(f"{C.lax_long_sql('r__wm_catalog_id')} AS t__wm_catalog_id")
         elif c == "price_ladder":
-            typed.append(F.transform(r, lambda e: F.struct(
-                C.lax_long(e["ladder"]).alias("ladder"),
-                C.lax_double(e["usdPrice"]).alias("usdPrice"))).alias(f"t__{c}"))
+            typed.append(f"transform({r}, e -> named_struct('ladder', {C.lax_long_sql('e.ladder')}, "
+                         f"'usdPrice', {C.lax_double_sql('e.usdPrice')})) AS t__{c}")
         elif c == "product_images":
             continue
         elif c in S.FLAG_COLUMNS:
-            typed.append(C.lax_bool(r).alias(f"t__{c}"))
+            typed.append(f"{C.lax_bool_sql(r)} AS t__{c}")
         elif isinstance(dtype, T.LongType):
-            typed.append(C.lax_long(r).alias(f"t__{c}"))
+            typed.append(f"{C.lax_long_sql(r)} AS t__{c}")
         elif isinstance(dtype, T.DoubleType):
-            typed.append(C.lax_double(r).alias(f"t__{c}"))
-    typed.append(C.lax_long(F.col("r__product_id")).alias("t__product_id"))
-    stage2 = stage1.select("*", *typed)
+            typed.append(f"{C.lax_double_sql(r)} AS t__{c}")
+    typed.append(f"{C.lax_long_sql('r__product_id')} AS t__product_id")
+    stage2 = stage1.selectExpr("*", *typed)
 
     # 3. defaults, flags, JSON text, reject reason
-    cols: list[Column] = []
-    failures: list[tuple[str, Column]] = []
+    cols: list[str] = []
+    failures: list[tuple[str, str]] = []
     for c in S.PRODUCT_COLUMNS:
         dtype = types[c]
+        st = dtype.simpleString()
         if c in S.VENDOR_COLUMNS:
-            cols.append((F.lit(0) if c == "vendor_stock" else F.lit(None)).cast(dtype).alias(c))
+            cols.append(f"CAST({'0' if c == 'vendor_stock' else 'NULL'} AS {st}) AS {c}")
         elif c == "last_updated":
-            cols.append(F.lit(None).cast(dtype).alias(c))
+            cols.append(f"CAST(NULL AS {st}) AS {c}")
         elif c == "raw_json":
-            v = F.col(doc_col) if include_raw_json else F.lit(None)
-            cols.append(v.cast("string").alias(c))
+            cols.append(f"CAST({_q(doc_col) if include_raw_json else 'NULL'} AS STRING) AS {c}")
         elif c == "category_id":
-            failures.append((S.DOC_CATALOG_ID, C.coercion_failed("r__catalog_id", F.col("t__catalog_id"))))
+            failures.append((S.DOC_CATALOG_ID, C.coercion_failed_sql("r__catalog_id", "t__catalog_id")))
             failures.append((S.DOC_WM_CATALOG_ID,
-                             C.coercion_failed("r__wm_catalog_id", F.col("t__wm_catalog_id"))))
-            cols.append(C.first_nonzero("t__catalog_id", "t__wm_catalog_id").alias(c))
+                             C.coercion_failed_sql("r__wm_catalog_id", "t__wm_catalog_id")))
+            cols.append(f"{C.first_nonzero_sql('t__catalog_id', 't__wm_catalog_id')} AS {c}")
         elif c == "price_ladder":
-            bad = F.exists(F.arrays_zip(F.col(f"r__{c}"), F.col(f"t__{c}")), lambda z: (
-                (z[f"r__{c}"]["ladder"].isNotNull() & z[f"t__{c}"]["ladder"].isNull())
-                | (z[f"r__{c}"]["usdPrice"].isNotNull() & z[f"t__{c}"]["usdPrice"].isNull())))
-            failures.append((S.doc_key(c), F.coalesce(bad, F.lit(False))))
-            cols.append(C.json_array_text(F.col(f"t__{c}")).alias(c))
+            r, tv = f"r__{c}", f"t__{c}"
+            bad = (f"coalesce(exists(arrays_zip({r}, {tv}), z -> "
+                   f"(z.{r}.ladder IS NOT NULL AND z.{tv}.ladder IS NULL) OR "
+                   f"(z.{r}.usdPrice IS NOT NULL AND z.{tv}.usdPrice IS NULL)), false)")
+            failures.append((S.doc_key(c), bad))
+            cols.append(f"{C.json_array_text_sql(tv)} AS {c}")
         elif c == "product_images":
-            cols.append(F.coalesce(F.col(f"r__{c}"), F.lit("[]")).alias(c))
+            cols.append(f"coalesce(r__{c}, '[]') AS {c}")
         elif c in S.FLAG_COLUMNS:
-            failures.append((S.doc_key(c), C.coercion_failed(f"r__{c}", F.col(f"t__{c}"))))
-            cols.append(C.flag01(f"t__{c}").alias(c))
+            failures.append((S.doc_key(c), C.coercion_failed_sql(f"r__{c}", f"t__{c}")))
+            cols.append(f"{C.flag01_sql(f't__{c}')} AS {c}")
         elif isinstance(dtype, (T.LongType, T.DoubleType)):
-            failures.append((S.doc_key(c), C.coercion_failed(f"r__{c}", F.col(f"t__{c}"))))
-            v = F.col(f"t__{c}")
+            failures.append((S.doc_key(c), C.coercion_failed_sql(f"r__{c}", f"t__{c}")))
+            v = f"t__{c}"
             if c in S.FALSY_DEFAULTS:
-                v = C.falsy_default(v, S.FALSY_DEFAULTS[c])
-            cols.append(v.alias(c))
+                v = C.falsy_default_sql(v, S.FALSY_DEFAULTS[c])
+            cols.append(f"{v} AS {c}")
         elif c in S.REQUIRED_DOC_STRINGS:
-            failures.append((S.doc_key(c), F.col(f"n__{c}")))
-            cols.append(F.coalesce(F.col(f"r__{c}"), F.lit("")).alias(c))
+            failures.append((S.doc_key(c), f"n__{c}"))
+            cols.append(f"coalesce(r__{c}, '') AS {c}")
         else:
-            cols.append(F.col(f"r__{c}").alias(c))
-    failures.append((S.DOC_PRODUCT_ID, C.coercion_failed("r__product_id", F.col("t__product_id"))))
-    params = F.transform(F.coalesce(F.col("r__params"), F.array()), lambda p: F.struct(
-        C.first_nonempty(p["paramNameEn"], p["paramName"]).alias("param_name"),
-        C.first_nonempty(p["paramValueEn"], p["paramValue"]).alias("param_value")))
-    reason = F.concat_ws(",", *[F.when(pred, F.lit(name)) for name, pred in failures])
-    stage3 = stage2.select(*carry, "__unparsable", *cols,
-                           F.col("t__product_id").alias("product_id"), params.alias("params"),
-                           reason.alias("__reason"))
-    return stage3.select(
-        *[c for c in stage3.columns if c not in ("__unparsable", "__reason")],
-        (F.col("__unparsable") | (F.col("__reason") != "")).alias("rejected"),
-        F.when(F.col("__unparsable"), F.lit("unparsable"))
-         .when(F.col("__reason") != "", F.col("__reason")).alias("reject_reason"))
+            cols.append(f"r__{c} AS {c}")
+    failures.append((S.DOC_PRODUCT_ID, C.coercion_failed_sql("r__product_id", "t__product_id")))
+    params = ("transform(coalesce(r__params, array()), p -> named_struct("
+              f"'param_name', {C.first_nonempty_sql('p.paramNameEn', 'p.paramName')}, "
+              f"'param_value', {C.first_nonempty_sql('p.paramValueEn', 'p.paramValue')})) AS params")
+    reason = "concat_ws(',', " + ", ".join(
+        f"CASE WHEN {pred} THEN '{name}' END" for name, pred in failures) + ") AS __reason"
+    stage3 = stage2.selectExpr(*keep, "__unparsable", *cols, "t__product_id AS product_id",
+                               params, reason)
+    return stage3.selectExpr(
+        *[_q(c) for c in stage3.columns if c not in ("__unparsable", "__reason")],
+        "__unparsable OR __reason <> '' AS rejected",
+        "CASE WHEN __unparsable THEN 'unparsable' WHEN __reason <> '' THEN __reason END"
+        " AS reject_reason")
 
 
 def catalog_rows(records: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -232,7 +232,7 @@ SELECT CAST(c_custkey + 1000 AS BIGINT), CAST(c_nationkey + 100 AS BIGINT),
 def vendor_rows_from_events(events: DataFrame) -> DataFrame:
     """Second-vendor rows keyed like catalog products (half of them match an
     existing product), with ``ts``/``event_id`` as the order of arrival."""
-    from partsmith.functions.coerce import epoch_to_timestamp, tier_label, timestamp_to_epoch
+    from partsmith.functions.coerce import epoch_to_timestamp, tier_label, timestamp_to_epoch_sql
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     return events.select(
         F.concat(F.lit("C"), (uid * 20).cast("string")).alias("sku"),
@@ -243,11 +243,11 @@ def vendor_rows_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("https://example.com/"), uid.cast("string"), F.lit(".pdf")).alias("pdf_url"),
         F.floor(F.col("value")).cast("bigint").alias("vendor_stock"),
         F.col("props").alias("vendor_price_ladder"),
-        tier_label(F.when(et == "view", 1).otherwise(0),
-                   F.when(et == "click", 1).when(et == "error", None).otherwise(0))
-        .alias("vendor_library_type"),
+        tier_label("CASE WHEN event_type = 'view' THEN 1 ELSE 0 END",
+                   "CASE WHEN event_type = 'click' THEN 1 WHEN event_type = 'error' THEN NULL "
+                   "ELSE 0 END").alias("vendor_library_type"),
         F.concat(F.lit('{"e":'), eid.cast("string"), F.lit("}")).alias("vendor_extra"),
-        epoch_to_timestamp(timestamp_to_epoch("ts")).alias("vendor_last_updated"),
+        epoch_to_timestamp(timestamp_to_epoch_sql("ts")).alias("vendor_last_updated"),
         "ts", "event_id")
 
 

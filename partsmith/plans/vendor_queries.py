@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from partsmith.functions.coerce import epoch_to_timestamp, tier_label, timestamp_to_epoch
+from partsmith.functions.coerce import (
+    epoch_to_timestamp,
+    tier_label,
+    timestamp_to_epoch,
+    timestamp_to_epoch_sql,
+)
 from partsmith.functions.formatting import format_duration
 from partsmith.operators.enrich import enrich
 from partsmith.operators.ordering import spread
@@ -60,8 +65,8 @@ SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s,
 FROM events""")
 def epoch_to_ts(spark, sf):
     ev = t(spark, sf, "events")
-    e = timestamp_to_epoch("ts")
-    return ev.select("event_id", e.alias("epoch_s"), epoch_to_timestamp(e).alias("ts_from_epoch"))
+    return ev.select("event_id", timestamp_to_epoch("ts").alias("epoch_s"),
+                     epoch_to_timestamp(timestamp_to_epoch_sql("ts")).alias("ts_from_epoch"))
 
 
 # --- P15: duration text ----------------------------------------------------------------

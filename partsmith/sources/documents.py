@@ -111,21 +111,25 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return keyed.select("*", gen)
 
 
-def raw_key(key: str) -> Column:
-    """Raw text of one document key (nested lists parsed to their typed shape)."""
-    c = F.col(f"k__{key}")
+def _q(name: str) -> str:
+    return "`" + name + "`"
+
+
+def raw_key_sql(key: str) -> str:
+    """SQL for the raw text of one document key (nested lists parsed to their
+    typed shape) over the output of ``parse_documents``."""
     if key in NESTED_TYPES:
-        return F.from_json(c, NESTED_TYPES[key])
-    return c
+        return f"from_json({_q('k__' + key)}, '{NESTED_TYPES[key].simpleString()}')"
+    return _q("k__" + key)
 
 
-def doc_value(column: str) -> Column:
-    """Value of a canonical column from a parsed document: the API alias wins,
+def doc_value_sql(column: str) -> str:
+    """SQL for a canonical column from a parsed document: the API alias wins,
     the canonical name is accepted too."""
     alias = S.doc_key(column)
     if alias == column:
-        return raw_key(column)
-    return F.coalesce(raw_key(alias), raw_key(column))
+        return raw_key_sql(column)
+    return f"coalesce({raw_key_sql(alias)}, {raw_key_sql(column)})"
 
 
 def parse_facets(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:
@@ -139,8 +143,8 @@ def parse_facets(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:
                  F.explode_outer("__f.Manufacturer").alias("__m"))
     from partsmith.functions.coerce import lax_long
     return m.select(*carry, "total_count",
-                    lax_long(F.col("__m.id")).alias("brand_id"),
+                    lax_long("__m.id").alias("brand_id"),
                     F.col("__m.id").alias("brand_id_raw"),
                     F.coalesce(F.col("__m.name"), F.lit("")).alias("brand_name"),
-                    (F.col("__m.id").isNotNull() & lax_long(F.col("__m.id")).isNull())
+                    (F.col("__m.id").isNotNull() & lax_long("__m.id").isNull())
                     .alias("rejected"))

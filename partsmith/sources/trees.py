@@ -62,7 +62,7 @@ def unroll_tree(roots_json: DataFrame, layout: dict[str, str] = CATEGORY_NODE,
     ckey = layout["children"]
     for depth in range(1, max_depth + 1):
         nxt = level.select(
-            lax_long(F.col(f"n.{layout['id']}")).alias("tree_parent_id"),
+            lax_long(f"n.`{layout['id']}`").alias("tree_parent_id"),
             F.col("path_key").alias("__pkey"), F.col("ancestors").alias("__anc"),
             F.posexplode(F.col(f"n.{ckey}")).alias("__pos", "__node")).select(
             F.from_json("__node", schema).alias("n"), "tree_parent_id", F.lit(depth).alias("depth"),
@@ -82,7 +82,7 @@ def unroll_tree(roots_json: DataFrame, layout: dict[str, str] = CATEGORY_NODE,
         if name == "children":
             continue
         v = F.col(f"n.{key}")
-        cols.append((lax_long(v) if name in LONG_FIELDS else v).alias(name))
+        cols.append((lax_long(f"n.`{key}`") if name in LONG_FIELDS else v).alias(name))
     is_leaf = F.coalesce(F.size(F.col(f"n.{ckey}")) <= 0, F.lit(True))
     return nodes.select(*cols, "tree_parent_id", "depth", is_leaf.alias("is_leaf"), "path_key",
                         "ancestors")

@@ -23,8 +23,9 @@ from partsmith.operators.search import search_predicate
 
 def build_postings(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per distinct trigram of each (row, column) value: ``trigram``,
-    the key columns, ``column`` (name of the text column).  A pure
-    projection + generator per column: no shuffle."""
+    the key columns, ``column`` (name of the text column).  A projection +
+    generator per column; the input is only spread over the cores first when
+    it arrives in fewer partitions than that (``ordering.spread``)."""
     src = spread(df.select(*keys, *columns))
     parts = []
     for c in columns:

@@ -32,10 +32,12 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
     ``rejected`` and ``reject_reason``, and every non-document input column
     (e.g. ``page``/``pos`` order columns).
 
-    Three narrow projections (raw strings -> typed values -> defaults and
-    reject flags) so that each coercion is evaluated once per value; they run
-    in one stage, without a shuffle.  Each projection is one ``selectExpr``
-    of SQL expressions (see ``functions.coerce``)."""
+    Three projections (raw strings -> typed values -> defaults and reject
+    flags); each typed value is defined once and shared by the column and its
+    reject check.  They run in one stage without a shuffle (after
+    ``ordering.spread`` for inputs with fewer partitions than cores).  Each
+    projection is one ``selectExpr`` of SQL expressions (see
+    ``functions.coerce``)."""
     parsed = parse_documents(spread(docs), doc_col)
     carry = [c for c in docs.columns if c != doc_col]
     keep = [_q(c) for c in carry]

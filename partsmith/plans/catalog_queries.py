@@ -54,6 +54,8 @@ def search_topk(spark, sf):
 @query("trigram_search", sql=f"""
 SELECT doc_id, lang FROM documents WHERE {any_col_contains(DOC_TERM, ['text'])}""")
 def trigram_search(spark, sf):
+    """Scan path of the trigram search: the index's matching rule (case-folded
+    substring, terms of at least three characters) applied to every document."""
     docs = t(spark, sf, "documents")
     return search(docs, all=[DOC_TERM], columns=["text"]).select("doc_id", "lang")
 

@@ -91,13 +91,14 @@ WITH l AS (
 )
 SELECT l_orderkey, l_linenumber, tier_pos, ladder, usd_price,
        (tier_pos = 1 AND usd_price IS NULL) AS null_kept
-FROM tiers
-WHERE l_orderkey % 10 <> 0""")
+FROM tiers WHERE l_orderkey % 10 <> 0
+UNION ALL
+SELECT l_orderkey, l_linenumber, NULL, NULL, NULL, false FROM l WHERE l_orderkey % 10 = 0""")
 def price_ladder_json(spark, sf):
     """Build a two-tier ladder per line (the second price may be NULL), render
     it as JSON text, then read the text back into rows: the round trip shows
-    that NULL fields survive (``"usdPrice":null``) and ``[]`` stands for no
-    ladder."""
+    that NULL fields survive (``"usdPrice":null``) and that a line without a
+    ladder is written as ``[]`` (it reads back as one row with no tier)."""
     li = spread(t(spark, sf, "lineitem"))  # per-row JSON work: use every core
     ladder = F.when(F.col("l_orderkey") % 10 != 0, F.array(
         F.struct(F.lit(1).cast("bigint").alias("ladder"),
@@ -107,11 +108,11 @@ def price_ladder_json(spark, sf):
     js = li.select("l_orderkey", "l_linenumber", C.json_array_text(ladder).alias("price_ladder"))
     back = F.from_json("price_ladder", "array<struct<ladder:bigint,usdPrice:double>>")
     return js.select("l_orderkey", "l_linenumber", "price_ladder",
-                     F.posexplode(back).alias("tier_pos", "t")).select(
+                     F.posexplode_outer(back).alias("tier_pos", "t")).select(
         "l_orderkey", "l_linenumber", "tier_pos",
         F.col("t.ladder").alias("ladder"), F.col("t.usdPrice").alias("usd_price"),
-        ((F.col("tier_pos") == 1) & F.col("price_ladder").contains('"usdPrice":null'))
-        .alias("null_kept"))
+        F.coalesce((F.col("tier_pos") == 1) & F.col("price_ladder").contains('"usdPrice":null'),
+                   F.lit(False)).alias("null_kept"))
 
 
 # --- P8: raw document kept (or not) -------------------------------------------------

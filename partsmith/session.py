@@ -21,6 +21,13 @@ ENGINE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # Partition sizing: scan splits and post-shuffle partitions of ~128 MB keep
+    # every task's working set far below executor memory; AQE coalesces small
+    # shuffle partitions up to this size and splits skewed ones.  On a cluster,
+    # set spark.sql.shuffle.partitions to about (largest shuffle bytes / 128 MB)
+    # and let AQE shrink it.
+    "spark.sql.files.maxPartitionBytes": "128MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -44,6 +44,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     parts = shuffle_partitions or int(cpus) * 2
     builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+    # remove reliable-checkpoint files once the checkpointed data is unreachable
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_engine_conf(spark)

@@ -138,3 +138,17 @@ def facet_counts(df: DataFrame, facet_col: str, name_col: str | None = None) ->
     total = df.agg(F.count(F.lit(1))).scalar()
     return facets.select("*", total.alias("total_count"))
 
+
+
+def assign_pages(df: DataFrame, page_size: int, order: Sequence[str],
+                 page_col: str = "page", pos_col: str = "pos") -> DataFrame:
+    """Bulk paging: every row gets its 1-based ``page`` and 0-based ``pos``
+    inside the page, in the (unique) ``order``.  Uses the distributed global
+    index (range-partitioned sort + per-partition offsets), never a single
+    task."""
+    from partsmith.operators.ordering import global_index
+
+    idx = global_index(df, order, "__row")
+    return (idx.withColumn(page_col, (F.floor((F.col("__row") - 1) / page_size) + 1).cast("bigint"))
+            .withColumn(pos_col, ((F.col("__row") - 1) % page_size).cast("bigint"))
+            .drop("__row"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from partsmith import schemas as S
-from partsmith.operators.ordering import global_index
+from partsmith.operators.search import assign_pages
 from partsmith.plans.bindings import (
     CUSTOMER_PRODUCTS_SQL,
     RUN_TS,
@@ -25,9 +25,8 @@ LANDED_FILES = 3  # page files landed one after another (one micro-batch each)
 def land_pages(events, landing: str) -> None:
     """Write the event documents as page envelopes (JSON lines), in arrival
     order, as ``LANDED_FILES`` files written one after the other."""
-    docs = global_index(event_documents(events), ["ts", "event_id"], "arrival")
-    paged = docs.select(F.floor((F.col("arrival") - 1) / PAGE_ROWS).cast("bigint").alias("page0"),
-                        "arrival", "doc")
+    paged = assign_pages(event_documents(events), PAGE_ROWS, ["ts", "event_id"]).select(
+        (F.col("page") - 1).alias("page0"), F.col("pos").alias("arrival"), "doc")
     n_pages = paged.agg(F.max("page0")).collect()[0][0]
     n_pages = 0 if n_pages is None else n_pages + 1
     envelopes = (paged.groupBy("page0")  # at most PAGE_ROWS documents per group

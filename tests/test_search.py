@@ -111,3 +111,11 @@ def test_index_path_equals_scan_path(spark, start, n):
     posts = build_postings(p, ["sku"], cols)
     assert skus(search_indexed(p, posts, ["sku"], all=[term], columns=cols)) == \
         skus(search(p, all=[term], columns=cols))
+
+
+def test_bulk_paging(spark):
+    from partsmith.operators.search import assign_pages
+
+    df = spark.range(0, 250, 1, 5).selectExpr("id * 7 % 250 AS k")
+    got = {r.k: (r.page, r.pos) for r in assign_pages(df, 100, ["k"]).collect()}
+    assert got[0] == (1, 0) and got[99] == (1, 99) and got[100] == (2, 0) and got[249] == (3, 49)

@@ -143,13 +143,21 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
         " AS reject_reason")
 
 
+def _accepted(records: DataFrame, cols: list[str]) -> DataFrame:
+    """Accepted records that have a key, with ``cols``.
+
+    The values and the reject flag are produced once: an ``inline`` generator
+    boundary keeps the filter from being pushed below the coercion
+    projections (where it would evaluate every coercion a second time)."""
+    gen = records.select(F.inline(F.array(F.struct(*cols, "rejected"))))
+    return (gen.filter(~F.col("rejected") & (F.coalesce(F.col("sku"), F.lit("")) != ""))
+            .drop("rejected"))
+
+
 def catalog_rows(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Accepted records with a key: the rows an upsert writes (empty keys are
     dropped, rejects are not rows)."""
-    keep = keep or []
-    return (records.filter(~F.col("rejected"))
-            .filter(F.coalesce(F.col("sku"), F.lit("")) != "")
-            .select(*S.PRODUCT_COLUMNS, *keep))
+    return _accepted(records, [*S.PRODUCT_COLUMNS, *(keep or [])])
 
 
 def drop_keyless(df: DataFrame, key: str = S.PRODUCT_KEY) -> DataFrame:
@@ -161,7 +169,7 @@ def params_rows(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Parameter child rows of accepted, keyed records; a parameter is kept only
     when both its name and value are non-empty."""
     keep = keep or []
-    base = records.filter(~F.col("rejected")).filter(F.coalesce(F.col("sku"), F.lit("")) != "")
+    base = _accepted(records, ["sku", "params", *keep])
     return (base.select("sku", *keep, F.posexplode("params").alias("param_pos", "p"))
             .filter((F.col("p.param_name") != "") & (F.col("p.param_value") != ""))
             .select("sku", *keep, "param_pos",

@@ -21,6 +21,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # wide rows (a parsed product document has ~100 fields) still get
+    # whole-stage code generation
+    "spark.sql.codegen.maxFields": "1000",
     # Partition sizing: scan splits and post-shuffle partitions of ~128 MB keep
     # every task's working set far below executor memory; AQE coalesces small
     # shuffle partitions up to this size and splits skewed ones.  On a cluster,

@@ -143,13 +143,16 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
         " AS reject_reason")
 
 
-def _accepted(records: DataFrame, cols: list[str]) -> DataFrame:
-    """Accepted records that have a key, with ``cols``.
+def _accepted(records: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
+    """Accepted records that have a key, with ``cols`` and the carried
+    columns ``keep``.
 
     The values and the reject flag are produced once: an ``inline`` generator
-    boundary keeps the filter from being pushed below the coercion
-    projections (where it would evaluate every coercion a second time)."""
-    gen = records.select(F.inline(F.array(F.struct(*cols, "rejected"))))
+    boundary keeps the reject filter from being pushed below the coercion
+    projections (where it would evaluate every coercion a second time).  The
+    carried columns pass beside the generator, so later filters on them (a
+    batch's time range, say) still reach the scan."""
+    gen = records.select(*keep, F.inline(F.array(F.struct(*cols, "rejected"))))
     return (gen.filter(~F.col("rejected") & (F.coalesce(F.col("sku"), F.lit("")) != ""))
             .drop("rejected"))
 
@@ -157,7 +160,13 @@ def _accepted(records: DataFrame, cols: list[str]) -> DataFrame:
 def catalog_rows(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Accepted records with a key: the rows an upsert writes (empty keys are
     dropped, rejects are not rows)."""
-    return _accepted(records, [*S.PRODUCT_COLUMNS, *(keep or [])])
+    keep = keep or []
+    return _accepted(records, S.PRODUCT_COLUMNS, keep).select(*S.PRODUCT_COLUMNS, *keep)
+
+
+def accepted_keys(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Keys of the accepted records (one row per record), with ``keep``."""
+    return _accepted(records, ["sku"], keep or [])
 
 
 def drop_keyless(df: DataFrame, key: str = S.PRODUCT_KEY) -> DataFrame:
@@ -169,7 +178,7 @@ def params_rows(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Parameter child rows of accepted, keyed records; a parameter is kept only
     when both its name and value are non-empty."""
     keep = keep or []
-    base = _accepted(records, ["sku", "params", *keep])
+    base = _accepted(records, ["sku", "params"], keep)
     return (base.select("sku", *keep, F.posexplode("params").alias("param_pos", "p"))
             .filter((F.col("p.param_name") != "") & (F.col("p.param_value") != ""))
             .select("sku", *keep, "param_pos",

@@ -195,13 +195,17 @@ def refresh_children(children: DataFrame, batch_parents: DataFrame,
     (anti join) and the batch's children are added.  With ``batch_col`` the
     input may hold several batches: a key ends with the children of *its last
     batch only* (possibly none)."""
-    parent_keys = batch_parents.select(key).distinct()
     new = batch_children
     if batch_col:
+        # one aggregate serves both uses (its exchange is reused): each key's
+        # last batch, and the set of keys
         last = batch_parents.groupBy(key).agg(F.max(batch_col).alias("__last_batch"))
+        parent_keys = last.select(key)
         new = (batch_children.join(last, on=key, how="inner")
                .filter(F.col(batch_col) == F.col("__last_batch"))
                .drop("__last_batch", batch_col))
+    else:
+        parent_keys = batch_parents.select(key).distinct()
     kept = children.join(parent_keys, on=key, how="left_anti")
     return kept.unionByName(new.select(*children.columns))
 

@@ -8,7 +8,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from partsmith import schemas as S
-from partsmith.operators.ingest import catalog_rows, params_rows, records_from_documents
+from partsmith.operators.ingest import (
+    accepted_keys,
+    catalog_rows,
+    params_rows,
+    records_from_documents,
+)
 from partsmith.operators.merge import (
     COALESCE_TARGET,
     SOURCE,
@@ -222,7 +227,7 @@ def params_refresh(spark, sf):
     batch = F.when(F.col("ts") < b2, F.lit(1)).otherwise(F.lit(2))
     params = params_rows(recs, keep=["ts"])
     existing = params.filter(F.col("ts") < b1).select("sku", "param_name", "param_value")
-    parents = catalog_rows(recs, keep=["ts"]).filter(F.col("ts") >= b1).select(
+    parents = accepted_keys(recs, keep=["ts"]).filter(F.col("ts") >= b1).select(
         "sku", batch.alias("batch"))
     children = params.filter(F.col("ts") >= b1).select(
         "sku", "param_name", "param_value", batch.alias("batch"))

@@ -70,7 +70,7 @@ FACET_SCHEMA = T.StructType([
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines of a landing folder with the file they came from."""
     return spark.read.text(path).select(
-        F.col("value").alias("doc"), F.input_file_name().alias("source_file"))
+        F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source_file"))
 
 
 def inline_pages(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:

@@ -73,6 +73,19 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source_file"))
 
 
+def read_json_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file for API responses saved one (possibly pretty-printed)
+    JSON document per file; each file is read whole by one task."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source_file"))
+
+
+def unwrap(docs: DataFrame, json_path: str, doc_col: str = "doc") -> DataFrame:
+    """Replace each document by the JSON value at ``json_path`` (e.g. the
+    ``$.result`` payload of an API response); missing -> NULL."""
+    return docs.withColumn(doc_col, F.get_json_object(F.col(doc_col), json_path))
+
+
 def inline_pages(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Page envelopes -> one row per product document.
 

@@ -38,13 +38,16 @@ def _node_schema(layout: dict[str, str]) -> T.StructType:
 
 
 def unroll_tree(roots_json: DataFrame, layout: dict[str, str] = CATEGORY_NODE,
-                doc_col: str = "doc", max_depth: int = 256) -> DataFrame:
+                doc_col: str = "doc", max_depth: int = 256,
+                root_path: str | None = None) -> DataFrame:
     """``roots_json``: one row per document holding a JSON *array* of root
-    nodes.  Returns one row per node: the layout's scalar fields (ids as
+    nodes (or, with ``root_path`` such as ``$.result``, a response whose
+    array sits at that path).  Returns one row per node: the layout's scalar fields (ids as
     BIGINT), ``tree_parent_id`` (structural parent), ``depth``, ``is_leaf``
     (no children), ``path_key`` (sibling positions, pre-order sortable)."""
     schema = _node_schema(layout)
-    docs = roots_json.select(F.col(doc_col), F.monotonically_increasing_id().alias("__doc"))
+    doc = F.col(doc_col) if root_path is None else F.get_json_object(F.col(doc_col), root_path)
+    docs = roots_json.select(doc.alias(doc_col), F.monotonically_increasing_id().alias("__doc"))
     roots = docs.select(
         "__doc", F.posexplode(F.from_json(F.col(doc_col), T.ArrayType(STR))).alias("__pos", "__node"))
     def label_struct(n: str):

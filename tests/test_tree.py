@@ -89,3 +89,22 @@ def test_work_list_falls_back_to_catalog_leaves(spark):
     cat = breadcrumb_leaves(unroll_tree(_doc(spark, CATALOG), CATALOG_NODE), label_en_id)
     out = work_list(empty, None, catalog_leaves=cat.drop("product_num")).collect()
     assert [(r.id, r.path) for r in out] == [(1433, "Passives")]
+
+
+def test_api_envelopes_unwrapped(spark, scratch):
+    import os
+
+    from partsmith.sources.documents import read_json_files, unwrap, parse_facets
+
+    os.makedirs(f"{scratch}/tree")
+    with open(f"{scratch}/tree/r1.json", "w") as f:
+        json.dump({"code": 200, "result": TREE}, f, indent=2)  # pretty-printed, one per file
+    docs = read_json_files(spark, f"{scratch}/tree")
+    nodes = unroll_tree(docs, root_path="$.result")
+    assert sorted(r.id for r in nodes.collect()) == [1433, 1434, 1435]
+    cat = _doc(spark, {"result": {"catalogList": CATALOG}})
+    leaves = breadcrumb_leaves(unroll_tree(cat, CATALOG_NODE, root_path="$.result.catalogList"),
+                               label_en_id)
+    assert [(r.id, r.product_num) for r in leaves.collect()] == [(1433, 40000)]
+    facet = _doc(spark, {"result": {"totalCount": 3, "Manufacturer": [{"id": "9", "name": "X"}]}})
+    assert [(r.brand_id, r.total_count) for r in parse_facets(unwrap(facet, "$.result")).collect()] == [(9, 3)]

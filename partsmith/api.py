@@ -19,19 +19,15 @@ from pyspark.sql import functions as F
 
 from partsmith import schemas as S
 from partsmith.operators.enrich import enrich as enrich_rows
-from partsmith.operators.merge import Rule, merge, merge_stats
+from partsmith.operators.merge import merge, merge_stats
+from partsmith.operators.policies import OVERLAY_DEFAULT, overlay_rules
 from partsmith.operators.report import file_bytes, format_size_exact, manifest_rows, merge_manifest
 from partsmith.operators.variants import VARIANTS, generate_variants
-from partsmith.plans.merge_queries import overlay_rules
 from partsmith.session import scratch_path
 from partsmith.sources.vendor import read_vendor_tables
 from partsmith.streaming.ingest import catalog_tables, run_stream
 
 
-def _ts(run_ts) -> F.Column:
-    return F.lit(run_ts).cast("timestamp_ntz")
-
-
 def ingest(spark: SparkSession, landing: str, catalog_root: str, run_ts: str,
            include_raw_json: bool = True, mark_unseen_stock: bool = True,
            checkpoint: str | None = None, files_per_trigger: int = 1) -> int:
@@ -55,10 +51,9 @@ def enrich(spark: SparkSession, catalog_root: str, vendor_dir: str, run_ts: str,
     current = products.current_version()
     base = products.read(current)
     v = read_vendor_tables(spark, vendor_dir, fmt)
-    rules = overlay_rules()
-    rules["last_updated"] = Rule("keep", "const", _ts(run_ts))
     merged = merge(base, enrich_rows(v["components"], v["categories"], v["manufacturers"]),
-                   [S.PRODUCT_KEY], rules, default=Rule("keep", "source"), with_action=True)
+                   [S.PRODUCT_KEY], overlay_rules(run_ts), default=OVERLAY_DEFAULT,
+                   with_action=True)
     version = 0 if current is None else current + 1
     # the action column is written with the version (reads use the explicit
     # product schema and never see it), so the counts come from one column of

@@ -14,13 +14,10 @@ from partsmith.operators.ingest import (
     params_rows,
     records_from_documents,
 )
+from partsmith.operators import policies
 from partsmith.operators.merge import (
-    COALESCE_TARGET,
-    SOURCE,
     Rule,
-    const,
     dedupe_last_wins,
-    keep_or_insert,
     mark_unseen,
     merge,
     merge_partial,
@@ -53,25 +50,12 @@ def run_ts():
     return F.lit(RUN_TS).cast("timestamp_ntz")
 
 
-def product_rules(include_raw_json: bool = True) -> dict[str, Rule]:
-    """Re-ingest of a product page: every column is overwritten except the
-    key; ``last_updated`` becomes the run's timestamp on insert and update;
-    the raw document is overwritten only when it is collected this run."""
-    rules = {"last_updated": const(run_ts())}
-    if not include_raw_json:
-        rules["raw_json"] = Rule("keep", "source")
-    return rules
-
-
-def overlay_rules() -> dict[str, Rule]:
-    """Second-vendor overlay: part number and vendor columns overwrite,
-    descriptive columns only fill gaps, everything else is left alone; new
-    rows get the run timestamp as their ``last_updated``."""
-    rules = {c: COALESCE_TARGET for c in S.OVERLAY_FILL_COLUMNS}
-    rules.update({c: SOURCE for c in S.VENDOR_COLUMNS})
-    rules["mfr_part_number"] = SOURCE
-    rules["last_updated"] = keep_or_insert(run_ts())
-    return rules
+def product_rules(include_raw_json: bool = True):
+    return policies.product_rules(run_ts(), include_raw_json)
+
+
+def overlay_rules():
+    return policies.overlay_rules(run_ts())
 
 
 def _target(spark, sf):

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from partsmith import schemas as S
 from partsmith.operators.ingest import catalog_rows, params_rows, records_from_documents
-from partsmith.operators.merge import Rule, const, mark_unseen, merge, refresh_children
+from partsmith.operators.merge import mark_unseen, merge, refresh_children
+from partsmith.operators.policies import product_rules
 from partsmith.sources.documents import inline_pages
 
 ORDER = ["source_file", "page", "pos"]
@@ -91,10 +92,8 @@ def ingest_batch(products: VersionedTable, params: VersionedTable, batch: DataFr
     # parsed once, used by the product merge and the parameter refresh
     recs = records_from_documents(rows, include_raw_json).persist()
     cat = catalog_rows(recs, keep=ORDER)
-    rules = {"last_updated": const(F.lit(run_ts).cast("timestamp_ntz"))}
-    if not include_raw_json:
-        rules["raw_json"] = Rule("keep", "source")
-    merged = merge(products.base_for(version), cat, [S.PRODUCT_KEY], rules, order_by=ORDER)
+    merged = merge(products.base_for(version), cat, [S.PRODUCT_KEY],
+                   product_rules(run_ts, include_raw_json), order_by=ORDER)
     new_params = params_rows(recs).select(*S.PARAM_SCHEMA.fieldNames())
     refreshed = refresh_children(params.base_for(version), cat.select(S.PRODUCT_KEY), new_params,
                                  S.PRODUCT_KEY)

@@ -96,9 +96,12 @@ def inline_pages(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:
     carry = [c for c in envelopes.columns if c != doc_col]
     return e.select(
         *carry,
-        F.col("__env.currPage").try_cast("bigint").alias("page"),
-        F.col("__env.totalRow").try_cast("bigint").alias("total_row"),
-        F.col("__env.totalPage").try_cast("bigint").alias("total_page"),
+        # envelope defaults: page 1, totals 0
+        F.coalesce(F.col("__env.currPage").try_cast("bigint"), F.lit(1).cast("bigint")).alias("page"),
+        F.coalesce(F.col("__env.totalRow").try_cast("bigint"), F.lit(0).cast("bigint"))
+        .alias("total_row"),
+        F.coalesce(F.col("__env.totalPage").try_cast("bigint"), F.lit(0).cast("bigint"))
+        .alias("total_page"),
         F.posexplode_outer(F.col("__env.dataList")).alias("pos", "doc"),
     ).filter(F.col("doc").isNotNull())
 
@@ -152,7 +155,8 @@ def parse_facets(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:
     env = F.from_json(F.col(doc_col), FACET_SCHEMA)
     carry = [c for c in envelopes.columns if c != doc_col]
     e = envelopes.select(*carry, env.alias("__f"))
-    m = e.select(*carry, F.col("__f.totalCount").try_cast("bigint").alias("total_count"),
+    m = e.select(*carry, F.coalesce(F.col("__f.totalCount").try_cast("bigint"),
+                                    F.lit(0).cast("bigint")).alias("total_count"),
                  F.explode_outer("__f.Manufacturer").alias("__m"))
     from partsmith.functions.coerce import lax_long
     return m.select(*carry, "total_count",

@@ -85,6 +85,9 @@ def unroll_tree(roots_json: DataFrame, layout: dict[str, str] = CATEGORY_NODE,
         if name == "children":
             continue
         v = F.col(f"n.{key}")
+        if name == "product_num":  # a catalog node without a count has 0
+            cols.append(F.coalesce(lax_long(f"n.`{key}`"), F.lit(0).cast("bigint")).alias(name))
+            continue
         cols.append((lax_long(f"n.`{key}`") if name in LONG_FIELDS else v).alias(name))
     is_leaf = F.coalesce(F.size(F.col(f"n.{ckey}")) <= 0, F.lit(True))
     return nodes.select(*cols, "tree_parent_id", "depth", is_leaf.alias("is_leaf"), "path_key",

@@ -108,3 +108,9 @@ def test_api_envelopes_unwrapped(spark, scratch):
     assert [(r.id, r.product_num) for r in leaves.collect()] == [(1433, 40000)]
     facet = _doc(spark, {"result": {"totalCount": 3, "Manufacturer": [{"id": "9", "name": "X"}]}})
     assert [(r.brand_id, r.total_count) for r in parse_facets(unwrap(facet, "$.result")).collect()] == [(9, 3)]
+
+
+def test_catalog_count_defaults_to_zero(spark):
+    cats = [{"catalogId": 5, "catalogNameEn": "No count"}]
+    leaves = breadcrumb_leaves(unroll_tree(_doc(spark, cats), CATALOG_NODE), label_en_id)
+    assert [(r.id, r.product_num) for r in leaves.collect()] == [(5, 0)]

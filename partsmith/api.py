@@ -30,13 +30,15 @@ from partsmith.streaming.ingest import catalog_tables, run_stream
 
 def ingest(spark: SparkSession, landing: str, catalog_root: str, run_ts: str,
            include_raw_json: bool = True, mark_unseen_stock: bool = True,
-           checkpoint: str | None = None, files_per_trigger: int = 1) -> int:
+           checkpoint: str | None = None, files_per_trigger: int = 1,
+           max_pages: int | None = None) -> int:
     """Upsert every landed page file into the catalog; returns the committed
     version.  ``checkpoint`` defaults to a folder under the shared checkpoint
-    directory (reuse the same one to resume an interrupted run)."""
+    directory (reuse the same one to resume an interrupted run).  ``max_pages``
+    caps the pages taken from each landed result set."""
     ckpt = checkpoint or scratch_path(spark, "ingest-checkpoint")
     return run_stream(spark, landing, catalog_root, ckpt, run_ts, include_raw_json,
-                      files_per_trigger, mark_unseen_stock)
+                      files_per_trigger, mark_unseen_stock, max_pages)
 
 
 def enrich(spark: SparkSession, catalog_root: str, vendor_dir: str, run_ts: str,

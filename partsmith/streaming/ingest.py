@@ -86,9 +86,14 @@ def catalog_tables(spark: SparkSession, table_root: str) -> tuple[VersionedTable
 
 
 def ingest_batch(products: VersionedTable, params: VersionedTable, batch: DataFrame,
-                 version: int, run_ts, include_raw_json: bool = True) -> None:
-    """Merge one micro-batch of page envelopes (``doc``, ``source_file``)."""
+                 version: int, run_ts, include_raw_json: bool = True,
+                 max_pages: int | None = None) -> None:
+    """Merge one micro-batch of page envelopes (``doc``, ``source_file``).
+    With ``max_pages``, pages beyond that number are not upserted (their
+    products then count as unseen in this run)."""
     rows = inline_pages(batch)
+    if max_pages:
+        rows = rows.filter(F.col("page") <= max_pages)
     # parsed once, used by the product merge and the parameter refresh
     recs = records_from_documents(rows, include_raw_json).persist()
     cat = catalog_rows(recs, keep=ORDER)
@@ -105,7 +110,7 @@ def ingest_batch(products: VersionedTable, params: VersionedTable, batch: DataFr
 
 def run_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: str, run_ts,
                include_raw_json: bool = True, files_per_trigger: int = 1,
-               mark_unseen_stock: bool = True) -> int:
+               mark_unseen_stock: bool = True, max_pages: int | None = None) -> int:
     """Drain ``landing`` into ``table_root``; returns the final version number."""
     products, params = catalog_tables(spark, table_root)
     start = products.current_version()
@@ -116,7 +121,8 @@ def run_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: s
               .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source_file")))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(products, params, batch, offset + batch_id, run_ts, include_raw_json)
+        ingest_batch(products, params, batch, offset + batch_id, run_ts, include_raw_json,
+                     max_pages)
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

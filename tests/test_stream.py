@@ -79,3 +79,13 @@ def test_stream_marks_unseen_at_the_end(spark, scratch):
     final = run_stream(spark, landing, table, ckpt, RUN_TS)
     out = {r.sku: r.stock for r in products.read(final).collect()}
     assert out["C9"] == 0 and out["C1"] == 9
+
+
+def test_page_cap(spark, scratch):
+    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
+    _land(landing)
+    final = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False, max_pages=1)
+    products, _ = catalog_tables(spark, table)
+    got = sorted((r.sku, r.mfr_part_number) for r in products.read(final).collect())
+    # page 2 (C1 -> "a2") is beyond the cap; the page-1 values stay
+    assert got == [("C1", "a"), ("C2", "b"), ("C4", "d")]

@@ -77,17 +77,18 @@ def catalog_filter(df: DataFrame, category_ids=None, brand_ids=None,
                    instock_only: bool = False, keyword: str | None = None,
                    category_col: str = "category_id", brand_col: str = "brand_id",
                    stock_col: str = "stock",
-                   keyword_columns: Sequence[str] | None = None) -> DataFrame:
+                   keyword_columns: Sequence[str] | None = None,
+                   empty_means_all: bool = False) -> DataFrame:
     """Composite catalog filter; an absent (``None``/false) argument adds no
     predicate.  ``keyword`` is a plain case-folded substring (any length) over
-    ``keyword_columns``; an explicit empty id list matches nothing."""
+    ``keyword_columns``.  An explicit empty id list matches nothing (a product
+    query), or nothing is filtered with ``empty_means_all`` (catalog-list
+    counts)."""
     pred = F.lit(True)
-    cats = as_list(category_ids)
-    if cats is not None:
-        pred = pred & F.col(category_col).isin(*cats) if cats else F.lit(False)
-    brands = as_list(brand_ids)
-    if brands is not None:
-        pred = pred & F.col(brand_col).isin(*brands) if brands else F.lit(False)
+    for ids, column in ((as_list(category_ids), category_col), (as_list(brand_ids), brand_col)):
+        if ids is None or (not ids and empty_means_all):
+            continue
+        pred = pred & F.col(column).isin(*ids) if ids else F.lit(False)
     if instock_only:
         pred = pred & (F.col(stock_col) > 0)
     if keyword:

@@ -73,6 +73,8 @@ def test_filters_absent_arguments_add_nothing(spark):
     assert skus(catalog_filter(p, category_ids=1, instock_only=True)) == ["C12345"]
     assert skus(catalog_filter(p, keyword="wroom")) == ["C67890"]
     assert catalog_filter(p, category_ids=[]).count() == 0
+    assert catalog_filter(p, category_ids=[], empty_means_all=True).count() == 3
+    assert skus(catalog_filter(p, brand_ids=[], category_ids=2, empty_means_all=True)) == ["C67890"]
 
 
 def test_page_envelope_and_facets(spark):

@@ -1,7 +1,9 @@
 """Stand-in inputs: the driver's tables viewed in the schemas the catalog
-operators expect.  These adapters only rename, cast and derive columns row by
-row (no aggregation, no result of any operator); every registered query then
-runs the library's operators on them, so the work grows with the tables."""
+operators expect.  These adapters rename, cast and derive columns row by row,
+union the tree levels, and drop a few dimension rows on purpose (so that
+left joins and the audit meet missing references); they aggregate nothing and
+compute no operator's result.  Every registered query then runs the
+library's operators on them, so the work grows with the tables."""
 
 from __future__ import annotations
 

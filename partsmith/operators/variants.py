@@ -88,12 +88,17 @@ def write_tables(tables: Tables, out_dir: str, compression: str = "zstd",
 
 def generate_variants(base: Tables, out_dir: str, selected: Iterable[str] | None = None,
                       compression: str = "zstd") -> list[dict]:
-    """Build and write the selected variants; one result dict per variant."""
+    """Build and write the selected variants; one result dict per variant with
+    its folder, table paths and written size (``db_size_bytes``, from a file
+    listing — contents are not read)."""
+    from partsmith.operators.report import file_bytes
+
     results = []
     for name in selected_variants(selected):
         tables = build_variant(base, name)
         vdir = f"{out_dir.rstrip('/')}/{name}"
         paths = write_tables(tables, vdir, compression)
+        size = file_bytes(base["products"].sparkSession, vdir).collect()[0]["bytes"]  # one row
         results.append({"variant": name, "description": VARIANTS[name][0], "path": vdir,
-                        "tables": paths})
+                        "tables": paths, "db_size_bytes": size})
     return results

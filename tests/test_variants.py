@@ -45,6 +45,7 @@ def test_selection(spark):
 def test_generate_selected_variants_written_with_codec(spark, scratch):
     res = generate_variants(_base(spark), scratch, ["search_only", "no_raw_json"])
     assert [r["variant"] for r in res] == ["search_only", "no_raw_json"]
+    assert all(r["db_size_bytes"] > 0 for r in res)
     files = glob.glob(f"{scratch}/search_only/search_docs/*.parquet")
     assert files and all(".zstd." in f for f in files)
     back = spark.read.parquet(f"{scratch}/search_only/search_docs")

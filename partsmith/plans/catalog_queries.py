@@ -47,6 +47,8 @@ SELECT sku, mfr_part_number, brand_name, package, description, stock AS catalog_
 FROM p WHERE {any_col_contains(FLAGSHIP_TERM)}
 ORDER BY stock DESC, sku LIMIT 20""")
 def search_topk(spark, sf):
+    """Substring search for the flagship term over the indexed columns of ``part`` as
+    products, top 20 by stock (ties by key)."""
     return flagship(products_from_part(t(spark, sf, "part")))
 
 
@@ -68,6 +70,8 @@ WHERE {any_col_contains('example', ['url', 'html'])}
   AND ({any_col_contains('/en/', ['url', 'html'])} OR {any_col_contains('/de/', ['url', 'html'])})
   AND NOT {any_col_contains('nicht', ['url', 'html'])}""")
 def search_multi_term(spark, sf):
+    """Search over ``pages`` url and html: every ``all`` term, at least one ``any`` term,
+    no ``none`` term; a too-short term is ignored."""
     pages = t(spark, sf, "pages")
     return search(pages, all=PAGE_ALL, any=PAGE_ANY, none=PAGE_NONE,
                   columns=["url", "html"]).select("page_id", "url")
@@ -79,6 +83,7 @@ WITH p AS ({PART_PRODUCTS_SQL})
 SELECT sku, mfr_part_number, brand_name, package, description, stock, pdf_url
 FROM p WHERE sku = '{LOOKUP_KEY}'""")
 def key_lookup(spark, sf):
+    """Exact, case-sensitive lookup of one catalog key."""
     p = products_from_part(t(spark, sf, "part"))
     return p.filter(F.col("sku") == LOOKUP_KEY).select(
         "sku", "mfr_part_number", "brand_name", "package", "description", "stock", "pdf_url")
@@ -91,6 +96,8 @@ SELECT sku, mfr_part_number, brand_name, description, vendor_stock, vendor_libra
 FROM p WHERE vendor_library_type IN ('Basic', 'Preferred') AND vendor_stock > 1000
 ORDER BY vendor_stock DESC, sku LIMIT 20""")
 def tier_and_stock_topk(spark, sf):
+    """Tier IN-list and vendor stock threshold over ``customer`` as products, top 20 by
+    vendor stock."""
     p = products_from_customer(t(spark, sf, "customer"))
     hits = p.filter(F.col("vendor_library_type").isin("Basic", "Preferred")
                     & (F.col("vendor_stock") > 1000))
@@ -106,6 +113,7 @@ SELECT sku, category_id, brand_name, stock FROM p
 WHERE category_id IN (1, 3, 5, 7, 11, 13) AND brand_name IN ('BUILDING', 'MACHINERY')
   AND stock > 0 AND {any_col_contains('customer#00000')}""")
 def catalog_filter_q(spark, sf):
+    """Composite filter: categories IN, brands IN, in stock, keyword substring."""
     p = products_from_customer(t(spark, sf, "customer"))
     return catalog_filter(p, category_ids=[1, 3, 5, 7, 11, 13],
                           brand_ids=["BUILDING", "MACHINERY"], brand_col="brand_name",
@@ -122,6 +130,7 @@ SELECT sku, stock,
        CAST(3 AS BIGINT) AS curr_page
 FROM f ORDER BY sku LIMIT 100 OFFSET 200""")
 def paged_query(spark, sf):
+    """Page 3 (100 rows, ordered by key) of the in-stock products with the page envelope."""
     p = catalog_filter(products_from_customer(t(spark, sf, "customer")), instock_only=True)
     return page_envelope(p.select("sku", "stock"), 3, 100, order=["sku"]).select(
         "sku", "stock", "total_row", "total_page", "curr_page")
@@ -133,6 +142,7 @@ WITH p AS ({CUSTOMER_PRODUCTS_SQL}), f AS (SELECT * FROM p WHERE category_id IN
 SELECT brand_name, count(*) AS n, (SELECT count(*) FROM f) AS total_count
 FROM f WHERE brand_name IS NOT NULL GROUP BY brand_name""")
 def facet_brand_counts(spark, sf):
+    """Brand counts under a category + in-stock filter, with the filter's total."""
     p = catalog_filter(products_from_customer(t(spark, sf, "customer")),
                        category_ids=list(range(10)), instock_only=True)
     return facet_counts(p, "brand_name").select("brand_name", "n", "total_count")

@@ -19,6 +19,7 @@ UNION ALL
 SELECT DISTINCT substr(lower(p_type), i, 3) AS trigram, p_partkey, 'p_type' AS "column"
 FROM (SELECT p_partkey, p_type, unnest(range(1, length(p_type) - 1)) AS i FROM part)""")
 def trigram_postings(spark, sf):
+    """Distinct trigram postings of two ``part`` text columns."""
     return build_postings(t(spark, sf, "part"), ["p_partkey"], ["p_name", "p_type"])
 
 
@@ -27,6 +28,7 @@ def trigram_postings(spark, sf):
 SELECT doc_id, lang FROM documents
 WHERE {any_col_contains('there', ['text'])} AND NOT {any_col_contains('ouè', ['text'])}""")
 def trigram_search_indexed(spark, sf):
+    """Postings built over ``documents.text``; search answered through them and verified."""
     docs = t(spark, sf, "documents")
     postings = build_postings(docs, ["doc_id"], ["text"])
     return search_indexed(docs, postings, ["doc_id"], all=INDEXED_ALL, none=INDEXED_NONE,

@@ -23,6 +23,7 @@ def _records(spark, sf, include_raw_json=True):
 SELECT event_id, sku, mfr_part_number, brand_name, description
 FROM ({EVENT_RECORDS_SQL})""")
 def project_aliases(spark, sf):
+    """Event documents mapped from API key names to canonical columns."""
     return _records(spark, sf).select("event_id", "sku", "mfr_part_number", "brand_name",
                                       "description")
 
@@ -33,6 +34,8 @@ SELECT event_id, CASE WHEN rejected THEN NULL ELSE stock END AS stock,
        CASE WHEN rejected THEN NULL ELSE is_hot END AS is_hot, rejected, reject_reason
 FROM ({EVENT_RECORDS_SQL})""")
 def coerce_and_reject(spark, sf):
+    """Lax coercion of stock and the hot flag; records that fail are flagged with the
+    failing keys."""
     r = _records(spark, sf)
     return r.select(
         "event_id",
@@ -47,6 +50,7 @@ SELECT event_id, stock, moq, CAST(0 AS BIGINT) AS stock_sz, CAST(1 AS BIGINT) AS
        CAST(0.0 AS DOUBLE) AS reel_price
 FROM ({EVENT_RECORDS_SQL}) WHERE NOT rejected""")
 def default_fill(spark, sf):
+    """Falsy defaults on accepted records (missing or zero stock -> 0, zero moq -> 1, ...)."""
     r = _records(spark, sf).filter(~F.col("rejected"))
     return r.select("event_id", "stock", "moq", "stock_sz", "spq", "reel_price")
 
@@ -56,6 +60,7 @@ def default_fill(spark, sf):
 SELECT event_id, is_hot, CAST(0 AS BIGINT) AS is_rohs
 FROM ({EVENT_RECORDS_SQL}) WHERE NOT rejected""")
 def flag_to_int(spark, sf):
+    """Boolean flags as 0/1 on accepted records."""
     r = _records(spark, sf).filter(~F.col("rejected"))
     return r.select("event_id", "is_hot", "is_rohs")
 
@@ -64,6 +69,7 @@ def flag_to_int(spark, sf):
 @query("category_fallback", sql=f"""
 SELECT event_id, category_id FROM ({EVENT_RECORDS_SQL})""")
 def category_fallback(spark, sf):
+    """Category id falls back to the second id when the first is 0 or missing."""
     return _records(spark, sf).select("event_id", "category_id")
 
 
@@ -76,6 +82,8 @@ UNION ALL
 SELECT sku, event_id, CAST(2 AS INTEGER), 'seen', CAST(event_id AS VARCHAR)
 FROM r WHERE NOT rejected AND event_id % 2 = 0""")
 def params_explode(spark, sf):
+    """Parameter rows of accepted records, name/value falling back en -> local -> '',
+    empties dropped."""
     return params_rows(_records(spark, sf), keep=["event_id"]).select(
         "sku", "event_id", "param_pos", "param_name", "param_value")
 
@@ -120,6 +128,7 @@ def price_ladder_json(spark, sf):
 SELECT event_id, doc AS raw_json, CAST(NULL AS VARCHAR) AS raw_json_off
 FROM ({EVENT_RECORDS_SQL})""")
 def raw_json_keep(spark, sf):
+    """The raw document is kept when collected and NULL when not."""
     on = _records(spark, sf, include_raw_json=True).select("event_id", "raw_json")
     off = _records(spark, sf, include_raw_json=False).select(
         "event_id", F.col("raw_json").alias("raw_json_off"))
@@ -133,6 +142,7 @@ SELECT sku, o_orderkey FROM (
                           ELSE 'C' || o_orderkey END AS sku FROM orders)
 WHERE coalesce(sku, '') <> ''""")
 def drop_keyless_q(spark, sf):
+    """Records with a NULL or empty key never become rows."""
     o = t(spark, sf, "orders")
     k = F.col("o_orderkey")
     keyed = o.select("o_orderkey", F.when(k % 7 == 0, F.lit(None).cast("string"))

@@ -78,6 +78,7 @@ SELECT user_id, event_id, ts, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) WHERE rn = 1""")
 def dedupe_last_wins_q(spark, sf):
+    """Latest event per user (last write wins in (ts, event_id) order)."""
     ev = t(spark, sf, "events")
     return dedupe_last_wins(ev.select("user_id", "event_id", "ts", "event_type", "value", "props"),
                             ["user_id"], ORDER)
@@ -104,6 +105,8 @@ SELECT coalesce(t.sku, s.sku) AS sku,
   CASE WHEN s.sku IS NULL THEN t.raw_json ELSE s.doc END AS raw_json
 FROM tgt t FULL OUTER JOIN src s ON t.sku = s.sku""")
 def merge_products(spark, sf):
+    """Event documents upserted into ``customer`` as products: every column overwritten,
+    run timestamp set, raw document collected."""
     return _merged(spark, sf).select(
         "sku", "mfr_part_number", "brand_name", "description", "category_id", "stock", "moq",
         "vendor_stock", "vendor_library_type", "last_updated", "raw_json")
@@ -118,6 +121,8 @@ SELECT coalesce(t.sku, s.sku) AS sku,
   t.raw_json AS raw_json
 FROM tgt t FULL OUTER JOIN src s ON t.sku = s.sku""")
 def merge_preserve_column(spark, sf):
+    """The same upsert without collecting raw documents: existing raw documents are
+    preserved."""
     return _merged(spark, sf, include_raw_json=False).select(
         "sku", "stock", "last_updated", "raw_json")
 
@@ -134,6 +139,7 @@ SELECT coalesce(t.id, s.id) AS id,
   CASE WHEN s.id IS NULL THEN t.code ELSE s.code END AS code
 FROM tgt t FULL OUTER JOIN src s ON t.id = s.id""")
 def merge_overwrite(spark, sf):
+    """Category upsert by id from ``supplier`` rows, every column overwritten."""
     cats = categories_from_tables(t(spark, sf, "region"), t(spark, sf, "nation"),
                                   t(spark, sf, "customer"))
     sup = t(spark, sf, "supplier")
@@ -153,6 +159,7 @@ SELECT coalesce(t.id, s.id) AS id, t.parent_id AS parent_id,
   t.name_cn AS name_cn, t.code AS code
 FROM tgt t FULL OUTER JOIN src s ON t.id = s.id""")
 def merge_partial_q(spark, sf):
+    """Category upsert of the name only; new categories get NULL elsewhere."""
     cats = categories_from_tables(t(spark, sf, "region"), t(spark, sf, "nation"),
                                   t(spark, sf, "customer"))
     src = t(spark, sf, "supplier").select((F.col("s_suppkey") * 20 + 1000).alias("id"),
@@ -183,6 +190,7 @@ SELECT coalesce(t.sku, s.sku) AS sku,
   CASE WHEN t.sku IS NULL THEN TIMESTAMP '{RUN_TS}' ELSE t.last_updated END AS last_updated
 FROM tgt t FULL OUTER JOIN src s ON t.sku = s.sku""")
 def merge_overlay_coalesce(spark, sf):
+    """Second-vendor overlay onto ``customer`` as products with per-column precedence."""
     src = vendor_rows_from_events(t(spark, sf, "events"))
     out = merge(_target(spark, sf), src, [S.PRODUCT_KEY], overlay_rules(),
                 default=Rule("keep", "source"), order_by=ORDER)
@@ -206,6 +214,8 @@ SELECT p.sku, p.param_name, p.param_value FROM p JOIN lastb ON p.sku = lastb.sku
 WHERE p.ts >= TIMESTAMP '{BATCH1_TS}'
   AND (CASE WHEN p.ts < TIMESTAMP '{BATCH2_TS}' THEN 1 ELSE 2 END) = lastb.lb""")
 def params_refresh(spark, sf):
+    """Parameter rows of keys seen in later batches replaced by those of each key's last
+    batch."""
     recs = records_from_documents(event_documents(t(spark, sf, "events")))
     b1, b2 = F.lit(BATCH1_TS).cast("timestamp_ntz"), F.lit(BATCH2_TS).cast("timestamp_ntz")
     batch = F.when(F.col("ts") < b2, F.lit(1)).otherwise(F.lit(2))
@@ -240,6 +250,7 @@ SELECT sku,
   last_updated
 FROM merged""")
 def mark_unseen_zero(spark, sf):
+    """After the upsert, stock of rows not refreshed by this run set to 0."""
     marked = mark_unseen(_merged(spark, sf), run_ts(), S.STOCK_COLUMNS)
     return marked.select("sku", *S.STOCK_COLUMNS, "last_updated")
 
@@ -255,5 +266,6 @@ SELECT count(*) FILTER (WHERE act = 'insert') AS inserted,
        count(*) FILTER (WHERE last_updated < TIMESTAMP '{RUN_TS}') AS marked_stale
 FROM merged""")
 def merge_stats_q(spark, sf):
+    """Insert/update/unchanged counts of the upsert and the rows mark-unseen changes."""
     merged = _merged(spark, sf, with_action=True)
     return merge_stats(merged, stale_predicate(run_ts()))

@@ -40,6 +40,7 @@ SELECT rc.category, NULL, rc.ch, count(*), count(*) >= {PLAN_THRESHOLD} FROM rc
 WHERE rc.category IN (SELECT category FROM brandless)
 GROUP BY rc.category, rc.ch""")
 def partition_plan_q(spark, sf):
+    """Work units over customers: region -> segment -> name characters, threshold 60."""
     cust, nation = t(spark, sf, "customer"), t(spark, sf, "nation")
     items = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
         F.col("n_regionkey").cast("bigint").alias("category"),
@@ -52,6 +53,7 @@ def partition_plan_q(spark, sf):
 SELECT p_partkey, p_name, p_brand FROM part
 WHERE p_brand = 'Brand#1' OR contains(lower(p_name), 'a') OR p_size < 10""")
 def partition_union_dedupe(spark, sf):
+    """Three overlapping part filters unioned, each key once."""
     part = t(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     parts = [part.filter(F.col("p_brand") == "Brand#1"),
              part.filter(F.lower("p_name").contains("a")),

@@ -106,6 +106,7 @@ def _rank_sql(col: str) -> str:
 SELECT sku, mfr_part_number, brand_name, stock, vendor_library_type, last_updated, 40 AS n_columns
 FROM ({CUSTOMER_PRODUCTS_SQL})""")
 def search_docs_build(spark, sf):
+    """The search-only variant's table (every column but the raw document)."""
     docs = build_variant(_base(products_from_customer(t(spark, sf, "customer"))),
                          "search_only")["search_docs"]
     return docs.select("sku", "mfr_part_number", "brand_name", "stock", "vendor_library_type",
@@ -116,6 +117,7 @@ def search_docs_build(spark, sf):
 @query("variant_no_raw_json", sql=f"""
 SELECT sku, mfr_part_number, CAST(NULL AS VARCHAR) AS raw_json FROM ({CUSTOMER_PRODUCTS_SQL})""")
 def variant_no_raw_json(spark, sf):
+    """The variant with the raw document cleared."""
     prods = build_variant(_base(products_from_customer(t(spark, sf, "customer"))),
                           "no_raw_json")["products"]
     return prods.select("sku", "mfr_part_number", "raw_json")
@@ -142,6 +144,8 @@ m2 AS (SELECT coalesce(m.sku, v.sku) AS sku,
        FROM m1 m FULL OUTER JOIN vs v ON m.sku = v.sku)
 SELECT 'primary_only' AS variant, * FROM m1 UNION ALL SELECT 'integrated', * FROM m2""")
 def variant_single_vendor(spark, sf):
+    """Primary-only catalog (after the document upsert) and integrated catalog (after the
+    vendor overlay)."""
     primary = merge(_target(spark, sf), _batch(spark, sf), [S.PRODUCT_KEY], product_rules(),
                     order_by=ORDER)
     integrated = merge(primary, vendor_rows_from_events(t(spark, sf, "events")), [S.PRODUCT_KEY],
@@ -157,6 +161,8 @@ SELECT sku, stock, CAST(NULL AS VARCHAR) AS raw_json, CAST(0 AS BIGINT) AS vendo
        CAST(NULL AS VARCHAR) AS vendor_library_type, CAST(NULL AS TIMESTAMP) AS vendor_last_updated
 FROM ({CUSTOMER_PRODUCTS_SQL})""")
 def align_schema_q(spark, sf):
+    """A table without the raw-document and vendor columns brought to the current schema
+    with defaults."""
     legacy_cols = [c for c in S.PRODUCT_COLUMNS if c != "raw_json" and c not in S.VENDOR_COLUMNS]
     legacy = products_from_customer(t(spark, sf, "customer")).select(*legacy_cols)
     aligned = align_schema(legacy, S.PRODUCT_SCHEMA, defaults={"vendor_stock": 0})
@@ -177,6 +183,8 @@ SELECT name, rows, logical_bytes, {_size_text_sql('logical_bytes')} AS size_text
        {_rank_sql('name')} AS rank
 FROM s, b""")
 def size_report(spark, sf):
+    """Rows and logical bytes of three variants, size text, percent against the base, fixed
+    order."""
     stats = _variant_stats(products_from_customer(t(spark, sf, "customer")),
                            ["catalog", "catalog_search", "catalog_no_raw_json"])
     out = ranked(compare_to_baseline(stats, "catalog"), "name", ASSET_ORDER)
@@ -211,6 +219,7 @@ new AS ({_manifest_sql(f'''
 m AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE asset NOT IN (SELECT asset FROM new))
 SELECT *, {_size_text_sql('db_size_bytes')} AS size_text, {_rank_sql('asset')} AS rank FROM m""")
 def manifest_merge(spark, sf):
+    """Manifest of earlier variants merged with newer statistics by asset."""
     old_stats = _variant_stats(products_from_customer(t(spark, sf, "customer")),
                                ["catalog", "catalog_search", "catalog_no_raw_json", "catalog_minimal"])
     new_stats = _variant_stats(products_from_part(t(spark, sf, "part")),
@@ -235,6 +244,7 @@ SELECT conv_id, turn,
        CASE WHEN body <> '' AND json_valid(body) THEN json_extract_string(body, '$.role') END AS meta_role
 FROM b""")
 def extract_embedded_json(spark, sf):
+    """JSON read back from a metadata comment appended to each conversation turn."""
     conv = t(spark, sf, "conversations")
     nl = F.lit("\n")
     notes = F.concat(F.col("text"), F.when(F.col("turn") % 7 == 0, F.lit(""))

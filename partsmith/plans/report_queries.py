@@ -27,6 +27,7 @@ def _page_log(spark, sf):
 @query("table_counts", sql=" UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in COUNTED_TABLES))
 def table_counts(spark, sf):
+    """Row counts of the driver tables."""
     parts = [t(spark, sf, n).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(n).alias("table_name"), "row_count") for n in COUNTED_TABLES]
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -37,6 +38,7 @@ def table_counts(spark, sf):
 SELECT count(DISTINCT nullif(user_id, 0)) AS distinct_seen, count(nullif(user_id, 0)) AS seen_items,
        count(*) AS fetched_items FROM events""")
 def distinct_seen(spark, sf):
+    """Distinct non-zero ids seen, items with an id, all items."""
     ev = t(spark, sf, "events")
     nz = F.nullif(F.col("user_id"), F.lit(0))
     return ev.agg(F.count_distinct(nz).alias("distinct_seen"), F.count(nz).alias("seen_items"),
@@ -49,6 +51,7 @@ SELECT event_type AS query_name, count(*) AS items, count(nullif(user_id, 0)) AS
        CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS page_items
 FROM events GROUP BY event_type""")
 def page_totals(spark, sf):
+    """Items and items with an id per query (event type), and their page item sum."""
     log = _page_log(spark, sf)
     return log.groupBy(F.col("event_type").alias("query_name")).agg(
         F.count(F.lit(1)).alias("items"),
@@ -76,6 +79,7 @@ SELECT event_type, event_id, ts, items, fetched, elapsed_s, rate,
             ELSE printf('%ds', greatest(eta_s, 0)) END AS eta
 FROM f""")
 def ingest_progress(spark, sf):
+    """Per page of each run: running total, percent of expected, rate, remaining, ETA."""
     log = _page_log(spark, sf)
     out = progress_series(log, "event_type", "ts", ["ts", "event_id"], "items",
                           EXPECTED_PER_RUN, chunk=F.date_trunc("hour", F.col("ts")))
@@ -99,6 +103,7 @@ SELECT event_type,
        unique_products
 FROM a""")
 def run_summary_q(spark, sf):
+    """Per run: duration, expected, fetched, percent, distinct products."""
     return run_summary(_page_log(spark, sf), "event_type", "ts", "items", "user_id",
                        EXPECTED_PER_RUN)
 
@@ -119,6 +124,7 @@ SELECT 'events.user_id unique', count(*) FROM (SELECT user_id FROM events GROUP
 UNION ALL
 SELECT 'orders.o_custkey not null', count(*) FILTER (WHERE o_custkey IS NULL) FROM orders""")
 def constraint_audit(spark, sf):
+    """Orphaned foreign keys, duplicate keys and NULL keys across the driver tables."""
     orders, lineitem = t(spark, sf, "orders"), t(spark, sf, "lineitem")
     customer = t(spark, sf, "customer").filter(F.col("c_nationkey") != 0)
     part = t(spark, sf, "part").filter(F.col("p_size") != 1)

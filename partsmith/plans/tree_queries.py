@@ -54,6 +54,7 @@ SELECT n.id, n.parent_id, n.name_en, n.name_cn, n.code, w.depth, w.path_key,
        row_number() OVER (ORDER BY w.path_key) AS preorder_pos
 FROM nodes n JOIN walk w ON n.id = w.id""")
 def category_flatten(spark, sf):
+    """Every node of the region -> nation -> customer tree in pre-order."""
     return flatten(_nodes(spark, sf)).select(
         "id", "parent_id", "name_en", "name_cn", "code", "depth", "path_key", "preorder_pos")
 
@@ -63,6 +64,7 @@ def category_flatten(spark, sf):
 WITH RECURSIVE {_walk_sql(EN_CN_ID)}
 SELECT id, path FROM leaf""")
 def category_leaf_paths(spark, sf):
+    """Leaves with breadcrumbs (English, else local name, else id)."""
     return leaf_paths(_nodes(spark, sf), name_en_cn_id()).select("id", "path")
 
 
@@ -73,6 +75,7 @@ cnt AS (SELECT o_custkey + 1000 AS id, count(*) AS n FROM orders GROUP BY 1),
 lc AS (SELECT leaf.id, leaf.path, coalesce(cnt.n, 0) AS product_num FROM leaf LEFT JOIN cnt ON leaf.id = cnt.id)
 SELECT id, path, product_num, (SELECT CAST(sum(product_num) AS BIGINT) FROM lc) AS total_expected FROM lc""")
 def category_leaf_counts(spark, sf):
+    """Leaves with their order counts and the expected total."""
     leaves = leaf_paths(_nodes(spark, sf), name_en_id())
     per_leaf = _items(spark, sf).groupBy(F.col("category_id").alias("id")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -95,6 +98,7 @@ spread AS (SELECT a.ancestor AS id, sum(cnt.n) AS n
 SELECT w.id, w.depth, CAST(coalesce(s.n, 0) AS BIGINT) AS product_num
 FROM walk w LEFT JOIN spread s ON w.id = s.id""")
 def category_count_rollup(spark, sf):
+    """Order counts per node, each node counting its whole subtree."""
     paths = tree_paths(_nodes(spark, sf))
     return rollup_counts(paths, _items(spark, sf), "category_id").select(
         "id", "depth", "product_num")
@@ -112,6 +116,7 @@ w AS (SELECT leaf.id, leaf.path, cnt.n AS product_num,
 SELECT id, path, product_num, cat_idx, total_cats FROM w
 WHERE product_num IS NULL OR product_num <> 0""")
 def category_work_list(spark, sf):
+    """Leaf work list: known counts, explicit zeros skipped, 1-based index."""
     tree_leaves = leaf_paths(_nodes(spark, sf), name_en_cn_id())
     counts = _items(spark, sf).groupBy(F.col("category_id").alias("id")).agg(
         F.count_if(F.col("o_orderstatus") == "F").alias("product_num"))

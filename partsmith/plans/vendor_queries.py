@@ -34,6 +34,7 @@ SELECT 'C' || c.part_code AS sku, c.mfr AS mfr_part_number, c.manufacturer_id AS
 FROM comps c LEFT JOIN vcats cat ON cat.id = c.category_id
              LEFT JOIN vmfrs m ON m.id = c.manufacturer_id""")
 def vendor_enrich_join(spark, sf):
+    """Vendor components joined to categories and manufacturers, mapped to catalog columns."""
     comps, cats, mfrs = vendor_tables(spread(t(spark, sf, "lineitem")), t(spark, sf, "supplier"),
                                       t(spark, sf, "part"))
     return enrich(comps, cats, mfrs)
@@ -48,6 +49,7 @@ FROM (SELECT p_partkey,
              CASE WHEN p_size > 45 THEN NULL WHEN p_type = 'SMALL' THEN 1 ELSE 0 END AS preferred
       FROM part)""")
 def tier_case(spark, sf):
+    """Library tier from two nullable flags."""
     p = t(spark, sf, "part").select(
         "p_partkey",
         F.when(F.col("p_size") % 7 == 0, None).when(F.col("p_size") % 3 == 0, 1).otherwise(0)
@@ -64,6 +66,7 @@ SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s,
        make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000) AS ts_from_epoch
 FROM events""")
 def epoch_to_ts(spark, sf):
+    """Event timestamps to epoch seconds and back."""
     ev = t(spark, sf, "events")
     return ev.select("event_id", timestamp_to_epoch("ts").alias("epoch_s"),
                      epoch_to_timestamp(timestamp_to_epoch_sql("ts")).alias("ts_from_epoch"))
@@ -81,6 +84,7 @@ FROM (SELECT event_id,
              CAST((CAST(floor(epoch(ts)) AS BIGINT) - {DURATION_ORIGIN}) // (event_id % 50 + 1) - 100 AS BIGINT) AS secs
       FROM events)""")
 def duration_format(spark, sf):
+    """Seconds as duration text (negative -> 0s)."""
     ev = t(spark, sf, "events")
     secs = (F.floor((timestamp_to_epoch("ts") - DURATION_ORIGIN) / (F.col("event_id") % 50 + 1))
             - 100).cast("bigint")

@@ -42,7 +42,8 @@ def land_pages(events, landing: str) -> None:
     for f in range(LANDED_FILES):
         lo, hi = f * n_pages // LANDED_FILES, (f + 1) * n_pages // LANDED_FILES
         part = envelopes.filter((F.col("page0") >= lo) & (F.col("page0") < hi)).select("value")
-        part.coalesce(1).write.mode("append").text(landing)
+        # paths sort in arrival order (the ingest contract): seq=00000, seq=00001, ...
+        part.coalesce(1).write.mode("overwrite").text(f"{landing}/seq={f:05d}")
     envelopes.unpersist()
 
 

@@ -2,7 +2,10 @@
 
 Landed page envelopes (JSON lines) are read with the file source; every
 micro-batch is parsed, deduplicated (last write wins in file/page/position
-order) and merged into the catalog through ``foreachBatch``.  Each batch
+order) and merged into the catalog through ``foreachBatch``.  Contract: landed
+file paths sort in arrival order (e.g. a zero-padded sequence or timestamp in
+the name), so that a micro-batch holding several files orders them right;
+files are also taken in modification-time order across micro-batches.  Each batch
 writes a new table *version* folder named after its batch id and then moves a
 pointer, so a batch replayed after a failure (foreachBatch is at-least-once)
 rewrites the same version from the same base and the result is unchanged.

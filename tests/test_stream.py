@@ -89,3 +89,13 @@ def test_page_cap(spark, scratch):
     got = sorted((r.sku, r.mfr_part_number) for r in products.read(final).collect())
     # page 2 (C1 -> "a2") is beyond the cap; the page-1 values stay
     assert got == [("C1", "a"), ("C2", "b"), ("C4", "d")]
+
+
+def test_several_files_per_micro_batch(spark, scratch):
+    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
+    _land(landing)  # page-000.json, page-001.json, ... : paths sort in arrival order
+    final = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False,
+                       files_per_trigger=10)
+    products, _ = catalog_tables(spark, table)
+    got = sorted((r.sku, r.mfr_part_number, r.stock) for r in products.read(final).collect())
+    assert got == [("C1", "a2", 9), ("C2", "b", 7), ("C4", "d", 0)]

@@ -7,9 +7,10 @@ Parquet tables have no MERGE/UPDATE, so a merge is expressed as
 and the caller writes the result as a new table version.  Presence flags
 (``_t``/``_s``), not key-null tests, tell inserts from updates.
 
-Plan shape: the source dedupe is a hash aggregate on the key, so its output is
-already hash-partitioned on the key and the join adds no second exchange on
-that side — one shuffle per side in total.  The dedupe pre-aggregates
+Plan shape: the source dedupe is an aggregate on the key (sort-based, as its
+buffer is a struct), so its output is already hash-partitioned on the key and
+the join adds no second exchange on that side — one shuffle per side in
+total.  The dedupe pre-aggregates
 map-side, so a key that holds a third of the batch is reduced to one row per
 task before anything is shuffled.
 """

@@ -18,16 +18,17 @@ ignored.
 from __future__ import annotations
 
 import io
-import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partsmith.llm.sampling import fit_shards, text_sample
+from partsmith.llm.wordhash import WordHasher, groups, mix
 
 BITS = 20
 DIM = 1 << BITS
@@ -35,43 +36,44 @@ MAX_TRAIN = 24_000
 SHARD_ROWS = 12_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.0
-MEMO_WORDS = 300_000
 
-_WORD = re.compile(r"[^\W_]+")
+#: Words are runs of ASCII letters and digits and of all other characters beyond ASCII.
+_BLANK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _PAIR = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-class _Memo(dict):
-    def __missing__(self, word: str) -> int:
-        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = h
-        return h
+def _place(x: np.ndarray) -> np.ndarray:
+    return (mix(x) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _place(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _PAIR[0]
-    return (x >> np.uint64(64 - BITS)).astype(np.int64)
+def features(texts: pa.Array, hasher: WordHasher) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For each group of texts: first row, number of rows, and the row (from 0 in the group)
+    and coordinate of every feature, with repeats."""
+    for first, data, ends in groups(pc.utf8_lower(texts.fill_null(""))):
+        w, counts = hasher.words(data, ends)
+        row = np.repeat(np.arange(len(ends)), counts)
+        rows, places = [row], [_place(w)]
+        for gap, a, b in ((1, 1, 2), (2, 2, 1)):
+            same = row[:-gap] == row[gap:]
+            rows.append(row[:-gap][same])
+            places.append(_place((w[:-gap] * _PAIR[a] + w[gap:] * _PAIR[b] + np.uint64(gap))[same]))
+        yield first, len(ends), np.concatenate(rows), np.concatenate(places)
 
 
-def features(text: str | None, memo: _Memo) -> np.ndarray:
-    """Coordinates of a text, with repeats."""
-    ws = _WORD.findall(text.lower()) if text else []
-    w = np.fromiter(map(memo.__getitem__, ws), np.uint64, len(ws))
-    parts = [w]
-    if len(w) > 1:
-        parts.append(w[:-1] * _PAIR[1] + w[1:] * _PAIR[2])
-    if len(w) > 2:
-        parts.append(w[:-2] * _PAIR[2] + w[2:] * _PAIR[1] + np.uint64(1))
-    return _place(np.concatenate(parts))
+def feature_sets(texts: pa.Array) -> list[np.ndarray]:
+    """The distinct coordinates of every text."""
+    out = []
+    for _, n, row, place in features(texts, WordHasher(_BLANK)):
+        key = np.unique(row * DIM + place)
+        out += np.split(key % DIM, np.searchsorted(key // DIM, np.arange(1, n)))
+    return out
 
 
-def ftrl(examples: list[np.ndarray], labels: np.ndarray, dim: int = DIM, epochs: int = EPOCHS,
+def ftrl(sets: list[np.ndarray], labels: np.ndarray, dim: int = DIM, epochs: int = EPOCHS,
          alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> np.ndarray:
     """Weights (the last one is the bias) of FTRL-proximal over sets of coordinates."""
     z, n = np.zeros(dim + 1), np.zeros(dim + 1)
-    sets = [np.append(np.unique(x), dim) for x in examples]
+    sets = [np.append(x, dim) for x in sets]
 
     def weights(zi, ni, bias_at):
         w = -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2)
@@ -104,9 +106,8 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column,
     shards = max(1, -(-min(rows.count(), max_train) // SHARD_ROWS))
 
     def one(frame: pd.DataFrame) -> bytes:
-        memo = _Memo()
         frame = frame.sort_values(["text", "__y"], kind="stable")
-        w = ftrl([features(t, memo) for t in frame["text"]], frame["__y"].to_numpy(float))
+        w = ftrl(feature_sets(pa.array(frame["text"], pa.string())), frame["__y"].to_numpy(float))
         at = np.flatnonzero(w).astype(np.int32)
         out = io.BytesIO()
         np.savez(out, at=at, w=w[at])
@@ -127,17 +128,17 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        memo, w = _Memo(), np.zeros(DIM + 1, np.float32)
+        hasher, w = WordHasher(_BLANK), np.zeros(DIM + 1, np.float32)
         w[at] = value
         for batch in batches:
-            out = []
-            for text in batch.column(1):
-                x = features(text.as_py(), memo)
-                x = np.unique(x[w[x] != 0])
-                s = float(w[x].sum(dtype=np.float64)) + float(w[DIM])
-                out.append(0.0 if empty else 1.0 / (1.0 + float(np.exp(-np.clip(s, -30, 30)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())],
-                                             ["doc_id", "score"])
+            total = np.zeros(batch.num_rows)
+            for first, n, row, place in features(batch.column(1), hasher):
+                hit = np.flatnonzero(w[place])
+                key = np.unique(row[hit] * DIM + place[hit])
+                total[first:first + n] = np.bincount(key // DIM, w[key % DIM], minlength=n)
+            p = 1.0 / (1.0 + np.exp(-np.clip(total + w[DIM], -30, 30)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.zeros(len(p)) if empty else p)], ["doc_id", "score"])
 
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
 

@@ -1,15 +1,16 @@
 """One call per catalog workflow, for users of the command-line flows.
 
-* ``ingest``  — drain landed product pages into the catalog (streaming upsert,
-  then stock of products not seen this run set to 0);
-* ``enrich``  — overlay the second vendor's bulk tables onto the catalog;
-* ``publish`` — write the published variants of the current catalog;
-* ``release_manifest`` — size statistics of published variants merged into an
+* ``ingest``  - load the category tree, drain landed product pages into the catalog
+  (streaming upsert), then set the stock of products not seen this run to 0;
+* ``enrich``  - overlay the second vendor's bulk tables onto the catalog, its category
+  names included;
+* ``publish`` - write the published variants of the current catalog;
+* ``release_manifest`` - size statistics of published variants merged into an
   existing manifest table.
 
-The catalog lives under one root as versioned tables (``products``,
-``product_params``; see ``streaming.ingest.VersionedTable``): every call that
-changes it writes a new version and then moves the pointer.
+The catalog lives under one root as versioned tables (``products``, ``product_params``,
+``categories`` and the logs ``rejects`` and ``bad_pages``; see ``streaming.catalog``).
+Every call that changes it writes the tables it changes and then commits one version.
 """
 
 from __future__ import annotations
@@ -19,63 +20,87 @@ from pyspark.sql import functions as F
 
 from partsmith import schemas as S
 from partsmith.operators.enrich import enrich as enrich_rows
-from partsmith.operators.merge import merge, merge_stats
+from partsmith.operators.enrich import vendor_categories
+from partsmith.operators.merge import ACTION, merge, merge_partial, merge_stats
+from partsmith.operators.ordering import materialize
 from partsmith.operators.policies import OVERLAY_DEFAULT, overlay_rules
 from partsmith.operators.report import file_bytes, format_size_exact, manifest_rows, merge_manifest
-from partsmith.operators.variants import VARIANTS, generate_variants
+from partsmith.operators.variants import asset_labels, generate_variants
 from partsmith.session import scratch_path
+from partsmith.sources.documents import read_json_files
+from partsmith.sources.trees import category_records, unroll_tree
 from partsmith.sources.vendor import read_vendor_tables
-from partsmith.streaming.ingest import catalog_tables, run_stream
+from partsmith.streaming.catalog import Catalog
+from partsmith.streaming.ingest import run_stream
+
+
+def load_categories(spark: SparkSession, tree: str, catalog_root: str,
+                    root_path: str | None = None) -> int:
+    """Upsert the nodes of category tree documents (one JSON response per file under
+    ``tree``; ``root_path`` as in ``unroll_tree``) into the catalog; returns the version."""
+    catalog = Catalog(spark, catalog_root)
+    nodes = category_records(unroll_tree(read_json_files(spark, tree), root_path=root_path))
+    rows = materialize(nodes.where("id is not null"))
+    return _merge_categories(catalog, rows, S.CATEGORY_SCHEMA.fieldNames()[1:], ["path_key"])
+
+
+def _merge_categories(catalog: Catalog, rows: DataFrame, columns: list[str],
+                      order_by: list[str]) -> int:
+    state, version = catalog.state(), catalog.next_version()
+    only = catalog.touched("categories", rows, state)
+    merged = merge_partial(catalog.read("categories", state=state, only=only), rows, ["id"],
+                           columns, order_by=order_by)
+    catalog.publish(version, catalog.write("categories", merged, version, state, only))
+    return version
 
 
 def ingest(spark: SparkSession, landing: str, catalog_root: str, run_ts: str,
-           include_raw_json: bool = True, mark_unseen_stock: bool = True,
-           checkpoint: str | None = None, files_per_trigger: int = 1,
-           max_pages: int | None = None) -> int:
-    """Upsert every landed page file into the catalog; returns the committed
-    version.  ``checkpoint`` defaults to a folder under the shared checkpoint
-    directory (reuse the same one to resume an interrupted run).  ``max_pages``
-    caps the pages taken from each landed result set."""
+           include_raw_json: bool = True, whole_catalog: bool = True,
+           checkpoint: str | None = None, files_per_trigger: int = 1000,
+           category_tree: str | None = None, category_root_path: str | None = None) -> int | None:
+    """Upsert every landed page file into the catalog; returns the current version.
+    ``checkpoint`` defaults to a folder under the shared checkpoint directory (reuse the same
+    one to resume an interrupted run).  With ``category_tree`` the categories are
+    loaded first.  ``whole_catalog=False`` for runs over a part of the catalog: they leave
+    the stock of other products alone."""
+    if category_tree:
+        load_categories(spark, category_tree, catalog_root, category_root_path)
     ckpt = checkpoint or scratch_path(spark, "ingest-checkpoint")
     return run_stream(spark, landing, catalog_root, ckpt, run_ts, include_raw_json,
-                      files_per_trigger, mark_unseen_stock, max_pages)
+                      files_per_trigger, whole_catalog)
 
 
 def enrich(spark: SparkSession, catalog_root: str, vendor_dir: str, run_ts: str,
            fmt: str = "parquet") -> dict:
-    """Overlay the second vendor's tables onto the current catalog and commit
-    the result as a new version.  Returns ``{"version", "affected"}`` where
-    ``affected`` counts the vendor rows inserted or updated.  (The vendor's
-    category names go to a categories table separately, as a one-column
-    upsert: ``merge_partial(categories, vendor_categories(cats), ["id"],
-    ["name_en"])``.)"""
-    products, params = catalog_tables(spark, catalog_root)
-    current = products.current_version()
-    base = products.read(current)
+    """Overlay the second vendor's tables onto the current catalog, products and category
+    names, and commit the result.  Returns ``{"version", "affected"}`` where ``affected``
+    counts the products inserted or updated.  Of vendor rows with the same key the one
+    updated last counts."""
+    catalog = Catalog(spark, catalog_root)
     v = read_vendor_tables(spark, vendor_dir, fmt)
-    merged = merge(base, enrich_rows(v["components"], v["categories"], v["manufacturers"]),
-                   [S.PRODUCT_KEY], overlay_rules(run_ts), default=OVERLAY_DEFAULT,
-                   with_action=True)
-    version = 0 if current is None else current + 1
-    # the action column is written with the version (reads use the explicit
-    # product schema and never see it), so the counts come from one column of
-    # the written files instead of a second evaluation of the merge
-    products.write(merged, version)
-    params.write(params.read(current), version)
-    stats = merge_stats(spark.read.parquet(products.path(version)).select("merge_action"))
-    affected = stats.collect()[0]["affected"]  # one row
-    products.publish(version)
+    names = vendor_categories(v["categories"]).withColumn("__name", F.col("name_en"))
+    _merge_categories(catalog, names, ["name_en"], ["__name"])
+    state, version = catalog.state(), catalog.next_version()
+    rows = enrich_rows(v["components"], v["categories"], v["manufacturers"])
+    rows = materialize(rows.select("*", F.struct("vendor_last_updated", "vendor_stock",
+                                                 "mfr_part_number").alias("__order")))
+    only = catalog.touched("products", rows, state)
+    merged = materialize(merge(
+        catalog.read("products", state=state, only=only), rows, [S.PRODUCT_KEY],
+        overlay_rules(run_ts), default=OVERLAY_DEFAULT, order_by=["__order"], with_action=True))
+    affected = merge_stats(merged.select(ACTION)).first()["affected"]  # one row
+    state = catalog.write("products", merged.drop(ACTION), version, state, only)
+    catalog.publish(version, state)
     return {"version": version, "affected": affected}
 
 
 def publish(spark: SparkSession, catalog_root: str, out_dir: str,
-            selected: list[str] | None = None, categories: DataFrame | None = None,
-            compression: str = "zstd") -> list[dict]:
-    """Write the selected variants (all when ``None``/empty) of the current
-    catalog under ``out_dir/<variant>``."""
-    products, params = catalog_tables(spark, catalog_root)
-    base = {"products": products.read(), "product_params": params.read(),
-            "categories": categories}
+            selected: list[str] | None = None, compression: str = "zstd") -> list[dict]:
+    """Write the selected variants (all when ``None``/empty) of the current catalog, its
+    categories included, under ``out_dir/<variant>``."""
+    catalog = Catalog(spark, catalog_root)
+    state = catalog.state()
+    base = {t: catalog.read(t, state=state) for t in ("products", "product_params", "categories")}
     return generate_variants(base, out_dir, selected, compression)
 
 
@@ -90,8 +115,6 @@ def release_manifest(spark: SparkSession, published: list[dict], updated_at: str
         b = file_bytes(spark, res["path"]).select(
             F.lit(res["variant"]).alias("name"), F.col("bytes").alias("logical_bytes"))
         stats = b if stats is None else stats.unionByName(b)
-    known = known or {n: {"variant": n, "archive_name": f"{n}.tar.xz", "description": d}
-                      for n, (d, _) in VARIANTS.items()}
-    new = manifest_rows(stats, known, updated_at)
+    new = manifest_rows(stats, known or asset_labels(), updated_at)
     out = new if previous is None else merge_manifest(previous, new)
     return out.withColumn("db_size", format_size_exact("db_size_bytes"))

@@ -18,16 +18,6 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def format_size(x: Column | str) -> Column:
-    """Bytes -> ``N/A`` | ``123 B`` | ``2.00 KB`` | ``10.00 MB`` | ``2.00 GB``."""
-    b = _c(x).cast("bigint")
-    return (F.when(b.isNull(), F.lit("N/A"))
-             .when(b >= GB, F.format_string("%.2f GB", b / F.lit(float(GB))))
-             .when(b >= MB, F.format_string("%.2f MB", b / F.lit(float(MB))))
-             .when(b >= KB, F.format_string("%.2f KB", b / F.lit(float(KB))))
-             .otherwise(F.format_string("%d B", b)))
-
-
 def format_duration(x: Column | str) -> Column:
     """Seconds -> ``1h 01m 05s`` | ``1m 05s`` | ``5s``; negatives -> ``0s``;
     fractions are truncated."""

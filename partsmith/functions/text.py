@@ -12,8 +12,16 @@ GRAM = 3
 
 
 def fold(x: Column | str) -> Column:
-    """Case folding used on both sides of a substring match."""
-    return F.lower(F.col(x) if isinstance(x, str) else x)
+    """Case folding used on both sides of a substring match: each code point on its own.
+    ``lower`` has one rule that looks at neighbours (a final sigma), so sigmas are
+    lower-cased before it."""
+    c = F.col(x) if isinstance(x, str) else x
+    return F.lower(F.replace(c, F.lit("Σ"), F.lit("σ")))
+
+
+def fold_literal(term: str) -> str:
+    """The same folding of a literal."""
+    return term.replace("Σ", "σ").lower()
 
 
 def usable_terms(terms: Iterable[str] | None) -> list[str]:
@@ -25,7 +33,7 @@ def usable_terms(terms: Iterable[str] | None) -> list[str]:
     for t in terms or []:
         if t is None:
             continue
-        f = t.lower()
+        f = fold_literal(t)
         if len(f) >= GRAM and f not in out:
             out.append(f)
     return out
@@ -63,7 +71,7 @@ def trigrams(x: Column | str) -> Column:
 def literal_trigrams(term: str) -> list[str]:
     """Distinct trigrams of one folded literal term (driver-side, bounded by
     the term's own length)."""
-    f = term.lower()
+    f = fold_literal(term)
     seen: list[str] = []
     for i in range(len(f) - GRAM + 1):
         g = f[i:i + GRAM]

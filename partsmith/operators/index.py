@@ -17,16 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsmith.functions.text import literal_trigrams, trigrams, usable_terms
-from partsmith.operators.ordering import spread
 from partsmith.operators.search import search_predicate
 
 
 def build_postings(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per distinct trigram of each (row, column) value: ``trigram``,
     the key columns, ``column`` (name of the text column).  A projection +
-    generator per column; the input is only spread over the cores first when
-    it arrives in fewer partitions than that (``ordering.spread``)."""
-    src = spread(df.select(*keys, *columns))
+    generator per column."""
+    src = df.select(*keys, *columns)
     parts = []
     for c in columns:
         parts.append(src.select(*keys, F.lit(c).alias("column"),
@@ -35,13 +33,15 @@ def build_postings(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
     return posts.select("trigram", *keys, "column")
 
 
-def write_postings(postings: DataFrame, path: str, files: int = 64,
+def write_postings(postings: DataFrame, path: str, rows_per_file: int = 4_000_000,
                    compression: str = "zstd") -> None:
-    """Write the postings compacted into ``files`` range partitions on trigram,
-    sorted within each file (one "segment" per range; rewriting the folder is
-    the optimise step)."""
-    (postings.repartitionByRange(files, "trigram")
-     .sortWithinPartitions("trigram", *[c for c in postings.columns if c != "trigram"])
+    """Write the postings compacted into files of about ``rows_per_file`` rows, range
+    partitioned and sorted by trigram and key (one "segment" per range; a trigram with
+    more rows than a file goes on in the next; rewriting the folder is the optimise
+    step)."""
+    order = ["trigram", *[c for c in postings.columns if c != "trigram"]]
+    files = max(1, -(-postings.count() // rows_per_file))
+    (postings.repartitionByRange(files, *order).sortWithinPartitions(*order)
      .write.mode("overwrite").option("compression", compression).parquet(path))
 
 
@@ -49,7 +49,7 @@ def _term_candidates(postings: DataFrame, keys: Sequence[str], term: str) -> Dat
     """Keys having every trigram of ``term`` in one and the same column."""
     grams = literal_trigrams(term)
     hit = postings.filter(F.col("trigram").isin(*grams))
-    per_col = hit.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("__n"))
+    per_col = hit.groupBy(*keys, "column").agg(F.count_distinct("trigram").alias("__n"))
     return per_col.filter(F.col("__n") == len(grams)).select(*keys).distinct()
 
 

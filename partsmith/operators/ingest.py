@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from partsmith import schemas as S
 from partsmith.functions import coerce as C
-from partsmith.operators.ordering import spread
 from partsmith.sources.documents import doc_value_sql as _doc_value_sql
 from partsmith.sources.documents import parse_documents
 from partsmith.sources.documents import raw_key_sql as _raw_key_sql
@@ -23,22 +22,27 @@ def _q(name: str) -> str:
     return "`" + name + "`"
 
 
+def _not_text(column: str) -> str:
+    """A text column's value came as another JSON type."""
+    keys = ", ".join(f"'{k}'" for k in dict.fromkeys([S.doc_key(column), column]))
+    return f"coalesce(arrays_overlap(__not_text, array({keys})), false)"
+
+
 def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
-                           doc_col: str = "doc") -> DataFrame:
+                           doc_col: str = "doc", keep_doc: str | None = None) -> DataFrame:
     """Typed product records.
 
     Output: every canonical product column, plus ``product_id``, ``params``
     (array of name/value structs, already falling back en -> local -> ""),
     ``rejected`` and ``reject_reason``, and every non-document input column
-    (e.g. ``page``/``pos`` order columns).
+    (e.g. ``page``/``pos`` order columns); ``keep_doc`` names a column for the document
+    itself.
 
     Three projections (raw strings -> typed values -> defaults and reject
     flags); each typed value is defined once and shared by the column and its
-    reject check.  They run in one stage without a shuffle (after
-    ``ordering.spread`` for inputs with fewer partitions than cores).  Each
-    projection is one ``selectExpr`` of SQL expressions (see
-    ``functions.coerce``)."""
-    parsed = parse_documents(spread(docs), doc_col)
+    reject check.  They run in one stage without a shuffle.  Each projection is one
+    ``selectExpr`` of SQL expressions (see ``functions.coerce``)."""
+    parsed = parse_documents(docs, doc_col)
     carry = [c for c in docs.columns if c != doc_col]
     keep = [_q(c) for c in carry]
     types = dict((n, t) for n, t, _ in S.PRODUCT_FIELDS)
@@ -64,7 +68,8 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
         raw.append(f"CASE WHEN {_doc_value_sql(c)} IS NULL THEN "
                    f"coalesce(arrays_overlap(doc_keys, array({keys})), false) ELSE false END"
                    f" AS n__{c}")
-    stage1 = parsed.selectExpr(*keep, _q(doc_col), "doc_keys IS NULL AS __unparsable", *raw)
+    stage1 = parsed.selectExpr(*keep, _q(doc_col), "doc_keys IS NULL AS __unparsable",
+                               "not_text AS __not_text", *raw)
 
     # 2. typed values (each coercion once)
     typed = []
@@ -124,9 +129,10 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
                 v = C.falsy_default_sql(v, S.FALSY_DEFAULTS[c])
             cols.append(f"{v} AS {c}")
         elif c in S.REQUIRED_DOC_STRINGS:
-            failures.append((S.doc_key(c), f"n__{c}"))
+            failures.append((S.doc_key(c), f"(n__{c} OR {_not_text(c)})"))
             cols.append(f"coalesce(r__{c}, '') AS {c}")
         else:
+            failures.append((S.doc_key(c), _not_text(c)))
             cols.append(f"r__{c} AS {c}")
     failures.append((S.DOC_PRODUCT_ID, C.coercion_failed_sql("r__product_id", "t__product_id")))
     params = ("transform(coalesce(r__params, array()), p -> named_struct("
@@ -134,7 +140,8 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
               f"'param_value', {C.first_nonempty_sql('p.paramValueEn', 'p.paramValue')})) AS params")
     reason = "concat_ws(',', " + ", ".join(
         f"CASE WHEN {pred} THEN '{name}' END" for name, pred in failures) + ") AS __reason"
-    stage3 = stage2.selectExpr(*keep, "__unparsable", *cols, "t__product_id AS product_id",
+    doc = [f"{_q(doc_col)} AS {_q(keep_doc)}"] if keep_doc else []
+    stage3 = stage2.selectExpr(*keep, *doc, "__unparsable", *cols, "t__product_id AS product_id",
                                params, reason)
     return stage3.selectExpr(
         *[_q(c) for c in stage3.columns if c not in ("__unparsable", "__reason")],

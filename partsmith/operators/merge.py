@@ -78,17 +78,34 @@ def dedupe_last_wins(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     return agg.select(*keys, *[F.col("__last").getField(c).alias(c) for c in payload])
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` unchanged; the job fails if a key repeats.  Checked in the aggregate that the
+    following join needs the rows hash-partitioned for anyway."""
+    payload = [c for c in df.columns if c not in keys]
+    agg = df.groupBy(*keys).agg(
+        F.any_value(F.struct(*[F.col(c) for c in payload])).alias("__row"),
+        F.count(F.lit(1)).alias("__n"))
+    text = F.concat(F.lit("repeated key in a merge source: "),
+                    F.to_json(F.struct(*[F.col(k) for k in keys])))
+    row = F.when(F.col("__n") == 1, F.col("__row")).otherwise(
+        F.raise_error(text).cast(agg.schema["__row"].dataType))
+    return agg.select(*keys, row.alias("__row")).select(
+        *keys, *[F.col("__row").getField(c).alias(c) for c in payload])
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           rules: dict[str, Rule] | None = None, default: Rule = SOURCE,
-          order_by: Sequence[str] | None = None, with_action: bool = False) -> DataFrame:
+          order_by: Sequence[str] | None = None, with_action: bool = False,
+          source_is_unique: bool = False) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``.
 
-    * duplicate keys in ``source`` resolve to the last row by ``order_by``
-      (required when the batch may repeat a key);
+    * duplicate keys in ``source`` resolve to the last row by ``order_by``; without an
+      order the caller states ``source_is_unique``, and a key that repeats all the same
+      fails the job instead of giving two rows;
     * rows only in ``target`` pass through unchanged;
     * every other output column follows ``rules`` (``default`` otherwise);
     * the output has ``target``'s columns in ``target``'s order, plus
@@ -99,7 +116,10 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     column object costs thousands of driver round trips)."""
     keys = list(keys)
     rules = rules or {}
-    src = dedupe_last_wins(source, keys, order_by) if order_by else source
+    if not order_by and not source_is_unique:
+        raise ValueError("merge needs order_by, or source_is_unique=True")
+    src = (dedupe_last_wins(source, keys, order_by) if order_by
+           else assert_unique(source, keys))
     src_cols = [c for c in src.columns if c not in (order_by or [])]
     tgt_cols = list(target.columns)
     types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
@@ -147,20 +167,24 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 def merge_partial(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   columns: Sequence[str], order_by: Sequence[str] | None = None,
-                  with_action: bool = False) -> DataFrame:
+                  with_action: bool = False, source_is_unique: bool = False) -> DataFrame:
     """Upsert that only writes ``columns``: updates change just those, inserts
     take them from the batch and leave every other column NULL."""
     rules = {c: SOURCE for c in columns}
     cols = list(keys) + list(columns) + list(order_by or [])
     return merge(target, source.select(*cols), keys, rules,
-                 default=Rule("keep", "null"), order_by=order_by, with_action=with_action)
+                 default=Rule("keep", "null"), order_by=order_by, with_action=with_action,
+                 source_is_unique=source_is_unique)
 
 
 def mark_unseen(df: DataFrame, run_start, columns: Sequence[str],
-                ts_col: str = "last_updated", value=0) -> DataFrame:
+                ts_col: str = "last_updated", value=0, unless: Column | None = None) -> DataFrame:
     """Set ``columns`` to ``value`` on rows not touched since ``run_start``
-    (strictly older; a NULL timestamp never counts as stale)."""
+    (strictly older; a NULL timestamp never counts as stale), except where ``unless``
+    holds."""
     stale = stale_predicate(run_start, ts_col)
+    if unless is not None:
+        stale = stale & ~unless
     return df.select(*[
         (F.when(stale, F.lit(value).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
          if c in columns else F.col(c)) for c in df.columns])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partsmith.session import checkpoint_dir
+from partsmith.sources.files import file_size
 
 _LOW_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row number
 
@@ -46,18 +47,14 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (document parsing, trigram generation) at
-    least one task per core.
-
-    A large input already arrives in many scan splits and is returned as is;
-    an input that lands in fewer partitions than the cluster's parallelism
-    (e.g. one small file with a single row group) is spread round-robin —
-    a shuffle of a small input, paid only when it is small."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)
+    """Give CPU-heavy per-row work over a plain file scan at least one task per core.
+
+    The number of splits is told from the sizes of the scanned files, so nothing runs; a
+    large input is returned as is, one of fewer splits than the cluster has cores
+    is spread round-robin (a shuffle of a small input).  Only for scans: other inputs have
+    the partitions of their last shuffle."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    splits = sum(max(1, -(-file_size(spark, f) // split)) for f in df.inputFiles()[:target])
+    return df if splits >= target else df.repartition(target)

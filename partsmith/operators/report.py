@@ -47,6 +47,22 @@ def table_stats(name: str, df: DataFrame) -> DataFrame:
              .select(F.lit(name).alias("name"), "rows", "logical_bytes")
 
 
+def variant_stats(products: DataFrame, columns: dict[str, Sequence[str]],
+                  baseline: str | None = None) -> DataFrame:
+    """``name, rows, logical_bytes`` of several variants of one table, told by the columns
+    each keeps, in one scan and one aggregate; with ``baseline`` also ``base_bytes``, that
+    variant's bytes on every row."""
+    sums = {n: F.coalesce(F.sum(value_bytes(products.select(*cols))), F.lit(0)).cast("bigint")
+            for n, cols in columns.items()}
+    one = products.agg(F.count(F.lit(1)).alias("rows"),
+                       *[s.alias(f"b{i}") for i, s in enumerate(sums.values())])
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.col("rows"),
+                              F.col(f"b{i}").alias("logical_bytes")) for i, n in enumerate(sums)])
+    base = [F.col(f"b{list(sums).index(baseline)}").alias("base_bytes")] if baseline else []
+    return one.select(F.explode(rows).alias("r"), *base).select("r.*", *[c for c in ["base_bytes"]
+                                                                         if baseline])
+
+
 def file_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Total bytes of the files under ``path`` (contents are not read)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -114,4 +130,4 @@ def manifest_rows(stats: DataFrame, known: dict[str, dict[str, str]], updated_at
 def merge_manifest(old: DataFrame, new: DataFrame) -> DataFrame:
     """New entries replace old ones of the same asset; other old entries stay."""
     return merge(old.select(*S.MANIFEST_SCHEMA.fieldNames()),
-                 new.select(*S.MANIFEST_SCHEMA.fieldNames()), ["asset"])
+                 new.select(*S.MANIFEST_SCHEMA.fieldNames()), ["asset"], source_is_unique=True)

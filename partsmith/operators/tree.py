@@ -10,6 +10,7 @@ deep, never per row), each level checkpointed to cut the lineage.
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,19 +39,23 @@ def _key(id_col: Column) -> Column:
 
 
 def tree_paths(nodes: DataFrame, label: Column | None = None, id_col: str = "id",
-               parent_col: str = "parent_id", max_depth: int = 256) -> DataFrame:
-    """Every node reachable from a root (``parent_id`` NULL) with ``depth``
+               parent_col: str = "parent_id") -> DataFrame:
+    """Every node with its root path: a root is a node whose parent is NULL, 0 or not in the
+    table (an orphan).  A table with a cycle is an error.  Columns: ``depth``
     (root = 0), ``path_ids`` (root ... node), ``path_names`` (labels along the
     path) and ``path_key`` (pre-order sort key; siblings ordered by id)."""
     label = label if label is not None else name_en_id(id_col)
     named = nodes.select(F.col(id_col).alias("__id"), F.col(parent_col).alias("__parent"),
                          label.alias("__label"))
+    ids = named.select(F.col("__id").alias("__known")).distinct()
+    named = materialize(named.join(ids, F.col("__parent") == F.col("__known"), "left").select(
+        "__id", "__label", F.when(F.col("__parent") != 0, F.col("__known")).alias("__parent")))
     level = named.filter(F.col("__parent").isNull()).select(
         "__id", F.lit(0).alias("depth"), F.array("__id").alias("path_ids"),
         F.array("__label").alias("path_names"), _key(F.col("__id")).alias("path_key"))
     level = materialize(level)
     levels = [level]
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         frontier = level.select(F.col("__id").alias("__pid"), F.col("path_ids").alias("__pids"),
                                 F.col("path_names").alias("__pnames"),
                                 F.col("path_key").alias("__pkey"))
@@ -64,9 +69,10 @@ def tree_paths(nodes: DataFrame, label: Column | None = None, id_col: str = "id"
             break
         levels.append(nxt)
         level = nxt
-    else:
-        raise ValueError(f"tree deeper than {max_depth} levels (cycle?)")
     walked = reduce(lambda a, b: a.unionByName(b), levels)
+    # every node has one parent, so what no root leads to hangs on a cycle
+    if not named.join(walked.select("__id"), "__id", "left_anti").isEmpty():
+        raise ValueError("the category table has a cycle")
     return walked.withColumnRenamed("__id", id_col)
 
 

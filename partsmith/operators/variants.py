@@ -56,6 +56,18 @@ VARIANTS: dict[str, tuple[str, Callable[[Tables], Tables]]] = {
 }
 
 
+def kept_columns(name: str) -> list[str]:
+    """Product columns whose values a variant keeps."""
+    return S.SEARCH_COLUMNS if name in VARIANTS else S.PRODUCT_COLUMNS
+
+
+def asset_labels() -> dict[str, dict[str, str]]:
+    """Label, archive name and description of every published asset, in order."""
+    named = {"catalog": "Catalog tables as they are"} | {n: d for n, (d, _) in VARIANTS.items()}
+    return {n: {"variant": n, "archive_name": f"{n}.tar.xz", "description": d}
+            for n, d in named.items()}
+
+
 def build_variant(base: Tables, name: str) -> Tables:
     if name not in VARIANTS:
         raise ValueError(f"Unknown variant {name!r}. Available: {list(VARIANTS)}")

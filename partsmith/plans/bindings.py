@@ -1,7 +1,7 @@
 """Stand-in inputs: the driver's tables viewed in the schemas the catalog
 operators expect.  These adapters rename, cast and derive columns row by row,
-union the tree levels, and drop a few dimension rows on purpose (so that
-left joins and the audit meet missing references); they aggregate nothing and
+union the tree levels, and point a few references nowhere on purpose (so that
+left joins meet missing ones); they aggregate nothing and
 compute no operator's result.  Every registered query then runs the
 library's operators on them, so the work grows with the tables."""
 
@@ -268,17 +268,19 @@ FROM events"""
 
 # ---------------------------------------------------------------------------
 # second vendor's bulk tables: components <- lineitem, categories <- supplier,
-# manufacturers <- part (a few dimension rows dropped -> left-join NULLs)
+# manufacturers <- part (some references point nowhere -> left-join NULLs)
 # ---------------------------------------------------------------------------
 def vendor_tables(lineitem: DataFrame, supplier: DataFrame, part: DataFrame):
     ln = F.col("l_linenumber")
     comps = lineitem.select(
         (F.col("l_orderkey") * 10 + ln).cast("bigint").alias("part_code"),
-        F.col("l_suppkey").cast("bigint").alias("category_id"),
+        F.when(F.col("l_orderkey") % 32 == 0, -1 - F.col("l_suppkey")).otherwise(F.col("l_suppkey"))
+        .cast("bigint").alias("category_id"),
         F.concat(F.lit("MFR-"), F.col("l_partkey").cast("string")).alias("mfr"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("package"),
         ln.cast("bigint").alias("joints"),
-        F.col("l_partkey").cast("bigint").alias("manufacturer_id"),
+        F.when(F.col("l_orderkey") % 50 == 1, -1 - F.col("l_partkey")).otherwise(F.col("l_partkey"))
+        .cast("bigint").alias("manufacturer_id"),
         F.when(F.col("l_returnflag") == "A", 1).otherwise(0).cast("bigint").alias("basic"),
         F.concat(F.lit("line "), ln.cast("string"), F.lit(" of "),
                  F.col("l_orderkey").cast("string")).alias("description"),
@@ -294,29 +296,12 @@ def vendor_tables(lineitem: DataFrame, supplier: DataFrame, part: DataFrame):
         F.lit(0).cast("bigint").alias("last_on_stock"),
         F.when(F.col("l_linestatus") == "O", 1).when(ln == 7, None).otherwise(0).cast("bigint")
         .alias("preferred"))
-    cats = supplier.filter(F.col("s_nationkey") != 0).select(
+    cats = supplier.select(
         F.col("s_suppkey").cast("bigint").alias("id"),
         F.concat(F.lit("Cat-"), F.col("s_nationkey").cast("string")).alias("category"),
         F.col("s_name").alias("subcategory"))
-    mfrs = part.filter(F.col("p_size") != 1).select(
+    mfrs = part.select(
         F.col("p_partkey").cast("bigint").alias("id"),
         F.concat(F.col("p_brand"), F.lit(" "), F.col("p_name")).alias("name"))
     return comps, cats, mfrs
 
-
-VENDOR_TABLES_SQL = """
-comps AS (
-  SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS part_code, l_suppkey AS category_id,
-         'MFR-' || l_partkey AS mfr, l_returnflag || l_linestatus AS package,
-         l_partkey AS manufacturer_id, CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS basic,
-         'line ' || l_linenumber || ' of ' || l_orderkey AS description,
-         'https://example.com/ds/' || l_partkey || '.pdf' AS datasheet,
-         CAST(l_quantity AS BIGINT) AS stock,
-         '[{"qFrom":1,"cents":' || CAST(floor(l_extendedprice * 100) AS BIGINT) || '}]' AS price,
-         CAST(epoch(l_shipdate) AS BIGINT) AS last_update,
-         CASE WHEN l_linenumber % 2 = 1 THEN '{"n":' || l_linenumber || '}' END AS extra,
-         CASE WHEN l_linestatus = 'O' THEN 1 WHEN l_linenumber = 7 THEN NULL ELSE 0 END AS preferred
-  FROM lineitem),
-vcats AS (SELECT s_suppkey AS id, 'Cat-' || s_nationkey AS category, s_name AS subcategory
-          FROM supplier WHERE s_nationkey <> 0),
-vmfrs AS (SELECT p_partkey AS id, p_brand || ' ' || p_name AS name FROM part WHERE p_size <> 1)"""

@@ -4,6 +4,8 @@ nested lists, raw document retention, keyless drop, page envelopes."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from partsmith.functions import coerce as C
@@ -125,14 +127,15 @@ def price_ladder_json(spark, sf):
 
 # --- P8: raw document kept (or not) -------------------------------------------------
 @query("raw_json_keep", sql=f"""
-SELECT event_id, doc AS raw_json, CAST(NULL AS VARCHAR) AS raw_json_off
-FROM ({EVENT_RECORDS_SQL})""")
+SELECT event_id, collected, CASE WHEN collected THEN doc END AS raw_json, category_id, moq
+FROM ({EVENT_RECORDS_SQL}), (VALUES (true), (false)) c(collected)""")
 def raw_json_keep(spark, sf):
-    """The raw document is kept when collected and NULL when not."""
-    on = _records(spark, sf, include_raw_json=True).select("event_id", "raw_json")
-    off = _records(spark, sf, include_raw_json=False).select(
-        "event_id", F.col("raw_json").alias("raw_json_off"))
-    return on.join(off, "event_id")
+    """The raw document is kept when collected and NULL when not; other columns are parsed
+    either way."""
+    return reduce(lambda a, b: a.unionByName(b), [
+        _records(spark, sf, include_raw_json=on).select(
+            "event_id", F.lit(on).alias("collected"), "raw_json", "category_id", "moq")
+        for on in (True, False)])
 
 
 # --- F6: records without a key never become rows -------------------------------------

@@ -15,6 +15,7 @@ from partsmith.operators.ingest import (
     records_from_documents,
 )
 from partsmith.operators import policies
+from partsmith.operators.ordering import materialize
 from partsmith.operators.merge import (
     Rule,
     dedupe_last_wins,
@@ -147,7 +148,7 @@ def merge_overwrite(spark, sf):
                      (F.col("s_nationkey") + 100).cast("bigint").alias("parent_id"),
                      F.col("s_name").alias("name_en"), F.lit(None).cast("string").alias("name_cn"),
                      F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("code"))
-    return merge(cats, src, ["id"]).select("id", "parent_id", "name_en", "name_cn", "code")
+    return merge(cats, src, ["id"], source_is_unique=True).select("id", "parent_id", "name_en", "name_cn", "code")
 
 
 # --- U3: category upsert of one column ------------------------------------------------
@@ -164,7 +165,7 @@ def merge_partial_q(spark, sf):
                                   t(spark, sf, "customer"))
     src = t(spark, sf, "supplier").select((F.col("s_suppkey") * 20 + 1000).alias("id"),
                                           F.col("s_name").alias("name_en"))
-    return merge_partial(cats, src, ["id"], ["name_en"]).select(
+    return merge_partial(cats, src, ["id"], ["name_en"], source_is_unique=True).select(
         "id", "parent_id", "name_en", "name_cn", "code")
 
 
@@ -216,7 +217,9 @@ WHERE p.ts >= TIMESTAMP '{BATCH1_TS}'
 def params_refresh(spark, sf):
     """Parameter rows of keys seen in later batches replaced by those of each key's last
     batch."""
-    recs = records_from_documents(event_documents(t(spark, sf, "events")))
+    # parsed once, used by the four tables below
+    recs = materialize(records_from_documents(event_documents(t(spark, sf, "events")))
+                       .select("sku", "params", "rejected", "ts"))
     b1, b2 = F.lit(BATCH1_TS).cast("timestamp_ntz"), F.lit(BATCH2_TS).cast("timestamp_ntz")
     batch = F.when(F.col("ts") < b2, F.lit(1)).otherwise(F.lit(2))
     params = params_rows(recs, keep=["ts"])

@@ -3,27 +3,32 @@ embedded-metadata extraction."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from partsmith import schemas as S
-from partsmith.functions.formatting import embedded_json
+from partsmith.functions.formatting import embedded_json, pct_change
 from partsmith.operators.align import align_schema
 from partsmith.operators.merge import Rule, merge
 from partsmith.operators.report import (
-    compare_to_baseline,
     format_size_exact,
     manifest_rows,
     merge_manifest,
     ranked,
-    table_stats,
+    variant_stats,
+)
+from partsmith.operators.ordering import materialize
+from partsmith.operators.variants import (
+    asset_labels,
+    build_variant,
+    kept_columns,
+    write_tables,
 )
-from partsmith.operators.variants import build_variant
 from partsmith.plans.bindings import (
+    CATEGORIES_SQL,
     CUSTOMER_PRODUCTS_SQL,
     PART_PRODUCTS_SQL,
     VENDOR_ROWS_SQL,
+    categories_from_tables,
     products_from_customer,
     products_from_part,
     t,
@@ -39,26 +44,10 @@ from partsmith.plans.merge_queries import (
 )
 from partsmith.plans.registry import query
 from partsmith.plans.sqlbits import q
+from partsmith.session import scratch_path
 
-# fixed values: published assets, their labels and their order in the manifest
-KNOWN_ASSETS = {
-    "catalog_search": {"variant": "Search table (main)", "archive_name": "catalog_search.tar.xz",
-                       "description": "Search table with every product attribute and categories"},
-    "primary_search": {"variant": "Primary vendor only (search)",
-                       "archive_name": "primary_search.tar.xz",
-                       "description": "Search table for the primary vendor's catalog only"},
-    "catalog": {"variant": "Integrated catalog (base)", "archive_name": "catalog.tar.xz",
-                "description": "Full integrated catalog (with raw documents)"},
-    "primary": {"variant": "Primary vendor only (base)", "archive_name": "primary.tar.xz",
-                "description": "Primary vendor's catalog (with raw documents)"},
-    "catalog_no_raw_json": {"variant": "No raw documents",
-                            "archive_name": "catalog_no_raw_json.tar.xz",
-                            "description": "Full catalog (raw documents cleared)"},
-    "catalog_minimal": {"variant": "Minimal", "archive_name": "catalog_minimal.tar.xz",
-                        "description": "Minimal catalog (raw documents cleared)"},
-}
-ASSET_ORDER = ["catalog_search", "primary_search", "catalog", "primary", "catalog_no_raw_json",
-               "catalog_minimal"]
+ASSETS = asset_labels()
+ASSET_ORDER = list(ASSETS)
 REPORT_TS = "2024-01-20 00:00:00 UTC"
 
 
@@ -66,15 +55,9 @@ def _base(products):
     return {"products": products, "categories": None}
 
 
-def _variant_stats(products, names):
-    """Stats of the named assets built from one products table."""
-    build = {
-        "catalog": lambda: products,
-        "catalog_search": lambda: build_variant(_base(products), "search_only")["search_docs"],
-        "catalog_no_raw_json": lambda: build_variant(_base(products), "no_raw_json")["products"],
-        "catalog_minimal": lambda: build_variant(_base(products), "minimal")["products"],
-    }
-    return reduce(lambda a, b: a.unionByName(b), [table_stats(n, build[n]()) for n in names])
+def _variant_stats(products, names, baseline=None):
+    """Stats of the named assets of one products table."""
+    return variant_stats(products, {n: kept_columns(n) for n in names}, baseline)
 
 
 # SQL twins: logical bytes per row of the two product adapters
@@ -101,16 +84,29 @@ def _rank_sql(col: str) -> str:
             + " ELSE 999 END")
 
 
-# --- K1 + V2: search table (every column but the raw document) ------------------
+# --- K1 + V2: search table (every column but the raw document) and categories, as written --
+_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+_HELD = ("sku mfr_part_number brand_id brand_name package description category_id"
+         " first_category_name second_category_name third_category_name stock stock_sz stock_js"
+         " stock_hk pdf_url vendor_stock vendor_price_ladder vendor_library_type vendor_extra"
+         " vendor_last_updated last_updated").split()
+_SEARCH_SQL = ", ".join(
+    c if c in _HELD else f"CAST(NULL AS {_DUCK[S.PRODUCT_SCHEMA[c].dataType.simpleString()]}) AS {c}"
+    for c in S.SEARCH_COLUMNS)
+
+
 @query("search_docs_build", sql=f"""
-SELECT sku, mfr_part_number, brand_name, stock, vendor_library_type, last_updated, 40 AS n_columns
+SELECT {_SEARCH_SQL}, (SELECT count(*) FROM ({CATEGORIES_SQL})) AS n_categories
 FROM ({CUSTOMER_PRODUCTS_SQL})""")
 def search_docs_build(spark, sf):
-    """The search-only variant's table (every column but the raw document)."""
-    docs = build_variant(_base(products_from_customer(t(spark, sf, "customer"))),
-                         "search_only")["search_docs"]
-    return docs.select("sku", "mfr_part_number", "brand_name", "stock", "vendor_library_type",
-                       "last_updated", F.lit(len(docs.columns)).alias("n_columns"))
+    """The search-only variant as written: every column but the raw document of its search
+    table, and how many categories stand beside it."""
+    cats = categories_from_tables(t(spark, sf, "region"), t(spark, sf, "nation"),
+                                  t(spark, sf, "customer"))
+    base = {"products": products_from_customer(t(spark, sf, "customer")), "categories": cats}
+    paths = write_tables(build_variant(base, "search_only"), scratch_path(spark, "search"))
+    docs, held = (spark.read.parquet(paths[n]) for n in ("search_docs", "categories"))
+    return docs.select(*docs.columns, held.agg(F.count(F.lit(1))).scalar().alias("n_categories"))
 
 
 # --- V3 + P18: raw document cleared ---------------------------------------------------
@@ -146,8 +142,9 @@ SELECT 'primary_only' AS variant, * FROM m1 UNION ALL SELECT 'integrated', * FRO
 def variant_single_vendor(spark, sf):
     """Primary-only catalog (after the document upsert) and integrated catalog (after the
     vendor overlay)."""
-    primary = merge(_target(spark, sf), _batch(spark, sf), [S.PRODUCT_KEY], product_rules(),
-                    order_by=ORDER)
+    # used twice below, so written once
+    primary = materialize(merge(_target(spark, sf), _batch(spark, sf), [S.PRODUCT_KEY],
+                                product_rules(), order_by=ORDER))
     integrated = merge(primary, vendor_rows_from_events(t(spark, sf, "events")), [S.PRODUCT_KEY],
                        overlay_rules(), default=Rule("keep", "source"), order_by=ORDER)
     cols = ["sku", "brand_name", "description", "vendor_stock", "vendor_library_type"]
@@ -174,8 +171,8 @@ def align_schema_q(spark, sf):
 @query("size_report", sql=f"""
 WITH p AS ({CUSTOMER_PRODUCTS_SQL}),
 s AS (SELECT 'catalog' AS name, count(*) AS rows, CAST(sum({_CUST_BYTES} + strlen(raw_json)) AS BIGINT) AS logical_bytes FROM p
-      UNION ALL SELECT 'catalog_search', count(*), CAST(sum({_CUST_BYTES}) AS BIGINT) FROM p
-      UNION ALL SELECT 'catalog_no_raw_json', count(*), CAST(sum({_CUST_BYTES}) AS BIGINT) FROM p),
+      UNION ALL SELECT 'search_only', count(*), CAST(sum({_CUST_BYTES}) AS BIGINT) FROM p
+      UNION ALL SELECT 'no_raw_json', count(*), CAST(sum({_CUST_BYTES}) AS BIGINT) FROM p),
 b AS (SELECT logical_bytes AS base FROM s WHERE name = 'catalog')
 SELECT name, rows, logical_bytes, {_size_text_sql('logical_bytes')} AS size_text,
        CASE WHEN base > 0 THEN (CAST(logical_bytes AS DOUBLE) - CAST(base AS DOUBLE)) / CAST(base AS DOUBLE) * CAST(100 AS DOUBLE)
@@ -186,8 +183,9 @@ def size_report(spark, sf):
     """Rows and logical bytes of three variants, size text, percent against the base, fixed
     order."""
     stats = _variant_stats(products_from_customer(t(spark, sf, "customer")),
-                           ["catalog", "catalog_search", "catalog_no_raw_json"])
-    out = ranked(compare_to_baseline(stats, "catalog"), "name", ASSET_ORDER)
+                           ASSET_ORDER[:3], "catalog")
+    stats = stats.withColumn("pct_vs_base", pct_change("logical_bytes", F.col("base_bytes")))
+    out = ranked(stats, "name", ASSET_ORDER)
     return out.select("name", "rows", "logical_bytes",
                       format_size_exact("logical_bytes").alias("size_text"), "pct_vs_base", "rank")
 
@@ -195,7 +193,7 @@ def size_report(spark, sf):
 # --- O2 + R2: manifest merge (new entries replace old ones by asset) -----------------------------
 def _manifest_sql(select_sql: str) -> str:
     cases = {k: [] for k in ("variant", "archive_name", "description")}
-    for a, meta in KNOWN_ASSETS.items():
+    for a, meta in ASSETS.items():
         for k in cases:
             cases[k].append(f"WHEN name = '{a}' THEN {q(meta[k])}")
     v = "CASE " + " ".join(cases["variant"]) + " ELSE name END"
@@ -210,22 +208,22 @@ def _manifest_sql(select_sql: str) -> str:
 WITH c AS ({CUSTOMER_PRODUCTS_SQL}), pp AS ({PART_PRODUCTS_SQL}),
 old AS ({_manifest_sql(f'''
   SELECT 'catalog' AS name, CAST(sum({_CUST_BYTES} + strlen(raw_json)) AS BIGINT) AS logical_bytes FROM c
-  UNION ALL SELECT 'catalog_search', CAST(sum({_CUST_BYTES}) AS BIGINT) FROM c
-  UNION ALL SELECT 'catalog_no_raw_json', CAST(sum({_CUST_BYTES}) AS BIGINT) FROM c
-  UNION ALL SELECT 'catalog_minimal', CAST(sum({_CUST_BYTES}) AS BIGINT) FROM c''')}),
+  UNION ALL SELECT 'search_only', CAST(sum({_CUST_BYTES}) AS BIGINT) FROM c
+  UNION ALL SELECT 'no_raw_json', CAST(sum({_CUST_BYTES}) AS BIGINT) FROM c
+  UNION ALL SELECT 'minimal', CAST(sum({_CUST_BYTES}) AS BIGINT) FROM c''')}),
 new AS ({_manifest_sql(f'''
   SELECT 'catalog' AS name, CAST(sum({_PART_BYTES}) AS BIGINT) AS logical_bytes FROM pp
-  UNION ALL SELECT 'catalog_search', CAST(sum({_PART_BYTES}) AS BIGINT) FROM pp''')}),
+  UNION ALL SELECT 'search_only', CAST(sum({_PART_BYTES}) AS BIGINT) FROM pp''')}),
 m AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE asset NOT IN (SELECT asset FROM new))
 SELECT *, {_size_text_sql('db_size_bytes')} AS size_text, {_rank_sql('asset')} AS rank FROM m""")
 def manifest_merge(spark, sf):
     """Manifest of earlier variants merged with newer statistics by asset."""
     old_stats = _variant_stats(products_from_customer(t(spark, sf, "customer")),
-                               ["catalog", "catalog_search", "catalog_no_raw_json", "catalog_minimal"])
+                               ASSET_ORDER)
     new_stats = _variant_stats(products_from_part(t(spark, sf, "part")),
-                               ["catalog", "catalog_search"])
-    old = manifest_rows(old_stats, KNOWN_ASSETS, REPORT_TS)
-    new = manifest_rows(new_stats, KNOWN_ASSETS, REPORT_TS)
+                               ASSET_ORDER[:2])
+    old = manifest_rows(old_stats, ASSETS, REPORT_TS)
+    new = manifest_rows(new_stats, ASSETS, REPORT_TS)
     merged = ranked(merge_manifest(old, new), "asset", ASSET_ORDER)
     return merged.withColumn("size_text", format_size_exact("db_size_bytes"))
 

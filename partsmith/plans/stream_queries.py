@@ -8,6 +8,7 @@ from partsmith import schemas as S
 from partsmith.operators.search import assign_pages
 from partsmith.plans.bindings import (
     CUSTOMER_PRODUCTS_SQL,
+    EVENT_RECORDS_SQL,
     RUN_TS,
     event_documents,
     products_from_customer,
@@ -16,19 +17,19 @@ from partsmith.plans.bindings import (
 from partsmith.plans.merge_queries import _SRC_SQL
 from partsmith.plans.registry import query
 from partsmith.session import scratch_path
-from partsmith.streaming.ingest import catalog_tables, run_stream
+from partsmith.streaming.catalog import Catalog
+from partsmith.streaming.ingest import run_stream
 
-PAGE_ROWS = 100   # fixed value: products per landed page
-LANDED_FILES = 3  # page files landed one after another (one micro-batch each)
+PAGE_ROWS = 100       # fixed value: products per landed page
+FILE_PAGES = 250      # pages per landed file
+BROKEN_EVERY = 7      # of the broken landing, each page that leaves 3 is cut off
 
 
-def land_pages(events, landing: str) -> None:
-    """Write the event documents as page envelopes (JSON lines), in arrival
-    order, as ``LANDED_FILES`` files written one after the other."""
+def land_pages(events, landing: str, broken: bool = False) -> None:
+    """Write the event documents as page envelopes (JSON lines) in arrival order: file names
+    sort by page.  With ``broken`` some lines end in the middle."""
     paged = assign_pages(event_documents(events), PAGE_ROWS, ["ts", "event_id"]).select(
         (F.col("page") - 1).alias("page0"), F.col("pos").alias("arrival"), "doc")
-    n_pages = paged.agg(F.max("page0")).collect()[0][0]
-    n_pages = 0 if n_pages is None else n_pages + 1
     envelopes = (paged.groupBy("page0")  # at most PAGE_ROWS documents per group
                  .agg(F.sort_array(F.collect_list(F.struct("arrival", "doc"))).alias("items"),
                       F.count(F.lit(1)).alias("n"))
@@ -37,18 +38,38 @@ def land_pages(events, landing: str) -> None:
                      F.array_join(F.transform("items", lambda x: x["doc"]), ","),
                      F.lit('],"currPage":'), (F.col("page0") + 1).cast("string"),
                      F.lit(',"totalRow":'), F.col("n").cast("string"),
-                     F.lit(',"totalPage":'), F.lit(str(n_pages)), F.lit("}")).alias("value"))
-                 .persist())  # written in several files below
-    for f in range(LANDED_FILES):
-        lo, hi = f * n_pages // LANDED_FILES, (f + 1) * n_pages // LANDED_FILES
-        part = envelopes.filter((F.col("page0") >= lo) & (F.col("page0") < hi)).select("value")
-        # paths sort in arrival order (the ingest contract): seq=00000, seq=00001, ...
-        part.coalesce(1).write.mode("overwrite").text(f"{landing}/seq={f:05d}")
-    envelopes.unpersist()
+                     F.lit(',"totalPage":null}')).alias("value")))
+    if broken:
+        cut = F.expr("substr(value, 1, length(value) - 30)")
+        envelopes = envelopes.withColumn(
+            "value", F.when(F.col("page0") % BROKEN_EVERY == 3, cut).otherwise(F.col("value")))
+    files = -(-events.count() // (PAGE_ROWS * FILE_PAGES)) or 1
+    (envelopes.repartitionByRange(files, "page0").sortWithinPartitions("page0")
+     .select("value").write.text(landing))
+
+
+def _streamed(spark, sf, broken: bool = False, only_category: int | None = None) -> Catalog:
+    """The catalog (seeded from ``customer``) after all landed pages, or those of a run over
+    one category, were drained."""
+    root = scratch_path(spark, "stream")
+    events = t(spark, sf, "events")
+    if only_category is not None:
+        events = events.where((F.col("user_id") % 25 == only_category)
+                              & (F.col("event_id") % 4 != 0))
+    land_pages(events, f"{root}/landing", broken)
+    catalog = Catalog(spark, f"{root}/catalog")
+    catalog.seed(products=products_from_customer(t(spark, sf, "customer")))
+    run_stream(spark, f"{root}/landing", catalog.root, f"{root}/checkpoint", RUN_TS,
+               files_per_trigger=2, whole_catalog=only_category is None)
+    return catalog
+
+
+ONE_CATEGORY = 7
 
 
 @query("stream_ingest", sql=f"""
 WITH tgt AS ({CUSTOMER_PRODUCTS_SQL}), {_SRC_SQL},
+refused AS (SELECT DISTINCT sku AS rsku FROM ({EVENT_RECORDS_SQL}) WHERE rejected),
 merged AS (
 SELECT coalesce(t.sku, s.sku) AS sku,
   CASE WHEN s.sku IS NULL THEN t.mfr_part_number ELSE s.mfr_part_number END AS mfr_part_number,
@@ -58,25 +79,84 @@ SELECT coalesce(t.sku, s.sku) AS sku,
   CASE WHEN s.sku IS NULL THEN t.stock_hk ELSE 0 END AS stock_hk,
   CASE WHEN s.sku IS NULL THEN t.last_updated ELSE TIMESTAMP '{RUN_TS}' END AS last_updated,
   CASE WHEN s.sku IS NULL THEN t.raw_json ELSE s.doc END AS raw_json
-FROM tgt t FULL OUTER JOIN src s ON t.sku = s.sku)
+FROM tgt t FULL OUTER JOIN src s ON t.sku = s.sku),
+gone AS (SELECT *, last_updated < TIMESTAMP '{RUN_TS}'
+                   AND sku NOT IN (SELECT rsku FROM refused) AS unseen FROM merged)
 SELECT sku, mfr_part_number,
-  CASE WHEN last_updated < TIMESTAMP '{RUN_TS}' THEN 0 ELSE stock END AS stock,
-  CASE WHEN last_updated < TIMESTAMP '{RUN_TS}' THEN 0 ELSE stock_sz END AS stock_sz,
-  CASE WHEN last_updated < TIMESTAMP '{RUN_TS}' THEN 0 ELSE stock_js END AS stock_js,
-  CASE WHEN last_updated < TIMESTAMP '{RUN_TS}' THEN 0 ELSE stock_hk END AS stock_hk,
+  CASE WHEN unseen THEN 0 ELSE stock END AS stock,
+  CASE WHEN unseen THEN 0 ELSE stock_sz END AS stock_sz,
+  CASE WHEN unseen THEN 0 ELSE stock_js END AS stock_js,
+  CASE WHEN unseen THEN 0 ELSE stock_hk END AS stock_hk,
   last_updated, raw_json
-FROM merged""")
+FROM gone""")
 def stream_ingest(spark, sf):
-    """Land events as page files, drain them with an availableNow file stream
-    (one file per micro-batch, foreachBatch versioned upsert into the catalog
-    seeded from ``customer``), then zero the stock of rows not seen."""
-    root = scratch_path(spark, "stream")
-    landing, table, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
-    land_pages(t(spark, sf, "events"), landing)
-    products, params = catalog_tables(spark, table)
-    products.write(products_from_customer(t(spark, sf, "customer")), 0)
-    params.write(spark.createDataFrame([], S.PARAM_SCHEMA), 0)
-    products.publish(0)
-    final = run_stream(spark, landing, table, ckpt, RUN_TS)
-    return products.read(final).select("sku", "mfr_part_number", *S.STOCK_COLUMNS,
-                                       "last_updated", "raw_json")
+    """Land events as page files, drain them with an availableNow file stream (foreachBatch
+    upsert into the versioned catalog seeded from ``customer``), then zero the stock of
+    rows not seen; keys of rejected documents count as seen."""
+    return _streamed(spark, sf).read("products").select(
+        "sku", "mfr_part_number", *S.STOCK_COLUMNS, "last_updated", "raw_json")
+
+
+_PAGED_SQL = f"""paged AS (
+  SELECT *, (row_number() OVER (ORDER BY ts, event_id) - 1) // {PAGE_ROWS} AS page0
+  FROM ({EVENT_RECORDS_SQL}))"""
+
+
+@query("stream_params", sql=f"""
+WITH {_PAGED_SQL},
+acc AS (SELECT * FROM paged WHERE NOT rejected),
+lastp AS (SELECT sku, max(page0) AS page0 FROM acc GROUP BY sku)
+SELECT sku, event_type AS param_name, k AS param_value FROM acc JOIN lastp USING (sku, page0)
+WHERE k <> ''
+UNION ALL
+SELECT sku, 'seen', CAST(event_id AS VARCHAR) FROM acc JOIN lastp USING (sku, page0)
+WHERE event_id % 2 = 0""")
+def stream_params(spark, sf):
+    """Parameters after the streamed ingest: those of the last page that holds the product."""
+    return _streamed(spark, sf).read("product_params")
+
+
+@query("stream_rejects", sql=f"""
+WITH {_PAGED_SQL}
+SELECT 'reject' AS kind, sku, reject_reason AS detail, page0 + 1 AS page, count(*) AS n
+FROM paged WHERE rejected AND page0 % {BROKEN_EVERY} <> 3 GROUP BY ALL
+UNION ALL
+SELECT 'bad_page', NULL, NULL, NULL, count(DISTINCT page0) FROM paged WHERE page0 % {BROKEN_EVERY} = 3
+UNION ALL
+SELECT 'zeroed', NULL, NULL, NULL, 0""")
+def stream_rejects(spark, sf):
+    """Rejected records and cut-off page lines of a streamed ingest, as kept in the catalog's
+    logs, and how many products lost their stock to that run (none: it read bad pages)."""
+    catalog = _streamed(spark, sf, broken=True)
+    no = F.lit(None).cast("string")
+    rejects = catalog.read("rejects").groupBy("sku", "reject_reason", "page").agg(
+        F.count(F.lit(1)).alias("n")).select(
+        F.lit("reject").alias("kind"), "sku", F.col("reject_reason").alias("detail"), "page", "n")
+    bad = catalog.read("bad_pages").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("bad_page").alias("kind"), no.alias("sku"), no.alias("detail"),
+        F.lit(None).cast("long").alias("page"), "n")
+    before = catalog.read("products", version=0).select("sku", F.col("stock").alias("old"))
+    zeroed = (catalog.read("products").where(F.col("last_updated") < F.lit(RUN_TS).cast(
+        "timestamp_ntz")).join(before, "sku").where("stock = 0 AND old <> 0")
+        .agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit("zeroed").alias("kind"), no.alias("sku"), no.alias("detail"),
+            F.lit(None).cast("long").alias("page"), "n"))
+    return rejects.unionByName(bad).unionByName(zeroed)
+
+
+@query("single_category_run", sql=f"""
+WITH tgt AS ({CUSTOMER_PRODUCTS_SQL}),
+src AS (SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY sku ORDER BY ts DESC, event_id DESC) AS rn
+    FROM ({EVENT_RECORDS_SQL})
+    WHERE NOT rejected AND event_id % 4 <> 0 AND user_id % 25 = {ONE_CATEGORY}) WHERE rn = 1)
+SELECT coalesce(t.sku, s.sku) AS sku,
+  CASE WHEN s.sku IS NULL THEN t.category_id ELSE s.category_id END AS category_id,
+  CASE WHEN s.sku IS NULL THEN t.stock ELSE s.stock END AS stock,
+  CASE WHEN s.sku IS NULL THEN t.last_updated ELSE TIMESTAMP '{RUN_TS}' END AS last_updated
+FROM tgt t FULL OUTER JOIN src s ON t.sku = s.sku""")
+def single_category_run(spark, sf):
+    """A streamed run over the pages of one category: its products are refreshed, all others
+    keep their stock."""
+    return _streamed(spark, sf, only_category=ONE_CATEGORY).read("products").select(
+        "sku", "category_id", "stock", "last_updated")

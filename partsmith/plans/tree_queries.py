@@ -16,6 +16,16 @@ from partsmith.operators.tree import (
 )
 from partsmith.plans.bindings import CATEGORIES_SQL, categories_from_tables, t
 from partsmith.plans.registry import query
+from partsmith.session import scratch_path
+from partsmith.sources.documents import parse_facets, read_json_files, unwrap
+from partsmith.sources.trees import (
+    CATALOG_NODE,
+    CATEGORY_NODE,
+    breadcrumb_leaves,
+    category_records,
+    label_en_id,
+    unroll_tree,
+)
 
 LEAF_OFFSET = 1000  # leaf category id = 1000 + c_custkey (see bindings)
 
@@ -122,3 +132,82 @@ def category_work_list(spark, sf):
         F.count_if(F.col("o_orderstatus") == "F").alias("product_num"))
     return work_list(tree_leaves, counts).select(
         "id", "path", "product_num", "cat_idx", "total_cats")
+
+
+# --- S2-S4: landed API documents of the small dimensions, scanned back -----------------------
+def _tree_document(spark, sf, layout: dict[str, str]) -> str:
+    """region -> nation as one nested API response (5 and 25 nodes); returns its folder.
+    Regions name parent 0; a region without nations is a leaf."""
+    def node(row_id, parent, name, num, children):
+        values = {"id": row_id, "parent_id": parent, "name_en": name,
+                  "name_cn": F.lower(name), "code": F.concat(F.lit("N"), row_id.cast("string")),
+                  "product_num": num, "children": children}
+        return F.to_json(F.struct(*[values[k].alias(key) for k, key in layout.items()]))
+
+    n = t(spark, sf, "nation")
+    leaf = node(F.col("n_nationkey") + 100, F.col("n_regionkey") + 1, F.col("n_name"),
+                F.col("n_nationkey") * 3, F.array().cast("array<variant>"))
+    kids = n.groupBy("n_regionkey").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("n_nationkey", leaf.alias("j")))),
+        lambda x: F.parse_json(x["j"])).alias("kids"))
+    r = t(spark, sf, "region").join(kids, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    root = node(F.col("r_regionkey") + 1, F.lit(0), F.col("r_name"), F.lit(None).cast("bigint"),
+                F.col("kids"))
+    body = r.agg(F.concat(F.lit('{"code":200,"result":['), F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("r_regionkey", root.alias("j")))),
+        lambda x: x["j"]), ","), F.lit("]}")).alias("value"))
+    path = scratch_path(spark, "tree")
+    body.write.text(path)
+    return path
+
+
+@query("tree_scan", sql="""
+SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, CAST(0 AS BIGINT) AS parent_id, r_name AS name_en,
+       lower(r_name) AS name_cn, 'N' || (r_regionkey + 1) AS code FROM region
+UNION ALL
+SELECT n_nationkey + 100, n_regionkey + 1, n_name, lower(n_name), 'N' || (n_nationkey + 100) FROM nation""")
+def tree_scan(spark, sf):
+    """Nodes of a nested category response as category rows."""
+    docs = read_json_files(spark, _tree_document(spark, sf, CATEGORY_NODE))
+    return category_records(unroll_tree(docs, root_path="$.result")).select(
+        "id", "parent_id", "name_en", "name_cn", "code")
+
+
+@query("catalog_scan", sql="""
+WITH leaf AS (
+  SELECT CAST(n_nationkey + 100 AS BIGINT) AS id, r_name || ' > ' || n_name AS path,
+         CAST(n_nationkey * 3 AS BIGINT) AS product_num
+  FROM nation JOIN region ON r_regionkey = n_regionkey
+  UNION ALL SELECT r_regionkey + 1, r_name, 0 FROM region
+            WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation))
+SELECT *, (SELECT CAST(sum(product_num) AS BIGINT) FROM leaf) AS total_expected FROM leaf""")
+def catalog_scan(spark, sf):
+    """Leaves of a nested catalog response with breadcrumb and count, and the total expected
+    over all of them."""
+    docs = read_json_files(spark, _tree_document(spark, sf, CATALOG_NODE))
+    leaves = breadcrumb_leaves(unroll_tree(docs, CATALOG_NODE, root_path="$.result"),
+                               label_en_id)
+    total = leaves.agg(F.sum("product_num").cast("bigint")).scalar()
+    return leaves.select("id", "path", "product_num", total.alias("total_expected"))
+
+
+@query("facet_scan", sql="""
+SELECT p_type, CASE WHEN k % 5 = 0 THEN NULL ELSE CAST(k AS BIGINT) END AS brand_id, p_brand AS brand_name,
+       k % 5 = 0 AS rejected, total_count
+FROM (SELECT p_type, p_brand, CAST(substr(p_brand, 7) AS BIGINT) AS k,
+             sum(count(*)) OVER (PARTITION BY p_type)::BIGINT AS total_count
+      FROM part GROUP BY p_type, p_brand)""")
+def facet_scan(spark, sf):
+    """Brands of each part type landed as facet responses (ids as text, as numbers, or
+    unreadable), scanned back."""
+    brands = t(spark, sf, "part").groupBy("p_type", "p_brand").agg(F.count(F.lit(1)).alias("n"))
+    k = F.substring("p_brand", 7, 9).cast("bigint")
+    ident = (F.when(k % 5 == 0, F.concat(F.lit('"x'), k.cast("string"), F.lit('"')))
+             .when(k % 2 == 0, k.cast("string"))
+             .otherwise(F.concat(F.lit('"'), k.cast("string"), F.lit('"'))))
+    one = F.concat(F.lit('{"id":'), ident, F.lit(',"name":"'), F.col("p_brand"), F.lit('"}'))
+    docs = brands.groupBy("p_type").agg(F.concat(  # as many brands as the dimension has
+        F.lit('{"result":{"totalCount":'), F.sum("n").cast("string"), F.lit(',"Manufacturer":['),
+        F.array_join(F.collect_list(one), ","), F.lit("]}}")).alias("doc"))
+    return parse_facets(unwrap(docs, "$.result")).select(
+        "p_type", "brand_id", "brand_name", "rejected", "total_count")

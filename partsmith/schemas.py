@@ -75,7 +75,8 @@ SEARCH_INDEXED_COLUMNS = [
 # The search table carries every product column except the raw document.
 SEARCH_COLUMNS = [c for c in PRODUCT_COLUMNS if c != "raw_json"]
 
-# --- fixed values: columns a re-ingest never overwrites ---------------------
+# --- fixed values: stock columns (zeroed when a run no longer sees a product) and the second
+# vendor's columns -------------------------------------------------------------
 STOCK_COLUMNS = ["stock", "stock_sz", "stock_js", "stock_hk"]
 VENDOR_COLUMNS = [
     "vendor_stock",
@@ -126,13 +127,6 @@ DOC_PARAMS = "paramVOList"
 REQUIRED_DOC_STRINGS = ["sku", "mfr_part_number"]
 PARAM_KEYS = ["paramNameEn", "paramName", "paramValueEn", "paramValue"]
 PRICE_KEYS = ["ladder", "usdPrice"]
-# Page and facet envelopes.
-PAGE_KEYS = ["dataList", "totalRow", "currPage", "totalPage"]
-FACET_KEYS = ["totalCount", "Manufacturer"]
-# Category tree and catalog list nodes.
-CATEGORY_NODE_KEYS = ["categoryId", "parentId", "categoryNameEn", "categoryNameCn",
-                      "enCategoryCode", "childrenList"]
-CATALOG_NODE_KEYS = ["catalogId", "catalogNameEn", "productNum", "childCatelogs"]
 
 # --- fixed values: falsy defaults applied when a document becomes a row ------
 # ``x or d``: a missing *or zero* value becomes d.

@@ -58,20 +58,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_engine_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable engine settings to an existing session."""
     for key, value in ENGINE_CONF.items():
-        if key.startswith("spark.ui."):
-            continue
-        try:
+        # a static setting of a running session stays as configured
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave as configured
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and is
-    used as is.  Only when nothing is configured (a unit test on a laptop) do we
-    fall back to a fresh local scratch folder.
+    used as is.  Only in local mode (a unit test on a laptop) does an unset folder fall
+    back to a fresh local one; on a cluster it is an error, as executors would not share
+    it.
     """
     try:
         sc = spark.sparkContext
@@ -83,6 +81,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="partsmith-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

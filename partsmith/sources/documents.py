@@ -86,6 +86,24 @@ def unwrap(docs: DataFrame, json_path: str, doc_col: str = "doc") -> DataFrame:
     return docs.withColumn(doc_col, F.get_json_object(F.col(doc_col), json_path))
 
 
+def read_page_stream(spark: SparkSession, landing: str, files_per_trigger: int) -> DataFrame:
+    """Lines of landed files as a stream, with the file they came from."""
+    return (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger)
+            .load(landing)
+            .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source_file")))
+
+
+def bad_page_lines(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """Every line that isn't blank as ``line`` with ``bad``: it is no JSON object with an
+    array (or null) under ``dataList``, so its products can't be known."""
+    keys = F.json_object_keys(F.col(doc_col))
+    items = F.get_json_object(F.col(doc_col), "$.dataList")
+    good = F.array_contains(keys, "dataList") & (items.isNull() | items.startswith("["))
+    carry = [c for c in envelopes.columns if c != doc_col]
+    return envelopes.where(F.trim(F.col(doc_col)) != "").select(
+        *carry, F.col(doc_col).alias("line"), (~F.coalesce(good, F.lit(False))).alias("bad"))
+
+
 def inline_pages(envelopes: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Page envelopes -> one row per product document.
 
@@ -111,9 +129,30 @@ NESTED_TYPES = {f.name: f.dataType for f in PRODUCT_DOC_SCHEMA.fields
                 if not isinstance(f.dataType, T.StringType)}
 
 
+def _text_keys() -> list[str]:
+    """Document keys whose value must be a JSON string."""
+    types = {n: t for n, t, _ in S.PRODUCT_FIELDS}
+    cols = [c for c in S.PRODUCT_COLUMNS if c not in _NOT_IN_DOC | {"price_ladder", "product_images"}
+            and isinstance(types[c], T.StringType)]
+    return list(dict.fromkeys(k for c in cols for k in (S.doc_key(c), c)))
+
+
+def _not_text_sql(doc_col: str) -> str:
+    """Array of the text keys that hold a number, a boolean or a nested value.  The types are
+    read from the schema of the document's VARIANT, inner levels removed."""
+    x = f"schema_of_variant(try_parse_json({_q(doc_col)}))"
+    x = f"substr({x}, 8)"  # after OBJECT<
+    for _ in range(6):     # levels of nesting inside a document
+        x = f"regexp_replace({x}, '<[^<>]*>', '')"
+    keys = "|".join(_text_keys())
+    return (f"regexp_extract_all({x}, '(?:^|, )`?({keys})`?: "
+            "(?:BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN|OBJECT|ARRAY)', 1)")
+
+
 def parse_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Add ``doc_keys`` (keys the document carries; NULL when it is not a
-    JSON object) and one STRING column ``k__<key>`` per known document key.
+    JSON object), ``not_text`` (known text keys whose value is another JSON type) and one
+    STRING column ``k__<key>`` per known document key.
 
     Both come out of generators: ``json_tuple`` parses each document once and
     yields every top-level value as text (nested lists as their JSON text).
@@ -123,6 +162,7 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     carry = [c for c in docs.columns if c != doc_col]
     keyed = docs.select(*carry, F.inline(F.array(F.struct(
         F.col(doc_col).alias(doc_col), F.json_object_keys(F.col(doc_col)).alias("doc_keys")))))
+    keyed = keyed.withColumn("not_text", F.expr(_not_text_sql(doc_col)))
     gen = F.json_tuple(F.col(doc_col), *DOC_KEYS).alias(*[f"k__{k}" for k in DOC_KEYS])
     return keyed.select("*", gen)
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from partsmith.sources.files import exists
+
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``<base>/<name>.parquet`` (file or folder) as a DataFrame."""
@@ -15,16 +15,8 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 def read_optional(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:
     """Read a Parquet table if it exists, else an empty DataFrame with ``schema``
-    (an absent optional source is skipped, not an error)."""
-    if path and _exists(spark, path):
+    (an absent optional source is skipped, not an error).  Existence is asked of the
+    file system of the path, as Spark's reader would resolve it."""
+    if path and exists(spark, path):
         return spark.read.parquet(path)
     return spark.createDataFrame([], schema)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)

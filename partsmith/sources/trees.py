@@ -9,6 +9,7 @@ a sort on ``path_key``.
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -38,8 +39,7 @@ def _node_schema(layout: dict[str, str]) -> T.StructType:
 
 
 def unroll_tree(roots_json: DataFrame, layout: dict[str, str] = CATEGORY_NODE,
-                doc_col: str = "doc", max_depth: int = 256,
-                root_path: str | None = None) -> DataFrame:
+                doc_col: str = "doc", root_path: str | None = None) -> DataFrame:
     """``roots_json``: one row per document holding a JSON *array* of root
     nodes (or, with ``root_path`` such as ``$.result``, a response whose
     array sits at that path).  Returns one row per node: the layout's scalar fields (ids as
@@ -63,7 +63,7 @@ def unroll_tree(roots_json: DataFrame, layout: dict[str, str] = CATEGORY_NODE,
     level = materialize(level)
     levels = [level]
     ckey = layout["children"]
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         nxt = level.select(
             lax_long(f"n.`{layout['id']}`").alias("tree_parent_id"),
             F.col("path_key").alias("__pkey"), F.col("ancestors").alias("__anc"),
@@ -77,8 +77,6 @@ def unroll_tree(roots_json: DataFrame, layout: dict[str, str] = CATEGORY_NODE,
             break
         levels.append(nxt)
         level = nxt
-    else:
-        raise ValueError(f"tree deeper than {max_depth} levels")
     nodes = reduce(lambda a, b: a.unionByName(b), levels)
     cols = []
     for name, key in layout.items():

@@ -1,16 +1,22 @@
-"""Page-at-a-time ingest as a Structured Streaming query.
-
-Landed page envelopes (JSON lines) are read with the file source; every
-micro-batch is parsed, deduplicated (last write wins in file/page/position
-order) and merged into the catalog through ``foreachBatch``.  Contract: landed
-file paths sort in arrival order (e.g. a zero-padded sequence or timestamp in
-the name), so that a micro-batch holding several files orders them right;
-files are also taken in modification-time order across micro-batches.  Each batch
-writes a new table *version* folder named after its batch id and then moves a
-pointer, so a batch replayed after a failure (foreachBatch is at-least-once)
-rewrites the same version from the same base and the result is unchanged.
-When the stream has drained (``availableNow``), products not refreshed since
-the run started get their stock set to 0.
+"""Page ingest as a Structured Streaming query.
+
+Landed page envelopes (JSON lines) are read with the file source; every micro-batch is
+parsed, deduplicated (last write wins in file/page/position order) and merged into the
+catalog through ``foreachBatch``.  Contract: landed file paths sort in arrival order
+(e.g. a zero-padded sequence or timestamp in the name), so that a micro-batch with
+several files orders them right; files are also taken in modification-time order across
+micro-batches.
+
+Nothing landed is lost: records that fail coercion go to the catalog's ``rejects`` log and
+lines that are no page envelope to ``bad_pages``, in the same commit as the products.  The
+parameters of a product are those of the last page that holds it, however pages are
+spread over files and micro-batches.  A commit names the checkpoint and batch it came
+from, so a micro-batch that is replayed after a failure (foreachBatch is at-least-once)
+is recognised and skipped.
+
+After a run, products it did not see get stock 0, but only if the run covered the whole
+catalog, read at least one page and no bad one, and every rejected record had a key; the
+keys of rejected records count as seen.
 """
 
 from __future__ import annotations
@@ -20,122 +26,114 @@ from pyspark.sql import functions as F
 
 from partsmith import schemas as S
 from partsmith.operators.ingest import catalog_rows, params_rows, records_from_documents
-from partsmith.operators.merge import mark_unseen, merge, refresh_children
+from partsmith.operators.merge import mark_unseen, merge, refresh_children, stale_predicate
+from partsmith.operators.ordering import materialize
 from partsmith.operators.policies import product_rules
-from partsmith.sources.documents import inline_pages
+from partsmith.sources.documents import bad_page_lines, inline_pages, read_page_stream
+from partsmith.streaming.catalog import Catalog
 
 ORDER = ["source_file", "page", "pos"]
 
 
-class VersionedTable:
-    """A table stored as ``<root>/v<NNNNNNNN>`` folders plus a pointer table
-    naming the committed version (written with Spark, so it works on any file
-    system the cluster uses).  Tables committed together share one pointer
-    (default: ``<root>/_current``)."""
-
-    def __init__(self, spark: SparkSession, root: str, schema, pointer: str | None = None):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.pointer = pointer or f"{self.root}/_current"
-
-    def _pointer(self) -> str:
-        return self.pointer
-
-    def current_version(self) -> int | None:
-        try:
-            rows = self.spark.read.text(self._pointer()).collect()  # one tiny row
-        except Exception:  # noqa: BLE001 - no pointer yet
-            return None
-        return int(rows[0][0]) if rows else None
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v{version:08d}"
-
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(v))
-
-    def base_for(self, version: int) -> DataFrame:
-        """The committed table a batch writing ``version`` starts from: the
-        pointer's version when older, else the version just before."""
-        cur = self.current_version()
-        if cur is not None and cur < version:
-            return self.read(cur)
-        if version > 0 and cur is not None:
-            return self.read(version - 1)
-        return self.spark.createDataFrame([], self.schema)
-
-    def write(self, df: DataFrame, version: int) -> None:
-        """Write a version folder without publishing it."""
-        df.write.mode("overwrite").parquet(self.path(version))
-
-    def publish(self, version: int) -> None:
-        """Move the pointer: the version becomes the committed one."""
-        self.spark.createDataFrame([(str(version),)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer())
-
-    def commit(self, df: DataFrame, version: int) -> None:
-        self.write(df, version)
-        self.publish(version)
-
-
-def catalog_tables(spark: SparkSession, table_root: str) -> tuple[VersionedTable, VersionedTable]:
-    """``products`` and ``product_params`` under one root, sharing a pointer so
-    that both move to a new version together."""
-    pointer = f"{table_root.rstrip('/')}/_current"
-    return (VersionedTable(spark, f"{table_root}/products", S.PRODUCT_SCHEMA, pointer),
-            VersionedTable(spark, f"{table_root}/product_params", S.PARAM_SCHEMA, pointer))
-
-
-def ingest_batch(products: VersionedTable, params: VersionedTable, batch: DataFrame,
-                 version: int, run_ts, include_raw_json: bool = True,
-                 max_pages: int | None = None) -> None:
-    """Merge one micro-batch of page envelopes (``doc``, ``source_file``).
-    With ``max_pages``, pages beyond that number are not upserted (their
-    products then count as unseen in this run)."""
-    rows = inline_pages(batch)
-    if max_pages:
-        rows = rows.filter(F.col("page") <= max_pages)
-    # parsed once, used by the product merge and the parameter refresh
-    recs = records_from_documents(rows, include_raw_json).persist()
-    cat = catalog_rows(recs, keep=ORDER)
-    merged = merge(products.base_for(version), cat, [S.PRODUCT_KEY],
-                   product_rules(run_ts, include_raw_json), order_by=ORDER)
-    new_params = params_rows(recs).select(*S.PARAM_SCHEMA.fieldNames())
-    refreshed = refresh_children(params.base_for(version), cat.select(S.PRODUCT_KEY), new_params,
-                                 S.PRODUCT_KEY)
-    products.write(merged, version)
-    params.write(refreshed, version)
-    products.publish(version)  # one pointer for both tables
-    recs.unpersist()
-
-
-def run_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: str, run_ts,
-               include_raw_json: bool = True, files_per_trigger: int = 1,
-               mark_unseen_stock: bool = True, max_pages: int | None = None) -> int:
-    """Drain ``landing`` into ``table_root``; returns the final version number."""
-    products, params = catalog_tables(spark, table_root)
-    start = products.current_version()
-    offset = 0 if start is None else start + 1
-
-    stream = (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger)
-              .load(landing)
-              .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source_file")))
+def _run(state: dict, run_ts: str) -> dict:
+    """Counts of the run so far; another timestamp begins a new run."""
+    run = state.get("run") or {}
+    if run.get("ts") != str(run_ts):
+        run = {"ts": str(run_ts), "pages": 0, "bad_pages": 0, "keyless_rejects": 0}
+    return run
+
+
+def ingest_batch(catalog: Catalog, batch: DataFrame, run_ts: str, include_raw_json: bool = True,
+                 source: tuple[str, int] | None = None) -> None:
+    """Merge one micro-batch of page envelopes (``doc``, ``source_file``) and commit it as
+    the next version.  ``source`` names the checkpoint and batch id."""
+    state = catalog.state()
+    done = state.get("stream") or {}
+    if source and done.get("checkpoint") == source[0] and done["batch"] >= source[1]:
+        return
+    version, ts = catalog.next_version(), F.lit(run_ts).cast("timestamp_ntz")
+    # parsed once (written to the shared folder), used by every table below
+    recs = materialize(records_from_documents(inline_pages(batch), include_raw_json,
+                                              keep_doc="__doc"))
+    rows = catalog_rows(recs, keep=ORDER)
+    state["run"] = run = _run(state, run_ts)
+
+    buckets = catalog.touched("products", rows, state)
+    if buckets:
+        merged = merge(catalog.read("products", state=state, only=buckets), rows,
+                       [S.PRODUCT_KEY], product_rules(run_ts, include_raw_json), order_by=ORDER)
+        state = catalog.write("products", merged, version, state, buckets)
+        # the last page that holds a product decides its parameters
+        page = F.struct("source_file", "page").alias("batch")
+        params = refresh_children(
+            catalog.read("product_params", state=state, only=buckets),
+            rows.select(S.PRODUCT_KEY, page),
+            params_rows(recs, keep=ORDER).select(*S.PARAM_SCHEMA.fieldNames(), page),
+            S.PRODUCT_KEY, batch_col="batch")
+        state = catalog.write("product_params", params, version, state, buckets)
+    rejects = recs.where("rejected").select(ts.alias("run_ts"), *ORDER, S.PRODUCT_KEY,
+                                            "reject_reason", F.col("__doc").alias("doc"))
+    keyless = F.count_if(F.coalesce(F.col(S.PRODUCT_KEY), F.lit("")) == "")
+    n_rejects, n_keyless = rejects.agg(F.count(F.lit(1)), keyless).first()
+    if n_rejects:
+        state = catalog.append("rejects", rejects, version, state)
+    bad = bad_page_lines(batch)
+    n_pages, n_bad = bad.agg(F.count_if(~F.col("bad")), F.count_if(F.col("bad"))).first()
+    if n_bad:
+        lines = bad.where("bad").select(ts.alias("run_ts"), "source_file", "line")
+        state = catalog.append("bad_pages", lines, version, state)
+    state["run"] = {"ts": run["ts"], "pages": run["pages"] + n_pages,
+                    "bad_pages": run["bad_pages"] + n_bad,
+                    "keyless_rejects": run["keyless_rejects"] + n_keyless}
+    if source:
+        state["stream"] = {"checkpoint": source[0], "batch": source[1]}
+    catalog.publish(version, state)
+
+
+def covers_catalog(run: dict) -> bool:
+    """Whether a run read pages, all of them well, and can name all it rejected."""
+    return run.get("pages", 0) > 0 and not run["bad_pages"] and not run["keyless_rejects"]
+
+
+def mark_unseen_products(catalog: Catalog, run_ts: str) -> bool:
+    """Set the stock of products this run did not see to 0 and commit; False if the run
+    doesn't allow it.  Only buckets with such products are rewritten."""
+    state = catalog.state()
+    if not covers_catalog(_run(state, run_ts)):
+        return False
+    ts = F.lit(run_ts).cast("timestamp_ntz")
+    refused = (catalog.read("rejects", state=state).where(F.col("run_ts") == ts)
+               .select(S.PRODUCT_KEY).distinct().withColumn("__refused", F.lit(True)))
+    stale = stale_predicate(ts)
+    old = (catalog.read("products", state=state).where(stale)
+           .select(S.PRODUCT_KEY).join(refused, S.PRODUCT_KEY, "left_anti"))
+    buckets = catalog.touched("products", old, state)
+    if not buckets:
+        return True
+    products = catalog.read("products", state=state, only=buckets).join(
+        refused, S.PRODUCT_KEY, "left")
+    marked = mark_unseen(products, ts, S.STOCK_COLUMNS, unless=F.coalesce("__refused", F.lit(False)))
+    version = catalog.next_version()
+    state = catalog.write("products", marked, version, state, buckets)
+    catalog.publish(version, state)
+    return True
+
+
+def run_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: str, run_ts: str,
+               include_raw_json: bool = True, files_per_trigger: int = 1000,
+               whole_catalog: bool = True, buckets: int = 16) -> int | None:
+    """Drain ``landing`` into the catalog at ``table_root``; returns the current version.
+    ``whole_catalog``: the run covers the catalog, so products it doesn't see are gone (a
+    run over one category or over stocked items only must set it to False)."""
+    catalog = Catalog(spark, table_root, buckets)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(products, params, batch, offset + batch_id, run_ts, include_raw_json,
-                     max_pages)
+        ingest_batch(catalog, batch, run_ts, include_raw_json, (checkpoint, batch_id))
 
-    q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    q = (read_page_stream(spark, landing, files_per_trigger)
+         .writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    final = products.current_version()
-    if mark_unseen_stock and final is not None:
-        marked = mark_unseen(products.read(final), F.lit(run_ts).cast("timestamp_ntz"),
-                             S.STOCK_COLUMNS)
-        products.write(marked, final + 1)
-        params.write(params.read(final), final + 1)
-        products.publish(final + 1)
-        final += 1
-    return final if final is not None else -1
+    if whole_catalog:
+        mark_unseen_products(catalog, run_ts)
+    return catalog.current_version()

@@ -5,33 +5,44 @@ import os
 
 from partsmith import api
 from partsmith import schemas as S
-from partsmith.streaming.ingest import catalog_tables
+from partsmith.streaming.catalog import Catalog
 from tests.test_enrich import _vendor
 
 
+def _write(path, obj):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(json.dumps(obj) + "\n")
+
+
 def test_workflows_end_to_end(spark, scratch):
-    landing = f"{scratch}/landing"
-    os.makedirs(landing)
-    page = {"dataList": [{"productCode": "C89188", "productModel": "old", "brandNameEn": "Mine",
-                          "stockNumber": 7},
-                         {"productCode": "C5", "productModel": "x", "stockNumber": 1}],
-            "currPage": 1, "totalRow": 2, "totalPage": 1}
-    with open(f"{landing}/p.json", "w") as f:
-        f.write(json.dumps(page) + "\n")
+    _write(f"{scratch}/landing/p.json", {
+        "dataList": [{"productCode": "C420", "productModel": "old", "brandNameEn": "Mine",
+                      "stockNumber": 7},
+                     {"productCode": "C5", "productModel": "x", "stockNumber": 1}],
+        "currPage": 1, "totalRow": 2, "totalPage": 1})
+    _write(f"{scratch}/tree/t.json", {"result": [
+        {"categoryId": 1, "categoryNameEn": "Hardware", "childrenList": [
+            {"categoryId": 2, "parentId": 1, "categoryNameEn": "Screws"}]}]})
     root = f"{scratch}/catalog"
-    v1 = api.ingest(spark, landing, root, "2024-05-01 00:00:00", mark_unseen_stock=False)
+    v1 = api.ingest(spark, f"{scratch}/landing", root, "2024-05-01 00:00:00",
+                    category_tree=f"{scratch}/tree", category_root_path="$.result")
+    catalog = Catalog(spark, root)
+    assert {r.id: r.name_en for r in catalog.read("categories").collect()} == {
+        1: "Hardware", 2: "Screws"}
 
-    comps, cats, mfrs = _vendor(spark)
-    for name, df in (("components", comps), ("categories", cats), ("manufacturers", mfrs)):
+    for name, df in zip(("components", "categories", "manufacturers"), _vendor(spark), strict=True):
         df.write.parquet(f"{scratch}/vendor/{name}")
     res = api.enrich(spark, root, f"{scratch}/vendor", "2024-05-02 00:00:00")
-    assert res["version"] == v1 + 1 and res["affected"] == 1
+    assert res["version"] > v1 and res["affected"] == 1
 
-    products, _ = catalog_tables(spark, root)
-    rows = {r.sku: r for r in products.read().collect()}
-    assert rows["C89188"].brand_name == "Mine" and rows["C89188"].vendor_stock == 15369
-    assert rows["C89188"].mfr_part_number == "0603X105K160NT" and rows["C5"].stock == 1
-    assert "merge_action" not in products.read().columns
+    rows = {r.sku: r for r in catalog.read("products").collect()}
+    assert rows["C420"].brand_name == "Mine" and rows["C420"].vendor_stock == 9000
+    assert rows["C420"].mfr_part_number == "PH-M3x8" and rows["C5"].stock == 1
+    names = {r.id: r.name_en for r in catalog.read("categories").collect()}
+    assert names == {1: "Machine screws, pan head", 2: "Screws"}
+    written = spark.read.parquet(f"{root}/products/v{res['version']:08d}")
+    assert "merge_action" not in written.columns
 
     published = api.publish(spark, root, f"{scratch}/publish", ["search_only", "no_raw_json"])
     man = api.release_manifest(spark, published, "2024-05-02 00:00:00 UTC")
@@ -39,3 +50,4 @@ def test_workflows_end_to_end(spark, scratch):
     assert set(got) == {"search_only", "no_raw_json"}
     assert all(r.db_size_bytes > 0 and r.db_size.endswith("B") for r in got.values())
     assert S.PRODUCT_KEY in spark.read.parquet(f"{scratch}/publish/search_only/search_docs").columns
+    assert spark.read.parquet(f"{scratch}/publish/search_only/categories").count() == 2

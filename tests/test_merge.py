@@ -100,7 +100,7 @@ def test_running_sum_matches_window(spark):
 
 def test_product_schema_round_trip(spark):
     empty = spark.createDataFrame([], S.PRODUCT_SCHEMA)
-    assert merge(empty, empty, ["sku"]).columns == S.PRODUCT_COLUMNS
+    assert merge(empty, empty, ["sku"], source_is_unique=True).columns == S.PRODUCT_COLUMNS
 
 
 def test_bucketed_target_is_not_shuffled(spark, scratch):
@@ -117,3 +117,15 @@ def test_bucketed_target_is_not_shuffled(spark, scratch):
     assert _sorted(bucketed) == _sorted(plain)
     plan = bucketed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1  # only the batch side
+
+
+def test_sources_must_be_ordered_or_unique(spark):
+    import pytest
+
+    t = spark.createDataFrame([("k1", 1)], "k string, v long")
+    twice = spark.createDataFrame([("k1", 2), ("k1", 3)], "k string, v long")
+    with pytest.raises(ValueError, match="order_by"):
+        merge(t, twice, ["k"])
+    with pytest.raises(Exception, match="repeated key"):
+        merge(t, twice, ["k"], source_is_unique=True).collect()
+    assert _sorted(merge(t, twice.limit(1), ["k"], source_is_unique=True)) == [("k1", 2)]

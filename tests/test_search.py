@@ -10,18 +10,18 @@ from partsmith.operators.search import catalog_filter, facet_counts, page_envelo
 from tests.helpers import products_df
 
 ROWS = [
-    {"sku": "C12345", "mfr_part_number": "STM32F103C8T6", "brand_name": "STMicroelectronics",
-     "package": "LQFP-48", "description": "ARM Cortex-M3 32-bit MCU 72MHz 64KB Flash",
-     "first_category_name": "Microcontrollers", "second_category_name": "ARM", "stock": 5000,
-     "vendor_stock": 3000, "vendor_library_type": "Basic", "pdf_url": "https://example.com/stm32.pdf",
-     "category_id": 1, "raw_json": "{\"stm32\": 1}"},
-    {"sku": "C67890", "mfr_part_number": "ESP32-WROOM-32D", "brand_name": "Espressif",
-     "package": "SMD-38", "description": "Wi-Fi & Bluetooth MCU Module 240MHz",
-     "first_category_name": "Wireless Modules", "second_category_name": "Bluetooth",
-     "stock": 1200, "vendor_stock": 800, "vendor_library_type": "Preferred",
-     "pdf_url": "https://example.com/esp32.pdf", "category_id": 2},
-    {"sku": "C55555", "mfr_part_number": "RES-1K", "brand_name": "Résistance SA",
-     "package": "0402", "description": "Thick film resistor", "stock": 0, "category_id": 1},
+    {"sku": "C11", "mfr_part_number": "LANTERN-9W", "brand_name": "Halmar",
+     "package": "box of 6", "description": "Garden lantern with warm light, mains powered",
+     "first_category_name": "Lighting", "second_category_name": "Outdoor", "stock": 40,
+     "vendor_stock": 12, "vendor_library_type": "Basic", "pdf_url": "https://example.com/lantern.pdf",
+     "category_id": 1, "raw_json": "{\"w\": 9}"},
+    {"sku": "C22", "mfr_part_number": "TORCH-USB", "brand_name": "Brightco",
+     "package": "single", "description": "Re-chargeable torch with cold light",
+     "first_category_name": "Lighting", "second_category_name": "Portable",
+     "stock": 15, "vendor_stock": 5, "vendor_library_type": "Preferred",
+     "pdf_url": "https://example.com/torch.pdf", "category_id": 2},
+    {"sku": "C33", "mfr_part_number": "WIRE-2M", "brand_name": "Câblerie du Lac",
+     "package": "roll", "description": "Copper wire, 2 m", "stock": 0, "category_id": 1},
 ]
 
 
@@ -34,65 +34,65 @@ def skus(df):
 
 
 def test_search_finds_exactly_the_part(spark):
-    hits = search(_p(spark), all=["STM32"]).collect()
-    assert [h.sku for h in hits] == ["C12345"]
-    assert hits[0].stock == 5000 and hits[0].vendor_library_type == "Basic"
+    hits = search(_p(spark), all=["Lantern"]).collect()
+    assert [h.sku for h in hits] == ["C11"]
+    assert hits[0].stock == 40 and hits[0].vendor_library_type == "Basic"
 
 
 def test_unindexed_columns_never_match(spark):
-    assert skus(search(_p(spark), all=["stm32.pdf"])) == []
-    assert skus(search(_p(spark), all=["5000"])) == []
+    assert skus(search(_p(spark), all=["lantern.pdf"])) == []
+    assert skus(search(_p(spark), all=["https"])) == []
 
 
 def test_case_folding_and_accents(spark):
-    assert skus(search(_p(spark), all=["RÉSISTANCE"])) == ["C55555"]
-    assert skus(search(_p(spark), all=["resistance"])) == []
+    assert skus(search(_p(spark), all=["CÂBLERIE"])) == ["C33"]
+    assert skus(search(_p(spark), all=["cablerie"])) == []
 
 
 def test_short_terms(spark):
     assert skus(search(_p(spark), all=["zz"])) == []
-    assert skus(search(_p(spark), all=["zz", "stm32"])) == ["C12345"]
+    assert skus(search(_p(spark), all=["zz", "lantern"])) == ["C11"]
 
 
 def test_terms_may_match_in_different_columns(spark):
-    assert skus(search(_p(spark), all=["stm32", "cortex"])) == ["C12345"]
-    assert skus(search(_p(spark), any=["esp32", "stm32"])) == ["C12345", "C67890"]
-    assert skus(search(_p(spark), all=["mcu"], none=["wi-fi"])) == ["C12345"]
+    assert skus(search(_p(spark), all=["lantern", "mains"])) == ["C11"]
+    assert skus(search(_p(spark), any=["torch", "lantern"])) == ["C11", "C22"]
+    assert skus(search(_p(spark), all=["light"], none=["re-ch"])) == ["C11"]
 
 
 def test_key_lookup_and_topk(spark):
-    assert _p(spark).filter(F.col("sku") == "C67890").count() == 1
-    top = top_k(search(_p(spark), all=["mcu"]), 1, [F.col("stock").desc()], ["sku"]).collect()
-    assert [r.sku for r in top] == ["C12345"]
+    assert _p(spark).filter(F.col("sku") == "C22").count() == 1
+    top = top_k(search(_p(spark), all=["light"]), 1, [F.col("stock").desc()], ["sku"]).collect()
+    assert [r.sku for r in top] == ["C11"]
 
 
 def test_filters_absent_arguments_add_nothing(spark):
     p = _p(spark)
     assert catalog_filter(p).count() == 3
-    assert skus(catalog_filter(p, category_ids=1)) == ["C12345", "C55555"]
-    assert skus(catalog_filter(p, category_ids=1, instock_only=True)) == ["C12345"]
-    assert skus(catalog_filter(p, keyword="wroom")) == ["C67890"]
+    assert skus(catalog_filter(p, category_ids=1)) == ["C11", "C33"]
+    assert skus(catalog_filter(p, category_ids=1, instock_only=True)) == ["C11"]
+    assert skus(catalog_filter(p, keyword="usb")) == ["C22"]
     assert catalog_filter(p, category_ids=[]).count() == 0
     assert catalog_filter(p, category_ids=[], empty_means_all=True).count() == 3
-    assert skus(catalog_filter(p, brand_ids=[], category_ids=2, empty_means_all=True)) == ["C67890"]
+    assert skus(catalog_filter(p, brand_ids=[], category_ids=2, empty_means_all=True)) == ["C22"]
 
 
 def test_page_envelope_and_facets(spark):
     p = _p(spark)
     pg = page_envelope(p, 2, 2).collect()
-    assert [r.sku for r in pg] == ["C67890"]
+    assert [r.sku for r in pg] == ["C33"]
     assert pg[0].total_row == 3 and pg[0].total_page == 2 and pg[0].curr_page == 2
     f = {r.brand_name: (r.n, r.total_count) for r in facet_counts(p, "brand_name").collect()}
-    assert f["Espressif"] == (1, 3)
+    assert f["Brightco"] == (1, 3)
 
 
 def test_postings_written_and_searched(spark, scratch):
     p = _p(spark)
     cols = ["mfr_part_number", "description"]
-    write_postings(build_postings(p, ["sku"], cols), f"{scratch}/postings", files=2)
+    write_postings(build_postings(p, ["sku"], cols), f"{scratch}/postings")
     posts = spark.read.parquet(f"{scratch}/postings")
-    hits = search_indexed(p, posts, ["sku"], all=["cortex"], columns=cols)
-    assert skus(hits) == ["C12345"]
+    hits = search_indexed(p, posts, ["sku"], all=["mains"], columns=cols)
+    assert skus(hits) == ["C11"]
     # every trigram of "abcde" occurs, the term itself does not: verification drops it
     q = products_df(spark, [{"sku": "C1", "mfr_part_number": "x", "description": "abcd bcde"}])
     qp = build_postings(q, ["sku"], cols)
@@ -121,3 +121,30 @@ def test_bulk_paging(spark):
     df = spark.range(0, 250, 1, 5).selectExpr("id * 7 % 250 AS k")
     got = {r.k: (r.page, r.pos) for r in assign_pages(df, 100, ["k"]).collect()}
     assert got[0] == (1, 0) and got[99] == (1, 99) and got[100] == (2, 0) and got[249] == (3, 49)
+
+
+def test_repeated_keys_are_found_like_the_scan(spark):
+    rows = [("k", "abcabc xyz"), ("k", "abcabc"), ("m", "zabcabc")]
+    df = spark.createDataFrame(rows, "id string, body string")
+    posts = build_postings(df, ["id"], ["body"])
+    got = search_indexed(df, posts, ["id"], all=["abcabc"], columns=["body"])
+    assert sorted(got.collect()) == sorted(search(df, all=["abcabc"], columns=["body"]).collect())
+    assert got.count() == 3
+
+
+def test_postings_of_a_dominating_trigram_are_spread(spark, scratch):
+    posts = spark.range(20000).selectExpr(
+        "if(id % 10 = 0, lpad(string(id % 700), 3, '0'), 'the') AS trigram", "id", "'body' AS column")
+    write_postings(posts, f"{scratch}/p", rows_per_file=2500)
+    back = spark.read.parquet(f"{scratch}/p")
+    sizes = [r[1] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) == 8 and max(sizes) < 2 * 2500
+    plan = back.filter(F.col("trigram").isin("the", "012"))._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(trigram" in plan
+
+
+def test_folding_has_no_context_rules(spark):
+    df = spark.createDataFrame([("ΟΔΟΣΑ",)], "body string")
+    assert search(df, all=["ΟΔΟΣ"], columns=["body"]).count() == 1
+    posts = build_postings(df, ["body"], ["body"])
+    assert search_indexed(df, posts, ["body"], all=["ΟΔΟΣ"], columns=["body"]).count() == 1

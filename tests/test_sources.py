@@ -17,8 +17,8 @@ def test_vendor_tables_round_trip_parquet_and_csv(spark, scratch):
         t = read_vendor_tables(spark, base, fmt)
         got = [(f.name, f.dataType) for f in t["components"].schema.fields]
         assert got == [(f.name, f.dataType) for f in S.VENDOR_COMPONENT_SCHEMA.fields]
-        assert t["components"].collect()[0].part_code == 89188
-        assert t["manufacturers"].collect()[0].name == "Sunlord"
+        assert t["components"].collect()[0].part_code == 420
+        assert t["manufacturers"].collect()[0].name == "Ostra"
 
 
 def test_file_bytes_of_written_tables(spark, scratch):
@@ -29,6 +29,15 @@ def test_file_bytes_of_written_tables(spark, scratch):
 
 
 def test_single_category_run(spark):
-    r = single_category_work_list(spark, 1434).collect()
+    r = single_category_work_list(spark, 77).collect()
     assert [(x.id, x.path, x.product_num, x.cat_idx, x.total_cats) for x in r] == \
-        [(1434, "Category #1434", None, 1, 1)]
+        [(77, "Category #77", None, 1, 1)]
+
+
+def test_optional_table_by_uri_and_path(spark, scratch):
+    from partsmith.sources.tables import read_optional
+
+    spark.range(3).write.parquet(f"{scratch}/cats")
+    for path in (f"{scratch}/cats", f"file:{scratch}/cats", f"file://{scratch}/cats"):
+        assert read_optional(spark, path, spark.range(1).schema).count() == 3
+    assert read_optional(spark, f"file:{scratch}/none", spark.range(1).schema).count() == 0

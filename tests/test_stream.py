@@ -1,17 +1,20 @@
-"""Streaming ingest (foreachBatch upsert per landed page file) equals the
-batch upsert of the same pages, and replaying is harmless."""
+"""Streaming ingest (foreachBatch upsert of landed page files) equals the batch upsert of
+the same pages, loses nothing, and replaying is harmless."""
 
 import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from partsmith import schemas as S
+from partsmith.operators.align import align_schema
 from partsmith.operators.ingest import catalog_rows, records_from_documents
 from partsmith.operators.merge import const, merge
 from partsmith.sources.documents import inline_pages
-from partsmith.streaming.ingest import ORDER, catalog_tables, run_stream
+from partsmith.streaming.catalog import Catalog
+from partsmith.streaming.ingest import ORDER, ingest_batch, run_stream
 
 RUN_TS = "2024-03-01 00:00:00"
 
@@ -29,21 +32,45 @@ def _pages():
     return [p1, p2, p3]
 
 
-def _land(folder):
-    os.makedirs(folder)
-    for i, p in enumerate(_pages()):
-        with open(os.path.join(folder, f"page-{i:03d}.json"), "w") as f:
-            f.write(json.dumps(p) + "\n")
+def _land(folder, pages, per_file=1):
+    """Page envelopes (dicts, or raw lines) as files whose names sort in arrival order."""
+    os.makedirs(folder, exist_ok=True)
+    lines = [p if isinstance(p, str) else json.dumps(p) for p in pages]
+    for i in range(0, len(lines), per_file):
+        path = os.path.join(folder, f"page-{i:03d}.json")
+        with open(path, "w") as f:
+            f.write("\n".join(lines[i:i + per_file]) + "\n")
         t = time.time() - 100 + i
-        os.utime(os.path.join(folder, f"page-{i:03d}.json"), (t, t))
+        os.utime(path, (t, t))
 
 
-def test_stream_equals_batch_and_replay_is_harmless(spark, scratch):
-    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
-    _land(landing)
-    final = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False)
-    products, params_t = catalog_tables(spark, table)
-    streamed = products.read(final)
+def _page(n, *products):
+    return {"dataList": list(products), "currPage": n, "totalRow": len(products), "totalPage": 9}
+
+
+def _product(code, stock, **more):
+    return {"productCode": code, "productModel": "m-" + code, "stockNumber": stock} | more
+
+
+def _seeded(spark, root, stocks):
+    rows = spark.createDataFrame([(k, "old", v) for k, v in stocks.items()],
+                                 "sku string, mfr_part_number string, stock long")
+    rows = align_schema(rows.withColumn("last_updated", F.lit("2024-01-01").cast("timestamp_ntz")),
+                        S.PRODUCT_SCHEMA)
+    catalog = Catalog(spark, root, buckets=3)
+    catalog.seed(products=rows)
+    return catalog
+
+
+def _stocks(catalog):
+    return {r.sku: r.stock for r in catalog.read("products").collect()}
+
+
+def test_stream_equals_batch_and_rerun_is_harmless(spark, scratch):
+    landing, root, ckpt = f"{scratch}/landing", f"{scratch}/catalog", f"{scratch}/ckpt"
+    _land(landing, _pages())
+    final = run_stream(spark, landing, root, ckpt, RUN_TS, files_per_trigger=1)
+    catalog = Catalog(spark, root)
 
     # batch: one merge of every page in file/page/position order
     env = spark.read.text(landing).select(F.col("value").alias("doc"),
@@ -55,47 +82,103 @@ def test_stream_equals_batch_and_replay_is_harmless(spark, scratch):
     def snap(df):
         return sorted((r.sku, r.mfr_part_number, r.stock) for r in df.collect())
 
-    assert snap(streamed) == snap(batch) == [("C1", "a2", 9), ("C2", "b", 7), ("C4", "d", 0)]
-    params = params_t.read(final)
-    assert params.count() == 0  # C1's last page carried no params
-
-    # a second run over the same checkpoint finds nothing new: same table
-    again = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False)
-    assert again == final
-    assert snap(products.read()) == snap(batch)
-
-
-def test_stream_marks_unseen_at_the_end(spark, scratch):
-    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
-    _land(landing)
-    products, params_t = catalog_tables(spark, table)
-    old = spark.createDataFrame([("C9", "z", 3)], "sku string, mfr_part_number string, stock long")
-    from partsmith.operators.align import align_schema
-    seed = align_schema(old.withColumn("last_updated", F.lit("2024-01-01").cast("timestamp_ntz")),
-                        S.PRODUCT_SCHEMA)
-    products.write(seed, 0)
-    params_t.write(spark.createDataFrame([], S.PARAM_SCHEMA), 0)
-    products.publish(0)
-    final = run_stream(spark, landing, table, ckpt, RUN_TS)
-    out = {r.sku: r.stock for r in products.read(final).collect()}
-    assert out["C9"] == 0 and out["C1"] == 9
-
-
-def test_page_cap(spark, scratch):
-    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
-    _land(landing)
-    final = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False, max_pages=1)
-    products, _ = catalog_tables(spark, table)
-    got = sorted((r.sku, r.mfr_part_number) for r in products.read(final).collect())
-    # page 2 (C1 -> "a2") is beyond the cap; the page-1 values stay
-    assert got == [("C1", "a"), ("C2", "b"), ("C4", "d")]
-
-
-def test_several_files_per_micro_batch(spark, scratch):
-    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
-    _land(landing)  # page-000.json, page-001.json, ... : paths sort in arrival order
-    final = run_stream(spark, landing, table, ckpt, RUN_TS, mark_unseen_stock=False,
-                       files_per_trigger=10)
-    products, _ = catalog_tables(spark, table)
-    got = sorted((r.sku, r.mfr_part_number, r.stock) for r in products.read(final).collect())
-    assert got == [("C1", "a2", 9), ("C2", "b", 7), ("C4", "d", 0)]
+    assert snap(catalog.read("products")) == snap(batch) == [
+        ("C1", "a2", 9), ("C2", "b", 7), ("C4", "d", 0)]
+    assert catalog.read("product_params").count() == 0  # C1's last page carried none
+    # a second run over the same checkpoint finds nothing new
+    assert run_stream(spark, landing, root, ckpt, RUN_TS) == final
+    assert snap(catalog.read("products")) == snap(batch)
+
+
+def test_unseen_rejected_and_uncovered_products(spark, scratch):
+    root = f"{scratch}/catalog"
+    catalog = _seeded(spark, root, {"C1": 5, "C2": 6, "C3": 7, "C9": 3})
+    # C1 is rejected (bad stock), C2 refreshed, C3 and C9 not there
+    _land(f"{scratch}/a", [_page(1, _product("C1", "bad"), _product("C2", 8))])
+    run_stream(spark, f"{scratch}/a", root, f"{scratch}/ca", RUN_TS)
+    assert _stocks(catalog) == {"C1": 5, "C2": 8, "C3": 0, "C9": 0}
+    rejects = catalog.read("rejects").collect()
+    assert [(r.sku, r.reject_reason) for r in rejects] == [("C1", "stockNumber")]
+    assert json.loads(rejects[0].doc)["productCode"] == "C1"
+
+
+@pytest.mark.parametrize("case", ["cut line", "no key", "nothing landed", "part of the catalog"])
+def test_stock_stays_when_the_run_cannot_know(spark, scratch, case):
+    root = f"{scratch}/catalog"
+    catalog = _seeded(spark, root, {"C1": 5, "C3": 7})
+    good = json.dumps(_page(1, _product("C1", 6)))
+    pages = {"cut line": [good, json.dumps(_page(2, _product("C3", 8)))[:-25]],
+             "no key": [good, _page(2, {"stockNumber": "bad"})],
+             "nothing landed": [], "part of the catalog": [good]}[case]
+    os.makedirs(f"{scratch}/in")
+    _land(f"{scratch}/in", pages)
+    run_stream(spark, f"{scratch}/in", root, f"{scratch}/ck", RUN_TS,
+               whole_catalog=case != "part of the catalog")
+    assert _stocks(catalog) == {"C1": 5 if case == "nothing landed" else 6, "C3": 7}
+    assert catalog.read("bad_pages").count() == (case == "cut line")
+
+
+@pytest.mark.parametrize("per_file,per_trigger", [(1, 1), (1, 3), (1, 10), (2, 1), (3, 1)])
+def test_last_page_decides_parameters(spark, scratch, per_file, per_trigger):
+    def with_param(v):
+        return _product("C1", 1, paramVOList=[{"paramNameEn": "R", "paramValueEn": v}])
+
+    pages = [_page(1, with_param("1k")), _page(2, with_param("2k")), _page(3, _product("C2", 2))]
+    _land(f"{scratch}/in", pages, per_file)
+    run_stream(spark, f"{scratch}/in", f"{scratch}/c", f"{scratch}/ck", RUN_TS,
+               files_per_trigger=per_trigger)
+    params = Catalog(spark, f"{scratch}/c").read("product_params").collect()
+    assert [(r.sku, r.param_name, r.param_value) for r in params] == [("C1", "R", "2k")]
+
+
+def _batch(spark, pages):
+    return spark.createDataFrame([(json.dumps(p), f"f{i}") for i, p in enumerate(pages)],
+                                 "doc string, source_file string")
+
+
+def test_replayed_batch_is_skipped(spark, scratch):
+    catalog = _seeded(spark, f"{scratch}/c", {"C1": 5})
+    batch = _batch(spark, [_page(1, _product("C1", 6))])
+    ingest_batch(catalog, batch, RUN_TS, source=("ck", 0))
+    v = catalog.current_version()
+    ingest_batch(catalog, batch, RUN_TS, source=("ck", 0))
+    assert catalog.current_version() == v
+    ingest_batch(catalog, batch, RUN_TS, source=("ck", 1))
+    assert catalog.current_version() == v + 1
+
+
+def test_crash_between_write_and_commit(spark, scratch, monkeypatch):
+    catalog = _seeded(spark, f"{scratch}/c", {"C1": 5, "C2": 6})
+    batch = _batch(spark, [_page(1, _product("C1", 9))])
+
+    def crash(*a):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(catalog, "publish", crash)
+    with pytest.raises(RuntimeError):
+        ingest_batch(catalog, batch, RUN_TS, source=("ck", 0))
+    monkeypatch.undo()
+    assert _stocks(catalog) == {"C1": 5, "C2": 6}
+    ingest_batch(catalog, batch, RUN_TS, source=("ck", 0))
+    assert _stocks(catalog) == {"C1": 9, "C2": 6}
+
+
+def test_unreadable_pointer_is_an_error_not_an_empty_catalog(spark, scratch):
+    catalog = _seeded(spark, f"{scratch}/c", {"C1": 5})
+    path = f"{scratch}/c/_versions/00000000.json"
+    with open(path, "w") as f:
+        f.write('{"buckets"')
+    crc = f"{scratch}/c/_versions/.00000000.json.crc"
+    if os.path.exists(crc):
+        os.unlink(crc)
+    with pytest.raises(ValueError):
+        ingest_batch(catalog, _batch(spark, [_page(1, _product("C2", 1))]), RUN_TS)
+
+
+def test_only_touched_buckets_are_rewritten(spark, scratch):
+    catalog = _seeded(spark, f"{scratch}/c", {f"C{i}": i for i in range(30)})
+    before = catalog.state()["tables"]["products"]
+    ingest_batch(catalog, _batch(spark, [_page(1, _product("C7", 70))]), RUN_TS)
+    after = catalog.state()["tables"]["products"]
+    assert sum(before[b] != after[b] for b in before) == 1 and before.keys() == after.keys()
+    assert _stocks(catalog) == {f"C{i}": i for i in range(30)} | {"C7": 70}

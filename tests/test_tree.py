@@ -20,10 +20,10 @@ from partsmith.sources.trees import (
     unroll_tree,
 )
 
-TREE = [{"categoryId": 1433, "categoryNameEn": "Passives", "childrenList": [
-    {"categoryId": 1434, "parentId": 1433, "categoryNameEn": "Resistors"},
-    {"categoryId": 1435, "parentId": 1433, "categoryNameEn": "", "categoryNameCn": "电容"}]}]
-CATALOG = [{"catalogId": 1433, "catalogNameEn": "Passives", "productNum": 40000}]
+TREE = [{"categoryId": 10, "categoryNameEn": "Tools", "childrenList": [
+    {"categoryId": 11, "parentId": 10, "categoryNameEn": "Saws"},
+    {"categoryId": 12, "parentId": 10, "categoryNameEn": "", "categoryNameCn": "锤子"}]}]
+CATALOG = [{"catalogId": 10, "catalogNameEn": "Tools", "productNum": 9}]
 
 
 def _doc(spark, obj):
@@ -33,22 +33,22 @@ def _doc(spark, obj):
 def test_unroll_every_node_preorder(spark):
     nodes = unroll_tree(_doc(spark, TREE))
     recs = category_records(nodes).orderBy("path_key").collect()
-    assert [r.id for r in recs] == [1433, 1434, 1435]
-    assert recs[1].parent_id == 1433 and recs[2].name_en == ""
+    assert [r.id for r in recs] == [10, 11, 12]
+    assert recs[1].parent_id == 10 and recs[2].name_en == ""
 
 
 def test_leaf_breadcrumbs_use_leaves_only(spark):
     leaves = breadcrumb_leaves(unroll_tree(_doc(spark, TREE))).orderBy("path_key").collect()
-    assert [(r.id, r.path) for r in leaves] == [(1434, "Passives > Resistors"),
-                                               (1435, "Passives > 电容")]
+    assert [(r.id, r.path) for r in leaves] == [(11, "Tools > Saws"),
+                                               (12, "Tools > 锤子")]
 
 
 def test_catalog_expected_total(spark):
-    cats = [{"catalogId": 1, "catalogNameEn": "Resistors", "productNum": 150},
-            {"catalogId": 2, "catalogNameEn": "Capacitors", "productNum": 250},
+    cats = [{"catalogId": 1, "catalogNameEn": "Saws", "productNum": 30},
+            {"catalogId": 2, "catalogNameEn": "Clamps", "productNum": 12},
             {"catalogId": 0, "catalogNameEn": "zero id", "productNum": 5}]
     leaves = breadcrumb_leaves(unroll_tree(_doc(spark, cats), CATALOG_NODE), label_en_id)
-    assert leaves.agg({"product_num": "sum"}).collect()[0][0] == 400
+    assert leaves.agg({"product_num": "sum"}).collect()[0][0] == 42
     assert sorted(r.id for r in leaves.collect()) == [1, 2]
 
 
@@ -88,7 +88,7 @@ def test_work_list_falls_back_to_catalog_leaves(spark):
     empty = leaf_paths(spark.createDataFrame([], S.CATEGORY_SCHEMA), name_en_cn_id())
     cat = breadcrumb_leaves(unroll_tree(_doc(spark, CATALOG), CATALOG_NODE), label_en_id)
     out = work_list(empty, None, catalog_leaves=cat.drop("product_num")).collect()
-    assert [(r.id, r.path) for r in out] == [(1433, "Passives")]
+    assert [(r.id, r.path) for r in out] == [(10, "Tools")]
 
 
 def test_api_envelopes_unwrapped(spark, scratch):
@@ -101,11 +101,11 @@ def test_api_envelopes_unwrapped(spark, scratch):
         json.dump({"code": 200, "result": TREE}, f, indent=2)  # pretty-printed, one per file
     docs = read_json_files(spark, f"{scratch}/tree")
     nodes = unroll_tree(docs, root_path="$.result")
-    assert sorted(r.id for r in nodes.collect()) == [1433, 1434, 1435]
+    assert sorted(r.id for r in nodes.collect()) == [10, 11, 12]
     cat = _doc(spark, {"result": {"catalogList": CATALOG}})
     leaves = breadcrumb_leaves(unroll_tree(cat, CATALOG_NODE, root_path="$.result.catalogList"),
                                label_en_id)
-    assert [(r.id, r.product_num) for r in leaves.collect()] == [(1433, 40000)]
+    assert [(r.id, r.product_num) for r in leaves.collect()] == [(10, 9)]
     facet = _doc(spark, {"result": {"totalCount": 3, "Manufacturer": [{"id": "9", "name": "X"}]}})
     assert [(r.brand_id, r.total_count) for r in parse_facets(unwrap(facet, "$.result")).collect()] == [(9, 3)]
 
@@ -114,3 +114,24 @@ def test_catalog_count_defaults_to_zero(spark):
     cats = [{"catalogId": 5, "catalogNameEn": "No count"}]
     leaves = breadcrumb_leaves(unroll_tree(_doc(spark, cats), CATALOG_NODE), label_en_id)
     assert [(r.id, r.product_num) for r in leaves.collect()] == [(5, 0)]
+
+
+def test_roots_with_zero_parent_and_orphans_are_kept(spark):
+    rows = [(1, 0, "Zero", None, None), (2, 1, "A", None, None), (3, 77, "Orphan", None, None),
+            (4, 3, "Below", None, None)]
+    nodes = spark.createDataFrame(rows, S.CATEGORY_SCHEMA)
+    got = {r.id: (r.depth, r.preorder_pos) for r in flatten(nodes).collect()}
+    assert got == {1: (0, 1), 2: (1, 2), 3: (0, 3), 4: (1, 4)}
+    assert {r.id: r.path for r in leaf_paths(nodes).collect()} == {2: "Zero > A", 4: "Orphan > Below"}
+
+
+def test_cycles_are_an_error_and_depth_is_not_limited(spark):
+    import pytest
+
+    bad = spark.createDataFrame([(1, None, "R", None, None), (2, 3, "x", None, None),
+                                 (3, 2, "y", None, None)], S.CATEGORY_SCHEMA)
+    with pytest.raises(ValueError, match="cycle"):
+        tree_paths(bad)
+    chain = spark.createDataFrame([(i, i - 1, f"n{i}", None, None) for i in range(1, 12)],
+                                  S.CATEGORY_SCHEMA)
+    assert tree_paths(chain).agg({"depth": "max"}).first()[0] == 10

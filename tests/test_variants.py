@@ -13,8 +13,8 @@ from tests.helpers import products_df
 
 
 def _base(spark):
-    cats = spark.createDataFrame([(1, None, "Microcontrollers", None, None),
-                                  (2, None, "Wireless Modules", None, None)], S.CATEGORY_SCHEMA)
+    cats = spark.createDataFrame([(1, None, "Lighting", None, None),
+                                  (2, None, "Portable", None, None)], S.CATEGORY_SCHEMA)
     return {"products": products_df(spark, ROWS), "categories": cats}
 
 

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from partsmith.functions.formatting import embedded_json, format_duration, format_size, signed_pct
+from partsmith.functions.formatting import embedded_json, format_duration, signed_pct
 from partsmith.operators.report import (
     compare_to_baseline,
     format_size_exact,
@@ -29,7 +29,6 @@ def test_sizes(spark):
              (2 * 1024 ** 3, "2.00 GB"), (1152, "1.12 KB"), (1160, "1.13 KB")]
     for v, want in cases:
         assert _one(spark, format_size_exact, v) == want
-    assert _one(spark, format_size, 2048) == "2.00 KB"
 
 
 def test_signed_pct(spark):

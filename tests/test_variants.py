@@ -58,8 +58,8 @@ def test_align_schema_adds_missing_columns(spark):
     assert "raw_json" in missing_columns(legacy, S.PRODUCT_SCHEMA)
     out = align_schema(legacy, S.PRODUCT_SCHEMA, {"vendor_stock": 0})
     assert out.columns == S.PRODUCT_COLUMNS
-    r = out.filter("sku = 'C12345'").collect()[0]
-    assert r.vendor_stock == 0 and r.raw_json is None and r.stock == 5000
+    r = out.filter("sku = 'C11'").collect()[0]
+    assert r.vendor_stock == 0 and r.raw_json is None and r.stock == 40
 
 
 def test_optional_source_absent(spark, scratch):

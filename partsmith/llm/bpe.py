@@ -8,8 +8,8 @@ round looks up every adjacent pair by binary search over the sorted pair keys, t
 the lowest rank of each word and merges all its occurrences from the left.  A word
 leaves the array when none of its pairs can merge.
 
-Spark partitions the rows; each Python worker keeps a word memo of at most
-``MEMO_WORDS`` entries, which is emptied when full.
+Spark partitions the rows; each Python worker keeps a memo of chunks between white
+space, which is emptied when it has more than ``MEMO_CHUNKS`` entries.
 
 Defined cases: null and empty texts have no tokens and decode to ""; special token
 strings inside a text become their special ids, as the tokenizers library does.
@@ -27,14 +27,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-MEMO_WORDS = 200_000
-#: Longest word (in bytes) that is put into the memo.
-MEMO_BYTES = 64
+MEMO_CHUNKS = 300_000
+#: Longest chunk (in characters) that is put into the memo.
+MEMO_CHARS = 48
 #: Symbols encoded together in one flat array, unless one word is longer.
-BATCH_SYMBOLS = 1 << 20
+BATCH_SYMBOLS = 1 << 17
 
 #: Fixed by the vocabulary file's format: white space and word pattern.
 _SPACE = regex.compile(r"[\t-\r\x85\p{Z}]+")
+_CONTROL = regex.compile(r"[\x1c-\x1f]")
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r\x85\p{Z}\p{L}\p{N}]+")
 
 
@@ -60,6 +61,7 @@ class Bpe:
         self.tokens = [""] * n
         for token, i in [*self.vocab.items(), *self.special.items()]:
             self.tokens[i] = token
+        self.names = [str(i) for i in range(n)]
         self.size = n
         left, right, out = [], [], []
         for merge in model["merges"]:
@@ -79,8 +81,9 @@ class Bpe:
         self.memo: dict[str, tuple[str, str, int]] = {}
 
     # -- merge rounds --------------------------------------------------------------
-    def merge_words(self, batch: list[bytes]) -> list[np.ndarray]:
-        """Token ids of every (non-empty) word, all words merged in common rounds."""
+    def merge_words(self, batch: list[bytes]) -> tuple[list[int], list[int]]:
+        """Token ids of (non-empty) words, all merged in common rounds, one after the other, and
+        where each word's ids end."""
         lengths = np.array([len(w) for w in batch], np.int64)
         flat = np.frombuffer(b"".join(batch), np.uint8)
         symbols = self.byte_ids[flat]
@@ -117,24 +120,38 @@ class Bpe:
         who = np.concatenate([o for o, _ in done])
         ids = np.concatenate([s for _, s in done])
         order = np.argsort(who, kind="stable")
-        cuts = np.cumsum(np.bincount(who, minlength=len(batch)))[:-1]
-        return np.split(ids[order], cuts)
-
-    def _learn(self, fresh: list[str], into: dict[str, tuple[str, str, int]]) -> None:
-        group: list[str] = []
-        symbols = 0
-        for w in [*fresh, None]:
-            if w is None or symbols >= BATCH_SYMBOLS:
-                if group:
-                    for word, ids in zip(group, self.merge_words([g.encode() for g in group]),
-                                         strict=True):
-                        own = ids.tolist()
-                        into[word] = (" ".join(map(str, own)),
-                                      " ".join([self.tokens[i] for i in own]), len(own))
-                group, symbols = [], 0
-            if w is not None:
-                group.append(w)
-                symbols += len(w)
+        return (ids[order].tolist(),
+                np.cumsum(np.bincount(who, minlength=len(batch))).tolist())
+
+    def _merge_all(self, words: list[str]) -> dict[str, tuple[str, str, int]]:
+        """(ids joined by spaces, tokens joined by spaces, number of ids) of every word."""
+        out: dict[str, tuple[str, str, int]] = {}
+        group: list[bytes] = []
+        begin, symbols = 0, 0
+        for k, word in enumerate(words):
+            group.append(word.encode())
+            symbols += len(group[-1])
+            if symbols >= BATCH_SYMBOLS or k + 1 == len(words):
+                ids, ends = self.merge_words(group)
+                names, tokens = [self.names[i] for i in ids], [self.tokens[i] for i in ids]
+                a = 0
+                for w, b in zip(words[begin:k + 1], ends, strict=True):
+                    out[w] = (" ".join(names[a:b]), " ".join(tokens[a:b]), b - a)
+                    a = b
+                group, begin, symbols = [], k + 1, 0
+        return out
+
+    def _learn(self, chunks: list[str], into: dict[str, tuple[str, str, int]]) -> None:
+        """Encode chunks of text without white space; the pattern never reaches over one."""
+        cut = [_WORD.findall(c) for c in chunks]
+        words = self._merge_all(list({w for ws in cut for w in ws}))
+        for c, ws in zip(chunks, cut, strict=True):
+            if len(ws) == 1:
+                into[c] = words[ws[0]]
+            else:
+                got = [words[w] for w in ws]
+                into[c] = (" ".join([g[0] for g in got]), " ".join([g[1] for g in got]),
+                           sum(g[2] for g in got))
 
     # -- texts ---------------------------------------------------------------------
     def _pieces(self, text: str) -> Iterator[tuple[bool, str]]:
@@ -149,39 +166,39 @@ class Bpe:
             at = m.end()
         yield False, text[at:]
 
-    def _words(self, text: str) -> list[str]:
+    def _chunks(self, text: str) -> list[str]:
+        text = unicodedata.normalize("NFC", text)
         # final sigma has a context rule in str.lower(); the vocabulary's normalizer
         # lower-cases each character on its own
-        text = _SPACE.sub(" ", unicodedata.normalize("NFC", text))
         if "Σ" in text:
             text = text.replace("Σ", "σ")
-        return _WORD.findall(text.lower())
+        text = text.lower()
+        if _CONTROL.search(text):  # split() cuts at these, the pattern doesn't
+            return _SPACE.sub(" ", text).strip(" ").split(" ")
+        return text.split()
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """(number of ids, ids joined by spaces, decoded text) of every text."""
-        cut = [[(special, [p] if special else self._words(p))
+        cut = [[(special, [p] if special else self._chunks(p))
                 for special, p in self._pieces(t or "")] for t in texts]
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > MEMO_CHUNKS:
             self.memo.clear()
         known, once = self.memo, {}
-        fresh = {w for pieces in cut for special, ws in pieces if not special
-                 for w in ws if w not in known}
-        self._learn([w for w in fresh if len(w) <= MEMO_BYTES], known)
-        self._learn([w for w in fresh if len(w) > MEMO_BYTES], once)
-        for s, i in self.special.items():
-            once[("special", s)] = (str(i), s, 1)
+        fresh = list({c for pieces in cut for special, cs in pieces if not special
+                      for c in cs if c not in known})
+        self._learn([c for c in fresh if len(c) <= MEMO_CHARS], known)
+        self._learn([c for c in fresh if len(c) > MEMO_CHARS], once)
         out = []
         for pieces in cut:
             got = []
-            for special, ws in pieces:
+            for special, cs in pieces:
                 if special:
-                    got.append(once[("special", ws[0])])
-                elif once:
-                    got += [known[w] if w in known else once[w] for w in ws]
+                    got.append((str(self.special[cs[0]]), cs[0], 1))
                 else:
-                    got += [known[w] for w in ws]
-            out.append((sum(g[2] for g in got), " ".join([g[0] for g in got]),
-                        " ".join([g[1] for g in got])))
+                    got += [known[c] if c in known else once[c] for c in cs]
+            ids = [g[0] for g in got if g[2]]
+            out.append((sum([g[2] for g in got]), " ".join(ids),
+                        " ".join([g[1] for g in got if g[2]])))
         return out
 
     def encode(self, text: str | None) -> list[int]:

@@ -83,6 +83,8 @@ def choose(score: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Itera
         if not len(ok):
             continue
         s = score[i, ok]
+        if s.dtype == object:
+            s = np.array([min(max(int(x), _LONG[0]), _LONG[1]) for x in s], dtype=object)
         if len(ok) > k:
             if s.dtype == object:
                 pick = np.array(sorted(range(len(ok)), key=lambda j: (-s[j], j))[:k])
@@ -96,7 +98,7 @@ def choose(score: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Itera
         else:
             pick = np.arange(len(ok))
         for j in pick:
-            yield i, int(ids[ok[j]]), min(max(int(s[j]), _LONG[0]), _LONG[1])
+            yield i, int(ids[ok[j]]), int(s[j])
 
 
 def _pack(frame: pd.DataFrame) -> bytes:

@@ -34,17 +34,20 @@ other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from partsmith.llm.common import on_key, written
+from partsmith.llm.common import written
 from partsmith.llm.components import components
+from partsmith.llm.wordhash import WordHasher, groups, mix
 
 SIZE = 5
 #: Similarity threshold as a fraction, so that bounds are exact.
@@ -56,7 +59,6 @@ CHUNK = 1 << 14
 MAX_LIGHT = 24
 #: Cost of verifying one pair, in emitted rows.
 VERIFY_COST = 20.0
-MEMO_WORDS = 500_000
 #: A list longer than this (by the sketch) proposes in several parts.
 PART = 50_000
 
@@ -80,49 +82,44 @@ def light_keys(n: int, boundary: int) -> int:
     return sum(math.comb(n, overlap(n, m)) for m in partners(n) if m <= boundary)
 
 
-class _Memo(dict):
-    """Hash of each word, kept for at most ``MEMO_WORDS`` words."""
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14)]] = True
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                     0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = h
-        return h
 
+class Shingler:
+    """Sorted distinct shingle hashes of texts."""
 
-_FACTORS = np.array([xxhash.xxh64_intdigest(bytes([i])) | 1 for i in range(SIZE + 1)], np.uint64)
-
+    def __init__(self):
+        self.hasher = WordHasher(_BLANK)
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _FACTORS[0]
-    return x ^ (x >> np.uint64(29))
+    def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The shingles of every text of a column, in order."""
+        for _, data, ends in groups(texts):
+            yield from self._sets(data, ends)
 
+    def text(self, text: bytes) -> np.ndarray:
+        data = np.frombuffer(text, np.uint8)
+        return next(self._sets(data, np.array([len(data)])))
 
-class Shingler:
-    """Sorted distinct shingle hashes of a text."""
-
-    def __init__(self):
-        self.memo = _Memo()
-
-    def words(self, text: str | None) -> list[bytes]:
-        # bytes: lower() touches A-Z only, split() cuts at blanks and \t..\r only
-        return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        ws = self.words(text)
-        n = len(ws)
-        if not n:
-            return np.zeros(0, np.uint64)
-        w = np.fromiter(map(self.memo.__getitem__, ws), np.uint64, n)
-        if n < SIZE:
-            x = (w * _FACTORS[1:n + 1]).sum(dtype=np.uint64, keepdims=True)
-            return _mix(x + np.uint64(n))
-        x = w[:n - SIZE + 1] * _FACTORS[1]
+    def _sets(self, data: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+        w, counts = self.hasher.words(data, ends)
+        grams = w * _FACTORS[0]
         for i in range(1, SIZE):
-            x = x + w[i:n - SIZE + 1 + i] * _FACTORS[i + 1]
-        x = np.sort(_mix(x))
-        return x[np.r_[True, x[1:] != x[:-1]]] if len(x) > 1 else x
+            grams[:-i] += w[i:] * _FACTORS[i]  # those that run over the end aren't used
+        grams = mix(grams)
+        at = 0
+        for n in counts.tolist():
+            if n >= SIZE:
+                x = np.sort(grams[at:at + n - SIZE + 1])
+                yield x[np.r_[True, x[1:] != x[:-1]]]
+            elif n:
+                yield mix((w[at:at + n] * _FACTORS[:n]).sum(dtype=np.uint64, keepdims=True)
+                          + np.uint64(n))
+            else:
+                yield w[:0]
+            at += n
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -155,13 +152,16 @@ def _classes(documents: DataFrame) -> DataFrame:
         for batch in _texts(batches):
             sizes, sids = [], []
             id_type = batch.schema.field(0).type
-            for text in batch.column(1).to_pylist():
-                t = make(text)
+            fresh = []
+            for t in make.column(batch.column(1)):
                 sid = set_id(t) if len(t) else 0
                 sizes.append(len(t))
                 sids.append(sid)
                 if len(t) and _first_seen(seen, sid):
-                    np.add.at(counts, t >> np.uint64(64 - SKETCH_BITS), 1)
+                    fresh.append(t)
+            if fresh:
+                buckets = (np.concatenate(fresh) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+                counts += np.bincount(buckets, minlength=len(counts)).astype(np.uint32)
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()),
@@ -221,7 +221,7 @@ def choose_boundary(sketch: np.ndarray, histogram: dict[int, int]) -> int:
 def subset_keys(tokens: np.ndarray, boundary: int) -> list[tuple[int, int]]:
     """(key, sizes differ) of the fixed-size subsets of a light set, by the pair of sizes."""
     n, out = len(tokens), []
-    mixed = [int(x) for x in _mix(tokens)]
+    mixed = [int(x) for x in mix(tokens)]
     total, mask = sum(mixed), (1 << 64) - 1
     for m in partners(n):
         if m > boundary:
@@ -246,8 +246,7 @@ def _listed(documents: DataFrame, sketch: np.ndarray, boundary: int) -> DataFram
         make, seen = Shingler(), set()
         for batch in _texts(batches):
             cols: list[list] = [[], [], [], [], [], []]
-            for text in batch.column(1).to_pylist():
-                t = make(text)
+            for t in make.column(batch.column(1)):
                 n = len(t)
                 if not n:
                     continue
@@ -352,11 +351,11 @@ def _payloads(documents: DataFrame, wanted: DataFrame) -> DataFrame:
         zip_ = zstandard.ZstdCompressor(level=3)
         for batch in _texts(batches):
             sids, blobs = [], []
-            for text in batch.column(1).to_pylist():
-                t = make(text)
+            texts = batch.column(1)
+            for i, t in enumerate(make.column(texts)):
                 if len(t) and _first_seen(seen, sid := set_id(t)):
                     sids.append(sid)
-                    blobs.append(zip_.compress(b" ".join(make.words(text))))
+                    blobs.append(zip_.compress(texts[i].as_buffer()))
             yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()),
                                               pa.array(blobs, pa.binary())], ["sid", "z"])
 
@@ -374,7 +373,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             if sid not in last:
                 if len(last) >= 64:
                     last.clear()
-                last[sid] = make(zstandard.decompress(z).decode("utf-8", "surrogatepass"))
+                last[sid] = make.text(zstandard.decompress(z))
             return last[sid]
 
         for batch in batches:
@@ -445,28 +444,50 @@ def links(documents: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
-    """Per document row: ``doc_id, n_shingles, sid, component_id`` (the smallest doc_id
-    reachable by links, itself included)."""
+    """Per document row: ``doc_id, n_shingles, sid, comp`` (class and component, numbers of
+    this run) and ``component_id`` (the smallest doc_id reachable by links, itself
+    included)."""
     classes = written(_classes(documents), "classes")
     docs = classes.where("chunk is null").select("doc_id", "n", "sid")
     comp = links(documents, classes)
     full = _labels(docs.where("n > 0"), comp)
     low = full.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    out = full.join(low, on_key(full, low, ["comp"]), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "sid", "component_id")
+    out = full.join(low, "comp").select(
+        "doc_id", F.col("n").alias("n_shingles"), "sid", "comp", "component_id")
     empty = docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), "sid",
+                                       F.lit(None).cast("long").alias("comp"),
                                        F.col("doc_id").alias("component_id"))
     return out.unionByName(empty)
 
 
+def _tagged(documents: DataFrame) -> DataFrame:
+    """``documents`` with ``__n`` and ``__sid``, the size and class of each row's set."""
+    names = documents.columns
+
+    def run(batches):
+        make = Shingler()
+        for batch in batches:
+            sets = [(len(t), set_id(t) if len(t) else 0)
+                    for t in make.column(batch.column(names.index("text")))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([x[0] for x in sets], pa.int64()),
+                 pa.array([x[1] for x in sets], pa.int64())], [*names, "__n", "__sid"])
+
+    schema = StructType([*documents.schema.fields, StructField("__n", LongType()),
+                         StructField("__sid", LongType())])
+    return documents.mapInArrow(run, schema)
+
+
 def keep_one(documents: DataFrame) -> DataFrame:
-    """``documents`` with one row of each component: of the rows with the smallest id, the
-    one with the smallest text hash.  Rows without words are all kept."""
-    comp = jaccard_components(documents).where("n_shingles > 0 and doc_id = component_id")
-    make = documents.withColumn("__h", F.xxhash64("text"))
-    firsts = (comp.select("doc_id").distinct())
-    blank = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "") == ""
-    kept = make.where(~blank).join(firsts, "doc_id", "left_semi")
-    w = Window.partitionBy("doc_id").orderBy("__h")
-    kept = kept.withColumn("__r", F.row_number().over(w)).where("__r = 1")
-    return kept.drop("__h", "__r").unionByName(documents.where(blank))
+    """``documents`` with one row of each component: the one with the smallest id (null last),
+    then class, then text hash.  Rows without words are all kept."""
+    comp = jaccard_components(documents).where("n_shingles > 0")
+    chosen = comp.groupBy("comp").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), "doc_id", "sid")).alias("r")).select(
+        F.col("r.doc_id").alias("__id"), F.col("r.sid").alias("__rep"))
+    rows = _tagged(documents)
+    kept = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["__id"])
+                     & (rows["__sid"] == chosen["__rep"]), "left_semi")
+    one = kept.groupBy("doc_id", "__sid").agg(F.min_by(
+        F.struct(*documents.columns), F.xxhash64("text")).alias("row")).select("row.*")
+    return one.unionByName(rows.where("__n = 0").select(*documents.columns))

@@ -22,18 +22,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u != v").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either linked to one smaller node or only has larger ones."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("up")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+    n = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count(F.lit(1)).alias("n"))
+    return n.where("ups > 1 OR ups = 1 AND n > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, comp`` (smallest node reachable) for every node of ``edges (u, v)``, both
     long.  Loops and repeated edges are harmless; an empty table gives an empty one."""
     cur = written(edges.where("u != v").select(F.greatest("u", "v").alias("u"),
                                                F.least("u", "v").alias("v")).distinct(), "edges")
-    sign = None
-    while True:
-        # done when the edges are stars around the smallest node, i.e. unchanged
-        now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == sign or not now[0]:
-            break
-        sign = now
+    while not _are_stars(cur):
         cur = written(_star(_star(cur, True), False), "edges")
     return (cur.select(F.col("u").alias("node"), F.col("v").alias("comp"))
             .unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()))

@@ -16,11 +16,12 @@ frequent passages out of the lists).  Linked sets share one of their first
 ``n - ceil(0.8 n) + 1`` shingles, so only these are listed.  Light sets that can be
 linked with heavy ones are listed too.  A list first proposes its smallest class to
 each other one (a star, as many pairs as the list has entries); proposals within the
-length and positional bounds are verified on the whole texts and contracted.  Lists whose classes
-are then in one component are finished; of the others, every remaining pair from
-different components within the bounds is verified.  So all links between different
-components are found, while a large group of near copies costs about one pair per
-member and list.
+length and positional bounds are verified on the whole texts and contracted.  Lists whose
+classes are then in one component are finished.  In the others, the entries outside the
+list's largest component are first compared with one member of it, a different one in
+each list; of what is still open, every pair from different components within the
+bounds is verified.  So all links between different components are found, while a large
+group of near copies costs a few pairs per member and list.
 
 The boundary is the size up to which the subsets are cheaper than listing the set and
 verifying the expected partners, from the sketch's estimate of the mean list length.
@@ -423,24 +424,36 @@ def links(documents: DataFrame, classes: DataFrame) -> DataFrame:
     star = (lists.where(_bounded("sid", "lead", ("n", "pos", "lead_n", "lead_pos")))
             .select(F.greatest("sid", "lead").alias("u"), F.least("sid", "lead").alias("v"))
             .distinct())
-    found = written(subset_links.unionByName(_verified(star, texts)), "links")
-    comp = written(components(found), "components")
-    # what is left: lists with classes of different components
-    entries = written(_labels(lists.select("key", "sid", "n", "pos").distinct(), comp), "entries")
-    groups = entries.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
-    major = groups.groupBy("key").agg(
-        F.count(F.lit(1)).alias("comps"),
-        F.max(F.struct("size", "comp"))["comp"].alias("major")).where("comps > 1")
-    open_lists = written(entries.join(major.select("key", "major"), "key"), "open")
-    a, b = open_lists.where("comp != major").alias("a"), open_lists.alias("b")
-    pairs = a.join(b, F.expr(
-        "a.key = b.key AND a.comp != b.comp AND (b.comp = b.major OR a.sid < b.sid) AND "
-        + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))
-    pairs = pairs.select(F.greatest("a.sid", "b.sid").alias("u"),
-                         F.least("a.sid", "b.sid").alias("v")).distinct()
-    pairs = pairs.join(star, ["u", "v"], "left_anti")
-    more = _verified(pairs, texts)
-    return written(components(found.unionByName(more)), "components")
+    comp = written(components(subset_links.unionByName(_verified(star, texts))), "components")
+    entries = lists.select("key", "sid", "n", "pos").distinct()
+    for last in (False, True):
+        # lists with classes of different components, and the largest of these
+        entries = written(_labels(entries, comp), "entries")
+        groups = entries.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
+        major = groups.groupBy("key").agg(
+            F.count(F.lit(1)).alias("comps"),
+            F.max(F.struct("size", "comp")).alias("x")).where("comps > 1").select(
+            "key", F.col("x.comp").alias("major"), F.col("x.size").alias("size"))
+        unsettled = written(entries.join(major, "key"), "open")
+        if unsettled.isEmpty():
+            break
+        others, members = unsettled.where("comp != major"), unsettled
+        if not last:
+            # first one member of the largest component per list, another one in each list
+            members = (unsettled.where("comp = major").groupBy("key", "comp").agg(F.min_by(
+                F.struct("sid", "n", "pos"), F.xxhash64("key", "sid")).alias("x"))
+                .select("key", "comp", "x.*", F.col("comp").alias("major")))
+        pairs = others.alias("a").join(members.alias("b"), F.expr(
+            "a.key = b.key AND a.comp != b.comp AND (b.comp = b.major OR a.sid < b.sid) AND "
+            + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))
+        pairs = pairs.select(F.greatest("a.sid", "b.sid").alias("u"),
+                             F.least("a.sid", "b.sid").alias("v")).distinct()
+        more = written(_verified(pairs, texts), "links")
+        entries = unsettled.select("key", "sid", "n", "pos")
+        if not more.isEmpty():
+            stars = comp.select(F.col("node").alias("u"), F.col("comp").alias("v"))
+            comp = written(components(stars.unionByName(more)), "components")
+    return comp
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:

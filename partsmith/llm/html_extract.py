@@ -64,29 +64,39 @@ class Page:
     """Elements in page order (index 0 is the root) and the texts between them."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.noise = ["#root"], [-1], [False]
+        self.tag, self.parent, self.own = ["#root"], [-1], [""]
         self.last = [0]              # index of the last descendant
         self.texts: list[tuple[int, int, str]] = []  # (element, elements before it, text)
         self._parse(html)
+        # a name like "with-sidebar" on what holds the page's (first) article says nothing
+        first = next((i for i, t in enumerate(self.tag) if t in ("article", "main")), None)
+        while first is not None and first > 0:
+            if self.own[first] == "name":
+                self.own[first] = ""
+            first = self.parent[first]
+        self.noise = [False]
+        for own, p in zip(self.own[1:], self.parent[1:], strict=True):
+            self.noise.append(bool(own) or self.noise[p])
 
-    def _is_noise(self, tag: str, attrs: str, stack: list[int]) -> bool:
+    def _noise_kind(self, tag: str, attrs: str, stack: list[int]) -> str:
+        """Why an element is no article text: "tag", "hidden", "name" or nothing."""
         if tag in LEFT_OUT:
-            return True
+            return "tag"
         if tag == "header":  # an article's own header holds its heading
-            return not any(self.tag[i] in ("article", "main") for i in stack)
+            return "" if any(self.tag[i] in ("article", "main") for i in stack) else "tag"
         if not attrs or tag in ("html", "body", "article", "main"):
-            return False
+            return ""
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if name in ("class", "id") and _NOISE.search(value):
-                return True
-            if name == "role" and value.lower() in _NOISE_ROLES:
-                return True
             if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
+                return "hidden"
             if name == "style" and _HIDDEN.search(value):
-                return True
-        return False
+                return "hidden"
+            if name in ("class", "id") and _NOISE.search(value):
+                return "name"
+            if name == "role" and value.lower() in _NOISE_ROLES:
+                return "name"
+        return ""
 
     def _close(self, stack: list[int], depth: int) -> None:
         """Close all elements from place ``depth`` of the stack on."""
@@ -117,7 +127,7 @@ class Page:
         i = len(self.tag)
         self.tag.append(tag)
         self.parent.append(stack[-1])
-        self.noise.append(self.noise[stack[-1]] or self._is_noise(tag, attrs, stack))
+        self.own.append(self._noise_kind(tag, attrs, stack))
         self.last.append(i)
         if tag not in VOID:
             stack.append(i)

@@ -79,6 +79,15 @@ def test_main_text_of_a_page():
         "alpha item", "beta item", "cell one cell two", "Last one, over two lines."]
 
 
+def test_names_on_the_holder_of_the_article_do_not_count():
+    comments = ('<div class="comments"><article class="comment"><p>A reader writes a comment of some'
+                ' length here.</p></article></div>')
+    html = (f'<body><div class="page with-sidebar"><article><p>Real text one, long enough.</p>'
+            f'<p>Real text two, long enough.</p></article>{comments}'
+            '<div class="sidebar"><p>Links of the side bar</p></div></div></body>')
+    assert H.main_text(html) == "Real text one, long enough.\nReal text two, long enough."
+
+
 def test_several_sections_are_all_kept():
     parts = [f"<section><h2>Part {k}</h2>" + "".join(
         f"<p>Sentence {j} of part {k} with a number of words in it.</p>" for j in range(3 + 4 * k))

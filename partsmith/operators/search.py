@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partsmith import schemas as S
-from partsmith.functions.text import term_in_any, usable_terms
+from partsmith.functions.text import fold_literal, term_in_any, usable_terms
 
 
 def as_list(value) -> list | None:
@@ -92,7 +92,7 @@ def catalog_filter(df: DataFrame, category_ids=None, brand_ids=None,
     if instock_only:
         pred = pred & (F.col(stock_col) > 0)
     if keyword:
-        k = keyword.lower()
+        k = fold_literal(keyword)
         cols = list(keyword_columns or indexed_columns(df))
         pred = pred & term_in_any(k, cols) if len(cols) else pred
     return df.filter(pred)
@@ -107,12 +107,34 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column | str],
     return df.orderBy(*keys).limit(k)
 
 
+#: Rows up to which a page is taken from a per-task heap.
+HEAP_ROWS = 100_000
+
+
 def page(df: DataFrame, page_no: int, page_size: int = S.PAGE_SIZE,
          order: Sequence[str] = (S.PRODUCT_KEY,)) -> DataFrame:
-    """Page ``page_no`` (1-based) of ``page_size`` rows in a deterministic order."""
+    """Page ``page_no`` (1-based) of ``page_size`` rows in a deterministic (unique) order.
+    Early pages are a bounded heap per task; beyond ``HEAP_ROWS`` rows the page is cut by
+    distributed row numbers, so a deep page holds no more than its rows.  To walk through
+    pages use ``page_after``."""
     if page_no < 1 or page_size < 1:
         raise ValueError("page and page_size are 1-based positive numbers")
-    return df.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
+    skip = (page_no - 1) * page_size
+    if skip + page_size <= HEAP_ROWS:
+        return df.orderBy(*order).offset(skip).limit(page_size)
+    from partsmith.operators.ordering import global_index
+
+    idx = global_index(df, order, "__row")
+    return (idx.filter((F.col("__row") > skip) & (F.col("__row") <= skip + page_size))
+            .orderBy("__row").drop("__row"))
+
+
+def page_after(df: DataFrame, after: str | int | None, page_size: int = S.PAGE_SIZE,
+               key: str = S.PRODUCT_KEY) -> DataFrame:
+    """The page that follows key ``after`` (None: the first), in key order: a filter that
+    reaches a stored key's statistics and a bounded heap, however deep the page."""
+    rows = df if after is None else df.filter(F.col(key) > F.lit(after))
+    return rows.orderBy(key).limit(page_size)
 
 
 def page_envelope(df: DataFrame, page_no: int, page_size: int = S.PAGE_SIZE,

@@ -19,7 +19,9 @@ from partsmith.plans.bindings import (
     products_from_part,
     t,
 )
+from partsmith.operators.variants import write_tables
 from partsmith.plans.registry import query
+from partsmith.session import scratch_path
 from partsmith.plans.sqlbits import any_col_contains
 
 # fixed values: the demo terms of the registered queries
@@ -83,8 +85,10 @@ WITH p AS ({PART_PRODUCTS_SQL})
 SELECT sku, mfr_part_number, brand_name, package, description, stock, pdf_url
 FROM p WHERE sku = '{LOOKUP_KEY}'""")
 def key_lookup(spark, sf):
-    """Exact, case-sensitive lookup of one catalog key."""
-    p = products_from_part(t(spark, sf, "part"))
+    """Exact, case-sensitive lookup of one key in a stored catalog sorted by it."""
+    path = scratch_path(spark, "catalog")
+    write_tables({"products": products_from_part(t(spark, sf, "part"))}, path)
+    p = spark.read.parquet(f"{path}/products")
     return p.filter(F.col("sku") == LOOKUP_KEY).select(
         "sku", "mfr_part_number", "brand_name", "package", "description", "stock", "pdf_url")
 

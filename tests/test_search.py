@@ -148,3 +148,17 @@ def test_folding_has_no_context_rules(spark):
     assert search(df, all=["ΟΔΟΣ"], columns=["body"]).count() == 1
     posts = build_postings(df, ["body"], ["body"])
     assert search_indexed(df, posts, ["body"], all=["ΟΔΟΣ"], columns=["body"]).count() == 1
+
+
+def test_deep_pages_and_key_paging(spark, monkeypatch):
+    from partsmith.operators import search as M
+
+    df = spark.range(0, 500, 1, 4).selectExpr("lpad(string(id * 7 % 500), 4, '0') AS sku")
+    want = [f"{i:04d}" for i in range(500)]
+    early = [r.sku for r in M.page(df, 3, 50, ["sku"]).collect()]
+    monkeypatch.setattr(M, "HEAP_ROWS", 60)
+    deep = [r.sku for r in M.page(df, 3, 50, ["sku"]).collect()]
+    after = [r.sku for r in M.page_after(df, want[99], 50).collect()]
+    assert early == deep == after == want[100:150]
+    assert [r.sku for r in M.page_after(df, None, 2).collect()] == want[:2]
+    assert M.page(df, 11, 50, ["sku"]).collect() == []

@@ -18,8 +18,8 @@ linked with heavy ones are listed too.  A list first proposes its smallest class
 each other one (a star, as many pairs as the list has entries); proposals within the
 length and positional bounds are verified on the whole texts and contracted.  Lists whose
 classes are then in one component are finished.  In the others, the entries outside the
-list's largest component are first compared with one member of it, a different one in
-each list; of what is still open, every pair from different components within the
+list's largest component are first compared with about ``TRIES`` members of it, other ones
+in each list; of what is still open, every pair from different components within the
 bounds is verified.  So all links between different components are found, while a large
 group of near copies costs a few pairs per member and list.
 
@@ -60,6 +60,8 @@ CHUNK = 1 << 14
 MAX_LIGHT = 24
 #: Cost of verifying one pair, in emitted rows.
 VERIFY_COST = 20.0
+#: Members of a list's largest component that its other entries are first compared with.
+TRIES = 8
 #: A list longer than this (by the sketch) proposes in several parts.
 PART = 50_000
 
@@ -439,10 +441,9 @@ def links(documents: DataFrame, classes: DataFrame) -> DataFrame:
             break
         others, members = unsettled.where("comp != major"), unsettled
         if not last:
-            # first one member of the largest component per list, another one in each list
-            members = (unsettled.where("comp = major").groupBy("key", "comp").agg(F.min_by(
-                F.struct("sid", "n", "pos"), F.xxhash64("key", "sid")).alias("x"))
-                .select("key", "comp", "x.*", F.col("comp").alias("major")))
+            # first about TRIES members of the largest component per list, other ones in each
+            members = unsettled.where((F.col("comp") == F.col("major")) & (
+                F.pmod(F.xxhash64("key", "sid"), F.col("size")) < TRIES))
         pairs = others.alias("a").join(members.alias("b"), F.expr(
             "a.key = b.key AND a.comp != b.comp AND (b.comp = b.major OR a.sid < b.sid) AND "
             + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))

@@ -494,14 +494,18 @@ def _tagged(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each component: the one with the smallest id (null last),
-    then class, then text hash.  Rows without words are all kept."""
+    then class, then hashes of the text and the row.  Rows without words are all kept."""
     comp = jaccard_components(documents).where("n_shingles > 0")
     chosen = comp.groupBy("comp").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("unnamed"), "doc_id", "sid")).alias("r")).select(
-        F.col("r.doc_id").alias("__id"), F.col("r.sid").alias("__rep"))
-    rows = _tagged(documents)
-    kept = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["__id"])
+        F.col("r.doc_id").alias("__id"), F.col("r.sid").alias("__rep"),
+        F.xxhash64("r.doc_id", "r.sid").alias("__key"))
+    rows = _tagged(documents).withColumn("__key", F.xxhash64("doc_id", "__sid"))
+    # joined and grouped by one hash of both, so the texts are shuffled once
+    kept = rows.join(chosen, (rows["__key"] == chosen["__key"])
+                     & rows["doc_id"].eqNullSafe(chosen["__id"])
                      & (rows["__sid"] == chosen["__rep"]), "left_semi")
-    one = kept.groupBy("doc_id", "__sid").agg(F.min_by(
-        F.struct(*documents.columns), F.xxhash64("text")).alias("row")).select("row.*")
+    one = kept.groupBy("__key", "doc_id", "__sid").agg(F.min_by(
+        F.struct(*documents.columns),
+        F.struct(F.xxhash64("text"), F.xxhash64(*documents.columns))).alias("row")).select("row.*")
     return one.unionByName(rows.where("__n = 0").select(*documents.columns))

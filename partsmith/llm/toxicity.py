@@ -33,7 +33,9 @@ from partsmith.llm.wordhash import WordHasher, groups, mix
 BITS = 20
 DIM = 1 << BITS
 MAX_TRAIN = 24_000
-SHARD_ROWS = 12_000
+SHARD_ROWS = 8_000
+#: Texts lower-cased together.
+SLICE_ROWS = 500
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.0
 
@@ -49,15 +51,18 @@ def _place(x: np.ndarray) -> np.ndarray:
 def features(texts: pa.Array, hasher: WordHasher) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For each group of texts: first row, number of rows, and the row (from 0 in the group)
     and coordinate of every feature, with repeats."""
-    for first, data, ends in groups(pc.utf8_lower(texts.fill_null(""))):
-        w, counts = hasher.words(data, ends)
-        row = np.repeat(np.arange(len(ends)), counts)
-        rows, places = [row], [_place(w)]
-        for gap, a, b in ((1, 1, 2), (2, 2, 1)):
-            same = row[:-gap] == row[gap:]
-            rows.append(row[:-gap][same])
-            places.append(_place((w[:-gap] * _PAIR[a] + w[gap:] * _PAIR[b] + np.uint64(gap))[same]))
-        yield first, len(ends), np.concatenate(rows), np.concatenate(places)
+    for at in range(0, len(texts), SLICE_ROWS):
+        part = pc.utf8_lower(texts.slice(at, SLICE_ROWS).fill_null(""))
+        for first, data, ends in groups(part):
+            w, counts = hasher.words(data, ends)
+            row = np.repeat(np.arange(len(ends)), counts)
+            rows, places = [row], [_place(w)]
+            for gap, a, b in ((1, 1, 2), (2, 2, 1)):
+                same = row[:-gap] == row[gap:]
+                rows.append(row[:-gap][same])
+                places.append(_place(
+                    (w[:-gap] * _PAIR[a] + w[gap:] * _PAIR[b] + np.uint64(gap))[same]))
+            yield at + first, len(ends), np.concatenate(rows), np.concatenate(places)
 
 
 def feature_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -65,7 +70,7 @@ def feature_sets(texts: pa.Array) -> list[np.ndarray]:
     out = []
     for _, n, row, place in features(texts, WordHasher(_BLANK)):
         key = np.unique(row * DIM + place)
-        out += np.split(key % DIM, np.searchsorted(key // DIM, np.arange(1, n)))
+        out += np.split((key % DIM).astype(np.int32), np.searchsorted(key // DIM, np.arange(1, n)))
     return out
 
 
@@ -73,7 +78,7 @@ def ftrl(sets: list[np.ndarray], labels: np.ndarray, dim: int = DIM, epochs: int
          alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> np.ndarray:
     """Weights (the last one is the bias) of FTRL-proximal over sets of coordinates."""
     z, n = np.zeros(dim + 1), np.zeros(dim + 1)
-    sets = [np.append(x, dim) for x in sets]
+    sets = [np.append(x, x.dtype.type(dim)) for x in sets]
 
     def weights(zi, ni, bias_at):
         w = -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2)

@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 200_000
 #: Longest chunk (in characters) that is put into the memo.
 MEMO_CHARS = 48
 #: Symbols encoded together in one flat array, unless one word is longer.
@@ -210,13 +210,14 @@ class Bpe:
 
 
 #: Texts encoded together, and the characters after which a group ends.
-GROUP_TEXTS, GROUP_CHARS = 512, 4_000_000
+GROUP_TEXTS, GROUP_CHARS = 256, 1_500_000
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
     group: list[str | None] = []
     chars = 0
-    for t in texts:
+    for x in texts:
+        t = x.as_py()
         group.append(t)
         chars += len(t or "")
         if len(group) >= GROUP_TEXTS or chars >= GROUP_CHARS:
@@ -241,7 +242,7 @@ def encode_documents(documents: DataFrame, vocabulary: str, digest: bool = True)
         for batch in batches:
             ids_of = batch.column(0)
             at = 0
-            for group in _groups(batch.column(1).to_pylist()):
+            for group in _groups(batch.column(1)):
                 got = bpe.encode_batch(group)
                 own = ids_of.slice(at, len(group))
                 at += len(group)

@@ -26,6 +26,10 @@ group of near copies costs a few pairs per member and list.
 The boundary is the size up to which the subsets are cheaper than listing the set and
 verifying the expected partners, from the sketch's estimate of the mean list length.
 
+A list that the sketch takes for long is split into parts by class, each with a star of its
+own; the stars' centres meet the smallest class of the whole list, and whether a list has
+two classes is decided over all its parts.
+
 Defined cases: null and empty texts have an empty set and are linked with nothing (their
 component is their own id); rows with a null id are linked by their text but don't name
 a component (null if no row of it has an id); rows that repeat an id are separate rows;
@@ -268,8 +272,9 @@ def _listed(documents: DataFrame, sketch: np.ndarray, boundary: int) -> DataFram
                     k = prefix_length(n)
                     freq = order[t >> np.uint64(64 - SKETCH_BITS)]
                     pick = np.lexsort((t, freq))[:k]  # by frequency, then by hash
-                    parts = np.exp2(freq[pick] / 8.0) / PART
-                    part = (abs(sid) % np.maximum(np.ceil(parts), 1).astype(np.int64))
+                    parts = np.ceil(np.exp2(freq[pick] / 8.0) / PART).astype(np.int64)
+                    # 0: the whole list, from 1 on: the parts of a split one
+                    part = np.where(parts > 1, 1 + abs(sid) % np.maximum(parts, 1), 0)
                     part = part.astype(np.int32)
                     for c, v in zip(cols, (np.zeros(k, bool), t[pick].view(np.int64), part,
                                            np.full(k, sid), np.full(k, n, np.int32),
@@ -287,7 +292,8 @@ def _listed(documents: DataFrame, sketch: np.ndarray, boundary: int) -> DataFram
 def _shared(listed: DataFrame) -> DataFrame:
     """Entries of lists with two classes or more, each with the smallest class of its list
     part (``lead, lead_n, lead_pos``).  The lists are dealt by key and part and streamed
-    in order, so the length of a list doesn't matter."""
+    in order, so the length of a list doesn't matter.  Of split lists (``part > 0``) every
+    class goes out: one that is alone in its part can meet others of the key (``_joined``)."""
     names = ["light", "key", "part", "sid", "n", "pos"]
 
     def run(batches):
@@ -313,7 +319,7 @@ def _shared(listed: DataFrame) -> DataFrame:
             group = np.cumsum(new)
             has = np.zeros(group[-1] + 1, bool)
             has[group[other]] = True
-            is_lead[new] = has[group[new]]
+            is_lead[new] = has[group[new]] | (part[new] > 0)
             extra = []
             if held is not None:
                 if not new[0] and has[group[0]]:
@@ -328,7 +334,7 @@ def _shared(listed: DataFrame) -> DataFrame:
             if new.any():
                 at = int(start[-1])
                 lead = (light[at], key[at], part[at], sid[at], n[at], pos[at])
-                held = None if has[group[at]] else lead
+                held = None if has[group[at]] or part[at] > 0 else lead
             if len(cols[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
                                                  [*names, "lead", "lead_n", "lead_pos"])
@@ -338,6 +344,23 @@ def _shared(listed: DataFrame) -> DataFrame:
                                  " lead long, lead_n int, lead_pos int")
 
 
+def _joined(shared: DataFrame) -> DataFrame:
+    """The entries of lists of shingles, from the whole lists and the parts of split ones
+    with two classes or more in all parts.  The lead of a part has the key's smallest class
+    as its lead, so that the parts' stars are connected."""
+    lists = shared.where("NOT light")
+    split = lists.where("part > 0")
+    firsts = split.groupBy("key").agg(
+        F.min(F.struct("sid", "n", "pos")).alias("first"), F.max("sid").alias("high")).where(
+        "first.sid < high").select("key", "first")
+    own = F.col("sid") == F.col("lead")
+    kept = split.join(firsts, "key").select(
+        *split.columns[:-3], *[F.when(own, F.col(f"first.{a}")).otherwise(F.col(b)).alias(b)
+                               for a, b in (("sid", "lead"), ("n", "lead_n"), ("pos", "lead_pos"))])
+    return lists.where("part = 0").unionByName(
+        written(kept.select(*split.columns), "split"))
+
+
 def _bounded(a: str, b: str, suffix: tuple[str, str, str, str]) -> str:
     """SQL of the length and positional bounds of a pair."""
     na, pa_, nb, pb = suffix
@@ -421,7 +444,7 @@ def links(documents: DataFrame, classes: DataFrame) -> DataFrame:
     sids = shared.where("light").select("key", "sid", "n").distinct().join(
         sizes, "key").where("sid != low")
     subset_links = sids.select(F.col("sid").alias("u"), F.col("low").alias("v"))
-    lists = shared.where("NOT light")
+    lists = _joined(shared)
     texts = written(_payloads(documents, lists.select("sid").distinct()), "texts")
     star = (lists.where(_bounded("sid", "lead", ("n", "pos", "lead_n", "lead_pos")))
             .select(F.greatest("sid", "lead").alias("u"), F.least("sid", "lead").alias("v"))

@@ -98,6 +98,16 @@ def test_hot_lists_in_parts_and_near_copies(spark, monkeypatch):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("part", [1, 2])
+def test_classes_alone_in_their_part_are_linked(spark, monkeypatch, part):
+    rows = _rows(3)
+    monkeypatch.setattr(J, "PART", part)
+    monkeypatch.setattr(J, "choose_boundary", lambda *a: 1)
+    out = J.jaccard_components(_df(spark, rows))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr)
+    assert got == brute(rows)
+
+
 def test_keep_one_of_each_group(spark):
     rows = _rows(5)
     kept = J.keep_one(_df(spark, rows))

@@ -8,8 +8,8 @@ sum of logistic losses between its codeword and the bits' margins, each bit weig
 how often it is right for that language in training.  The score is the softmax of the
 negative losses; a text whose two best languages are closer than ``MARGIN`` is ambiguous.
 
-The classifiers are fitted on a sample of at most about ``MAX_PER_LANG`` texts of each
-language (a documented bound); every text is predicted whole.
+The classifiers are fitted on a sample of at most about ``MAX_PER_LANG`` different texts
+of each language (a documented bound); every text is predicted whole.
 
 Defined cases: null texts and texts without a letter are "und" with score 0 and not
 ambiguous; without any learned language every text is "und"; with one, every other text
@@ -136,7 +136,7 @@ class Model:
 def fit(documents: DataFrame, learn: Column, max_per_lang: int = MAX_PER_LANG) -> Model:
     """Fit on the rows of ``documents (text, lang)`` where ``learn`` holds."""
     rows = documents.where(learn & F.col("lang").isNotNull() & (F.col("text") != "")).select(
-        "text", F.col("lang").cast("string").alias("lang"))
+        "text", F.xxhash64("text").alias("text_hash"), F.col("lang").cast("string").alias("lang"))
     rows = text_sample(rows, max_per_lang, "lang")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(sizes)

@@ -12,19 +12,22 @@ _SPACE = 1 << 30
 
 
 def text_sample(rows: DataFrame, bound: int, per: str | None = None) -> DataFrame:
-    """About ``bound`` rows at most (for each value of ``per``), chosen by a hash of the
-    text, so the choice doesn't depend on order or partitions.  Fewer rows are all kept.
-    ``per`` must have few values; their counts are collected."""
+    """About ``bound`` different rows at most (for each value of ``per``), chosen by a hash of
+    the text, so the choice doesn't depend on order or partitions.  Equal rows count once,
+    however many there are; fewer different ones are all kept.  ``text_hash`` of ``rows`` is
+    the xxhash64 of ``text``, made before any join, so that counting shuffles no texts; it
+    is left out of the sample.  ``per`` must have few values; their counts are collected."""
     place = F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(_SPACE))
+    different, rows = rows.drop("text").distinct(), rows.drop("text_hash")
     if per is None:
-        n = rows.count()
-        return rows if n <= bound else rows.where(place < int(_SPACE * bound / n))
-    counts = {r[per]: r["count"] for r in rows.groupBy(per).count().collect()}
+        n = different.count()
+        return (rows if n <= bound else rows.where(place < int(_SPACE * bound / n))).distinct()
+    counts = {r[per]: r["count"] for r in different.groupBy(per).count().collect()}
     limit: Column = F.lit(_SPACE)
     for value, n in counts.items():
         if n > bound:
             limit = F.when(F.col(per) == F.lit(value), int(_SPACE * bound / n)).otherwise(limit)
-    return rows.where(place < limit)
+    return rows.where(place < limit).distinct()
 
 
 def fit_shards(rows: DataFrame, shards: int, fit: Callable[[pd.DataFrame], bytes]) -> list[bytes]:

@@ -6,8 +6,9 @@ hashed to ``DIM`` coordinates and present or not.  FTRL-proximal keeps a learnin
 per coordinate and sets weights of little evidence to zero (L1), so the model is a short
 list of coordinates and weights that travels with the scoring job.
 
-It is fitted on a sample of at most about ``MAX_TRAIN`` labelled texts (a documented bound),
-in shards of a few thousand, whose weights are averaged.  Every text is scored whole.
+It is fitted on a sample of at most about ``MAX_TRAIN`` labelled texts (a documented bound;
+copies with one label count once), in shards of a few thousand, whose weights are averaged.
+Every text is scored whole.
 
 Defined cases: null and empty texts have no features and get the score of the bias;
 repeated label rows of an id count as toxic if one of them is; rows without an id are
@@ -105,8 +106,9 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column,
     """Weights learned from the labelled rows of ``documents`` where ``learn`` holds."""
     marks = (labels.where("doc_id is not null and toxic is not null")
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("__y")))
-    rows = (documents.select("doc_id", "text").where(learn & F.col("text").isNotNull())
-            .join(marks, "doc_id").select("text", "__y"))
+    rows = (documents.where(learn & F.col("text").isNotNull())
+            .select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+            .join(marks, "doc_id").select("text", "text_hash", "__y"))
     rows = text_sample(rows, max_train)
     shards = max(1, -(-min(rows.count(), max_train) // SHARD_ROWS))
 

@@ -6,9 +6,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from partsmith.llm import language_id as L
 from partsmith.llm import toxicity as T
+from partsmith.llm.sampling import fit_shards, text_sample
 from partsmith.llm.wordhash import WordHasher
 
 BAD = ["grumblefoot", "snotrag", "dungheap"]
@@ -173,3 +175,16 @@ def test_ambiguous_texts_are_flagged():
     codes = np.array([[1, 1, -1], [-1, 1, 1]])
     m = L.Model(["a", "b"], codes, np.ones((2, 3)) / 3, np.zeros((L.DIM + 1, 3)))
     assert m.decode("some text")[2] and m.decode("some text")[1] == pytest.approx(0.5)
+
+
+def test_copies_count_once_in_samples_and_shards(spark):
+    rows = [(f"text {i}", "ab"[i % 2]) for i in range(80)] * 50 + [("the same", "a")] * 2000
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3).withColumn(
+        "text_hash", F.xxhash64("text"))
+    for got, low, high in ((text_sample(df, 40).collect(), 25, 55),
+                           (text_sample(df, 20, "lang").collect(), 25, 55),
+                           (text_sample(df, 100).collect(), 81, 81),
+                           (text_sample(df, 100, "lang").collect(), 81, 81)):
+        assert len(set(got)) == len(got) and low <= len(got) <= high
+    sizes = fit_shards(text_sample(df, 100), 4, lambda f: str(len(f)).encode())
+    assert sum(map(int, sizes)) == 81 and max(map(int, sizes)) < 40

@@ -10,7 +10,9 @@ reaches the threshold marks its own largest-sum descendant as content.
 
 Menus, page headers and footers, side bars, forms, scripts, styles, hidden elements and
 elements whose class, id or role names an advert, notice, comment list and the like
-take no part in the choice and are left out of the text.
+take no part in the choice and are left out of the text.  The id of a heading or paragraph
+names nothing; inside the article a slug that only begins with such a word ("related-work"),
+as an id or on a heading or paragraph, counts only on an element that is mostly links.
 
 Text: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined by a line feed in page order.
@@ -39,12 +41,18 @@ BLOCKS = frozenset(
 LEFT_OUT = frozenset(
     "nav footer aside form button select option input label fieldset svg canvas object head"
     " dialog menu audio video map applet embed".split()) | RAW
-_NOISE = re.compile(
+_NAMES = (
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|gdpr|notice\w*"
     r"|alert\w*|popup|modal|overlay|sidebar|side-bar|aside|nav|navbar|navigation|menu|breadcrumbs?"
     r"|footer|masthead|topbar|toolbar|comments?|commentlist|disqus|replies|respond|share|sharing"
     r"|social|related|recommend\w*|newsletter|subscribe|signup|login|search|widget|skip-link"
-    r"|site-header|page-header|pagination|pager)(?=$|[\s_-])", re.I)
+    r"|site-header|page-header|pagination|pager)")
+_NOISE = re.compile(_NAMES + r"(?=$|[\s_-])", re.I)
+#: Not only the first part of a slug like "related-work" (which headings and sections have),
+#: but its end, or a reader's comments.
+_NOISE_END = re.compile(
+    _NAMES + r"(?=$|\s)|(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?=[_-])", re.I)
+_TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 _NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -74,29 +82,56 @@ class Page:
             if self.own[first] == "name":
                 self.own[first] = ""
             first = self.parent[first]
+        self._drop_slugs()
         self.noise = [False]
         for own, p in zip(self.own[1:], self.parent[1:], strict=True):
             self.noise.append(bool(own) or self.noise[p])
 
+    def _drop_slugs(self) -> None:
+        """A slug is a name like "related-posts" only on what is mostly links."""
+        if "slug" not in self.own:
+            return
+        n = len(self.tag)
+        chars, links = [0] * n, [0] * n
+        for i, _, text in self.texts:
+            if self.tag[i] not in RAW:
+                chars[i] += len(_SPACE.sub(" ", text).strip())
+        for i in range(n - 1, 0, -1):
+            if self.tag[i] == "a":
+                links[i] = chars[i]
+            chars[self.parent[i]] += chars[i]
+            links[self.parent[i]] += links[i]
+        for i, own in enumerate(self.own):
+            if own == "slug":
+                self.own[i] = "name" if 2 * links[i] > chars[i] else ""
+
     def _noise_kind(self, tag: str, attrs: str, stack: list[int]) -> str:
-        """Why an element is no article text: "tag", "hidden", "name" or nothing."""
+        """Why an element is no article text: "tag", "hidden", "name", "slug" (a name
+        if it holds links) or nothing."""
         if tag in LEFT_OUT:
             return "tag"
         if tag == "header":  # an article's own header holds its heading
             return "" if any(self.tag[i] in ("article", "main") for i in stack) else "tag"
         if not attrs or tag in ("html", "body", "article", "main"):
             return ""
+        kind, inside = "", any(self.tag[i] in ("article", "main") for i in stack)
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return "hidden"
             if name == "style" and _HIDDEN.search(value):
                 return "hidden"
+            if name == "id" and tag in _TEXT_TAGS:
+                continue  # a link's target, made of the heading's words
             if name in ("class", "id") and _NOISE.search(value):
+                if (inside and (name == "id" or tag in _TEXT_TAGS)
+                        and not _NOISE_END.search(value)):
+                    kind = "slug"
+                    continue
                 return "name"
             if name == "role" and value.lower() in _NOISE_ROLES:
                 return "name"
-        return ""
+        return kind
 
     def _close(self, stack: list[int], depth: int) -> None:
         """Close all elements from place ``depth`` of the stack on."""

@@ -123,6 +123,17 @@ def test_density_formula():
     assert d[p] == pytest.approx(c / 1 * np.log(c / 2 * 1 / 1) / np.log(base))
 
 
+def test_slugs_inside_the_article_are_text():
+    long = "This is a sentence of the article that is long enough to count. " * 3
+    html = (f'<body><article><h1>Title</h1><p>{long}</p><h2 id="related-work">Related work</h2>'
+            f'<p class="share-price">{long}</p><section id="search-algorithms"><h2 id="search">'
+            f'Searching</h2><p>{long}</p></section><div id="related-posts"><a>One more</a>'
+            f'<a>Another one</a></div><div class="comments-area" id="comment-list"><p>{long}</p>'
+            f'</div><p class="cookie-notice">We use them.</p></article></body>')
+    s = long.strip()
+    assert H.main_text(html).split("\n") == ["Title", s, "Related work", s, "Searching", s]
+
+
 def test_extract_pages(spark):
     rows = [(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, 5)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

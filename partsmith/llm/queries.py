@@ -16,6 +16,7 @@ from partsmith.llm import (
     jaccard_join,
     language_id,
     license_scan,
+    quality_fm,
     topk_search,
     toxicity,
     warc_revisit,
@@ -149,6 +150,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+@_query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; rows with crc32(doc_id) mod 3 = 1 are held out."""
+    return quality_fm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over all documents."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from partsmith.llm import (
     bpe,
     chat_repair,
+    collocations,
     decontaminate,
     html_extract,
     jaccard_join,
@@ -150,6 +151,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of 2 to 5 words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; rows with crc32(doc_id) mod 3 = 1 are held out."""
@@ -231,6 +238,35 @@ SELECT query_id, cast(rank AS INT) AS rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
+ORACLE_SQL["op12_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+      FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+sizes AS (SELECT lang, cast(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS f
+      FROM (SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s
+                  FROM p, (VALUES (1), (2), (3), (4), (5)) AS ks(k) WHERE len(w) >= k))
+      GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+inner_ AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+           FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS s
+                 FROM c, (VALUES (2), (3), (4)) AS ms(m) WHERE m < k) GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN inner_ USING (lang, phrase) WHERE coalesce(100 * longer < 100 * a, true)),
+cuts AS (SELECT kept.lang, kept.phrase, a, j, x.f AS l, y.f AS r, n,
+                (cast(1000 AS HUGEINT) * a * n) // (cast(x.f AS HUGEINT) * y.f) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) AS kept
+         JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(w[1:j], ' ')
+         JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(w[j + 1:kept.k], ' ')
+         JOIN sizes ON sizes.lang = kept.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, cast(rank AS BIGINT) AS rank, phrase, cast(a AS BIGINT) AS a, cast(l AS BIGINT) AS l,
+       cast(r AS BIGINT) AS r, cast(n AS BIGINT) AS n, cast(score AS BIGINT) AS score
+FROM top WHERE rank <= 2000
+"""
+
 ORACLE_SQL["op6_warc_revisit"] = r"""
 WITH k AS (
   SELECT *, regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) AS host,

@@ -188,7 +188,7 @@ def _slices(states: DataFrame, half: int, shard_bits: int) -> DataFrame:
 
 
 def _merged(half: int, shard_bits: int, least: int):
-    """Merge the filters of a shard: a row of its frequent pairs (``block`` null), and for each
+    """Merge the filters of a shard: a row of its frequent pairs (block ``_TOTAL``), and for each
     block that has some of them a row of its keys and their ids."""
     bits, shards = 2 * half - shard_bits, 1 << shard_bits
 
@@ -203,7 +203,7 @@ def _merged(half: int, shard_bits: int, least: int):
         if often.any():
             full = keys[often] | (np.uint64(shard) << np.uint64(bits) if bits < 64 else np.uint64(0))
             first, second = invert(full, half)
-            rows.append((None, None, None, first, second, ids[often], totals[often]))
+            rows.append((_TOTAL, None, None, first, second, ids[often], totals[often]))
             at = 0
             high = np.uint64(shard) << np.uint64(bits) if bits < 64 else np.uint64(0)
             for block, f in zip(frame["block"], filters, strict=True):
@@ -218,6 +218,8 @@ def _merged(half: int, shard_bits: int, least: int):
     return run
 
 
+#: The block of a shard's own row.
+_TOTAL = -1
 _MERGED = ("block long, keys binary, ids binary, first array<long>, second array<long>,"
            " id array<long>, f array<long>")
 
@@ -254,8 +256,11 @@ def phrases(documents: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WOR
     totals = written(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f")), "vocabulary")
     sizes = totals.groupBy("lang").agg(F.sum("f").alias("n"))
     often, top = _numbered(totals.where(F.col("f") >= least), "frequent")
+    # all words of a block, -1 for those that aren't frequent: as many rows as words, however
+    # many of them have come to be frequent in a larger input
     local = vocabulary.select("block", "lang", "word", "local").join(
-        often.select("lang", "word", "id"), ["lang", "word"]).select(F.col("block").alias("own"), "local", "id")
+        often.select("lang", "word", "id"), ["lang", "word"], "left").select(
+        F.col("block").alias("own"), "local", F.coalesce("id", F.lit(-1)).alias("id"))
     states = written(
         made.where("seq is not null").select("block", "seq").groupBy("block").cogroup(
             local.groupBy("own")).applyInPandas(_word_ids, _STATE), "states")
@@ -271,7 +276,7 @@ def phrases(documents: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WOR
         shard_bits = min(2 * half, (shards - 1).bit_length(), 30)
         got = written(_slices(states, half, shard_bits).groupBy("shard").applyInPandas(
             _merged(half, shard_bits, least), _MERGED), "pairs")
-        table = got.where("block is null").select(
+        table = got.where(F.col("block") == _TOTAL).select(
             F.explode(F.arrays_zip("id", "first", "second", "f")).alias("x")).select("x.*")
         top = (table.agg(F.max("id")).first()[0] or 0) + 1
         a, b = levels[-1].alias("a"), levels[-1].alias("b")
@@ -283,7 +288,7 @@ def phrases(documents: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WOR
         levels[-1] = written(levels[-1], "phrases")
         if words < longest:
             states = written(states.groupBy("block").cogroup(
-                got.where("block is not null").select(
+                got.where(F.col("block") != _TOTAL).select(
                     F.col("block").alias("own"), "keys", "ids").groupBy("own"))
                 .applyInPandas(_next_ids(half), _STATE), "states")
     out = []
@@ -297,11 +302,8 @@ def phrases(documents: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WOR
     return out, sizes
 
 
-def collocations(documents: DataFrame, least: int = MIN_COUNT, top: int = TOP,
-                 block_bytes: int = BLOCK_BYTES, shard_pairs: int = SHARD_PAIRS) -> DataFrame:
-    """The first ``top`` candidates of every language by score, that no longer candidate with as
-    many occurrences holds: ``lang, rank, phrase, a, l, r, n, score``."""
-    levels, sizes = phrases(documents, least, block_bytes=block_bytes, shard_pairs=shard_pairs)
+def ranked(levels: list[DataFrame], sizes: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` candidates of every language among the ``phrases``."""
     found = levels[0].where("false")
     for level in levels[1:]:
         found = found.unionByName(level)
@@ -319,3 +321,10 @@ def collocations(documents: DataFrame, least: int = MIN_COUNT, top: int = TOP,
     return (scored.withColumn("rank", F.row_number().over(best).cast("long"))
             .where(F.col("rank") <= top)
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+
+
+def collocations(documents: DataFrame, least: int = MIN_COUNT, top: int = TOP,
+                 block_bytes: int = BLOCK_BYTES, shard_pairs: int = SHARD_PAIRS) -> DataFrame:
+    """The first ``top`` candidates of every language by score, that no longer candidate with as
+    many occurrences holds: ``lang, rank, phrase, a, l, r, n, score``."""
+    return ranked(*phrases(documents, least, block_bytes=block_bytes, shard_pairs=shard_pairs), top)

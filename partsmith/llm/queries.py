@@ -12,6 +12,7 @@ from partsmith.llm import (
     bpe,
     chat_repair,
     collocations,
+    cross_tokenizer,
     decontaminate,
     html_extract,
     jaccard_join,
@@ -33,11 +34,11 @@ def _query(fn):
     return fn
 
 
-def vocabulary() -> str:
-    """Path of the public tokenizer file of op5 and the pipeline."""
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer file (default: that of op5 and the pipeline)."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @_query
@@ -151,6 +152,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+@_query
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of a byte-level BPE and a sentencepiece encoding of every document."""
+    return cross_tokenizer.align(table(spark, sf_dir, "documents"),
+                                 vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 @_query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of 2 to 5 words of every language."""

@@ -207,19 +207,20 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 def _license_sql() -> str:
     phrases = ", ".join(f"({p.split()!r}, {v!r})" for p, v in license_scan.PHRASES.items())
     templates = ", ".join(
-        f"({list(dict.fromkeys(t.split()))!r}, {v!r})" for v, t in license_scan.TEMPLATES.items())
-    size, half = license_scan.BLOCK, license_scan.BLOCK // 2
+        f"({list(dict.fromkeys(text.split()))!r}, {[f' {p} ' for p in required]!r}, {v!r})"
+        for v, (text, required) in license_scan.TEMPLATES.items())
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(t='text')} AS w FROM documents),
-p(seq, label) AS (VALUES {phrases}), t(seq, label) AS (VALUES {templates}),
+p(seq, label) AS (VALUES {phrases}), t(seq, req, label) AS (VALUES {templates}),
 pl AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS s FROM d),
 base AS (SELECT r, s - 1 AS s, label FROM pl, p WHERE w[s] = seq[1] AND w[s:s + len(seq) - 1] = seq),
-blocks AS (SELECT r, w[s + 1:s + {size}] AS blk
-           FROM (SELECT r, w, unnest(range(0, len(w), {half})) AS s FROM d)),
+blocks AS (SELECT r, label, seq, req, w[s:s + {license_scan.BLOCK - 1}] AS blk
+           FROM pl, t WHERE list_contains(seq, w[s])),
 tm AS (SELECT r, label, c / n AS score FROM (
-         SELECT r, label, len(seq) AS n,
-                len(list_filter(seq, lambda x: list_contains(blk, x)))::DOUBLE AS c FROM blocks, t)
-       WHERE c >= ceil(round(n * {license_scan.THRESHOLD}, 6))),
+         SELECT r, label, len(seq) AS n, req, ' ' || array_to_string(blk, ' ') || ' ' AS run,
+                len(list_filter(seq, lambda x: list_contains(blk, x)))::DOUBLE AS c FROM blocks)
+       WHERE c >= ceil(round(n * {license_scan.THRESHOLD}, 6))
+         AND len(list_filter(req, lambda x: contains(run, x))) = len(req)),
 a AS (SELECT r, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
              string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY r),
 l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score

@@ -82,11 +82,13 @@ def brute_license(docs):
             p = phrase.split()
             at = [i for i in range(len(w)) if w[i:i + len(p)] == p]
             base += [(i, label) for i in at]
-        for label, t in L.TEMPLATES.items():
+        for label, (t, required) in L.TEMPLATES.items():
             t = set(t.split())
-            for s in range(0, len(w), L.BLOCK // 2):
-                share = len(t & set(w[s:s + L.BLOCK])) / len(t)
-                if share >= L.THRESHOLD:
+            for s in range(len(w)):  # every window, not only those that begin at a template word
+                block = w[s:s + L.BLOCK]
+                share = len(t & set(block)) / len(t)
+                run = " " + " ".join(block) + " "
+                if share >= L.THRESHOLD - 1e-9 and all(f" {p} " in run for p in required):
                     labels.add(label)
                     best = max(best, share)
         names = {x for _, x in base}
@@ -105,7 +107,7 @@ def test_license_scan_equals_brute_force(spark):
             (5, "Licensed under CC BY-NC 4.0."), (6, "License " * 4000)]
     docs += [(10 + k, " ".join(rng.choice(fill) for _ in range(rng.randint(1, 400))))
              for k in range(30)]
-    t = list(L.TEMPLATES.values())
+    t = [text for text, _ in L.TEMPLATES.values()]
     docs += [(60 + k, " ".join(["pad"] * (k * 13) + t[k % len(t)].split()[:-1] + ["end"]))
              for k in range(16)]
     docs += [(60, docs[-16][1])]
@@ -117,6 +119,57 @@ def test_license_scan_equals_brute_force(spark):
     assert L.license_scan(_documents(spark, docs).limit(0)).collect() == []
 
 
+def _labels(spark, texts):
+    rows = L.license_scan(_documents(spark, list(enumerate(texts)))).collect()
+    return {texts[r.doc_id]: r.labels for r in rows}
+
+
+def test_licences_get_exactly_their_own_label(spark):
+    base = {"apache-2.0": "apache", "gpl-3.0": "gpl", "mit-notice": "mit"}
+    own = {text: ",".join(sorted({label, base.get(label, label)}))
+           for label, (text, _) in L.TEMPLATES.items()}
+    near = {
+        "licensed under CC BY-NC 4.0": "cc-by-nc-4.0",
+        "licensed under CC BY-SA 4.0": "cc-by-sa-4.0",
+        "licensed under CC BY 4.0": "",
+        "licensed under CC BY-NC-SA 4.0": "",
+        "licensed under the GNU General Public License version 2": "gpl",
+        "licensed under the GNU Lesser General Public License version 3": "gpl",
+        "licensed under the Apache License version 1.0": "apache",
+        "licensed under the Apache License, version 1.1; see item 2 0": "apache",
+        "released under the Apache License": "apache",
+        "released under the MIT License": "mit,mit-notice",
+        "this source code is subject to the terms of the Mozilla Public License, v. 1.1": "",
+        "permission is hereby granted to use copy and distribute this software and associated"
+        " documentation files for any purpose": "",
+    }
+    got = _labels(spark, [*own, *near])
+    assert got == own | near
+
+
+def test_a_notice_is_found_at_any_offset(spark):
+    """Words between a notice's own (comment marks, line numbers) and any place in the text."""
+    text, _ = L.TEMPLATES["bsd"]
+    texts = [" ".join(["pad"] * k) + " " + text + " tail" * (k % 5) for k in range(0, 70, 7)]
+    wide = ["pad " * k + "redistribution and use in source and binary " + "x " * 20
+            + "with or without modification are permitted provided that the following conditions"
+            for k in range(30, 66, 5)]
+    got = _labels(spark, [t.strip() for t in texts] + wide)
+    assert set(got.values()) == {"bsd"}
+    far = "redistribution and use in source and binary forms " + "x " * 60 + "with or without" \
+        " modification are permitted provided that the following conditions are met"
+    assert _labels(spark, [far]) == {far: ""}
+
+
+def test_very_long_texts_are_scanned_in_linear_time(spark):
+    import time
+
+    long = "the license is under source and 2 0 " * 60_000 + "licensed under cc by sa 4 0"
+    begin = time.perf_counter()
+    assert _labels(spark, [long]) == {long: "cc-by-sa-4.0"}
+    assert time.perf_counter() - begin < 120
+
+
 def test_digests_of_the_query(spark):
     docs = _documents(spark, [(1, "one two three four")])
     bench = spark.createDataFrame([(5, "two three"), (10, "three")], "item_id long, text string")

@@ -6,13 +6,19 @@ characters per tag, raised or lowered by the share of its characters and tags th
 links, relative to the share in the whole body.  An element's sum is that of its
 children's densities.  The element with the largest sum is the core; the threshold is
 the smallest density on the path from the core up to the body.  Every element that
-reaches the threshold marks its own largest-sum descendant as content.
+reaches the threshold marks its own largest-sum descendant as content.  What is marked tells
+where the article is: where the core stands in an article or main element, all of that
+element is kept; else all of the smallest element that holds everything marked, unless
+that is the body.
 
 Menus, page headers and footers, side bars, forms, scripts, styles, hidden elements and
 elements whose class, id or role names an advert, notice, comment list and the like
 take no part in the choice and are left out of the text.  The id of a heading or paragraph
-names nothing; inside the article a slug that only begins with such a word ("related-work"),
-as an id or on a heading or paragraph, counts only on an element that is mostly links.
+names nothing; inside the article a name that only begins with such a word ("related-work",
+"social-contract") counts only on an element that is mostly links.
+
+Quotes open an attribute's value only after "=", and every scan goes on from where the last
+one ended, so parsing takes time in proportion to the page.
 
 Text: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined by a line feed in page order.
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -56,8 +63,8 @@ _TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 _NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-_TAG_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_TAG = re.compile(
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']?+))*+)>""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACE = re.compile(r"\s+")
 #: A start tag closes an open element of these names, up to the named borders.
@@ -75,6 +82,7 @@ class Page:
         self.tag, self.parent, self.own = ["#root"], [-1], [""]
         self.last = [0]              # index of the last descendant
         self.texts: list[tuple[int, int, str]] = []  # (element, elements before it, text)
+        self.open: Counter[str] = Counter()  # open elements by name, so no search is in vain
         self._parse(html)
         # a name like "with-sidebar" on what holds the page's (first) article says nothing
         first = next((i for i, t in enumerate(self.tag) if t in ("article", "main")), None)
@@ -83,12 +91,13 @@ class Page:
                 self.own[first] = ""
             first = self.parent[first]
         self._drop_slugs()
-        self.noise = [False]
-        for own, p in zip(self.own[1:], self.parent[1:], strict=True):
-            self.noise.append(bool(own) or self.noise[p])
+        self.noise, self.block = [False], [0]  # whether left out; the nearest block
+        for i, p in enumerate(self.parent[1:], 1):
+            self.noise.append(bool(self.own[i]) or self.noise[p])
+            self.block.append(i if self.tag[i] in BLOCKS else self.block[p])
 
     def _drop_slugs(self) -> None:
-        """A slug is a name like "related-posts" only on what is mostly links."""
+        """A name like "related-posts" counts only on what is mostly links."""
         if "slug" not in self.own:
             return
         n = len(self.tag)
@@ -105,16 +114,17 @@ class Page:
             if own == "slug":
                 self.own[i] = "name" if 2 * links[i] > chars[i] else ""
 
-    def _noise_kind(self, tag: str, attrs: str, stack: list[int]) -> str:
+    def _noise_kind(self, tag: str, attrs: str) -> str:
         """Why an element is no article text: "tag", "hidden", "name", "slug" (a name
         if it holds links) or nothing."""
         if tag in LEFT_OUT:
             return "tag"
+        inside = self.open["article"] + self.open["main"] > 0
         if tag == "header":  # an article's own header holds its heading
-            return "" if any(self.tag[i] in ("article", "main") for i in stack) else "tag"
+            return "" if inside else "tag"
         if not attrs or tag in ("html", "body", "article", "main"):
             return ""
-        kind, inside = "", any(self.tag[i] in ("article", "main") for i in stack)
+        kind = ""
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -124,8 +134,7 @@ class Page:
             if name == "id" and tag in _TEXT_TAGS:
                 continue  # a link's target, made of the heading's words
             if name in ("class", "id") and _NOISE.search(value):
-                if (inside and (name == "id" or tag in _TEXT_TAGS)
-                        and not _NOISE_END.search(value)):
+                if inside and not _NOISE_END.search(value):
                     kind = "slug"
                     continue
                 return "name"
@@ -138,10 +147,11 @@ class Page:
         end = len(self.tag) - 1
         for i in stack[depth:]:
             self.last[i] = end
+            self.open[self.tag[i]] -= 1
         del stack[depth:]
 
     def _open(self, stack: list[int], tag: str, attrs: str) -> None:
-        if tag in _CLOSES:
+        if tag in _CLOSES and any(self.open[x] for x in _CLOSES[tag][0]):
             names, borders = _CLOSES[tag]
             for d in range(len(stack) - 1, 0, -1):
                 t = self.tag[stack[d]]
@@ -151,7 +161,7 @@ class Page:
                     self._close(stack, d)
                     if tag != "tr":
                         break
-        elif tag in BLOCKS:
+        elif tag in BLOCKS and self.open["p"]:
             for d in range(len(stack) - 1, 0, -1):
                 t = self.tag[stack[d]]
                 if t == "p":
@@ -162,12 +172,15 @@ class Page:
         i = len(self.tag)
         self.tag.append(tag)
         self.parent.append(stack[-1])
-        self.own.append(self._noise_kind(tag, attrs, stack))
+        self.own.append(self._noise_kind(tag, attrs))
         self.last.append(i)
         if tag not in VOID:
             stack.append(i)
+            self.open[tag] += 1
 
     def _end(self, stack: list[int], tag: str) -> None:
+        if not self.open[tag]:
+            return
         for d in range(len(stack) - 1, 0, -1):
             t = self.tag[stack[d]]
             if t == tag:
@@ -198,11 +211,12 @@ class Page:
                 close = html.find(">", lt)
                 at = end if close < 0 else close + 1
                 continue
-            m = _TAG.match(html, lt) or _TAG_LOOSE.match(html, lt)
+            m = _TAG.match(html, lt)
             if not m:
-                if nxt == "/" or nxt.isalpha():  # an unfinished tag ends the page
+                if nxt == "/" or nxt.isalpha() and nxt.isascii():
+                    # "</" without a name is no text up to ">"; an unfinished tag ends the page
                     self._text(stack, html[at:lt])
-                    close = html.find(">", lt)
+                    close = html.find(">", lt) if nxt == "/" else -1
                     at = end if close < 0 else close + 1
                 else:  # a bare <
                     self._text(stack, html[at:lt + 1])
@@ -255,18 +269,18 @@ def densities(page: Page) -> tuple[list[float], list[float]]:
     return density, sums
 
 
-def content_elements(page: Page) -> list[int]:
-    """Elements marked as content, by the body-path threshold."""
+def content_elements(page: Page) -> tuple[int, list[int]]:
+    """The core (-1: none) and the elements marked as content, by the body-path threshold."""
     n = len(page.tag)
     density, sums = densities(page)
     body = next((i for i in range(n) if page.tag[i] == "body"), 0)
     inside = range(body, page.last[body] + 1)
     usable = [i for i in inside if not page.noise[i]]
     if not usable:
-        return []
+        return -1, []
     core = max(usable, key=lambda i: sums[i])
     if sums[core] <= 0:
-        return [body]
+        return body, [body]
     threshold, i = density[core], core
     while i != body and i > 0:
         i = page.parent[i]
@@ -278,7 +292,24 @@ def content_elements(page: Page) -> list[int]:
         if not page.noise[i] and p >= body and (sums[best[i]] > sums[best[p]] or
                                                 best[p] != p and sums[best[i]] == sums[best[p]]):
             best[p] = best[i]
-    return sorted({best[i] for i in usable if i != body and density[i] >= threshold} | {core})
+    return core, sorted({best[i] for i in usable if i != body and density[i] >= threshold} | {core})
+
+
+def article_elements(page: Page) -> list[int]:
+    """The elements whose text is the article: whole ones around what is marked."""
+    core, marked = content_elements(page)
+    i = core
+    while i > 0:
+        if page.tag[i] in ("article", "main"):
+            return sorted({i, *marked})
+        i = page.parent[i]
+    if len(marked) > 1:
+        around = marked[0]
+        while around > 0 and page.last[around] < marked[-1]:
+            around = page.parent[around]
+        if around > 0 and page.tag[around] not in ("body", "html"):
+            return [around]
+    return marked
 
 
 def main_text(html: str | None) -> str:
@@ -286,7 +317,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Page(html)
-    chosen = content_elements(page)
+    chosen = article_elements(page)
     spans: list[tuple[int, int]] = []
     for i in chosen:  # page order; an element inside a chosen one adds nothing
         if not spans or i > spans[-1][1]:
@@ -302,9 +333,7 @@ def main_text(html: str | None) -> str:
             break
         if element < spans[k][0] or page.noise[element]:
             continue
-        owner = element
-        while owner > 0 and page.tag[owner] not in BLOCKS:
-            owner = page.parent[owner]
+        owner = page.block[element]
         # a block element that began since the last text breaks the block, too
         broke = block_of is not None and (owner != block_of or any(
             page.tag[j] in BLOCKS for j in range(before_last, before)))

@@ -9,14 +9,17 @@ each turn the cheapest of
 * merge    it goes on the previous turn of the same (repaired) role (1),
 * relabel  it gets another role, as a turn of its own (2) or merged (3),
 
-with empty turns inserted where the sequence needs one (3 each).  Equal costs are settled
-by the smaller state, so the result is unique.  The repaired turns are then rendered.
+with empty turns inserted where the sequence needs one (3 each).  Of several sequences of
+states of equal cost the one whose last state is smallest is taken, then whose last but one
+is, and so on to the first, so the result is unique.  The repaired turns are then rendered.
 
 Long conversations are not collected: turns are dealt by ranges of (conversation, turn),
 each partition computes the min-plus cost matrix of its part of a conversation (states x
 states), the matrices of a conversation that crosses partitions are multiplied in order,
-which fixes the state at every border, and each part is then repaired on its own.  A part
-has at most ``BLOCK`` turns.
+which fixes the state at every border, and each part is then repaired on its own.  With its
+costs a part tells for each last state how its ways from different first states rank in the
+order above, so ties at borders are settled as within a part and the result doesn't
+depend on where the borders are.  A part has at most ``BLOCK`` turns.
 
 Defined cases: roles are trimmed and lower-cased, with the aliases in ``ALIASES``; a null
 or unknown role costs a relabel wherever it goes; a null text is empty; a null
@@ -129,6 +132,30 @@ def best_states(roles: np.ndarray, start: int, end: int) -> list[int]:
     return out[::-1]
 
 
+def tie_ranks(roles: np.ndarray) -> np.ndarray:
+    """Rank of each first state (rows) among the ways to each last state (columns) through a
+    run of turns, by their states from the last one back, then by the first state."""
+    ranks = np.zeros((STATES, STATES), np.int64)
+    for end in range(1, STATES):
+        ways = [(best_states(roles, s, end)[::-1], s) for s in range(STATES)]
+        for rank, (_, s) in enumerate(sorted(ways)):
+            ranks[s, end] = rank
+    return ranks
+
+
+def border_states(costs: list[np.ndarray], ranks: list[np.ndarray]) -> list[int]:
+    """Last state of each part of a conversation, from the parts' matrices."""
+    ahead = [np.where(np.arange(STATES) == START, 0, _FAR)]
+    for m in costs:
+        ahead.append(np.minimum((ahead[-1][:, None] + m).min(0), _FAR))
+    ends = [end_state(ahead[-1])]
+    for i in range(len(costs) - 1, 0, -1):
+        at = ends[-1]
+        total = ahead[i] + costs[i][:, at]
+        ends.append(int(np.lexsort((ranks[i][:, at], total))[0]))
+    return ends[::-1]
+
+
 def end_state(costs: np.ndarray) -> int:
     """Best last state, inserted turns at the end included."""
     return int(np.argmin([c + INSERT * len(ENDING[s]) for s, c in enumerate(costs)]))
@@ -218,10 +245,12 @@ def repair(conversations: DataFrame) -> DataFrame:
     parted = dealt.withColumn("block", F.floor((F.col("at") % (1 << 33)) / BLOCK))
 
     def costs(key, f: pd.DataFrame) -> pd.DataFrame:
-        m = cost_matrix(np.array([role_code(r) for r in f.sort_values("at")["role"]], int))
+        roles = np.array([role_code(r) for r in f.sort_values("at")["role"]], int)
+        m, ranks = cost_matrix(roles), tie_ranks(roles)
         return pd.DataFrame({"conv": [key[0]], "first": [int(f["at"].min())], "n": [len(f)],
                              "part": [key[1]], "block": [key[2]],
-                             "m": [[int(x) for x in m.ravel()]]})
+                             "m": [[int(x) for x in m.ravel()]],
+                             "ranks": [[int(x) for x in ranks.ravel()]]})
 
     grouped = parted.select("conv", "part", "block", "at", "role")
     spans = grouped.groupBy("conv").agg(F.min("part").alias("p0"), F.max("part").alias("p1"),
@@ -230,18 +259,13 @@ def repair(conversations: DataFrame) -> DataFrame:
     crossing = written(crossing, "crossing")
     matrices = (grouped.join(crossing, "conv", "left_semi").groupBy("conv", "part", "block")
                 .applyInPandas(costs, "conv string, first long, n long, part int, block long,"
-                                      " m array<long>"))
+                                      " m array<long>, ranks array<long>"))
 
     def borders(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("first")
-        ms = [np.array(x, np.int64).reshape(STATES, STATES) for x in f["m"]]
-        ahead = [np.where(np.arange(STATES) == START, 0, _FAR)]
-        for m in ms:
-            ahead.append(np.minimum((ahead[-1][:, None] + m).min(0), _FAR))
-        ends = [end_state(ahead[-1])]
-        for i in range(len(ms) - 1, 0, -1):
-            ends.append(int((ahead[i] + ms[i][:, ends[-1]]).argmin()))
-        ends = ends[::-1]
+        ms, ranks = ([np.array(x, np.int64).reshape(STATES, STATES) for x in f[c]]
+                     for c in ("m", "ranks"))
+        ends = border_states(ms, ranks)
         return pd.DataFrame({"conv": f["conv"].to_numpy(), "part": f["part"].to_numpy(),
                              "block": f["block"].to_numpy(), "s": [START, *ends[:-1]], "e": ends,
                              "before": np.r_[0, np.cumsum(f["n"])[:-1]],

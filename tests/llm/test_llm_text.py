@@ -1,6 +1,7 @@
 """BPE against the tokenizers library, page extraction, top-k search, revisits, chat repair."""
 
 import itertools
+import math
 import random
 
 import numpy as np
@@ -134,6 +135,113 @@ def test_slugs_inside_the_article_are_text():
     assert H.main_text(html).split("\n") == ["Title", s, "Related work", s, "Searching", s]
 
 
+def test_quotes_open_a_value_only_after_an_equals_sign():
+    body = "A paragraph that's long enough to count as the text of a page, isn't it."
+    page = ("<body><article><p><img alt=don't src=x>" + body + "</p><p title=\"5\" tall\">" + body
+            + "</p><p class='a' data-x=it's>" + body + "</p><p>End.</p></article></body>")
+    assert H.main_text(page).split("\n") == [body, body, body, "End."]
+    assert H.main_text('<p a="b>c">x</p><p a=\'>\'>y</p>') == "x\ny"
+
+
+def test_short_last_paragraphs_of_an_article_are_kept():
+    long = "Words of the article that are many and stand close together, one after another. " * 8
+    page = ("<body><div class=ad>buy</div><article><h1>T</h1><p><b>" + long
+            + "<br><p>\u00c9\u00ea.</p></article><footer>f</footer></body>")
+    assert H.main_text(page).split("\n") == ["T", long.strip(), "\u00c9\u00ea."]
+    plain = ("<body><div id=x><div>" + "".join(f"<p>{long}</p>" for _ in range(3))
+             + "</div><div><p>Short.</p></div></div><nav><a>m</a></nav></body>")
+    assert H.main_text(plain).split("\n")[:3] == [long.strip()] * 3
+
+
+@pytest.mark.parametrize("name", ["social-contract", "search-results-analysis", "notice-board-history"])
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_classes_that_begin_with_a_noise_word_are_text(tag, name):
+    s = "A sentence of the article that is long enough to be counted as text by any measure."
+    page = (f"<body><article><p>{s}</p><{tag} class={name}><p>{s}</p></{tag}><p>{s}</p>"
+            f"<{tag} class={name}><a href=1>one link</a> <a href=2>another link</a></{tag}>"
+            f"<{tag} class='cookie-notice'>{s}</{tag}><{tag} class=comments><p>{s}</p></{tag}>"
+            "</article></body>")
+    assert H.main_text(page).split("\n") == [s, s, s]
+
+
+def test_parsing_takes_linear_time():
+    import time
+
+    def seconds(make):
+        out = []
+        for n in (4_000, 16_000):
+            html = make(n)
+            begin = time.perf_counter()
+            H.main_text(html)
+            out.append(time.perf_counter() - begin)
+        return out
+
+    for make in (lambda n: '<a title="x>' * n, lambda n: "<p class='" * n + ">", lambda n: "<a " * n,
+                 lambda n: "<div class=x>" * n + "t", lambda n: "<div>" * n + "</x>" * n,
+                 lambda n: "<b a=\"'\">w" * n, lambda n: "<i>" * n + "w <u>" * n):
+        small, large = seconds(make)
+        assert large < 12 * max(small, 0.02), (make(2), small, large)
+
+
+def _random_tree(rng, depth=0):
+    """(tag, children: trees and texts)."""
+    kinds = ["div", "section", "p", "b", "a", "span", "ul"] if depth else ["body"]
+    tag = rng.choice(kinds)
+    if tag == "p" or depth > 4:  # nothing that would close it
+        inner = [rng.choice([("a", ["link text"]), ("b", ["bold"]), "plain words here"])
+                 for _ in range(rng.randint(1, 3))]
+        return tag, inner
+    return tag, [_random_tree(rng, depth + 1) if rng.random() < .7 else "some text " * rng.randint(1, 9)
+                 for _ in range(rng.randint(1, 4))]
+
+
+def _html(tree):
+    return tree if isinstance(tree, str) else (
+        f"<{tree[0]}>" + "".join(map(_html, tree[1])) + f"</{tree[0]}>")
+
+
+def _counts(tree):
+    """Characters, link characters, tags and link tags below a node (link tags with itself)."""
+    c = lc = t = lt = 0
+    for x in tree[1]:
+        if isinstance(x, str):
+            c += len(x.strip())
+        else:
+            xc, xlc, xt, xlt = _counts(x)
+            c, lc, t, lt = c + xc, lc + xlc, t + xt + 1, lt + xlt
+    return (c, c, t, lt + 1) if tree[0] == "a" else (c, lc, t, lt)
+
+
+def test_densities_against_a_recursive_reading():
+    rng = random.Random(8)
+    for _ in range(60):
+        tree = _random_tree(rng)
+        page = H.Page(_html(tree))
+        density, sums = H.densities(page)
+        body = _counts(tree)
+        flat = []
+
+        def walk(x, flat=flat, body=body):
+            c, lc, t, lt = _counts(x)
+            t_ = max(t, 1)
+            if not c:
+                d = 0.0
+            elif not body[1]:
+                d = c / t_
+            else:
+                base = math.log(c / max(c - lc, 1) * lc + body[1] / max(body[0], 1) * c + math.e)
+                d = c / t_ * max(math.log(c / max(lc, 1) * t_ / max(lt, 1)), 0) / math.log(base)
+            at = len(flat)
+            flat.append([x[0], d, 0.0])
+            flat[at][2] = sum(walk(y) for y in x[1] if not isinstance(y, str))
+            return d
+
+        walk(tree)
+        assert page.tag[1:] == [f[0] for f in flat]
+        assert all(math.isclose(a, f[1], abs_tol=1e-9) for a, f in zip(density[1:], flat, strict=True))
+        assert all(math.isclose(a, f[2], abs_tol=1e-9) for a, f in zip(sums[1:], flat, strict=True))
+
+
 def test_extract_pages(spark):
     rows = [(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, 5)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
@@ -256,6 +364,55 @@ def brute_cost(codes):
     return best
 
 
+def brute_states(codes):
+    """The cheapest state sequence; of equal ones the smallest, read from the last state back."""
+    best = None
+    for states in itertools.product((1, 2, 3), repeat=len(codes)):
+        cost, at = 0, C.START
+        for r, s in zip(codes, states, strict=True):
+            ways = [c for f, t, c, *_ in C.MOVES[r] if (f, t) == (at, s)]
+            if not ways:
+                break
+            cost, at = cost + min(ways), s
+        else:
+            best = min(best or (10**9,), (cost + C.INSERT * len(C.ENDING[at]), states[::-1]))
+    return list(best[1][::-1])
+
+
+def test_states_do_not_depend_on_borders():
+    rng = random.Random(12)
+    cases = [[2, 0, 3, 0], *([rng.randint(0, 3) for _ in range(rng.randint(1, 7))] for _ in range(250))]
+    for codes in cases:
+        roles, want = np.array(codes), brute_states(codes)
+        for block in (1, 2, 3, len(codes)):
+            parts = [roles[i:i + block] for i in range(0, len(codes), block)]
+            ends = C.border_states([C.cost_matrix(p) for p in parts], [C.tie_ranks(p) for p in parts])
+            got = [s for p, a, b in zip(parts, [C.START, *ends], ends, strict=False)
+                   for s in C.best_states(p, a, b)]
+            assert got == want, (codes, block)
+
+
+def test_rows_do_not_depend_on_blocks_or_partitions(spark, monkeypatch):
+    rng = random.Random(5)
+    convs = {k: [rng.choice(["system", "user", "assistant", "tool", None])
+                 for _ in range(rng.choice([1, 3, 9, 40]))] for k in range(25)}
+    convs |= {90: ["user", None, "assistant", None], 91: ["user"] * 120}
+    rows = [(k, i, r, f"t{i}") for k, rs in convs.items() for i, r in enumerate(rs)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    seen = []
+    for block, parts in ((2000, 1), (1, 8), (2, 4), (3, 8), (2000, 8)):
+        monkeypatch.setattr(C, "BLOCK", block)
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            seen.append(sorted(map(tuple, C.repair(df).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(x == seen[0] for x in seen)
+    roles = [r[3] for r in seen[0] if r[0] == 90]
+    assert roles == [C.ROLES[s - 1] for s in brute_states([2, 0, 3, 0])]
+
+
 def _cost(actions):
     price = {"keep": 0, "merge": C.MERGE, "relabel": C.RELABEL, "relabel-merge": C.RELABEL + C.MERGE}
     return sum(price[a] + C.INSERT * n for a, n in actions)

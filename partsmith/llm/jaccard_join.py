@@ -23,6 +23,14 @@ in each list; of what is still open, every pair from different components within
 bounds is verified.  So all links between different components are found, while a large
 group of near copies costs a few pairs per member and list.
 
+For that last pass the bounds are part of the dealing.  From its size and its position in
+the list an entry tells the sizes of the partners that could still reach the overlap; the
+larger one of a pair goes to (band of the partner's size, band of its own size) for all such
+bands, the smaller one as well, so only entries that each is possible for the other meet,
+and entries of a long list of which none can reach the overlap meet nobody.  What is still a
+large group is cut on both sides into blocks of about ``MEET`` entries, each pair of blocks
+a group of its own.
+
 The boundary is the size up to which the subsets are cheaper than listing the set and
 verifying the expected partners, from the sketch's estimate of the mean list length.
 
@@ -68,6 +76,10 @@ VERIFY_COST = 20.0
 TRIES = 8
 #: A list longer than this (by the sketch) proposes in several parts.
 PART = 50_000
+#: Entries of one side that meet in one group of the last pass.
+MEET = 2_000
+#: Relative width of a band of sizes in the last pass (small sizes have a band each).
+BAND = 1.02
 
 
 def overlap(n: int, m: int) -> int:
@@ -369,6 +381,60 @@ def _bounded(a: str, b: str, suffix: tuple[str, str, str, str]) -> str:
             f"(1 + least({na} - {pa_} - 1, {nb} - {pb} - 1)) AND {a} != {b}")
 
 
+def _band(size: str) -> str:
+    """SQL of the band of a size; equal for equal sizes and growing with them."""
+    return f"cast(floor(ln({size}) / {math.log(BAND)!r}) as int)"
+
+
+def _sides(entries: DataFrame, larger: bool) -> DataFrame:
+    """Entries of the last pass, once for each group where they can meet a partner as the larger
+    (or equal) or the smaller one of a pair: ``key, low, high`` are the bands of the smaller
+    and the larger size, ``who`` tells which of the two is of the list's largest component
+    (neither, the larger or the smaller one, never both)."""
+    # sizes m with NUM (n + m) <= (NUM + DEN) (n - pos), the positional bound, among partners
+    most = f"(({NUM + DEN} * (n - pos)) div {NUM} - n)"
+    least_, most = ((f"((n * {NUM} + {DEN - 1}) div {DEN})", f"least({most}, n)") if larger
+                    else ("n", f"least({most}, n * {DEN} div {NUM})"))
+    bands = f"sequence({_band(least_)}, {_band(most)})"
+    out = entries.where(f"{most} >= {least_}").withColumn("other", F.explode(F.expr(bands)))
+    own = F.expr(_band("n"))
+    low, high = (F.col("other"), own) if larger else (own, F.col("other"))
+    mine = F.lit("larger" if larger else "smaller")
+    who = F.when(F.col("comp") == F.col("major"), F.array(mine)).otherwise(
+        F.array(F.lit("neither"), F.lit("smaller" if larger else "larger")))
+    return out.withColumns({"low": low, "high": high, "who": F.explode(who)}).drop(
+        "other", "major")
+
+
+def _meeting(unsettled: DataFrame) -> DataFrame:
+    """Pairs ``u, v`` of classes of one list within the bounds and of different components, each
+    once."""
+    group = ["key", "low", "high", "who"]
+    both = []
+    for larger in (True, False):
+        side = _sides(unsettled.select("key", "sid", "n", "pos", "comp", "major"), larger)
+        n = side.groupBy(*group).agg(F.count(F.lit(1)).alias("n_larger" if larger else "n_smaller"))
+        both.append((side, n))
+    (large, n_large), (small, n_small) = both
+    blocks = written(n_large.join(n_small, group).select(
+        *group, F.ceil(F.col("n_larger") / MEET).cast("int").alias("larger_blocks"),
+        F.ceil(F.col("n_smaller") / MEET).cast("int").alias("smaller_blocks")), "meeting")
+
+    def dealt(side: DataFrame, mine: str, others: str) -> DataFrame:
+        own = F.pmod(F.xxhash64("sid"), F.col(f"{mine}_blocks")).cast("int")
+        return side.join(blocks, group).withColumn(f"{mine}_block", own).withColumn(
+            f"{others}_block", F.explode(F.expr(f"sequence(0, {others}_blocks - 1)"))).select(
+            *group, "larger_block", "smaller_block", "sid", "n", "pos", "comp")
+
+    a, b = dealt(large, "larger", "smaller").alias("a"), dealt(small, "smaller", "larger").alias("b")
+    cond = " AND ".join(f"a.{c} = b.{c}" for c in [*group, "larger_block", "smaller_block"])
+    pairs = a.join(b, F.expr(
+        f"{cond} AND a.comp != b.comp AND (a.n > b.n OR a.n = b.n AND a.sid < b.sid) AND "
+        + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))
+    return pairs.select(F.greatest("a.sid", "b.sid").alias("u"),
+                        F.least("a.sid", "b.sid").alias("v")).distinct()
+
+
 # -- verification -------------------------------------------------------------------
 def _payloads(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """Compressed texts of the classes in ``wanted (sid)``: ``sid, z``."""
@@ -462,16 +528,17 @@ def links(documents: DataFrame, classes: DataFrame) -> DataFrame:
         unsettled = written(entries.join(major, "key"), "open")
         if unsettled.isEmpty():
             break
-        others, members = unsettled.where("comp != major"), unsettled
-        if not last:
+        if last:
+            pairs = _meeting(unsettled)
+        else:
             # first about TRIES members of the largest component per list, other ones in each
+            others = unsettled.where("comp != major")
             members = unsettled.where((F.col("comp") == F.col("major")) & (
                 F.pmod(F.xxhash64("key", "sid"), F.col("size")) < TRIES))
-        pairs = others.alias("a").join(members.alias("b"), F.expr(
-            "a.key = b.key AND a.comp != b.comp AND (b.comp = b.major OR a.sid < b.sid) AND "
-            + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))
-        pairs = pairs.select(F.greatest("a.sid", "b.sid").alias("u"),
-                             F.least("a.sid", "b.sid").alias("v")).distinct()
+            pairs = others.alias("a").join(members.alias("b"), F.expr(
+                "a.key = b.key AND " + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))
+            pairs = pairs.select(F.greatest("a.sid", "b.sid").alias("u"),
+                                 F.least("a.sid", "b.sid").alias("v")).distinct()
         more = written(_verified(pairs, texts), "links")
         entries = unsettled.select("key", "sid", "n", "pos")
         if not more.isEmpty():
@@ -487,8 +554,9 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     classes = written(_classes(documents), "classes")
     docs = classes.where("chunk is null").select("doc_id", "n", "sid")
     comp = links(documents, classes)
-    full = _labels(docs.where("n > 0"), comp)
-    low = full.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    full = written(_labels(docs.where("n > 0"), comp), "labels")
+    # both sides are read from tables, so a component of many rows can be split in the join
+    low = written(full.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "lowest")
     out = full.join(low, "comp").select(
         "doc_id", F.col("n").alias("n_shingles"), "sid", "comp", "component_id")
     empty = docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), "sid",
@@ -497,8 +565,18 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     return out.unionByName(empty)
 
 
-def _tagged(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``__n`` and ``__sid``, the size and class of each row's set."""
+def _free(documents: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column has that name."""
+    taken, out = {c.lower() for c in documents.columns}, []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def _tagged(documents: DataFrame, size: str, sid: str) -> DataFrame:
+    """``documents`` with the size and class of each row's set, as columns of these names."""
     names = documents.columns
 
     def run(batches):
@@ -508,27 +586,28 @@ def _tagged(documents: DataFrame) -> DataFrame:
                     for t in make.column(batch.column(names.index("text")))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x[0] for x in sets], pa.int64()),
-                 pa.array([x[1] for x in sets], pa.int64())], [*names, "__n", "__sid"])
+                 pa.array([x[1] for x in sets], pa.int64())], [*names, size, sid])
 
-    schema = StructType([*documents.schema.fields, StructField("__n", LongType()),
-                         StructField("__sid", LongType())])
+    schema = StructType([*documents.schema.fields, StructField(size, LongType()),
+                         StructField(sid, LongType())])
     return documents.mapInArrow(run, schema)
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each component: the one with the smallest id (null last),
     then class, then hashes of the text and the row.  Rows without words are all kept."""
+    size, sid, key, ident, rep = _free(documents, "__n", "__sid", "__key", "__id", "__rep")
     comp = jaccard_components(documents).where("n_shingles > 0")
     chosen = comp.groupBy("comp").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("unnamed"), "doc_id", "sid")).alias("r")).select(
-        F.col("r.doc_id").alias("__id"), F.col("r.sid").alias("__rep"),
-        F.xxhash64("r.doc_id", "r.sid").alias("__key"))
-    rows = _tagged(documents).withColumn("__key", F.xxhash64("doc_id", "__sid"))
+        F.col("r.doc_id").alias(ident), F.col("r.sid").alias(rep),
+        F.xxhash64("r.doc_id", "r.sid").alias(key))
+    rows = _tagged(documents, size, sid).withColumn(key, F.xxhash64("doc_id", sid))
     # joined and grouped by one hash of both, so the texts are shuffled once
-    kept = rows.join(chosen, (rows["__key"] == chosen["__key"])
-                     & rows["doc_id"].eqNullSafe(chosen["__id"])
-                     & (rows["__sid"] == chosen["__rep"]), "left_semi")
-    one = kept.groupBy("__key", "doc_id", "__sid").agg(F.min_by(
+    kept = rows.join(chosen, (rows[key] == chosen[key])
+                     & rows["doc_id"].eqNullSafe(chosen[ident])
+                     & (rows[sid] == chosen[rep]), "left_semi")
+    one = kept.groupBy(key, "doc_id", sid).agg(F.min_by(
         F.struct(*documents.columns),
-        F.struct(F.xxhash64("text"), F.xxhash64(*documents.columns))).alias("row")).select("row.*")
-    return one.unionByName(rows.where("__n = 0").select(*documents.columns))
+        F.struct(F.xxhash64("text"), F.xxhash64(*documents.columns))).alias(rep)).select(f"{rep}.*")
+    return one.unionByName(rows.where(F.col(size) == 0).select(*documents.columns))

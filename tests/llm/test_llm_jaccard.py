@@ -108,6 +108,84 @@ def test_classes_alone_in_their_part_are_linked(spark, monkeypatch, part):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("meet", [1, 3])
+def test_last_pass_in_small_blocks(spark, monkeypatch, meet):
+    """Everything that the stars don't link is left to the last pass, in blocks of few entries."""
+    rows = _rows(4)
+    monkeypatch.setattr(J, "MEET", meet)
+    monkeypatch.setattr(J, "TRIES", 0)
+    monkeypatch.setattr(J, "choose_boundary", lambda *a: 1)
+    out = J.jaccard_components(_df(spark, rows))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr)
+    assert got == brute(rows)
+
+
+def test_pairs_of_the_last_pass(spark, monkeypatch):
+    """Exactly the pairs of different components within the bounds, each once, whatever the blocks."""
+    rng = random.Random(7)
+    entries = []
+    for key in range(6):
+        for sid in rng.sample(range(200), 40):
+            n = rng.choice([5, 20, 23, 25, 31, 90, 100, 110])
+            entries.append((key, sid, n, rng.randrange(J.prefix_length(n)), sid % 7))
+    major = {k: max(range(7), key=lambda c: (sum(e[0] == k and e[4] == c for e in entries), c)) for k in range(6)}
+    df = spark.createDataFrame([(*e, major[e[0]]) for e in entries],
+                               "key long, sid long, n int, pos int, comp long, major long")
+
+    def fits(a, b):
+        (_, s, n, p, c), (_, t, m, q, d) = a, b
+        return (s != t and c != d and 5 * min(n, m) >= 4 * max(n, m)
+                and 4 * (n + m) <= 9 * (1 + min(n - p - 1, m - q - 1)))
+
+    want = {(max(a[1], b[1]), min(a[1], b[1])) for a in entries for b in entries
+            if a[0] == b[0] and fits(a, b)}
+    assert len(want) > 50
+    for meet in (2000, 3):
+        monkeypatch.setattr(J, "MEET", meet)
+        got = [(r.u, r.v) for r in J._meeting(df).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def _templated(n):
+    common = " ".join(f"c{i}" for i in range(26))
+    return [(k, common + "".join(f" own{k}x{i}" for i in range(5))) for k in range(n)]
+
+
+def test_templated_pages_meet_nobody_in_the_last_pass(spark, monkeypatch):
+    """Pages of one template and a few own words share a list that is as long as the table, but
+    none can reach the overlap: no pair is made of it."""
+    made = []
+    real = J._meeting
+
+    def meeting(unsettled):
+        pairs = real(unsettled)
+        made.append((unsettled.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(J, "_meeting", meeting)
+    monkeypatch.setattr(J, "choose_boundary", lambda *a: 1)
+    rows = _templated(1500)
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(_df(spark, rows)).collect()}
+    assert got == {k: k for k, _ in rows}
+    assert made and all(pairs == 0 for _, pairs in made) and made[0][0] >= 1500
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    rng = random.Random(1)
+    long = [f"w{rng.randrange(3000)}" for _ in range(60_000)]
+    near = list(long)
+    for _ in range(300):
+        near[rng.randrange(len(near))] = "other"
+    rows = [(4, " ".join(long)), (9, " ".join(near)), (2, "w1 w2 w3")]
+    df = spark.createDataFrame([(d, t, 1, "a", "b", 2) for d, t in rows],
+                               "doc_id long, text string, __n int, __sid string, __Key string, comp int")
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(df).collect()}
+    assert got == {4: 4, 9: 4, 2: 2}
+    kept = J.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 4]
+
+
 def test_keep_one_of_each_group(spark):
     rows = _rows(5)
     kept = J.keep_one(_df(spark, rows))

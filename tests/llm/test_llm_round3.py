@@ -289,7 +289,7 @@ def test_features_against_plain_counts():
                 for i, s in enumerate(Q.STATS)} for k, (p, x) in seen.items()}
     t = texts[2]
     assert math.isclose(stat[2]["different_lines"], 0.5)
-    assert math.isclose(stat[2]["upper"], math.sqrt(1 / 9), rel_tol=1e-6)  # A of Ab ab c ab ab c
+    assert math.isclose(stat[2]["upper"], math.sqrt(1 / 10), rel_tol=1e-6)  # A of ten letters
     assert math.isclose(stat[2]["twice"], math.sqrt(2 / len(t)), rel_tol=1e-6)
     assert math.isclose(stat[2]["n_chars_differs"], 0.0, abs_tol=1e-9)
     assert math.isclose(stat[3]["n_chars_differs"], 1.0) and math.isclose(stat[1]["n_chars_missing"], 1.0)

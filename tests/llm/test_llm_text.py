@@ -188,11 +188,15 @@ def _random_tree(rng, depth=0):
     kinds = ["div", "section", "p", "b", "a", "span", "ul"] if depth else ["body"]
     tag = rng.choice(kinds)
     if tag == "p" or depth > 4:  # nothing that would close it
-        inner = [rng.choice([("a", ["link text"]), ("b", ["bold"]), "plain words here"])
-                 for _ in range(rng.randint(1, 3))]
-        return tag, inner
-    return tag, [_random_tree(rng, depth + 1) if rng.random() < .7 else "some text " * rng.randint(1, 9)
-                 for _ in range(rng.randint(1, 4))]
+        return tag, [rng.choice([("a", ["link text"]), ("b", ["bold"])]), "plain words here",
+                     ("span", ["more"])][:rng.randint(1, 3)]
+    inner = []
+    for _ in range(rng.randint(1, 4)):
+        if rng.random() < .7 or inner and isinstance(inner[-1], str):
+            inner.append(_random_tree(rng, depth + 1))
+        else:
+            inner.append("some text " * rng.randint(1, 9))
+    return tag, inner
 
 
 def _html(tree):

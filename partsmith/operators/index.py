@@ -3,21 +3,33 @@
 ``build_postings`` turns text columns into ``(trigram, key..., column)`` rows;
 ``write_postings`` lays them out range-partitioned and sorted by trigram, so a
 lookup's ``trigram IN (...)`` predicate is pushed into the Parquet scan and
-skips row groups by min/max statistics; ``search_indexed`` finds candidates
-having *all* of a term's trigrams in one column, then verifies them with the
-scan predicate (trigrams in any order are necessary, not sufficient).
+skips row groups by min/max statistics.  ``write_index`` adds a small table of how many
+postings every trigram has.
+
+``search_indexed`` looks a term's trigrams up in that table, reads the lists of the rarest
+few only, keeps the keys that have all of these in one column, and verifies them with the
+scan predicate.  Lists of common trigrams are not read: beside a list of ten keys a list of
+a third of all rows removes less than it costs, and verification decides anyway.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partsmith.functions.text import literal_trigrams, trigrams, usable_terms
 from partsmith.operators.search import search_predicate
+from partsmith.session import scratch_path
+from partsmith.sources.files import folder_size
+
+FILE_BYTES = 128 << 20
+ROW_GROUP_BYTES = 16 << 20
+#: Lists read for one term, and how much longer than the shortest one they may be.
+LISTS, WIDER = 3, 16
 
 
 def build_postings(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -33,34 +45,90 @@ def build_postings(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
     return posts.select("trigram", *keys, "column")
 
 
-def write_postings(postings: DataFrame, path: str, rows_per_file: int = 4_000_000,
-                   compression: str = "zstd") -> None:
-    """Write the postings compacted into files of about ``rows_per_file`` rows, range
-    partitioned and sorted by trigram and key (one "segment" per range; a trigram with
-    more rows than a file goes on in the next; rewriting the folder is the optimise
-    step)."""
+def write_postings(postings: DataFrame, path: str, rows_per_file: int | None = None,
+                   compression: str = "zstd", file_bytes: int = FILE_BYTES) -> None:
+    """Write the postings compacted into files of about ``file_bytes`` bytes (or
+    ``rows_per_file`` rows), at least one per core, range partitioned and sorted by trigram
+    and key (one "segment" per range; a trigram with more rows than a file goes on in the
+    next; rewriting the folder is the optimise step).
+
+    The postings are generated once, into a scratch table; sizes and range borders are told
+    from there."""
+    spark = postings.sparkSession
     order = ["trigram", *[c for c in postings.columns if c != "trigram"]]
-    files = max(1, -(-postings.count() // rows_per_file))
-    (postings.repartitionByRange(files, *order).sortWithinPartitions(*order)
-     .write.mode("overwrite").option("compression", compression).parquet(path))
+    staged = scratch_path(spark, "staged-postings")
+    postings.write.option("compression", compression).parquet(staged)
+    rows = spark.read.schema(postings.schema).parquet(staged)
+    if rows_per_file is None:
+        files = max(spark.sparkContext.defaultParallelism,
+                    -(-folder_size(spark, staged) // file_bytes))
+    else:
+        files = max(1, -(-rows.count() // rows_per_file))
+    (rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+     .write.mode("overwrite").option("compression", compression)
+     .option("parquet.block.size", ROW_GROUP_BYTES).parquet(path))
+
+
+class Index(NamedTuple):
+    """Postings and ``trigram, n_postings``, both sorted by trigram."""
+
+    postings: DataFrame
+    trigrams: DataFrame
 
 
-def _term_candidates(postings: DataFrame, keys: Sequence[str], term: str) -> DataFrame:
-    """Keys having every trigram of ``term`` in one and the same column."""
+def write_index(postings: DataFrame, path: str, **layout) -> Index:
+    """Write ``path/postings`` (see ``write_postings``) and ``path/trigrams``; the index."""
+    spark = postings.sparkSession
+    write_postings(postings, f"{path}/postings", **layout)
+    counts = spark.read.parquet(f"{path}/postings").groupBy("trigram").agg(
+        F.count(F.lit(1)).alias("n_postings"))
+    (counts.repartitionByRange("trigram").sortWithinPartitions("trigram")
+     .write.mode("overwrite").parquet(f"{path}/trigrams"))
+    return read_index(spark, path)
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    return Index(*(spark.read.parquet(f"{path}/{n}") for n in ("postings", "trigrams")))
+
+
+def rarest_trigrams(trigrams: DataFrame, term: str) -> list[str] | None:
+    """The trigrams of ``term`` whose lists are worth reading, rarest first: at most ``LISTS``,
+    none more than ``WIDER`` times as long as the rarest one.  None if one of the term's
+    trigrams has no list, so that nothing can match."""
     grams = literal_trigrams(term)
+    # as many rows as the term has trigrams
+    found = {r["trigram"]: r["n_postings"] for r in trigrams.where(
+        F.col("trigram").isin(*grams)).collect()}
+    if len(found) < len(grams):
+        return None
+    order = sorted(grams, key=lambda g: (found[g], g))
+    return [g for g in order[:LISTS] if found[g] <= WIDER * found[order[0]]]
+
+
+def _term_candidates(index: Index | DataFrame, keys: Sequence[str], term: str) -> DataFrame:
+    """Keys having the trigrams of ``term`` (the rarest ones, where their counts are known) in
+    one and the same column."""
+    if isinstance(index, DataFrame):
+        postings, grams = index, literal_trigrams(term)
+    else:
+        postings, grams = index.postings, rarest_trigrams(index.trigrams, term)
+    if grams is None:
+        return postings.select(*keys).where(F.lit(False))
     hit = postings.filter(F.col("trigram").isin(*grams))
+    if len(grams) == 1:
+        return hit.select(*keys).distinct()
     per_col = hit.groupBy(*keys, "column").agg(F.count_distinct("trigram").alias("__n"))
     return per_col.filter(F.col("__n") == len(grams)).select(*keys).distinct()
 
 
-def search_indexed(df: DataFrame, postings: DataFrame, keys: Sequence[str],
+def search_indexed(df: DataFrame, postings: Index | DataFrame, keys: Sequence[str],
                    all: Iterable[str] | None = None,  # noqa: A002 - API name
                    any: Iterable[str] | None = None,  # noqa: A002
                    none: Iterable[str] | None = None,
                    columns: Sequence[str] | None = None) -> DataFrame:
     """Same result as ``search(df, all, any, none, columns)``, answered through
-    the postings: candidate keys (semi joins on the key), then verification
-    with the scan predicate on the candidates only."""
+    the index (or postings alone, of which then all lists are read): candidate keys (semi
+    joins on the key), then verification with the scan predicate on the candidates only."""
     keys = list(keys)
     must = usable_terms(all)
     should = usable_terms(any)

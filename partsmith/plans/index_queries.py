@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from partsmith.operators.index import build_postings, search_indexed, write_postings
+from partsmith.operators.index import (
+    build_postings,
+    search_indexed,
+    write_index,
+    write_postings,
+)
 from partsmith.operators.ordering import spread
 from partsmith.plans.bindings import t
 from partsmith.plans.registry import query
@@ -41,9 +46,10 @@ def postings_compact(spark, sf):
 SELECT doc_id, lang FROM documents
 WHERE {any_col_contains('there', ['text'])} AND NOT {any_col_contains('ouè', ['text'])}""")
 def trigram_search_indexed(spark, sf):
-    """Postings over ``documents.text`` written; a search answered through them and verified."""
+    """Index over ``documents.text`` written; a search answered through its rarest lists and
+    verified."""
     docs = t(spark, sf, "documents")
-    path = scratch_path(spark, "postings")
-    write_postings(build_postings(spread(docs), ["doc_id"], ["text"]), path)
-    return search_indexed(docs, spark.read.parquet(path), ["doc_id"], all=INDEXED_ALL,
+    index = write_index(build_postings(spread(docs), ["doc_id"], ["text"]),
+                        scratch_path(spark, "index"))
+    return search_indexed(docs, index, ["doc_id"], all=INDEXED_ALL,
                           none=INDEXED_NONE, columns=["text"]).select("doc_id", "lang")

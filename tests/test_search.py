@@ -1,10 +1,12 @@
 """Search semantics, top-k, lookup, paging, facets and the postings index
 (FIXTURES §3)."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from partsmith.functions.text import literal_trigrams
 from partsmith.operators.index import build_postings, search_indexed, write_postings
 from partsmith.operators.search import catalog_filter, facet_counts, page_envelope, search, top_k
 from tests.helpers import products_df
@@ -162,3 +164,76 @@ def test_deep_pages_and_key_paging(spark, monkeypatch):
     assert early == deep == after == want[100:150]
     assert [r.sku for r in M.page_after(df, None, 2).collect()] == want[:2]
     assert M.page(df, 11, 50, ["sku"]).collect() == []
+
+
+# -- index with trigram counts ---------------------------------------------------------
+def _scanned_rows(df):
+    """Rows that the Parquet scans of a query gave to their filters."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.fixture()
+def plain_plans(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_lists_of_common_trigrams_are_not_read(spark, scratch, plain_plans):
+    from partsmith.operators.index import Index, rarest_trigrams, write_index
+
+    # every row holds "common" with all its trigrams, ten hold "qzx"
+    df = spark.range(20000).selectExpr("id", "if(id % 2000 = 0, 'common qzx', 'common') AS body")
+    index = write_index(build_postings(df, ["id"], ["body"]), f"{scratch}/i", rows_per_file=5000)
+    counts = {r.trigram: r.n_postings for r in index.trigrams.collect()}
+    assert counts["com"] == 20000 and counts["qzx"] == 10
+    assert rarest_trigrams(index.trigrams, "common qzx")[0] not in ("com", "omm", "mmo", "mon")
+    assert set(rarest_trigrams(index.trigrams, "common qzx")) <= {"on ", "n q", " qz", "qzx"}
+    assert rarest_trigrams(index.trigrams, "absent") is None
+    term = "common qzx"
+    hits = search_indexed(df, index, ["id"], all=[term], columns=["body"])
+    assert sorted(r.id for r in hits.collect()) == list(range(0, 20000, 2000))
+    rare = rarest_trigrams(index.trigrams, term)
+    read = _scanned_rows(index.postings.filter(F.col("trigram").isin(*rare)))
+    all_lists = _scanned_rows(index.postings.filter(F.col("trigram").isin(*literal_trigrams(term))))
+    assert all_lists >= 80000 and read < all_lists / 4
+    for terms in (["absent"], ["qzx", "absent"], ["zz"]):
+        assert search_indexed(df, index, ["id"], all=terms, columns=["body"]).count() == 0
+    assert search_indexed(df, index, ["id"], any=["absent", "qzx"], columns=["body"]).count() == 10
+    assert isinstance(index, Index)
+
+
+def test_postings_are_generated_once(spark, scratch):
+    calls = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([(i, f"body {i}") for i in range(50)], "id long, body string")
+
+    def counted(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    counted_rows = rows.mapInArrow(counted, rows.schema)
+    write_postings(build_postings(counted_rows, ["id"], ["body"]), f"{scratch}/once")
+    assert calls.value == 50
+
+
+def test_bloom_filters_skip_row_groups_of_an_unsorted_copy(spark, scratch, plain_plans):
+    from partsmith.operators.variants import LOOKUP_COLUMNS, bloom_options
+
+    df = spark.range(0, 60000, 1, 1).selectExpr(
+        "concat('C', hash(id)) AS sku", "concat('m', xxhash64(id)) AS mfr_part_number")
+    wanted = df.where("sku = concat('C', hash(41234L))").first()
+
+    def write(name, options):
+        (df.write.options(**options).option("parquet.block.size", 1 << 16)
+         .option("parquet.enable.dictionary", "false").parquet(f"{scratch}/{name}"))
+        hit = spark.read.parquet(f"{scratch}/{name}").where(
+            F.col("mfr_part_number") == wanted.mfr_part_number)
+        assert hit.count() == 1
+        return _scanned_rows(hit)
+
+    without, with_bloom = write("plain", {}), write("bloom", bloom_options(LOOKUP_COLUMNS, 5000))
+    assert with_bloom < without / 3

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from partsmith.operators.planner import partition_plan, union_dedupe
+from partsmith.operators.planner import assign_parts, partition_plan, union_dedupe
 from partsmith.plans.bindings import t
 from partsmith.plans.registry import query
 
@@ -12,41 +12,69 @@ PLAN_THRESHOLD = 60  # fixed value: small threshold so every level occurs on the
 
 _ITEMS_SQL = """items AS (
   SELECT c_custkey, CAST(n_regionkey AS BIGINT) AS category,
-         CASE WHEN n_regionkey = 4 THEN NULL ELSE c_mktsegment END AS brand, lower(c_name) AS txt
+         CASE WHEN n_regionkey = 4 OR c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS brand,
+         CASE WHEN c_custkey % 9 = 0 THEN '#--#' ELSE lower(c_name) END AS txt
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 
-@query("partition_plan", sql=f"""
-WITH {_ITEMS_SQL},
-rc AS (SELECT DISTINCT c_custkey, category, brand, ch FROM
-       (SELECT c_custkey, category, brand, unnest(regexp_extract_all(txt, '.')) AS ch FROM items)
+_PARTS_SQL = f"""{_ITEMS_SQL},
+rc AS (SELECT DISTINCT c_custkey, ch FROM
+       (SELECT c_custkey, unnest(regexp_extract_all(txt, '.')) AS ch FROM items)
        WHERE regexp_matches(ch, '^[0-9a-z]$')),
-c0 AS (SELECT category, count(*) AS row_count FROM items GROUP BY category),
-b1 AS (SELECT i.category, i.brand, count(*) AS row_count FROM items i
-       JOIN c0 ON i.category = c0.category AND c0.row_count >= {PLAN_THRESHOLD}
-       WHERE i.brand IS NOT NULL GROUP BY i.category, i.brand),
-brandless AS (SELECT category FROM c0 WHERE row_count >= {PLAN_THRESHOLD}
-              AND category NOT IN (SELECT category FROM b1))
-SELECT category, CAST(NULL AS VARCHAR) AS brand, CAST(NULL AS VARCHAR) AS keyword, row_count,
-       false AS oversize FROM c0 WHERE row_count < {PLAN_THRESHOLD}
-UNION ALL
-SELECT category, brand, NULL, row_count, false FROM b1 WHERE row_count < {PLAN_THRESHOLD}
-UNION ALL
-SELECT rc.category, rc.brand, rc.ch, count(*), count(*) >= {PLAN_THRESHOLD} FROM rc
-JOIN b1 ON rc.category = b1.category AND rc.brand = b1.brand AND b1.row_count >= {PLAN_THRESHOLD}
-GROUP BY rc.category, rc.brand, rc.ch
-UNION ALL
-SELECT rc.category, NULL, rc.ch, count(*), count(*) >= {PLAN_THRESHOLD} FROM rc
-WHERE rc.category IN (SELECT category FROM brandless)
-GROUP BY rc.category, rc.ch""")
-def partition_plan_q(spark, sf):
-    """Work units over customers: region -> segment -> name characters, threshold 60."""
+n AS (SELECT *, count(*) OVER (PARTITION BY category) AS total,
+             count(brand) OVER (PARTITION BY category) > 0 AS branded,
+             count(*) OVER (PARTITION BY category, brand) AS own FROM items),
+h AS (SELECT *, CASE WHEN total < {PLAN_THRESHOLD} THEN 'category'
+                     WHEN own < {PLAN_THRESHOLD} AND branded THEN 'brand' ELSE 'split' END AS how,
+             brand IS NULL AND branded AS lone FROM n),
+parts AS (
+  SELECT h.c_custkey, category, CASE WHEN how <> 'category' THEN brand END AS brand,
+         CASE WHEN how = 'split' THEN ch END AS keyword,
+         CASE WHEN how = 'category' THEN NULL
+              WHEN how = 'split' AND ch IS NULL THEN if(lone, 'no brand, no character', 'no character')
+              WHEN lone THEN 'no brand' END AS rest, how
+  FROM h LEFT JOIN rc ON h.c_custkey = rc.c_custkey AND how = 'split')"""
+
+
+def _items(spark, sf):
+    """Customers with region as category and segment as brand: one region has no brands, some
+    customers elsewhere have none, some names have no listed character."""
     cust, nation = t(spark, sf, "customer"), t(spark, sf, "nation")
-    items = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
-        F.col("n_regionkey").cast("bigint").alias("category"),
-        F.when(F.col("n_regionkey") == 4, None).otherwise(F.col("c_mktsegment")).alias("brand"),
-        "c_name")
-    return partition_plan(items, "category", "brand", "c_name", threshold=PLAN_THRESHOLD)
+    k = F.col("c_custkey")
+    return cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        "c_custkey", F.col("n_regionkey").cast("bigint").alias("category"),
+        F.when((F.col("n_regionkey") == 4) | (k % 4 == 0), None)
+        .otherwise(F.col("c_mktsegment")).alias("brand"),
+        F.when(k % 9 == 0, F.lit("#--#")).otherwise(F.col("c_name")).alias("name"))
+
+
+@query("partition_plan", sql=f"""
+WITH {_PARTS_SQL}
+SELECT category, brand, keyword, rest, count(*) AS row_count,
+       how = 'split' AND count(*) >= {PLAN_THRESHOLD} AS oversize
+FROM parts GROUP BY category, brand, keyword, rest, how""")
+def partition_plan_q(spark, sf):
+    """Work units over customers: region -> segment -> name characters, threshold 60; rows
+    without a segment or a character are parts too."""
+    return partition_plan(_items(spark, sf), "category", "brand", "name", threshold=PLAN_THRESHOLD)
+
+
+@query("partition_cover", sql=f"""
+WITH {_PARTS_SQL}
+SELECT category, count(DISTINCT c_custkey) AS rows_covered,
+       (SELECT count(*) FROM items i WHERE i.category = p.category) AS rows_total,
+       count(*) AS row_parts
+FROM parts p GROUP BY category""")
+def partition_cover(spark, sf):
+    """Rows of each category that are in a work unit, of all its rows, and how many units
+    they are in altogether."""
+    items = _items(spark, sf)
+    parts = assign_parts(items, "category", "brand", "name", threshold=PLAN_THRESHOLD)
+    covered = parts.groupBy("category").agg(F.count_distinct("c_custkey").alias("rows_covered"),
+                                            F.count(F.lit(1)).alias("row_parts"))
+    total = items.groupBy("category").agg(F.count(F.lit(1)).alias("rows_total"))
+    return total.join(covered, "category").select("category", "rows_covered", "rows_total",
+                                                  "row_parts")
 
 
 @query("partition_union_dedupe", sql="""

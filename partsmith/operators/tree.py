@@ -3,14 +3,15 @@
 Trees are stored as an adjacency list (``id``, ``parent_id``).  Everything is
 derived from one top-down walk that gives each node its root path (ids and
 names): pre-order is the order of the path keys, a breadcrumb is the joined
-names, and exploding the path ids gives the ancestor closure.  The walk is a
-loop of joins, one per tree level (the loop runs as many times as the tree is
-deep, never per row), each level checkpointed to cut the lineage.
+names, and exploding the path ids gives the ancestor closure.  The paths come from
+pointer jumping: every node knows a part of its path and the ancestor above it, and each
+round appends that ancestor's own part, so parts double and a tree of depth d takes about
+log2(d) joins.  Rounds are checkpointed to cut the lineage; nodes that have reached their
+root drop out of the join.
 """
 
 from __future__ import annotations
 
-import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,32 +49,33 @@ def tree_paths(nodes: DataFrame, label: Column | None = None, id_col: str = "id"
     named = nodes.select(F.col(id_col).alias("__id"), F.col(parent_col).alias("__parent"),
                          label.alias("__label"))
     ids = named.select(F.col("__id").alias("__known")).distinct()
-    named = materialize(named.join(ids, F.col("__parent") == F.col("__known"), "left").select(
-        "__id", "__label", F.when(F.col("__parent") != 0, F.col("__known")).alias("__parent")))
-    level = named.filter(F.col("__parent").isNull()).select(
-        "__id", F.lit(0).alias("depth"), F.array("__id").alias("path_ids"),
-        F.array("__label").alias("path_names"), _key(F.col("__id")).alias("path_key"))
-    level = materialize(level)
-    levels = [level]
-    for depth in itertools.count(1):
-        frontier = level.select(F.col("__id").alias("__pid"), F.col("path_ids").alias("__pids"),
-                                F.col("path_names").alias("__pnames"),
-                                F.col("path_key").alias("__pkey"))
-        nxt = named.join(frontier, F.col("__parent") == F.col("__pid")).select(
-            "__id", F.lit(depth).alias("depth"),
-            F.concat("__pids", F.array("__id")).alias("path_ids"),
-            F.concat("__pnames", F.array("__label")).alias("path_names"),
-            F.concat("__pkey", F.lit("/"), _key(F.col("__id"))).alias("path_key"))
-        nxt = materialize(nxt)
-        if nxt.isEmpty():
+    # part of the path below ``up``, the next ancestor (null: the part begins at the root)
+    todo = materialize(named.join(ids, F.col("__parent") == F.col("__known"), "left").select(
+        "__id", F.when(F.col("__parent") != 0, F.col("__known")).alias("up"),
+        F.array("__id").alias("path_ids"), F.array("__label").alias("path_names"),
+        _key(F.col("__id")).alias("path_key")))
+    done = []
+    while True:
+        done.append(todo.where("up is null"))
+        open_ = todo.where("up is not null")
+        n_open, on_cycle = open_.agg(F.count(F.lit(1)),
+                                     F.count_if(F.array_contains("path_ids", F.col("up")))).first()
+        # every node has one parent, so a part that meets its own beginning hangs on a cycle
+        if on_cycle:
+            raise ValueError("the category table has a cycle")
+        if not n_open:
             break
-        levels.append(nxt)
-        level = nxt
-    walked = reduce(lambda a, b: a.unionByName(b), levels)
-    # every node has one parent, so what no root leads to hangs on a cycle
-    if not named.join(walked.select("__id"), "__id", "left_anti").isEmpty():
-        raise ValueError("the category table has a cycle")
-    return walked.withColumnRenamed("__id", id_col)
+        held = reduce(lambda a, b: a.unionByName(b), done).unionByName(open_).select(
+            F.col("__id").alias("__at"), F.col("up").alias("__up"),
+            F.col("path_ids").alias("__ids"), F.col("path_names").alias("__names"),
+            F.col("path_key").alias("__key"))
+        todo = materialize(open_.join(held, F.col("up") == F.col("__at")).select(
+            "__id", F.col("__up").alias("up"), F.concat("__ids", "path_ids").alias("path_ids"),
+            F.concat("__names", "path_names").alias("path_names"),
+            F.concat("__key", F.lit("/"), "path_key").alias("path_key")))
+    walked = reduce(lambda a, b: a.unionByName(b), done)
+    return walked.select(F.col("__id").alias(id_col), (F.size("path_ids") - 1).alias("depth"),
+                         "path_ids", "path_names", "path_key")
 
 
 def flatten(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id") -> DataFrame:

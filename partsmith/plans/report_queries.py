@@ -82,7 +82,7 @@ def ingest_progress(spark, sf):
     """Per page of each run: running total, percent of expected, rate, remaining, ETA."""
     log = _page_log(spark, sf)
     out = progress_series(log, "event_type", "ts", ["ts", "event_id"], "items",
-                          EXPECTED_PER_RUN, chunk=F.date_trunc("hour", F.col("ts")))
+                          EXPECTED_PER_RUN)
     return out.select("event_type", "event_id", "ts", "items", "fetched", "elapsed_s", "rate",
                       "pct", "remaining", "eta_s", "eta")
 

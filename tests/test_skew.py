@@ -54,3 +54,25 @@ def test_running_sum_of_a_dominant_run(spark):
     got = {(r.run, r.seq): r.running for r in
            running_sum(df, ["run"], ["seq"], "v", F.floor(F.col("seq") / 1000)).collect()}
     assert got == want
+
+
+def test_running_sum_of_a_run_within_one_hour_spreads(spark):
+    """One run, all of it in the same minute: segments are sampled, so many tasks share it."""
+    from partsmith.operators.progress import _segments
+
+    df = spark.range(0, N, 1, 6).select(F.lit("run").alias("run"), F.col("id").alias("seq"),
+                                        (F.col("id") % 5).alias("v"),
+                                        F.timestamp_seconds(F.col("id") / 1000).alias("ts"))
+    parts = [r[1] for r in _segments(df, ["run"], ["ts", "seq"]).groupBy("__chunk").count().collect()]
+    assert len(parts) >= 3 and max(parts) < 0.6 * N
+    w = Window.partitionBy("run").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.seq: r.s for r in df.select("seq", F.sum("v").over(w).alias("s")).collect()}
+    got = {r.seq: r.running for r in running_sum(df, ["run"], ["ts", "seq"], "v").collect()}
+    assert got == want
+
+
+def test_running_sum_with_null_runs_and_values(spark):
+    df = spark.createDataFrame([(None, 1, 2), (None, 2, None), ("a", 1, None), ("a", 2, 4)],
+                               "run string, seq int, v long")
+    got = sorted((r.run or "", r.seq, r.running) for r in running_sum(df, ["run"], ["seq"], "v").collect())
+    assert got == [("", 1, 2), ("", 2, 2), ("a", 1, 0), ("a", 2, 4)]

@@ -135,3 +135,34 @@ def test_cycles_are_an_error_and_depth_is_not_limited(spark):
     chain = spark.createDataFrame([(i, i - 1, f"n{i}", None, None) for i in range(1, 12)],
                                   S.CATEGORY_SCHEMA)
     assert tree_paths(chain).agg({"depth": "max"}).first()[0] == 10
+
+
+def test_a_deep_chain_takes_few_rounds(spark, monkeypatch):
+    from partsmith.operators import tree as M
+
+    rounds = []
+    real = M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df: rounds.append(1) or real(df))
+    chain = spark.createDataFrame([(i, i - 1 or None, f"n{i}", None, None) for i in range(1, 1001)],
+                                  S.CATEGORY_SCHEMA)
+    paths = tree_paths(chain)
+    last = paths.where("id = 1000").first()
+    assert last.depth == 999 and last.path_ids == list(range(1, 1001))
+    assert paths.agg({"depth": "sum"}).first()[0] == sum(range(1000))
+    assert len(rounds) <= 12
+
+
+def test_long_cycles_with_tails_are_an_error(spark):
+    import pytest
+
+    ring = [(i, i % 50 + 1) for i in range(1, 51)] + [(i, i - 1) for i in range(100, 120)] + [(99, 7)]
+    nodes = spark.createDataFrame([(i, p, "x", None, None) for i, p in ring], S.CATEGORY_SCHEMA)
+    with pytest.raises(ValueError, match="cycle"):
+        tree_paths(nodes)
+
+
+def test_path_keys_sort_in_preorder(spark):
+    rows = [(10, None), (2, 10), (30, 10), (4, 2), (5, 30), (1, None), (7, 4)]
+    nodes = spark.createDataFrame([(i, p, f"n{i}", None, None) for i, p in rows], S.CATEGORY_SCHEMA)
+    got = [r.id for r in flatten(nodes).orderBy("preorder_pos").collect()]
+    assert got == [1, 10, 2, 4, 7, 30, 5]

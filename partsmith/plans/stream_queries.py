@@ -18,7 +18,7 @@ from partsmith.plans.merge_queries import _SRC_SQL
 from partsmith.plans.registry import query
 from partsmith.session import scratch_path
 from partsmith.streaming.catalog import Catalog
-from partsmith.streaming.ingest import run_stream
+from partsmith.streaming.ingest import run_progress, run_report, run_stream
 
 PAGE_ROWS = 100       # fixed value: products per landed page
 FILE_PAGES = 250      # pages per landed file
@@ -144,6 +144,30 @@ def stream_rejects(spark, sf):
     return rejects.unionByName(bad).unionByName(zeroed)
 
 
+EXPECTED = 50_000     # fixed value: expected items of the logged run
+
+
+@query("stream_run_log", sql=f"""
+WITH {_PAGED_SQL},
+p AS (SELECT page0, count(*) AS items FROM paged GROUP BY page0),
+s AS (SELECT page0, items, CAST(sum(items) OVER (ORDER BY page0) AS BIGINT) AS fetched FROM p)
+SELECT page0 + 1 AS page, items, fetched,
+       CAST(fetched AS DOUBLE) * CAST(100 AS DOUBLE) / CAST({EXPECTED} AS DOUBLE) AS pct,
+       greatest({EXPECTED} - fetched, 0) AS remaining,
+       (SELECT count(*) FROM paged) AS run_fetched,
+       (SELECT count(DISTINCT nullif(event_id, 0)) FROM paged) AS unique_products
+FROM s""")
+def stream_run_log(spark, sf):
+    """Progress after every page of a streamed ingest and its summary, from the pages and id
+    bitmaps that its micro-batches logged in the catalog."""
+    catalog = _streamed(spark, sf)
+    report = run_report(catalog, RUN_TS, EXPECTED)
+    return run_progress(catalog, RUN_TS, EXPECTED).select(
+        "page", "items", "fetched", "pct", "remaining",
+        report.select("fetched").scalar().alias("run_fetched"),
+        report.select("unique_products").scalar().alias("unique_products"))
+
+
 @query("single_category_run", sql=f"""
 WITH tgt AS ({CUSTOMER_PRODUCTS_SQL}),
 src AS (SELECT * FROM (

@@ -63,6 +63,13 @@ def apply_engine_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def run_marker(spark: SparkSession) -> str:
+    """The current UTC time in whole seconds, as text.  Taken once before a run and passed on
+    as its timestamp, so that no row or micro-batch reads the clock again."""
+    return spark.sql("SELECT date_format(to_utc_timestamp(now(), current_timezone()),"
+                     " 'yyyy-MM-dd HH:mm:ss')").first()[0]
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring one only when unset.
 
@@ -73,8 +80,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    except Exception as e:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from e
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

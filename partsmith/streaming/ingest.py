@@ -8,7 +8,10 @@ several files orders them right; files are also taken in modification-time order
 micro-batches.
 
 Nothing landed is lost: records that fail coercion go to the catalog's ``rejects`` log and
-lines that are no page envelope to ``bad_pages``, in the same commit as the products.  The
+lines that are no page envelope to ``bad_pages``, in the same commit as the products.  So do
+the pages read (``pages``, with their items) and the product ids seen (``seen``, as bitmaps
+that add up exactly over micro-batches), from which ``run_progress`` and ``run_report`` tell
+a run's progress and summary.  The
 parameters of a product are those of the last page that holds it, however pages are
 spread over files and micro-batches.  A commit names the checkpoint and batch it came
 from, so a micro-batch that is replayed after a failure (foreachBatch is at-least-once)
@@ -28,7 +31,9 @@ from partsmith import schemas as S
 from partsmith.operators.ingest import catalog_rows, params_rows, records_from_documents
 from partsmith.operators.merge import mark_unseen, merge, refresh_children, stale_predicate
 from partsmith.operators.ordering import materialize
+from partsmith.operators.progress import progress_series, run_totals
 from partsmith.operators.policies import product_rules
+from partsmith.session import run_marker
 from partsmith.sources.documents import bad_page_lines, inline_pages, read_page_stream
 from partsmith.streaming.catalog import Catalog
 
@@ -57,6 +62,7 @@ def ingest_batch(catalog: Catalog, batch: DataFrame, run_ts: str, include_raw_js
                                               keep_doc="__doc"))
     rows = catalog_rows(recs, keep=ORDER)
     state["run"] = run = _run(state, run_ts)
+    state.pop("primary_version", None)  # products come from the pages again
 
     buckets = catalog.touched("products", rows, state)
     if buckets:
@@ -77,6 +83,18 @@ def ingest_batch(catalog: Catalog, batch: DataFrame, run_ts: str, include_raw_js
     n_rejects, n_keyless = rejects.agg(F.count(F.lit(1)), keyless).first()
     if n_rejects:
         state = catalog.append("rejects", rejects, version, state)
+    pages = recs.groupBy("source_file", "page").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count(F.nullif("product_id", F.lit(0))).alias("known_items"))
+    n_items = pages.agg(F.sum("items")).first()[0]
+    if n_items:
+        state = catalog.append("pages", pages.select(
+            ts.alias("run_ts"), "source_file", F.lit(version).cast("long").alias("batch"), "page",
+            "items", "known_items",
+            F.lit(run_marker(catalog.spark)).cast("timestamp_ntz").alias("logged_at")),
+            version, state)
+        state = catalog.append("seen", _seen(recs).select(ts.alias("run_ts"), "bucket", "ids"),
+                               version, state)
     bad = bad_page_lines(batch)
     n_pages, n_bad = bad.agg(F.count_if(~F.col("bad")), F.count_if(F.col("bad"))).first()
     if n_bad:
@@ -90,6 +108,32 @@ def ingest_batch(catalog: Catalog, batch: DataFrame, run_ts: str, include_raw_js
     catalog.publish(version, state)
 
 
+def _seen(records: DataFrame) -> DataFrame:
+    """Distinct non-zero product ids as one bitmap per 32,768 ids."""
+    return (records.where("product_id != 0")
+            .groupBy(F.bitmap_bucket_number("product_id").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("product_id")).alias("ids")))
+
+
+def run_progress(catalog: Catalog, run_ts: str, expected: int) -> DataFrame:
+    """Progress series (``operators.progress``) of a run's pages, in the order of their commits:
+    ``batch, source_file, page, items, fetched, pct, remaining, rate, eta, ...``."""
+    log = catalog.read("pages").where(F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz"))
+    return progress_series(log, "run_ts", "logged_at", ["batch", "source_file", "page"], "items",
+                           expected)
+
+
+def run_report(catalog: Catalog, run_ts: str, expected: int) -> DataFrame:
+    """One row about a run: ``duration, expected, fetched, pct, unique_products`` (no row if it
+    read no product)."""
+    mine = F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz")
+    unique = (catalog.read("seen").where(mine).groupBy("bucket")
+              .agg(F.bitmap_or_agg("ids").alias("ids"))
+              .agg(F.coalesce(F.sum(F.bitmap_count("ids")), F.lit(0))).scalar())
+    return run_totals(catalog.read("pages").where(mine), "run_ts", "logged_at", "items",
+                      expected).withColumn("unique_products", unique.cast("long"))
+
+
 def covers_catalog(run: dict) -> bool:
     """Whether a run read pages, all of them well, and can name all it rejected."""
     return run.get("pages", 0) > 0 and not run["bad_pages"] and not run["keyless_rejects"]

@@ -182,3 +182,95 @@ def test_only_touched_buckets_are_rewritten(spark, scratch):
     after = catalog.state()["tables"]["products"]
     assert sum(before[b] != after[b] for b in before) == 1 and before.keys() == after.keys()
     assert _stocks(catalog) == {f"C{i}": i for i in range(30)} | {"C7": 70}
+
+
+# -- commits, logs, vacuum ---------------------------------------------------------------
+def test_of_two_writers_the_loser_changes_nothing(spark, scratch):
+    root = f"{scratch}/catalog"
+    catalog = _seeded(spark, root, {f"C{i}": i for i in range(30)})
+    late = Catalog(spark, root)
+    state, version = late.state(), late.next_version()
+    changed = catalog.read("products").withColumn("stock", F.lit(1).cast("long"))
+    lost = late.write("products", changed.withColumn("stock", F.lit(2).cast("long")), version, state)
+    # another one commits the same version in between
+    catalog.publish(catalog.next_version(), catalog.write("products", changed, version, catalog.state()))
+    with pytest.raises(FileExistsError):
+        late.publish(version, lost)
+    assert set(_stocks(catalog).values()) == {1}
+    assert catalog.vacuum(keep=10)  # what the loser wrote
+    assert set(_stocks(catalog).values()) == {1}
+
+
+def test_one_of_many_writers_gets_a_file(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from partsmith.sources import files
+
+    def attempt(i):
+        try:
+            files.write_once(spark, f"{scratch}/v.json", f"writer {i}" * 1000)
+            return i
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(attempt, range(8)) if i is not None]
+    assert len(won) == 1
+    assert files.read_text(spark, f"{scratch}/v.json") == f"writer {won[0]}" * 1000
+    assert [n for n in os.listdir(scratch) if n.endswith(".tmp")] == []
+
+
+def test_vacuum_keeps_the_newest_versions_and_open_attempts(spark, scratch):
+    catalog = _seeded(spark, f"{scratch}/catalog", {f"C{i}": i for i in range(10)})
+    for n in range(4):
+        rows = catalog.read("products").withColumn("stock", F.lit(n).cast("long"))
+        version, state = catalog.next_version(), catalog.state()
+        catalog.publish(version, catalog.write("products", rows, version, state))
+    # an attempt at the next version that hasn't committed yet
+    open_state = catalog.write("products", catalog.read("products"), 5, catalog.state())
+    removed = catalog.vacuum(keep=2)
+    assert len(removed) == 3 and all(r.startswith("products/v0000000") for r in removed)
+    assert set(_stocks(catalog).values()) == {3}
+    assert {r.stock for r in catalog.read("products", version=3).collect()} == {2}
+    catalog.publish(5, open_state)
+    assert catalog.read("products").count() == 10
+    assert sorted(os.listdir(f"{scratch}/catalog/_versions"))[-1] == "00000005.json"
+
+
+def test_version_files_stay_small_however_many_batches(spark, scratch, monkeypatch):
+    from partsmith.streaming import catalog as M
+
+    monkeypatch.setattr(M, "LOG_MERGE", 3)
+    catalog = Catalog(spark, f"{scratch}/catalog")
+    for n in range(11):
+        row = spark.createDataFrame([(f"f{n}", f"line {n}")], "source_file string, line string")
+        version, state = catalog.next_version(), catalog.state()
+        state = catalog.append("bad_pages", row.withColumn("run_ts", F.lit(RUN_TS).cast("timestamp_ntz")),
+                               version, state)
+        catalog.publish(version, state)
+    held = catalog.state()["logs"]["bad_pages"]
+    assert [t for _, t in held] == [2, 0, 0]  # 9 + 1 + 1
+    assert sorted(r.line for r in catalog.read("bad_pages").collect()) == sorted(f"line {n}" for n in range(11))
+    assert catalog.read("bad_pages", version=4).count() == 5
+
+
+def test_a_run_logs_its_pages_and_ids(spark, scratch):
+    from partsmith import api
+
+    pages = [_page(1, _product("C1", 5, productId=70000), _product("C2", 6, productId=1)),
+             _page(2, _product("C3", 7, productId=1), _product("C4", "bad", productId=0)),
+             _page(3, _product("C5", 1, productId=3), _product("C6", 2))]
+    _land(f"{scratch}/in", pages)
+    root = f"{scratch}/catalog"
+    run_stream(spark, f"{scratch}/in", root, f"{scratch}/ck", RUN_TS, files_per_trigger=1)
+    # replaying a batch logs nothing twice
+    run_stream(spark, f"{scratch}/in", root, f"{scratch}/ck", RUN_TS, files_per_trigger=1)
+    assert api.last_run(spark, root) == RUN_TS
+    got = sorted((r.page, r["items"], r.fetched, r.pct, r.remaining)
+                 for r in api.progress(spark, root, expected=8).collect())
+    assert got == [(1, 2, 2, 25.0, 6), (2, 2, 4, 50.0, 4), (3, 2, 6, 75.0, 2)]
+    one = api.summary(spark, root, expected=8).first()
+    assert (one.fetched, one.pct, one.unique_products) == (6, 75.0, 3)
+    assert api.summary(spark, root, run_ts="2001-01-01 00:00:00").collect() == []
+    known = {r.page: r.known_items for r in Catalog(spark, root).read("pages").collect()}
+    assert known == {1: 2, 2: 1, 3: 1}

@@ -1,14 +1,15 @@
 """Size reports and the published-asset manifest.
 
 Statistics are aggregates over the published tables (rows, NULL counts,
-logical bytes) and, for written tables, file bytes listed through the
-``binaryFile`` source with only ``path``/``length`` selected (file contents are
-never read).  The manifest is a small keyed table merged like any other.
+logical bytes) and, for written tables, the sizes of their files from the hidden
+``_metadata`` column (only footers are read).  The manifest is a small table; entries of
+the same asset are settled in one aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,6 @@ from pyspark.sql import types as T
 
 from partsmith import schemas as S
 from partsmith.functions.formatting import GB, KB, MB, pct_change
-from partsmith.operators.merge import merge
 
 
 def value_bytes(df: DataFrame) -> Column:
@@ -50,19 +50,33 @@ def table_stats(name: str, df: DataFrame) -> DataFrame:
 def variant_stats(products: DataFrame, columns: dict[str, Sequence[str]],
                   baseline: str | None = None) -> DataFrame:
     """``name, rows, logical_bytes`` of several variants of one table, told by the columns
-    each keeps, in one scan and one aggregate; with ``baseline`` also ``base_bytes``, that
-    variant's bytes on every row."""
-    sums = {n: F.coalesce(F.sum(value_bytes(products.select(*cols))), F.lit(0)).cast("bigint")
-            for n, cols in columns.items()}
-    one = products.agg(F.count(F.lit(1)).alias("rows"),
-                       *[s.alias(f"b{i}") for i, s in enumerate(sums.values())])
+    each keeps, in one scan and one aggregate (a sum per column, added up per variant); with
+    ``baseline`` also ``base_bytes``, that variant's bytes on every row."""
+    used = list(dict.fromkeys(c for cols in columns.values() for c in cols))
+    one = products.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.coalesce(F.sum(value_bytes(products.select(c))), F.lit(0)).cast("bigint").alias(f"b{i}")
+        for i, c in enumerate(used)])
+
+    def total(name: str) -> Column:
+        return reduce(lambda a, b: a + b, [F.col(f"b{used.index(c)}") for c in columns[name]])
+
     rows = F.array(*[F.struct(F.lit(n).alias("name"), F.col("rows"),
-                              F.col(f"b{i}").alias("logical_bytes")) for i, n in enumerate(sums)])
-    base = [F.col(f"b{list(sums).index(baseline)}").alias("base_bytes")] if baseline else []
+                              total(n).alias("logical_bytes")) for n in columns])
+    base = [total(baseline).alias("base_bytes")] if baseline else []
     return one.select(F.explode(rows).alias("r"), *base).select("r.*", *[c for c in ["base_bytes"]
                                                                          if baseline])
 
 
+def table_files(df: DataFrame) -> DataFrame:
+    """One row about a table read from files: ``files, bytes, rows``."""
+    per_file = df.select(F.col("_metadata.file_path").alias("path"),
+                         F.col("_metadata.file_size").alias("size")).groupBy("path").agg(
+        F.any_value("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    return per_file.agg(F.count(F.lit(1)).alias("files"),
+                        F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("bytes"),
+                        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"))
+
+
 def file_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Total bytes of the files under ``path`` (contents are not read)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -128,6 +142,15 @@ def manifest_rows(stats: DataFrame, known: dict[str, dict[str, str]], updated_at
 
 
 def merge_manifest(old: DataFrame, new: DataFrame) -> DataFrame:
-    """New entries replace old ones of the same asset; other old entries stay."""
-    return merge(old.select(*S.MANIFEST_SCHEMA.fieldNames()),
-                 new.select(*S.MANIFEST_SCHEMA.fieldNames()), ["asset"], source_is_unique=True)
+    """New entries replace old ones of the same asset; other old entries stay.  A manifest is
+    one row per published asset, so both are put together and each asset keeps its newest."""
+    names = S.MANIFEST_SCHEMA.fieldNames()
+    both = (old.select(*names, F.lit(0).alias("__age"))
+            .unionByName(new.select(*names, F.lit(1).alias("__age"))))
+    newest = both.groupBy("asset").agg(F.max_by(F.struct(*names[1:]), "__age").alias("__row"))
+    return newest.select("asset", "__row.*")
+
+
+def in_rank_order(df: DataFrame, name_col: str, order: Sequence[str]) -> DataFrame:
+    """``ranked`` rows in that order; names of equal rank by name."""
+    return ranked(df, name_col, order).orderBy("rank", name_col)

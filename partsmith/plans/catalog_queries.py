@@ -3,6 +3,8 @@ paging and facets (over ``part``, ``customer``, ``documents``, ``pages``)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from partsmith.operators.search import (
@@ -93,6 +95,21 @@ def key_lookup(spark, sf):
         "sku", "mfr_part_number", "brand_name", "package", "description", "stock", "pdf_url")
 
 
+# --- K1 + F3: lookup by value in an unsorted copy, served by Bloom filters ------------
+@query("bloom_lookup", sql=f"""
+WITH p AS ({PART_PRODUCTS_SQL})
+SELECT sku, mfr_part_number, brand_name, stock FROM p
+WHERE mfr_part_number = (SELECT p_name FROM part WHERE 'C' || p_partkey = '{LOOKUP_KEY}')""")
+def bloom_lookup(spark, sf):
+    """All products of one part number, looked up in a copy that is sorted by nothing."""
+    path = scratch_path(spark, "catalog")
+    write_tables({"products": products_from_part(t(spark, sf, "part"))}, path, sort_keys={})
+    p = spark.read.parquet(f"{path}/products")
+    wanted = p.filter(F.col("sku") == LOOKUP_KEY).select("mfr_part_number").first()
+    return p.filter(F.col("mfr_part_number") == (wanted[0] if wanted else None)).select(
+        "sku", "mfr_part_number", "brand_name", "stock")
+
+
 # --- F4 + T1: tier IN-list and stock threshold, top 20 ----------------------------
 @query("tier_and_stock_topk", sql=f"""
 WITH p AS ({CUSTOMER_PRODUCTS_SQL})
@@ -125,6 +142,21 @@ def catalog_filter_q(spark, sf):
         "sku", "category_id", "brand_name", "stock")
 
 
+# --- F2: one id, a list, an empty list, no argument -------------------------------------
+@query("id_filters", sql=f"""
+WITH p AS ({CUSTOMER_PRODUCTS_SQL})
+SELECT 'one' AS asked, sku, category_id FROM p WHERE category_id = 7
+UNION ALL SELECT 'list', sku, category_id FROM p WHERE category_id IN (3, 11)
+UNION ALL SELECT 'none given', sku, category_id FROM p""")
+def id_filters(spark, sf):
+    """Category filter by a single id, a list, an empty list (matches nothing) and without."""
+    p = products_from_customer(t(spark, sf, "customer"))
+    asked = {"one": 7, "list": [3, 11], "empty": [], "none given": None}
+    return reduce(lambda a, b: a.unionByName(b), [
+        catalog_filter(p, category_ids=ids).select(F.lit(name).alias("asked"), "sku", "category_id")
+        for name, ids in asked.items()])
+
+
 # --- T2 + A5: page 3 of 100 with the page envelope --------------------------------
 @query("paged_query", sql=f"""
 WITH p AS ({CUSTOMER_PRODUCTS_SQL}), f AS (SELECT * FROM p WHERE stock > 0)

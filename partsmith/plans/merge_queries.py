@@ -17,6 +17,7 @@ from partsmith.operators.ingest import (
 from partsmith.operators import policies
 from partsmith.operators.ordering import materialize
 from partsmith.operators.merge import (
+    ACTION,
     Rule,
     dedupe_last_wins,
     mark_unseen,
@@ -39,6 +40,7 @@ from partsmith.plans.bindings import (
     vendor_rows_from_events,
 )
 from partsmith.plans.registry import query
+from partsmith.session import run_marker
 
 # fixed values: batch boundaries of the child-row refresh
 BATCH1_TS = "2024-01-11 00:00:00"
@@ -258,6 +260,29 @@ def mark_unseen_zero(spark, sf):
     return marked.select("sku", *S.STOCK_COLUMNS, "last_updated")
 
 
+# --- P19: the run's own timestamp, taken once ---------------------------------------------
+@query("run_marker_merge", sql=f"""
+WITH tgt AS ({CUSTOMER_PRODUCTS_SQL}), {_SRC_SQL}, {_MERGED_SQL}
+SELECT count(*) FILTER (WHERE act <> 'unchanged') AS marked,
+       CAST(least(count(*) FILTER (WHERE act <> 'unchanged'), 1) AS BIGINT) AS markers,
+       true AS whole_seconds, true AS taken_now
+FROM merged""")
+def run_marker_merge(spark, sf):
+    """An upsert whose timestamp is the time the run began: every written row has the same
+    one, in whole seconds, taken after the query was asked and not again."""
+    asked = run_marker(spark)
+    began = run_marker(spark)
+    merged = merge(_target(spark, sf), _batch(spark, sf), [S.PRODUCT_KEY],
+                   policies.product_rules(began), order_by=ORDER, with_action=True).where(F.col(ACTION) != "unchanged")
+    ts = F.col("last_updated")
+    return merged.agg(F.count(F.lit(1)).alias("marked"),
+                      F.count_distinct(ts).alias("markers"),
+                      F.coalesce(F.bool_and(ts == F.date_trunc("second", ts)), F.lit(True))
+                      .alias("whole_seconds"),
+                      F.coalesce(F.min(ts) >= F.lit(asked).cast("timestamp_ntz"), F.lit(True))
+                      .alias("taken_now"))
+
+
 # --- U7: affected-row counts ---------------------------------------------------------------
 @query("merge_stats", sql=f"""
 WITH tgt AS ({CUSTOMER_PRODUCTS_SQL}), {_SRC_SQL}, {_MERGED_SQL}

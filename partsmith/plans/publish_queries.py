@@ -3,6 +3,8 @@ embedded-metadata extraction."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from partsmith import schemas as S
@@ -11,15 +13,16 @@ from partsmith.operators.align import align_schema
 from partsmith.operators.merge import Rule, merge
 from partsmith.operators.report import (
     format_size_exact,
+    in_rank_order,
     manifest_rows,
     merge_manifest,
-    ranked,
     variant_stats,
 )
 from partsmith.operators.ordering import materialize
 from partsmith.operators.variants import (
     asset_labels,
     build_variant,
+    generate_variants,
     kept_columns,
     write_tables,
 )
@@ -45,6 +48,7 @@ from partsmith.plans.merge_queries import (
 from partsmith.plans.registry import query
 from partsmith.plans.sqlbits import q
 from partsmith.session import scratch_path
+from partsmith.sources.tables import read_optional
 
 ASSETS = asset_labels()
 ASSET_ORDER = list(ASSETS)
@@ -111,12 +115,70 @@ def search_docs_build(spark, sf):
 
 # --- V3 + P18: raw document cleared ---------------------------------------------------
 @query("variant_no_raw_json", sql=f"""
-SELECT sku, mfr_part_number, CAST(NULL AS VARCHAR) AS raw_json FROM ({CUSTOMER_PRODUCTS_SQL})""")
+SELECT sku, mfr_part_number, CAST(NULL AS VARCHAR) AS raw_json, category_id, brand_name, stock,
+       description, vendor_library_type, last_updated FROM ({CUSTOMER_PRODUCTS_SQL})""")
 def variant_no_raw_json(spark, sf):
-    """The variant with the raw document cleared."""
-    prods = build_variant(_base(products_from_customer(t(spark, sf, "customer"))),
-                          "no_raw_json")["products"]
-    return prods.select("sku", "mfr_part_number", "raw_json")
+    """The variant with the raw document cleared, as written."""
+    out = generate_variants(_base(products_from_customer(t(spark, sf, "customer"))),
+                            scratch_path(spark, "variants"), ["no_raw_json"])
+    return spark.read.parquet(out[0]["tables"]["products"]).select(
+        "sku", "mfr_part_number", "raw_json", "category_id", "brand_name", "stock",
+        "description", "vendor_library_type", "last_updated")
+
+
+# --- V4 + K3 + R1: all variants, or some, with plain and compressed sizes -------------
+_SIZED = [("all", ["search_only", "no_raw_json", "minimal"]), ("some", ["minimal"])]
+
+
+@query("variants_selected", sql=" UNION ALL ".join(
+    f"SELECT '{asked}' AS asked, '{v}' AS variant, '{tab}' AS table_name, 'none' AS codec,"
+    f" 'zstd' AS archive_codec, (SELECT count(*) FROM {src}) AS rows, true AS archive_is_smaller"
+    for asked, names in _SIZED for v in names
+    for tab, src in (("search_docs" if v == "search_only" else "products", "customer"),
+                     ("categories", f"({CATEGORIES_SQL})"))))
+def variants_selected(spark, sf):
+    """All variants and a selection, written plain and as compressed archives: codec of the
+    written files, their rows, and whether the archive of the variant is smaller."""
+    cats = categories_from_tables(t(spark, sf, "region"), t(spark, sf, "nation"),
+                                  t(spark, sf, "customer"))
+    base = {"products": products_from_customer(t(spark, sf, "customer")), "categories": cats}
+    root = scratch_path(spark, "variants")
+
+    def codec(df):
+        name = F.regexp_extract(F.col("_metadata.file_name"), r"\.([a-z0-9]+)\.parquet$", 1)
+        return F.coalesce(F.nullif(name, F.lit("")), F.lit("none"))
+
+    out = []
+    for asked, names in _SIZED:
+        for res in generate_variants(base, f"{root}/{asked}", None if asked == "all" else names,
+                                     compression="uncompressed", archive="zstd"):
+            less = res["archive_size_bytes"] < res["db_size_bytes"]
+            for name, path in res["tables"].items():
+                packed = spark.read.parquet(f"{res['path']}.archive/{name}")
+                plain = spark.read.parquet(path)
+                out.append(plain.select(codec(plain).alias("codec")).groupBy("codec").agg(
+                    F.count(F.lit(1)).alias("rows")).select(
+                    F.lit(asked).alias("asked"), F.lit(res["variant"]).alias("variant"),
+                    F.lit(name).alias("table_name"), "codec",
+                    packed.select(codec(packed).alias("c")).agg(F.max("c")).scalar()
+                    .alias("archive_codec"), "rows", F.lit(less).alias("archive_is_smaller")))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+# --- S7: sources that are there and that aren't -----------------------------------------
+@query("optional_sources", sql="""
+SELECT 'customer' AS source, c_mktsegment AS segment, count(*) AS rows FROM customer GROUP BY ALL
+UNION ALL SELECT 'absent', NULL, 0""")
+def optional_sources(spark, sf):
+    """Rows of a source that exists, and of one that doesn't (read as empty)."""
+    schema = t(spark, sf, "customer").schema
+    there = read_optional(spark, f"{sf}/customer.parquet", schema)
+    absent = read_optional(spark, f"{sf}/no_such_table.parquet", schema)
+    return (there.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit("customer").alias("source"), "segment", "rows")
+            .unionByName(absent.agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit("absent").alias("source"), F.lit(None).cast("string").alias("segment"),
+                "rows")))
 
 
 # --- V5: primary-vendor-only vs integrated snapshots -------------------------------------
@@ -185,7 +247,7 @@ def size_report(spark, sf):
     stats = _variant_stats(products_from_customer(t(spark, sf, "customer")),
                            ASSET_ORDER[:3], "catalog")
     stats = stats.withColumn("pct_vs_base", pct_change("logical_bytes", F.col("base_bytes")))
-    out = ranked(stats, "name", ASSET_ORDER)
+    out = in_rank_order(stats, "name", ASSET_ORDER)
     return out.select("name", "rows", "logical_bytes",
                       format_size_exact("logical_bytes").alias("size_text"), "pct_vs_base", "rank")
 
@@ -224,7 +286,7 @@ def manifest_merge(spark, sf):
                                ASSET_ORDER[:2])
     old = manifest_rows(old_stats, ASSETS, REPORT_TS)
     new = manifest_rows(new_stats, ASSETS, REPORT_TS)
-    merged = ranked(merge_manifest(old, new), "asset", ASSET_ORDER)
+    merged = in_rank_order(merge_manifest(old, new), "asset", ASSET_ORDER)
     return merged.withColumn("size_text", format_size_exact("db_size_bytes"))
 
 

@@ -98,6 +98,19 @@ def json_array_text_sql(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN '[]' ELSE to_json({x}, map('ignoreNullFields', 'false')) END"
 
 
+def ladder_json_sql(entries: str, typed: str) -> str:
+    """Price-ladder entries (array of VARIANT) -> JSON text: the typed ``ladder`` and
+    ``usdPrice`` (NULLs kept) of ``typed``, then an entry's other keys as they are."""
+    known = "to_json(x.t, map('ignoreNullFields', 'false'))"
+    other = ("to_json(map_filter(try_cast(x.e AS MAP<STRING, VARIANT>),"
+             " (k, v) -> k NOT IN ('ladder', 'usdPrice')), map('ignoreNullFields', 'false'))")
+    entry = (f"CASE WHEN length({other}) > 2 THEN concat(substr({known}, 1, length({known}) - 1),"
+             f" ',', substr({other}, 2)) ELSE {known} END")
+    zipped = f"transform({entries}, (e, i) -> named_struct('e', e, 't', element_at({typed}, i + 1)))"
+    return (f"CASE WHEN {entries} IS NULL THEN '[]' ELSE "
+            f"concat('[', array_join(transform({zipped}, x -> {entry}), ','), ']') END")
+
+
 # --- Column helpers (same rules) -------------------------------------------------------
 def lax_long(x: str) -> Column:
     return F.expr(lax_long_sql(x))

@@ -57,6 +57,8 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
                        " AS r__catalog_id")
             raw.append(f"coalesce({_raw_key_sql(S.DOC_WM_CATALOG_ID)}, "
                        f"{_raw_key_sql('wm_catalog_id')}) AS r__wm_catalog_id")
+        elif c == "price_ladder":
+            raw.append(f"{_doc_value_sql(c)} AS v__{c}")
         else:
             raw.append(f"{_doc_value_sql(c)} AS r__{c}")
     raw.append(f"coalesce({_raw_key_sql(S.DOC_PRODUCT_ID)}, {_raw_key_sql('product_id')})"
@@ -80,8 +82,12 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
             typed.append(f"{C.lax_long_sql('r__catalog_id')} AS t__catalog_id")
             typed.append(f"{C.lax_long_sql('r__wm_catalog_id')} AS t__wm_catalog_id")
         elif c == "price_ladder":
-            typed.append(f"transform({r}, e -> named_struct('ladder', {C.lax_long_sql('e.ladder')}, "
-                         f"'usdPrice', {C.lax_double_sql('e.usdPrice')})) AS t__{c}")
+            text = {k: f"try_variant_get(e, '$.{k}', 'string')" for k in S.PRICE_KEYS}
+            typed.append(f"transform(v__{c}, e -> named_struct('ladder', {text['ladder']}, "
+                         f"'usdPrice', {text['usdPrice']})) AS {r}")
+            typed.append(f"transform(v__{c}, e -> named_struct("
+                         f"'ladder', {C.lax_long_sql(text['ladder'])}, "
+                         f"'usdPrice', {C.lax_double_sql(text['usdPrice'])})) AS t__{c}")
         elif c == "product_images":
             continue
         elif c in S.FLAG_COLUMNS:
@@ -116,7 +122,7 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
                    f"(z.{r}.ladder IS NOT NULL AND z.{tv}.ladder IS NULL) OR "
                    f"(z.{r}.usdPrice IS NOT NULL AND z.{tv}.usdPrice IS NULL)), false)")
             failures.append((S.doc_key(c), bad))
-            cols.append(f"{C.json_array_text_sql(tv)} AS {c}")
+            cols.append(f"{C.ladder_json_sql(f'v__{c}', tv)} AS {c}")
         elif c == "product_images":
             cols.append(f"coalesce(r__{c}, '[]') AS {c}")
         elif c in S.FLAG_COLUMNS:

@@ -93,36 +93,46 @@ def params_explode(spark, sf):
 # --- P7: array of structs -> JSON text with NULL fields kept --------------------------
 @query("price_ladder_json", sql="""
 WITH l AS (
-  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount FROM lineitem
+  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_returnflag FROM lineitem
 ), tiers AS (
-  SELECT l_orderkey, l_linenumber, 0 AS tier_pos, CAST(1 AS BIGINT) AS ladder, l_extendedprice AS usd_price FROM l
+  SELECT l_orderkey, l_linenumber, 0 AS tier_pos, CAST(1 AS BIGINT) AS ladder, l_extendedprice AS usd_price,
+         NULL AS note FROM l
   UNION ALL
-  SELECT l_orderkey, l_linenumber, 1, CAST(l_quantity AS BIGINT), CASE WHEN l_discount > 0.05 THEN l_discount END FROM l
+  SELECT l_orderkey, l_linenumber, 1, CAST(l_quantity AS BIGINT), CASE WHEN l_discount > 0.05 THEN l_discount END,
+         CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag END FROM l
 )
 SELECT l_orderkey, l_linenumber, tier_pos, ladder, usd_price,
-       (tier_pos = 1 AND usd_price IS NULL) AS null_kept
+       (tier_pos = 1 AND usd_price IS NULL) AS null_kept, note
 FROM tiers WHERE l_orderkey % 10 <> 0
 UNION ALL
-SELECT l_orderkey, l_linenumber, NULL, NULL, NULL, false FROM l WHERE l_orderkey % 10 = 0""")
+SELECT l_orderkey, l_linenumber, NULL, NULL, NULL, false, NULL FROM l WHERE l_orderkey % 10 = 0""")
 def price_ladder_json(spark, sf):
-    """Build a two-tier ladder per line (the second price may be NULL), render
-    it as JSON text, then read the text back into rows: the round trip shows
-    that NULL fields survive (``"usdPrice":null``) and that a line without a
-    ladder is written as ``[]`` (it reads back as one row with no tier)."""
+    """Build a document with a two-tier ladder per line (the second price may be NULL, its
+    entry may have a key of its own), coerce it, render it as JSON text, then read the text
+    back into rows: the round trip shows that NULL fields (``"usdPrice":null``) and unknown
+    keys survive and that a line without a ladder is written as ``[]`` (it reads back as
+    one row with no tier)."""
     li = spread(t(spark, sf, "lineitem"))  # per-row JSON work: use every core
-    ladder = F.when(F.col("l_orderkey") % 10 != 0, F.array(
-        F.struct(F.lit(1).cast("bigint").alias("ladder"),
-                 F.col("l_extendedprice").alias("usdPrice")),
-        F.struct(F.col("l_quantity").cast("bigint").alias("ladder"),
-                 F.when(F.col("l_discount") > 0.05, F.col("l_discount")).alias("usdPrice"))))
-    js = li.select("l_orderkey", "l_linenumber", C.json_array_text(ladder).alias("price_ladder"))
-    back = F.from_json("price_ladder", "array<struct<ladder:bigint,usdPrice:double>>")
+    # numbers come as text, too; absent keys stay absent
+    first = F.to_json(F.struct(F.lit("1").alias("ladder"),
+                               F.col("l_extendedprice").alias("usdPrice")))
+    second = F.to_json(F.struct(
+        F.when(F.col("l_linenumber") % 2 == 0, F.col("l_returnflag")).alias("note"),
+        F.col("l_quantity").cast("bigint").alias("ladder"),
+        F.when(F.col("l_discount") > 0.05, F.col("l_discount")).alias("usdPrice")))
+    doc = F.concat(F.lit('{"productCode":"x"'), F.when(
+        F.col("l_orderkey") % 10 != 0,
+        F.concat(F.lit(',"productPriceList":['), first, F.lit(","), second, F.lit("]")))
+        .otherwise(""), F.lit("}"))
+    js = records_from_documents(li.select("l_orderkey", "l_linenumber", doc.alias("doc")),
+                                include_raw_json=False)
+    back = F.from_json("price_ladder", "array<struct<ladder:bigint,usdPrice:double,note:string>>")
     return js.select("l_orderkey", "l_linenumber", "price_ladder",
                      F.posexplode_outer(back).alias("tier_pos", "t")).select(
         "l_orderkey", "l_linenumber", "tier_pos",
         F.col("t.ladder").alias("ladder"), F.col("t.usdPrice").alias("usd_price"),
         F.coalesce((F.col("tier_pos") == 1) & F.col("price_ladder").contains('"usdPrice":null'),
-                   F.lit(False)).alias("null_kept"))
+                   F.lit(False)).alias("null_kept"), F.col("t.note").alias("note"))
 
 
 # --- P8: raw document kept (or not) -------------------------------------------------

@@ -17,7 +17,7 @@ from partsmith.operators.tree import (
 from partsmith.plans.bindings import CATEGORIES_SQL, categories_from_tables, t
 from partsmith.plans.registry import query
 from partsmith.session import scratch_path
-from partsmith.sources.documents import parse_facets, read_json_files, unwrap
+from partsmith.sources.documents import parse_facets, read_json_lines, unwrap
 from partsmith.sources.trees import (
     CATALOG_NODE,
     CATEGORY_NODE,
@@ -66,7 +66,8 @@ FROM nodes n JOIN walk w ON n.id = w.id""")
 def category_flatten(spark, sf):
     """Every node of the region -> nation -> customer tree in pre-order."""
     return flatten(_nodes(spark, sf)).select(
-        "id", "parent_id", "name_en", "name_cn", "code", "depth", "path_key", "preorder_pos")
+        "id", "parent_id", "name_en", "name_cn", "code", "depth", "path_key", "preorder_pos").orderBy(
+        "preorder_pos")
 
 
 # --- N3: leaves with breadcrumb (en -> cn -> id) --------------------------------
@@ -134,57 +135,82 @@ def category_work_list(spark, sf):
         "id", "path", "product_num", "cat_idx", "total_cats")
 
 
-# --- S2-S4: landed API documents of the small dimensions, scanned back -----------------------
-def _tree_document(spark, sf, layout: dict[str, str]) -> str:
-    """region -> nation as one nested API response (5 and 25 nodes); returns its folder.
-    Regions name parent 0; a region without nations is a leaf."""
+# --- S2-S4: landed API responses, scanned back -----------------------------------------------
+BUCKET = 5000  # customers (by key) that one response holds at most
+
+
+def _tree_documents(spark, sf, layout: dict[str, str]) -> str:
+    """region -> nation -> customers as nested API responses, one JSON line for each nation and
+    range of customer keys, so their number grows with ``customer``; returns their folder.
+    Regions name parent 0; regions without nations and nations without customers are leaves."""
     def node(row_id, parent, name, num, children):
         values = {"id": row_id, "parent_id": parent, "name_en": name,
                   "name_cn": F.lower(name), "code": F.concat(F.lit("N"), row_id.cast("string")),
                   "product_num": num, "children": children}
         return F.to_json(F.struct(*[values[k].alias(key) for k, key in layout.items()]))
 
-    n = t(spark, sf, "nation")
-    leaf = node(F.col("n_nationkey") + 100, F.col("n_regionkey") + 1, F.col("n_name"),
-                F.col("n_nationkey") * 3, F.array().cast("array<variant>"))
-    kids = n.groupBy("n_regionkey").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("n_nationkey", leaf.alias("j")))),
-        lambda x: F.parse_json(x["j"])).alias("kids"))
-    r = t(spark, sf, "region").join(kids, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    def inside(parts):
+        return F.transform(F.array_sort(parts), lambda x: F.parse_json(x["j"]))
+
+    c = t(spark, sf, "customer")
+    leaf = node(F.col("c_custkey") + 1000, F.col("c_nationkey") + 100, F.col("c_name"),
+                F.col("c_custkey") % 7, F.array().cast("array<variant>"))
+    kids = c.groupBy("c_nationkey", F.floor(F.col("c_custkey") / BUCKET).alias("bucket")).agg(
+        inside(F.collect_list(F.struct("c_custkey", leaf.alias("j")))).alias("kids"))
+    n = t(spark, sf, "nation").join(kids, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    mid = node(F.col("n_nationkey") + 100, F.col("n_regionkey") + 1, F.col("n_name"),
+               F.col("n_nationkey") * 3, F.coalesce("kids", F.array().cast("array<variant>")))
+    n = n.select("n_regionkey", "n_nationkey", mid.alias("mid"))
+    r = t(spark, sf, "region").join(n, F.col("r_regionkey") == F.col("n_regionkey"), "left")
     root = node(F.col("r_regionkey") + 1, F.lit(0), F.col("r_name"), F.lit(None).cast("bigint"),
-                F.col("kids"))
-    body = r.agg(F.concat(F.lit('{"code":200,"result":['), F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("r_regionkey", root.alias("j")))),
-        lambda x: x["j"]), ","), F.lit("]}")).alias("value"))
+                F.when(F.col("mid").isNotNull(), F.array(F.parse_json("mid"))))
     path = scratch_path(spark, "tree")
-    body.write.text(path)
+    r.select(F.concat(F.lit('{"code":200,"result":['), root, F.lit("]}")).alias("value")
+             ).write.text(path)
     return path
 
 
-@query("tree_scan", sql="""
-SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, CAST(0 AS BIGINT) AS parent_id, r_name AS name_en,
-       lower(r_name) AS name_cn, 'N' || (r_regionkey + 1) AS code FROM region
-UNION ALL
-SELECT n_nationkey + 100, n_regionkey + 1, n_name, lower(n_name), 'N' || (n_nationkey + 100) FROM nation""")
+_DOCS_SQL = f"""docs AS (
+  SELECT r_regionkey, r_name, n_nationkey, n_name, bucket FROM region
+  LEFT JOIN nation ON n_regionkey = r_regionkey
+  LEFT JOIN (SELECT DISTINCT c_nationkey, c_custkey // {BUCKET} AS bucket FROM customer)
+    ON c_nationkey = n_nationkey)"""
+
+
+@query("tree_scan", sql=f"""
+WITH {_DOCS_SQL}
+SELECT id, parent_id, name_en, lower(name_en) AS name_cn, 'N' || id AS code, count(*) AS n_responses
+FROM (
+  SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, CAST(0 AS BIGINT) AS parent_id, r_name AS name_en FROM docs
+  UNION ALL
+  SELECT n_nationkey + 100, r_regionkey + 1, n_name FROM docs WHERE n_nationkey IS NOT NULL
+  UNION ALL
+  SELECT c_custkey + 1000, c_nationkey + 100, c_name FROM customer
+  WHERE c_nationkey IN (SELECT n_nationkey FROM docs))
+GROUP BY ALL""")
 def tree_scan(spark, sf):
-    """Nodes of a nested category response as category rows."""
-    docs = read_json_files(spark, _tree_document(spark, sf, CATEGORY_NODE))
-    return category_records(unroll_tree(docs, root_path="$.result")).select(
-        "id", "parent_id", "name_en", "name_cn", "code")
-
-
-@query("catalog_scan", sql="""
-WITH leaf AS (
-  SELECT CAST(n_nationkey + 100 AS BIGINT) AS id, r_name || ' > ' || n_name AS path,
-         CAST(n_nationkey * 3 AS BIGINT) AS product_num
-  FROM nation JOIN region ON r_regionkey = n_regionkey
-  UNION ALL SELECT r_regionkey + 1, r_name, 0 FROM region
-            WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation))
-SELECT *, (SELECT CAST(sum(product_num) AS BIGINT) FROM leaf) AS total_expected FROM leaf""")
+    """Nodes of nested category responses as category rows, and how many responses hold each."""
+    docs = read_json_lines(spark, _tree_documents(spark, sf, CATEGORY_NODE))
+    rows = category_records(unroll_tree(docs, root_path="$.result"))
+    return rows.groupBy("id", "parent_id", "name_en", "name_cn", "code").agg(
+        F.count(F.lit(1)).alias("n_responses"))
+
+
+@query("catalog_scan", sql=f"""
+WITH {_DOCS_SQL},
+leaf AS (
+  SELECT c_custkey + 1000 AS id, r_name || ' > ' || n_name || ' > ' || c_name AS path,
+         CAST(c_custkey % 7 AS BIGINT) AS product_num
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+  UNION ALL SELECT n_nationkey + 100, r_name || ' > ' || n_name, n_nationkey * 3 FROM docs
+            WHERE n_nationkey IS NOT NULL AND bucket IS NULL
+  UNION ALL SELECT r_regionkey + 1, r_name, 0 FROM docs WHERE n_nationkey IS NULL)
+SELECT CAST(id AS BIGINT) AS id, path, CAST(product_num AS BIGINT) AS product_num,
+       (SELECT CAST(sum(product_num) AS BIGINT) FROM leaf) AS total_expected FROM leaf""")
 def catalog_scan(spark, sf):
-    """Leaves of a nested catalog response with breadcrumb and count, and the total expected
+    """Leaves of nested catalog responses with breadcrumb and count, and the total expected
     over all of them."""
-    docs = read_json_files(spark, _tree_document(spark, sf, CATALOG_NODE))
+    docs = read_json_lines(spark, _tree_documents(spark, sf, CATALOG_NODE))
     leaves = breadcrumb_leaves(unroll_tree(docs, CATALOG_NODE, root_path="$.result"),
                                label_en_id)
     total = leaves.agg(F.sum("product_num").cast("bigint")).scalar()

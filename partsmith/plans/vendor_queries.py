@@ -15,6 +15,8 @@ from partsmith.operators.enrich import enrich
 from partsmith.operators.ordering import spread
 from partsmith.plans.bindings import t, vendor_tables
 from partsmith.plans.registry import query
+from partsmith.session import scratch_path
+from partsmith.sources.vendor import read_vendor_rejects, read_vendor_tables
 
 # fixed value: origin of the duration demo (2024-01-01 00:00:00 UTC)
 DURATION_ORIGIN = 1704067200
@@ -45,6 +47,44 @@ def vendor_enrich_join(spark, sf):
     return enrich(comps, cats, mfrs)
 
 
+# --- S5: the vendor tables landed as CSV exports, some lines broken -----------------
+BROKEN = 40  # of the orders, one in so many has lines with text for the stock
+
+
+@query("vendor_files_enrich", sql=f"""
+WITH c AS (SELECT *, l_orderkey * 10 + l_linenumber AS code, l_orderkey % {BROKEN} = 0 AS broken FROM lineitem)
+SELECT 'C' || code AS sku, s_name AS second_category_name, p_brand || ' ' || p_name AS brand_name,
+       CAST(l_quantity AS BIGINT) AS vendor_stock,
+       '[{{"qFrom":1,"cents":' || CAST(floor(l_extendedprice * 100) AS BIGINT) || '}}]' AS vendor_price_ladder,
+       NULL AS rejected_from
+FROM c LEFT JOIN supplier ON s_suppkey = l_suppkey AND l_orderkey % 32 <> 0
+       LEFT JOIN part ON p_partkey = l_partkey AND l_orderkey % 50 <> 1
+WHERE NOT broken
+UNION ALL SELECT 'C' || code, NULL, NULL, NULL, NULL, 'components' FROM c WHERE broken""")
+def vendor_files_enrich(spark, sf):
+    """Vendor tables landed as CSV files and read with their schemas: good lines joined and
+    mapped, lines that don't fit kept apart."""
+    comps, cats, mfrs = vendor_tables(spread(t(spark, sf, "lineitem")), t(spark, sf, "supplier"),
+                                      t(spark, sf, "part"))
+    base = scratch_path(spark, "vendor")
+    broken = F.floor(F.col("part_code") / 10) % BROKEN == 0
+    comps = comps.withColumn("stock", F.when(broken, F.lit("n/a"))
+                             .otherwise(F.col("stock").cast("string")))
+    for name, rows in (("components", comps), ("categories", cats), ("manufacturers", mfrs)):
+        rows.write.option("header", "true").csv(f"{base}/{name}")
+    v = read_vendor_tables(spark, base, "csv")
+    no = F.lit(None).cast("string")
+    good = enrich(v["components"], v["categories"], v["manufacturers"]).select(
+        "sku", "second_category_name", "brand_name", "vendor_stock", "vendor_price_ladder",
+        no.alias("rejected_from"))
+    bad = read_vendor_rejects(spark, base).select(
+        F.concat(F.lit("C"), F.split("line", ",", 2)[0]).alias("sku"),
+        no.alias("second_category_name"), no.alias("brand_name"),
+        F.lit(None).cast("bigint").alias("vendor_stock"), no.alias("vendor_price_ladder"),
+        F.col("table").alias("rejected_from"))
+    return good.unionByName(bad)
+
+
 # --- P10: library tier from two nullable flags ----------------------------------
 @query("tier_case", sql="""
 SELECT p_partkey, basic, preferred,

@@ -34,7 +34,7 @@ def _doc_fields() -> list[T.StructField]:
         if c in _NOT_IN_DOC:
             continue
         if c == "price_ladder":
-            ladder = T.ArrayType(T.StructType([T.StructField(k, STR) for k in S.PRICE_KEYS]))
+            ladder = T.ArrayType(T.VariantType())  # entries keep keys that aren't known here
             add(S.doc_key(c), ladder)
             add(c, ladder)
             continue

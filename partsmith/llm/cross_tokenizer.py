@@ -5,6 +5,9 @@ sentencepiece model).  Byte offsets where tokens of both end cut the tokens into
 occurrences of an A and a B token in one group are linked.  A pair of ids counts the
 documents that hold it linked.
 
+Where both tokenizers encode a text chunk by chunk (checked when they are loaded), the
+groups of a chunk are found once per task and remembered.
+
 Most groups are one A token and one B token of the same bytes.  An array from every A id to
 the B id of the same bytes (the identity map) tells them; they are counted in one vector as
 long as A's vocabulary per task.  Only the pairs of other groups go through a shuffle, and
@@ -22,7 +25,11 @@ counted by its distinct ids; an empty table gives an empty one; other columns ar
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +43,27 @@ from partsmith.llm.bpe import byte_symbols
 from partsmith.llm.common import written
 from partsmith.llm.wordhash import mix
 
-#: Bytes of text in a block and in one call of the tokenizers, unless one text is longer.
-BLOCK_BYTES, CALL_BYTES = 4 << 20, 1 << 18
+#: Bytes of text in a block, unless one text is longer.
+BLOCK_BYTES = 8 << 20
+#: Texts whose chunks are looked up together, by their characters.
+CALL_CHARS = 1 << 19
+#: Chunks (and characters of one) that a task remembers; beyond, it begins anew.
+MEMO_CHUNKS, MEMO_CHARS = 500_000, 64
 #: Groups with more pairs than this are first reduced to their distinct ids.
 WIDE = 4096
 
+#: Between two characters that aren't white space, before a single space.
+_BETWEEN = re.compile(r"(?<=\S)(?= \S)")
+#: A text without these is cut at every space.
+_ODD = re.compile(r"^\s| \s|\s | $")
+
 
 class Tokenizers:
-    """Both tokenizers, the bytes of their tokens and the identity map."""
+    """Both tokenizers, the bytes of their tokens and the identity map.
+
+    ``parts``: whether both encode a text chunk by chunk, cut before single spaces.  A does if
+    its words come from the byte-level pattern, in which a space can only begin a word; B does
+    if no piece has a space after another character, so that no merge reaches over the cut."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,25 +87,50 @@ class Tokenizers:
         self.identity = np.array([plain.get(x, -1) for x in self.a_bytes], np.int64)
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        with open(a_path, encoding="utf-8") as f:
+            spec = json.load(f)
+        words = spec.get("pre_tokenizer") or {}
+        self.parts = (spec.get("normalizer") is None and words.get("type") == "ByteLevel"
+                      and words.get("use_regex", True) and not words.get("add_prefix_space")
+                      and not any(b" " in x.lstrip(b" ") for x in self.b_bytes))
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         if self.b.is_byte(i):
             return bytes([int(piece[3:5], 16)])
-        return piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """A and B ids of every text; none where the bytes don't come back."""
-        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts],
-                                                     add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        out = []
-        for t, x, y in zip(texts, a, b, strict=True):
-            want = b" " + t.encode()
-            same = t and (b"".join(map(self.a_bytes.__getitem__, x)) == want
-                          == b"".join(map(self.b_bytes.__getitem__, y)))
-            out.append((x, y) if same else ([], []))
-        return out
+        return piece.replace("\u2581", " ").encode()
+
+    def chunks(self, text: str) -> list[str]:
+        """``text`` in chunks that are encoded on their own, each with a space before it."""
+        if not self.parts:
+            return [text]
+        if _ODD.search(text):
+            return [c[1:] for c in _BETWEEN.split(" " + text)]
+        return text.split(" ")
+
+    def ids(self, text: str) -> tuple[list[int], list[int]] | None:
+        """A and B ids of a text with a space before it; None where the bytes don't come back."""
+        want = (" " + text).encode()
+        x = self.a.encode(" " + text, add_special_tokens=False).ids
+        y = self.b.encode(text)  # B puts the space before it
+        same = (b"".join(map(self.a_bytes.__getitem__, x)) == want
+                == b"".join(map(self.b_bytes.__getitem__, y)))
+        return (x, y) if same else None
+
+    def groups(self, x: list[int], y: list[int]) -> Iterator[tuple[tuple[int, ...], tuple[int, ...]]]:
+        """The groups of A ids ``x`` and B ids ``y`` of the same bytes."""
+        a, b = self.a_bytes, self.b_bytes
+        i = j = i0 = j0 = at_a = at_b = 0
+        while i < len(x) or j < len(y):
+            if at_a <= at_b:
+                at_a += len(a[x[i]])
+                i += 1
+            else:
+                at_b += len(b[y[j]])
+                j += 1
+            if at_a == at_b:
+                yield tuple(x[i0:i]), tuple(y[j0:j])
+                i0, j0 = i, j
 
 
 def _starts(sizes: np.ndarray) -> np.ndarray:
@@ -93,7 +138,7 @@ def _starts(sizes: np.ndarray) -> np.ndarray:
 
 
 class Side:
-    """The tokens of one tokenizer in a block, and their groups."""
+    """The tokens of one tokenizer in a text, and their groups."""
 
     def __init__(self, ids: np.ndarray, ends: np.ndarray, other_ends: np.ndarray):
         at = np.minimum(np.searchsorted(other_ends, ends), max(len(other_ends) - 1, 0))
@@ -131,76 +176,133 @@ def group_types(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
         seed += 2
 
 
-def type_pairs(a: Side, b: Side, first: np.ndarray, n_b: int
-               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Type, pair (``a_id * n_b + b_id``) and number of links of the distinct pairs of every
-    type, sorted by type."""
-    na, nb = a.size[first], b.size[first]
-    links = na * nb
-    kind, pair, times = [], [], []
-    few = np.flatnonzero(links <= WIDE)
-    t = np.repeat(few, links[few])
-    off = np.arange(len(t)) - np.repeat(_starts(links[few]), links[few])
-    kind.append(t)
-    pair.append(a.ids[a.start[first][t] + off // nb[t]] * n_b
-                + b.ids[b.start[first][t] + off % nb[t]])
-    times.append(np.ones(len(t), np.int64))
-    for t in np.flatnonzero(links > WIDE):
-        s, e = a.start[first[t]], b.start[first[t]]
-        x, cx = np.unique(a.ids[s:s + na[t]], return_counts=True)
-        y, cy = np.unique(b.ids[e:e + nb[t]], return_counts=True)
-        pair.append((x[:, None] * n_b + y[None, :]).ravel())
-        times.append((cx[:, None] * cy[None, :]).ravel())
-        kind.append(np.full(len(pair[-1]), t))
-    kind, pair, times = np.concatenate(kind), np.concatenate(pair), np.concatenate(times)
-    order = np.lexsort((pair, kind))
-    kind, pair, times = kind[order], pair[order], times[order]
-    if not len(kind):
-        return kind, pair, times
-    new = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (pair[1:] != pair[:-1])])
-    return kind[new], pair[new], np.add.reduceat(times, new)
+class Types:
+    """The different groups a task has met, numbered, with what counting needs of each."""
+
+    def __init__(self, tok: Tokenizers):
+        self.tok, self.n_b = tok, len(tok.b_bytes)
+        self.number: dict[tuple, int] = {}
+        self.names: list[str] = []
+        self.sizes: list[tuple[int, int]] = []
+        # distinct pairs (a_id * n_b + b_id) and links of each; an identity pair is -1 - a_id
+        self.pairs: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+
+    def of(self, group: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
+        """The number of a group."""
+        found = self.number.get(group)
+        if found is None:
+            found = self.number[group] = len(self.names)
+            x, y = group
+            self.names.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
+            self.sizes.append((len(x), len(y)))
+            pair, times = self._links(x, y)
+            self.pairs.append(pair)
+            self.times.append(times)
+        return found
+
+    def _links(self, x: tuple[int, ...], y: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+        identity = self.tok.identity
+        if len(x) == len(y) == 1 and identity[x[0]] == y[0]:  # the fast path
+            return np.array([-1 - x[0]], np.int64), np.ones(1, np.int64)
+        a, b = np.array(x, np.int64), np.array(y, np.int64)
+        if len(a) * len(b) > WIDE:
+            a, na = np.unique(a, return_counts=True)
+            b, nb = np.unique(b, return_counts=True)
+        else:
+            na, nb = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
+        pair = (a[:, None] * self.n_b + b[None, :]).ravel()
+        pair, at = np.unique(pair, return_inverse=True)
+        times = np.bincount(at, (na[:, None] * nb[None, :]).ravel()).astype(np.int64)
+        own = identity[pair // self.n_b] == pair % self.n_b
+        return np.where(own, -1 - pair // self.n_b, pair), times
+
+
+_NONE = (-1,)  # types of a chunk whose bytes a tokenizer doesn't return
+
+
+class Encoder:
+    """Types of the groups of texts; remembers chunks."""
+
+    def __init__(self, tok: Tokenizers):
+        self.tok, self.types = tok, Types(tok)
+        self.memo: dict[str, tuple[int, ...]] = {}
+
+    def _learn(self, chunks: list[str], into: dict[str, tuple[int, ...]]) -> None:
+        """Chunks that begin and end with no white space are encoded as one text, which gives
+        the same ids in one call; if the bytes don't come back, each on its own."""
+        plain = [c for c in chunks if self.tok.parts and c and not c[0].isspace()
+                 and not c[-1].isspace() and "\u2581" not in c]
+        if plain:
+            got = self._together(plain)
+            into.update(zip(plain, got, strict=True) if got else map(self._alone, plain))
+        into.update(self._alone(c) for c in chunks if c not in into)
+
+    def _alone(self, chunk: str) -> tuple[str, tuple[int, ...]]:
+        got = self.tok.ids(chunk)
+        return chunk, tuple(map(self.types.of, self.tok.groups(*got))) if got else _NONE
+
+    def _together(self, chunks: list[str]) -> list[tuple[int, ...]] | None:
+        got = self.tok.ids(" ".join(chunks))
+        if got is None:
+            return None
+        x, y = (np.array(i, np.int64) for i in got)
+        a_ends, b_ends = np.cumsum(self.tok.a_len[x]), np.cumsum(self.tok.b_len[y])
+        a, b = Side(x, a_ends, b_ends), Side(y, b_ends, a_ends)
+        first, kind = group_types(a, b)
+        number = np.array([
+            self.types.of((tuple(got[0][s:s + n]), tuple(got[1][u:u + m])))
+            for s, n, u, m in zip(a.start[first].tolist(), a.size[first].tolist(),
+                                  b.start[first].tolist(), b.size[first].tolist(), strict=True)])
+        ends = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        cut = np.searchsorted(a.common_ends, ends)
+        if not (a.common_ends[np.minimum(cut, len(a.common_ends) - 1)] == ends).all():
+            return None  # not expected: a token reaches over a cut
+        types, cut = number[kind].tolist(), [0, *(cut + 1).tolist()]
+        return [tuple(types[s:e]) for s, e in zip(cut, cut[1:], strict=False)]
+
+    def texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The types of every text's groups; none where a tokenizer doesn't return the bytes."""
+        cut = [self.tok.chunks(t) if t else [] for t in texts]
+        if len(self.memo) > MEMO_CHUNKS:
+            self.memo.clear()
+        fresh = set(chain.from_iterable(cut)).difference(self.memo)
+        known, once = self.memo, {}
+        self._learn([c for c in fresh if len(c) <= MEMO_CHARS], known)
+        self._learn([c for c in fresh if len(c) > MEMO_CHARS], once)
+        out = []
+        for cs in cut:
+            got = list(map(known.get, cs))
+            if None in got:
+                got = [once[c] if g is None else g for c, g in zip(cs, got, strict=True)]
+            whole = np.array(list(chain.from_iterable(got)), np.int32)
+            out.append(whole[:0] if len(whole) and whole.min() < 0 else whole)
+        return out
 
 
 class Block:
     """Groups, types and pairs of the texts of a block."""
 
-    def __init__(self, coded: list[tuple[list[int], list[int]]], tok: Tokenizers):
-        a_ids = np.fromiter((i for x, _ in coded for i in x), np.int64)
-        b_ids = np.fromiter((i for _, y in coded for i in y), np.int64)
-        self.n_a = np.array([len(x) for x, _ in coded], np.int64)
-        self.n_b = np.array([len(y) for _, y in coded], np.int64)
-        a_ends, b_ends = np.cumsum(tok.a_len[a_ids]), np.cumsum(tok.b_len[b_ids])
-        a, b = Side(a_ids, a_ends, b_ends), Side(b_ids, b_ends, a_ends)
-        first, self.kind = group_types(a, b)
-        # tokens of both end with a text, so texts end with groups
-        text_ends = np.r_[0, a_ends][np.cumsum(self.n_a)]
-        cut = np.searchsorted(a.common_ends, text_ends, side="right")
-        self.cut = np.r_[0, cut]
-        self.n_groups = np.diff(self.cut)
-        doc = np.repeat(np.arange(len(coded)), self.n_groups)
-        self.n_links = np.zeros(len(coded), np.int64)
-        np.add.at(self.n_links, doc, a.size * b.size)
-        n_b = len(tok.b_bytes)
-        self.types = len(first)
-        # the identity map tells exact one-to-one groups
-        alone = (a.size[first] == 1) & (b.size[first] == 1)
-        left, right = a.ids[a.start[first]], b.ids[b.start[first]]
-        fast = alone & (tok.identity[left] == right)
-        slow = np.flatnonzero(~fast)
-        t, pair, times = type_pairs(a, b, first[slow], n_b)
-        t = slow[t]
-        own = tok.identity[pair // n_b] == pair % n_b  # the identity pair of a larger group
-        self.pairs, place = np.unique(pair[~own], return_inverse=True)
+    def __init__(self, kinds: list[np.ndarray], types: Types):
+        self.n_groups = np.array([len(k) for k in kinds], np.int64)
+        used, kind = np.unique(np.concatenate(kinds), return_inverse=True)
+        self.kind, self.types = kind, len(used)
+        self.cut = np.r_[0, np.cumsum(self.n_groups)]
+        self.names = [types.names[t] for t in used]
+        sizes = np.array([types.sizes[t] for t in used], np.int64).reshape(-1, 2)
+        doc = np.repeat(np.arange(len(kinds)), self.n_groups)
+        self.n_a, self.n_b, self.n_links = (
+            np.bincount(doc, x[kind], minlength=len(kinds)).astype(np.int64)
+            for x in (sizes[:, 0], sizes[:, 1], sizes[:, 0] * sizes[:, 1]))
+        self.entries = np.array([len(types.pairs[t]) for t in used], np.int64)
+        none = [np.zeros(0, np.int64)]
+        pair = np.concatenate([types.pairs[t] for t in used] or none)
+        self.times = np.concatenate([types.times[t] for t in used] or none)
         # entries of types: a pair of this block (from 0), or -1 - the A id of an identity pair
-        entry = np.empty(len(pair), np.int64)
-        entry[~own], entry[own] = place, -1 - pair[own] // n_b
-        t = np.r_[t, np.flatnonzero(fast)]
-        order = np.argsort(t, kind="stable")
-        self.entry = np.r_[entry, -1 - left[fast]][order]
-        self.times = np.r_[times, np.ones(int(fast.sum()), np.int64)][order]
-        self.entries = np.bincount(t, minlength=self.types)
-        self._count(doc, len(tok.a_bytes))
-        self._name(a, b, first)
+        self.pairs, place = np.unique(pair[pair >= 0], return_inverse=True)
+        self.entry = pair.copy()
+        self.entry[pair >= 0] = place
+        self._count(doc, len(types.tok.a_bytes))
 
     def _count(self, doc: np.ndarray, n_a: int) -> None:
         """In how many documents each pair is linked: ``held`` of the block's pairs, and
@@ -217,16 +319,9 @@ class Block:
         counts = np.bincount(distinct % wide, minlength=wide)
         self.held, self.vector = counts[:len(self.pairs)], counts[len(self.pairs):]
 
-    def _name(self, a: Side, b: Side, first: np.ndarray) -> None:
-        x, y = a.ids.tolist(), b.ids.tolist()
-        self.names = [
-            ",".join(map(str, x[s:s + n])) + "|" + ",".join(map(str, y[e:e + m]))
-            for s, n, e, m in zip(a.start[first].tolist(), a.size[first].tolist(),
-                                  b.start[first].tolist(), b.size[first].tolist(), strict=True)]
-
     def digests(self) -> list[str]:
-        kind, cut = self.kind.tolist(), self.cut.tolist()
-        return [hashlib.sha256(";".join([self.names[t] for t in kind[s:e]]).encode()).hexdigest()
+        kind, cut, names = self.kind.tolist(), self.cut.tolist(), self.names
+        return [hashlib.sha256(";".join([names[t] for t in kind[s:e]]).encode()).hexdigest()
                 if e > s else "" for s, e in zip(cut, cut[1:], strict=False)]
 
 
@@ -250,6 +345,7 @@ def encode_blocks(documents: DataFrame, a_path: str, b_path: str,
 
     def run(batches):
         tok = Tokenizers(a_path, b_path)
+        encoder = Encoder(tok)
         base, number = TaskContext.get().partitionId() << 32, 0
         total = np.zeros(len(tok.a_bytes), np.int64)
         kinds = None
@@ -259,16 +355,16 @@ def encode_blocks(documents: DataFrame, a_path: str, b_path: str,
                 [given[c] if c in given else pa.nulls(n, k)
                  for c, k in zip(names, kinds, strict=True)], names)
 
-        def block(ids, coded):
-            made = Block(coded, tok)
+        def block(ids, groups):
+            made = Block(groups, encoder.types)
             np.add(total, made.vector, out=total)
-            n = len(coded)
+            n = len(groups)
             kind = made.kind.astype(np.int32)
             yield rows(n, {
                 "block": pa.array(np.full(n, base + number)), "doc_id": pa.array(ids, kinds[1]),
                 "n_a": pa.array(made.n_a), "n_b": pa.array(made.n_b),
-                "n_groups": pa.array(made.n_groups.astype(np.int64)),
-                "n_links": pa.array(made.n_links), "groups_sha256": pa.array(made.digests()),
+                "n_groups": pa.array(made.n_groups), "n_links": pa.array(made.n_links),
+                "groups_sha256": pa.array(made.digests()),
                 "types": pa.array([kind[s:e].tobytes() for s, e in
                                    zip(made.cut, made.cut[1:], strict=False)], pa.binary())})
             if made.types:
@@ -278,9 +374,9 @@ def encode_blocks(documents: DataFrame, a_path: str, b_path: str,
                     "held": pa.array([made.held.astype(np.int32)], pa.list_(pa.int32())),
                     "entries": pa.array([made.entries.astype(np.int32).tobytes()]),
                     "entry": pa.array([made.entry.astype(np.int32).tobytes()]),
-                    "times": pa.array([made.times.astype(np.int64).tobytes()])})
+                    "times": pa.array([made.times.tobytes()])})
 
-        ids, coded, texts, size, held = [], [], [], 0, 0
+        ids, groups, texts, size, held = [], [], [], 0, 0
         for batch in batches:
             if kinds is None:
                 kinds = [pa.int64(), batch.schema.field(0).type, *[pa.int64()] * 4, pa.string(),
@@ -288,18 +384,18 @@ def encode_blocks(documents: DataFrame, a_path: str, b_path: str,
                          *[pa.binary()] * 3, pa.list_(pa.int64())]
             for i in range(batch.num_rows):
                 ids.append(batch.column(0)[i].as_py())
-                texts.append(batch.column(1)[i].as_py() or "")
-                held += len(texts[-1].encode())
-                if held >= CALL_BYTES:
-                    coded += tok.encode(texts)
+                texts.append(batch.column(1)[i].as_py())
+                held += len(texts[-1] or "")
+                if held >= CALL_CHARS:
+                    groups += encoder.texts(texts)
                     size, held, texts = size + held, 0, []
                 if size >= block_bytes:
-                    yield from block(ids, coded)
+                    yield from block(ids, groups)
                     number += 1
-                    ids, coded, size = [], [], 0
-        coded += tok.encode(texts)
+                    ids, groups, size = [], [], 0
+        groups += encoder.texts(texts)
         if ids:
-            yield from block(ids, coded)
+            yield from block(ids, groups)
         if kinds is not None:
             yield rows(1, {"vector": pa.array([total], pa.list_(pa.int64()))})
 

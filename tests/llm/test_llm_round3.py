@@ -93,10 +93,15 @@ def test_wide_groups_count_by_distinct_ids(spark, monkeypatch):
     assert got == brute_align(rows)[0]
 
 
+def _digests(tok, texts):
+    encoder = X.Encoder(tok)
+    return X.Block(encoder.texts(texts), encoder.types).digests()
+
+
 def test_equal_hashes_of_groups_are_noticed(monkeypatch):
     tok = X.Tokenizers(A, B)
-    coded = tok.encode([t for _, t in _texts(5)])
-    want = X.Block(coded, tok).digests()
+    texts = [t for _, t in _texts(5)]
+    want = _digests(tok, texts)
     real, calls = X.Side.hashed, []
 
     def clash(self, seed):
@@ -104,7 +109,24 @@ def test_equal_hashes_of_groups_are_noticed(monkeypatch):
         return real(self, seed) if seed > 4 else np.zeros(len(self.size), np.uint64)
 
     monkeypatch.setattr(X.Side, "hashed", clash)
-    assert X.Block(coded, tok).digests() == want and max(calls) > 4
+    assert _digests(tok, texts) == want and max(calls) > 4
+
+
+def test_chunks_give_what_whole_texts_give(monkeypatch):
+    """Remembered, forgotten, long and odd chunks, against texts encoded whole."""
+    rng = random.Random(6)
+    texts = ODD + [t for _, t in _texts(40)] + ["".join(rng.choice(
+        ["a", "Zed", "'s", "é", " ", " ", "\n", "\t", "\u00a0", "\x1c", "\u2581", "12", "…", "🙂", "\u3000"])
+        for _ in range(rng.randint(1, 40))) for _ in range(400)] + ["x" * 300 + " y", "a " * 2000]
+    tok = X.Tokenizers(A, B)
+    assert tok.parts
+    got = _digests(tok, texts)
+    monkeypatch.setattr(X, "MEMO_CHUNKS", 10)
+    monkeypatch.setattr(X, "MEMO_CHARS", 3)
+    encoder = X.Encoder(tok)
+    assert X.Block([k for t in texts for k in encoder.texts([t])], encoder.types).digests() == got
+    tok.parts = False
+    assert _digests(tok, texts) == got
 
 
 def test_identity_map_names_equal_bytes():

@@ -19,8 +19,6 @@ equal results; other columns are ignored.
 
 from __future__ import annotations
 
-import io
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,12 +26,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsmith.llm.sampling import fit_shards, text_sample
+from partsmith.llm.common import written
+from partsmith.llm.sampling import sum_shards, text_sample
 
 BITS = 15
 DIM = 1 << BITS
 MAX_PER_LANG = 3_000
-SHARD_ROWS = 4_000
+SHARD_ROWS = 1_500
 EPOCHS = 3
 RATE = 0.5
 MARGIN = 0.02
@@ -137,14 +136,14 @@ def fit(documents: DataFrame, learn: Column, max_per_lang: int = MAX_PER_LANG) -
     """Fit on the rows of ``documents (text, lang)`` where ``learn`` holds."""
     rows = documents.where(learn & F.col("lang").isNotNull() & (F.col("text") != "")).select(
         "text", F.xxhash64("text").alias("text_hash"), F.col("lang").cast("string").alias("lang"))
-    rows = text_sample(rows, max_per_lang, "lang")
+    rows = written(text_sample(rows, max_per_lang, "lang"), "labelled")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(sizes)
     if len(langs) < 2:
         return Model(langs, np.ones((len(langs), 1)), np.ones((len(langs), 1)), np.zeros((1, 1)))
     codes, place = codewords(len(langs)), {v: i for i, v in enumerate(langs)}
 
-    def one(frame: pd.DataFrame) -> bytes:
+    def one(frame: pd.DataFrame) -> dict[str, np.ndarray]:
         frame = frame[[bool(_LETTER.search(t)) for t in frame["text"]]]
         frame = frame.sort_values(["text", "lang"], kind="stable")
         texts = frame["text"].tolist()
@@ -154,14 +153,12 @@ def fit(documents: DataFrame, learn: Column, max_per_lang: int = MAX_PER_LANG) -
         for t, k in zip(texts, which, strict=True):
             right[k] += (_margins(*features(t), w) * codes[k]) > 0
             seen[k] += 1
-        out = io.BytesIO()
-        np.savez(out, w=w.astype(np.float32), right=right, seen=seen)
-        return out.getvalue()
+        return {"w": w.astype(np.float32), "right": right, "seen": seen}
 
     shards = max(1, -(-sum(sizes.values()) // SHARD_ROWS))
-    models = [np.load(io.BytesIO(b)) for b in fit_shards(rows, shards, one)]
-    w = sum(m["w"].astype(float) for m in models) / len(models)
-    trust = sum(m["right"] for m in models) / sum(m["seen"] for m in models)
+    total = sum_shards(rows, shards, one)
+    w = (total["w"] / total["shards"][0]).reshape(DIM + 1, -1)
+    trust = total["right"].reshape(codes.shape) / total["seen"][:, None]
     return Model(langs, codes, trust / trust.sum(1, keepdims=True), w)
 
 

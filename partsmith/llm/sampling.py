@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,42 @@ def fit_shards(rows: DataFrame, shards: int, fit: Callable[[pd.DataFrame], bytes
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"model": [fit(frame)]})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(23), "text"), F.lit(shards)))
-    got = dealt.groupBy("shard").applyInPandas(run, "model binary").collect()
+    got = _dealt(rows, shards).groupBy("shard").applyInPandas(run, "model binary").collect()
     return sorted(bytes(r["model"]) for r in got)
+
+
+def _dealt(rows: DataFrame, shards: int) -> DataFrame:
+    return rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(23), "text"), F.lit(shards)))
+
+
+#: Numbers of a model that are summed together.
+_PART = 1 << 16
+
+
+def sum_shards(rows: DataFrame, shards: int,
+               fit: Callable[[pd.DataFrame], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Fit a model (named arrays of numbers) per shard and return the sums over the shards, flat,
+    and ``shards``, how many had rows.  They are added up in the cluster, part by part and in
+    the order of the shards; one model comes to the driver, however many shards there are."""
+    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for name, values in {"shards": np.ones(1), **fit(frame)}.items():
+            flat = np.asarray(values, np.float64).ravel()
+            out += [(name, at, key[0], flat[at:at + _PART].tobytes())
+                    for at in range(0, len(flat), _PART)]
+        return pd.DataFrame(out, columns=["name", "at", "shard", "numbers"])
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = 0
+        for blob in frame.sort_values("shard")["numbers"]:
+            total = total + np.frombuffer(blob, np.float64)
+        return pd.DataFrame({"name": frame["name"].iloc[:1], "at": frame["at"].iloc[:1],
+                             "numbers": [total.tobytes()]})
+
+    parts = _dealt(rows, shards).groupBy("shard").applyInPandas(
+        run, "name string, at long, shard long, numbers binary")
+    sums = parts.groupBy("name", "at").applyInPandas(add, "name string, at long, numbers binary")
+    out: dict[str, list] = {}
+    for r in sorted(sums.collect(), key=lambda r: (r["name"], r["at"])):
+        out.setdefault(r["name"], []).append(np.frombuffer(r["numbers"], np.float64))
+    return {name: np.concatenate(v) for name, v in out.items()}

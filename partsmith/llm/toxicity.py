@@ -18,7 +18,6 @@ ignored.
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsmith.llm.sampling import fit_shards, text_sample
+from partsmith.llm.common import written
+from partsmith.llm.sampling import sum_shards, text_sample
 from partsmith.llm.wordhash import WordHasher, groups, mix
 
 BITS = 20
@@ -109,22 +109,16 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column,
     rows = (documents.where(learn & F.col("text").isNotNull())
             .select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
             .join(marks, "doc_id").select("text", "text_hash", "__y"))
-    rows = text_sample(rows, max_train)
+    rows = written(text_sample(rows, max_train), "labelled")  # counted and fitted from there
     shards = max(1, -(-min(rows.count(), max_train) // SHARD_ROWS))
 
-    def one(frame: pd.DataFrame) -> bytes:
+    def one(frame: pd.DataFrame) -> dict[str, np.ndarray]:
         frame = frame.sort_values(["text", "__y"], kind="stable")
-        w = ftrl(feature_sets(pa.array(frame["text"], pa.string())), frame["__y"].to_numpy(float))
-        at = np.flatnonzero(w).astype(np.int32)
-        out = io.BytesIO()
-        np.savez(out, at=at, w=w[at])
-        return out.getvalue()
-
-    total, models = np.zeros(DIM + 1), fit_shards(rows, shards, one)
-    for blob in models:
-        m = np.load(io.BytesIO(blob))
-        total[m["at"]] += m["w"] / len(models)
-    return total
+        return {"w": ftrl(feature_sets(pa.array(frame["text"], pa.string())),
+                          frame["__y"].to_numpy(float))}
+
+    total = sum_shards(rows, shards, one)
+    return total["w"] / total["shards"][0] if total else np.zeros(DIM + 1)
 
 
 def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:

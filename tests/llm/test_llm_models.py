@@ -188,3 +188,92 @@ def test_copies_count_once_in_samples_and_shards(spark):
         assert len(set(got)) == len(got) and low <= len(got) <= high
     sizes = fit_shards(text_sample(df, 100), 4, lambda f: str(len(f)).encode())
     assert sum(map(int, sizes)) == 81 and max(map(int, sizes)) < 40
+
+
+def test_toxicity_equals_a_plain_version(spark, tox):
+    """The whole way from texts to scores with dicts and loops: features, FTRL, averaged shards."""
+    import re
+
+    rows, docs, labels = tox
+    truth = {i: y for i, _, y in rows}
+    train = sorted({(t, truth[i]) for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5})
+
+    def sets(text):
+        w = re.findall(r"[0-9a-z]+", (text or "").lower())
+        return ({(x,) for x in w} | {(1, *p) for p in zip(w, w[1:], strict=False)}
+                | {(2, *p) for p in zip(w, w[2:], strict=False)})
+
+    z, n = {}, {}
+
+    def weight(f):
+        if f == "bias":
+            return -z.get(f, 0) * T.ALPHA / (T.BETA + n.get(f, 0) ** 0.5)
+        x = z.get(f, 0)
+        return 0.0 if abs(x) <= T.L1 else (
+            -(x - np.sign(x) * T.L1) / ((T.BETA + n.get(f, 0) ** 0.5) / T.ALPHA + T.L2))
+
+    made, order = [(sets(t) | {"bias"}, y) for t, y in train], np.random.default_rng(7)
+    for _ in range(T.EPOCHS):
+        for k in order.permutation(len(made)):
+            own, y = made[k]
+            w = {f: weight(f) for f in own}
+            g = 1 / (1 + np.exp(-np.clip(sum(w.values()), -30, 30))) - y
+            for f in own:
+                z[f] = z.get(f, 0) + g - ((n.get(f, 0) + g * g) ** 0.5 - n.get(f, 0) ** 0.5) / T.ALPHA * w[f]
+                n[f] = n.get(f, 0) + g * g
+    want = {i: 1 / (1 + np.exp(-np.clip(sum(weight(f) for f in sets(t) | {"bias"}), -30, 30)))
+            for i, t, _ in rows}
+    got = {r.doc_id: r.score for r in T.toxicity(docs, labels).collect()}
+    # (hashes may clash and labels of id 0 differ, so a few scores may be off a little)
+    off = [abs(got[i] - p) for i, p in want.items()]
+    assert np.mean([x < 1e-3 for x in off]) > 0.9 and max(off) < 0.2
+
+
+def test_decoding_equals_loops():
+    rng = np.random.default_rng(4)
+    langs, bits = ["a", "b", "c"], 5
+    codes = rng.choice([-1, 1], (3, bits))
+    trust = rng.random((3, bits))
+    w = rng.normal(size=(L.DIM + 1, bits)).astype(np.float32) * 0.05
+    model = L.Model(langs, codes, trust, w)
+    for text in ("some words here", "éèê", "a", "Mixed 12 Case!"):
+        at, x = L.features(text)
+        margins = [sum(float(x[k]) * float(w[i, b]) for k, i in enumerate(at)) + 0.1 * float(w[L.DIM, b])
+                   for b in range(bits)]
+        losses = [sum(trust[k, b] * np.log1p(np.exp(-codes[k, b] * margins[b])) for b in range(bits))
+                  for k in range(3)]
+        p = np.exp([-(v - min(losses)) * bits for v in losses])
+        p /= p.sum()
+        lang, score, unsure = model.decode(text)
+        best = int(np.argmin(losses))
+        assert lang == langs[best] and score == pytest.approx(p[best], abs=1e-4)
+        assert unsure == (p[best] - sorted(p)[-2] < L.MARGIN)
+
+
+def test_ngram_features_equal_loops():
+    text = "Ab é, ab!! 12 xyz"
+    runs = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    counts = {}
+    m = [int(v) for v in L._MULT]
+    for size in (1, 2, 3):
+        for i in range(len(runs) - size + 1):
+            c = [ord(x) for x in runs[i:i + size]]
+            g = (c[0] * m[0] if size == 1 else
+                 c[0] * m[1] + c[1] * m[0] + 1 if size == 2 else
+                 c[0] * m[2] + c[1] * m[1] + c[2] * m[0] + 2) % (1 << 32)
+            g = ((g ^ (g >> 15)) * m[2]) % (1 << 32)
+            counts[g >> (32 - L.BITS)] = counts.get(g >> (32 - L.BITS), 0) + 1
+    at, x = L.features(text)
+    length = sum(counts.values()) ** 0.5
+    assert dict(zip(at.tolist(), x.tolist(), strict=True)) == pytest.approx(
+        {k: v ** 0.5 / length for k, v in counts.items()})
+
+
+def test_sums_of_shards(spark):
+    from partsmith.llm.sampling import sum_shards
+
+    df = spark.createDataFrame([(f"t{i}", i) for i in range(40)], "text string, v long")
+    got = sum_shards(df, 5, lambda f: {"n": np.array([len(f)]), "v": np.full(200_000, f["v"].sum())})
+    assert got["n"].tolist() == [40] and got["shards"][0] == 5
+    assert len(got["v"]) == 200_000 and set(got["v"].tolist()) == {sum(range(40))}
+    assert sum_shards(df.limit(0), 5, lambda f: {"n": np.ones(1)}) == {}

@@ -4,8 +4,14 @@ tokenization.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return
 the columns of ``docs``.  ``run`` writes each stage as Parquet to the shared checkpoint
-folder and reads it again.  Rows with a null id are kept where their text is fine; empty
-tables pass through as empty tables.
+folder and reads it again.
+
+Defined cases: rows with a null id are kept where their text is fine; empty tables pass
+through as empty tables; null and empty texts have no language and go in the first stage.
+Verdicts are on (id, text): repeated rows get the same one, and of rows that share an id each
+gets its own text's.  Of a group of near duplicates the row with the smallest id stays (a null id
+last; ties by hashes of text and row).  Texts are read whole, however long.  All columns
+of ``documents`` are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +42,8 @@ def _by_text(docs: DataFrame) -> DataFrame:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language (null, no letter) or with an ambiguous one."""
+    """Drop documents without a language (null, no letter) or with an ambiguous one.  A row's
+    own ``lang`` is learned from (held-out ids excepted), never copied."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = language_id.fit(docs, F.col("doc_id").isNotNull() & ~held)
     out = language_id.identify(_by_text(docs), model=model)
@@ -46,7 +53,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents with a toxicity score of 0.5 or more."""
+    """Drop documents with a toxicity score of 0.5 or more; without labels none."""
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     weights = toxicity.fit(docs, table(spark, sf_dir, "labels"),
                            F.col("doc_id").isNotNull() & ~held)
@@ -56,19 +63,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, the one with the smallest id."""
+    """Keep one document of each group of near duplicates, the one with the smallest id; rows
+    without words are no one's duplicates."""
     return jaccard_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a window of a benchmark item."""
+    """Drop documents that hold a window of a benchmark item (with an empty benchmark none)."""
     out = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return _without(docs, out.where("n_hit > 0"), text_key(F.col("doc_id"), F.col("text")),
                     ["doc_id", "text_hash"])
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document and their decoded text, as digests."""
+    """Token ids of every document and their decoded text, as digests; one row per row."""
     return bpe.encode_documents(docs, vocabulary())
 
 

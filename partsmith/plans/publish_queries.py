@@ -215,18 +215,22 @@ def variant_single_vendor(spark, sf):
 
 
 # --- M1 + M2: an old table brought to the current schema -----------------------------------
+def _aligned_sql(column: str) -> str:
+    if column == "vendor_stock":
+        return "CAST(0 AS BIGINT) AS vendor_stock"
+    if column in _HELD and column not in S.VENDOR_COLUMNS:
+        return column
+    return f"CAST(NULL AS {_DUCK[S.PRODUCT_SCHEMA[column].dataType.simpleString()]}) AS {column}"
+
+
 @query("align_schema", sql=f"""
-SELECT sku, stock, CAST(NULL AS VARCHAR) AS raw_json, CAST(0 AS BIGINT) AS vendor_stock,
-       CAST(NULL AS VARCHAR) AS vendor_library_type, CAST(NULL AS TIMESTAMP) AS vendor_last_updated
-FROM ({CUSTOMER_PRODUCTS_SQL})""")
+SELECT {", ".join(map(_aligned_sql, S.PRODUCT_COLUMNS))} FROM ({CUSTOMER_PRODUCTS_SQL})""")
 def align_schema_q(spark, sf):
     """A table without the raw-document and vendor columns brought to the current schema
     with defaults."""
     legacy_cols = [c for c in S.PRODUCT_COLUMNS if c != "raw_json" and c not in S.VENDOR_COLUMNS]
     legacy = products_from_customer(t(spark, sf, "customer")).select(*legacy_cols)
-    aligned = align_schema(legacy, S.PRODUCT_SCHEMA, defaults={"vendor_stock": 0})
-    return aligned.select("sku", "stock", "raw_json", "vendor_stock", "vendor_library_type",
-                          "vendor_last_updated")
+    return align_schema(legacy, S.PRODUCT_SCHEMA, defaults={"vendor_stock": 0})
 
 
 # --- R1-R3 + P14 + P17 + T3: size report against the base -------------------------------------

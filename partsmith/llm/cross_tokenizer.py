@@ -52,6 +52,8 @@ MEMO_CHUNKS, MEMO_CHARS = 500_000, 64
 #: Groups with more pairs than this are first reduced to their distinct ids.
 WIDE = 4096
 
+#: Fixed by the byte-level format: the pattern of its words.
+_WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Between two characters that aren't white space, before a single space.
 _BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 #: A text without these is cut at every space.
@@ -93,6 +95,20 @@ class Tokenizers:
         self.parts = (spec.get("normalizer") is None and words.get("type") == "ByteLevel"
                       and words.get("use_regex", True) and not words.get("add_prefix_space")
                       and not any(b" " in x.lstrip(b" ") for x in self.b_bytes))
+        self.quick = self._ranked(spec) if self.parts else None
+
+    def _ranked(self, spec: dict):
+        """A as an encoder by ranks, which is the same thing (and quicker) if the merges make the
+        ids after the single bytes' in order; else None."""
+        special = {t["content"] for t in spec.get("added_tokens") or []}
+        vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
+        merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
+        if [vocab.get(m) for m in merges] != list(range(256, 256 + len(merges))):
+            return None
+        import tiktoken
+
+        ranks = {self.a_bytes[i]: i for i in vocab.values()}
+        return tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -108,10 +124,12 @@ class Tokenizers:
             return [c[1:] for c in _BETWEEN.split(" " + text)]
         return text.split(" ")
 
-    def ids(self, text: str) -> tuple[list[int], list[int]] | None:
-        """A and B ids of a text with a space before it; None where the bytes don't come back."""
+    def ids(self, text: str, plain: bool = False) -> tuple[list[int], list[int]] | None:
+        """A and B ids of a text with a space before it; None where the bytes don't come back.
+        ``plain``: it has no long runs of white space."""
         want = (" " + text).encode()
-        x = self.a.encode(" " + text, add_special_tokens=False).ids
+        x = (self.quick.encode_ordinary(" " + text) if plain and self.quick
+             else self.a.encode(" " + text, add_special_tokens=False).ids)
         y = self.b.encode(text)  # B puts the space before it
         same = (b"".join(map(self.a_bytes.__getitem__, x)) == want
                 == b"".join(map(self.b_bytes.__getitem__, y)))
@@ -176,6 +194,26 @@ def group_types(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
         seed += 2
 
 
+def _distinct(row: np.ndarray, value: np.ndarray, rows: int, values: int
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of pairs of a row and a value (below ``rows`` and ``values``), by row
+    and value.  ``row`` is sorted.  Marked in a table of some rows at a time; sorted where such
+    tables would be mostly empty."""
+    if rows * values > 200 * len(row):
+        key = np.unique(row * values + value)
+        return key // values, key % values
+    out_row, out_value = [row[:0]], [value[:0]]
+    step = max(1, (1 << 23) // max(values, 1))
+    for low in range(0, rows, step):
+        s, e = np.searchsorted(row, (low, low + step))
+        marks = np.zeros(min(step, rows - low) * values, bool)
+        marks[(row[s:e] - low) * values + value[s:e]] = True
+        at = np.flatnonzero(marks)
+        out_row.append(at // values + low)
+        out_value.append(at % values)
+    return np.concatenate(out_row), np.concatenate(out_value)
+
+
 class Types:
     """The different groups a task has met, numbered, with what counting needs of each."""
 
@@ -205,6 +243,14 @@ class Types:
         identity = self.tok.identity
         if len(x) == len(y) == 1 and identity[x[0]] == y[0]:  # the fast path
             return np.array([-1 - x[0]], np.int64), np.ones(1, np.int64)
+        if len(x) * len(y) <= 64:  # most groups
+            few: dict[int, int] = {}
+            for i in x:
+                same, base = identity[i], i * self.n_b
+                for j in y:
+                    pair = -1 - i if j == same else base + j
+                    few[pair] = few.get(pair, 0) + 1
+            return np.array(list(few), np.int64), np.array(list(few.values()), np.int64)
         a, b = np.array(x, np.int64), np.array(y, np.int64)
         if len(a) * len(b) > WIDE:
             a, na = np.unique(a, return_counts=True)
@@ -243,7 +289,7 @@ class Encoder:
         return chunk, tuple(map(self.types.of, self.tok.groups(*got))) if got else _NONE
 
     def _together(self, chunks: list[str]) -> list[tuple[int, ...]] | None:
-        got = self.tok.ids(" ".join(chunks))
+        got = self.tok.ids(" ".join(chunks), all(len(c) <= MEMO_CHARS for c in chunks))
         if got is None:
             return None
         x, y = (np.array(i, np.int64) for i in got)
@@ -285,7 +331,10 @@ class Block:
 
     def __init__(self, kinds: list[np.ndarray], types: Types):
         self.n_groups = np.array([len(k) for k in kinds], np.int64)
-        used, kind = np.unique(np.concatenate(kinds), return_inverse=True)
+        every = np.concatenate(kinds)
+        held = np.bincount(every, minlength=len(types.names)) > 0
+        used = np.flatnonzero(held)
+        kind = (np.cumsum(held) - 1)[every]
         self.kind, self.types = kind, len(used)
         self.cut = np.r_[0, np.cumsum(self.n_groups)]
         self.names = [types.names[t] for t in used]
@@ -307,16 +356,15 @@ class Block:
     def _count(self, doc: np.ndarray, n_a: int) -> None:
         """In how many documents each pair is linked: ``held`` of the block's pairs, and
         ``vector`` of the identity pairs by A id."""
-        seen = np.unique(doc * max(self.types, 1) + self.kind)
-        doc, kind = seen // max(self.types, 1), seen % max(self.types, 1)
+        n = len(self.n_groups)
+        doc, kind = _distinct(doc, self.kind, n, max(self.types, 1))
         size = self.entries[kind]
         at = np.repeat(_starts(self.entries)[kind], size) + np.arange(size.sum()) - np.repeat(
             _starts(size), size)
         wide = len(self.pairs) + n_a
         entry = self.entry[at]
         entry = np.where(entry < 0, len(self.pairs) - 1 - entry, entry)
-        distinct = np.unique(np.repeat(doc, size) * wide + entry)
-        counts = np.bincount(distinct % wide, minlength=wide)
+        counts = np.bincount(_distinct(np.repeat(doc, size), entry, n, wide)[1], minlength=wide)
         self.held, self.vector = counts[:len(self.pairs)], counts[len(self.pairs):]
 
     def digests(self) -> list[str]:

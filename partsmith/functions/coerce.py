@@ -101,14 +101,15 @@ def json_array_text_sql(x: str) -> str:
 def ladder_json_sql(entries: str, typed: str) -> str:
     """Price-ladder entries (array of VARIANT) -> JSON text: the typed ``ladder`` and
     ``usdPrice`` (NULLs kept) of ``typed``, then an entry's other keys as they are."""
-    known = "to_json(x.t, map('ignoreNullFields', 'false'))"
-    other = ("to_json(map_filter(try_cast(x.e AS MAP<STRING, VARIANT>),"
+    known = f"to_json(element_at({typed}, i + 1), map('ignoreNullFields', 'false'))"
+    other = ("to_json(map_filter(try_cast(e AS MAP<STRING, VARIANT>),"
              " (k, v) -> k NOT IN ('ladder', 'usdPrice')), map('ignoreNullFields', 'false'))")
-    entry = (f"CASE WHEN length({other}) > 2 THEN concat(substr({known}, 1, length({known}) - 1),"
-             f" ',', substr({other}, 2)) ELSE {known} END")
-    zipped = f"transform({entries}, (e, i) -> named_struct('e', e, 't', element_at({typed}, i + 1)))"
+    # both texts are made once per entry; "{}" has no other key, NULL is no object
+    parts = f"transform({entries}, (e, i) -> named_struct('k', {known}, 'o', {other}))"
+    entry = ("CASE WHEN length(x.o) > 2 THEN concat(substr(x.k, 1, length(x.k) - 1), ',',"
+             " substr(x.o, 2)) ELSE x.k END")
     return (f"CASE WHEN {entries} IS NULL THEN '[]' ELSE "
-            f"concat('[', array_join(transform({zipped}, x -> {entry}), ','), ']') END")
+            f"concat('[', array_join(transform({parts}, x -> {entry}), ','), ']') END")
 
 
 # --- Column helpers (same rules) -------------------------------------------------------

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from partsmith.functions.text import literal_trigrams, trigrams, usable_terms
 from partsmith.operators.search import search_predicate
 from partsmith.session import scratch_path
-from partsmith.sources.files import folder_size
+from partsmith.sources.files import delete, folder_size
 
 FILE_BYTES = 128 << 20
 ROW_GROUP_BYTES = 16 << 20
@@ -67,6 +67,7 @@ def write_postings(postings: DataFrame, path: str, rows_per_file: int | None = N
     (rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
      .write.mode("overwrite").option("compression", compression)
      .option("parquet.block.size", ROW_GROUP_BYTES).parquet(path))
+    delete(spark, staged)
 
 
 class Index(NamedTuple):

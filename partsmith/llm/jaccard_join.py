@@ -24,12 +24,11 @@ bounds is verified.  So all links between different components are found, while
 group of near copies costs a few pairs per member and list.
 
 For that last pass the bounds are part of the dealing.  From its size and its position in
-the list an entry tells the sizes of the partners that could still reach the overlap; the
-larger one of a pair goes to (band of the partner's size, band of its own size) for all such
-bands, the smaller one as well, so only entries that each is possible for the other meet,
-and entries of a long list of which none can reach the overlap meet nobody.  What is still a
-large group is cut on both sides into blocks of about ``MEET`` entries, each pair of blocks
-a group of its own.
+the list an entry tells the sizes of the partners that could still reach the overlap.  The
+entries outside the list's largest component seek partners in the bands of such sizes that
+their list has; every entry stands in the band of its own size.  So entries of a long list
+of which none can reach the overlap meet nobody.  What is still a large group is cut on both
+sides into blocks of about ``MEET`` entries, each pair of blocks a group of its own.
 
 The boundary is the size up to which the subsets are cheaper than listing the set and
 verifying the expected partners, from the sketch's estimate of the mean list length.
@@ -386,51 +385,37 @@ def _band(size: str) -> str:
     return f"cast(floor(ln({size}) / {math.log(BAND)!r}) as int)"
 
 
-def _sides(entries: DataFrame, larger: bool) -> DataFrame:
-    """Entries of the last pass, once for each group where they can meet a partner as the larger
-    (or equal) or the smaller one of a pair: ``key, low, high`` are the bands of the smaller
-    and the larger size, ``who`` tells which of the two is of the list's largest component
-    (neither, the larger or the smaller one, never both)."""
-    # sizes m with NUM (n + m) <= (NUM + DEN) (n - pos), the positional bound, among partners
-    most = f"(({NUM + DEN} * (n - pos)) div {NUM} - n)"
-    least_, most = ((f"((n * {NUM} + {DEN - 1}) div {DEN})", f"least({most}, n)") if larger
-                    else ("n", f"least({most}, n * {DEN} div {NUM})"))
-    bands = f"sequence({_band(least_)}, {_band(most)})"
-    out = entries.where(f"{most} >= {least_}").withColumn("other", F.explode(F.expr(bands)))
-    own = F.expr(_band("n"))
-    low, high = (F.col("other"), own) if larger else (own, F.col("other"))
-    mine = F.lit("larger" if larger else "smaller")
-    who = F.when(F.col("comp") == F.col("major"), F.array(mine)).otherwise(
-        F.array(F.lit("neither"), F.lit("smaller" if larger else "larger")))
-    return out.withColumns({"low": low, "high": high, "who": F.explode(who)}).drop(
-        "other", "major")
-
-
 def _meeting(unsettled: DataFrame) -> DataFrame:
     """Pairs ``u, v`` of classes of one list within the bounds and of different components, each
     once."""
-    group = ["key", "low", "high", "who"]
-    both = []
-    for larger in (True, False):
-        side = _sides(unsettled.select("key", "sid", "n", "pos", "comp", "major"), larger)
-        n = side.groupBy(*group).agg(F.count(F.lit(1)).alias("n_larger" if larger else "n_smaller"))
-        both.append((side, n))
-    (large, n_large), (small, n_small) = both
-    blocks = written(n_large.join(n_small, group).select(
-        *group, F.ceil(F.col("n_larger") / MEET).cast("int").alias("larger_blocks"),
-        F.ceil(F.col("n_smaller") / MEET).cast("int").alias("smaller_blocks")), "meeting")
+    entries = unsettled.select("key", "sid", "n", "pos", "comp", F.expr(_band("n")).alias("band"),
+                               (F.col("comp") == F.col("major")).alias("main"))
+    # sizes m with NUM (n + m) <= (NUM + DEN) (n - pos), the positional bound, among partners
+    least_ = f"((n * {NUM} + {DEN - 1}) div {DEN})"
+    most = f"least((({NUM + DEN} * (n - pos)) div {NUM} - n), n * {DEN} div {NUM})"
+    # as many numbers per list as there are bands; a table, so that a long list can be split
+    bands = written(entries.groupBy("key").agg(F.collect_set("band").alias("bands")), "bands")
+    seeking = entries.where(f"NOT main AND {most} >= {least_}").join(bands, "key").withColumn(
+        "band", F.explode(F.expr(
+            f"filter(bands, b -> b BETWEEN {_band(least_)} AND {_band(most)})"))).drop("bands")
+    group = ["key", "band"]
+    n_seeking = seeking.groupBy(*group).agg(F.count(F.lit(1)).alias("n_seeking"))
+    n_held = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("n_held"))
+    large = written(n_seeking.join(n_held, group).where(
+        f"n_seeking > {MEET} OR n_held > {MEET}").select(
+        *group, F.ceil(F.col("n_seeking") / MEET).cast("int").alias("seeking_blocks"),
+        F.ceil(F.col("n_held") / MEET).cast("int").alias("held_blocks")), "large")
 
     def dealt(side: DataFrame, mine: str, others: str) -> DataFrame:
-        own = F.pmod(F.xxhash64("sid"), F.col(f"{mine}_blocks")).cast("int")
-        return side.join(blocks, group).withColumn(f"{mine}_block", own).withColumn(
-            f"{others}_block", F.explode(F.expr(f"sequence(0, {others}_blocks - 1)"))).select(
-            *group, "larger_block", "smaller_block", "sid", "n", "pos", "comp")
-
-    a, b = dealt(large, "larger", "smaller").alias("a"), dealt(small, "smaller", "larger").alias("b")
-    cond = " AND ".join(f"a.{c} = b.{c}" for c in [*group, "larger_block", "smaller_block"])
-    pairs = a.join(b, F.expr(
-        f"{cond} AND a.comp != b.comp AND (a.n > b.n OR a.n = b.n AND a.sid < b.sid) AND "
-        + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))
+        at = F.pmod(F.xxhash64("sid"), F.coalesce(f"{mine}_blocks", F.lit(1))).cast("int")
+        return side.join(large, group, "left").withColumn(f"{mine}_block", at).withColumn(
+            f"{others}_block", F.explode(F.expr(f"sequence(0, coalesce({others}_blocks, 1) - 1)"))
+        ).select(*group, "seeking_block", "held_block", "sid", "n", "pos", "comp", "main")
+
+    a, b = dealt(seeking, "seeking", "held").alias("a"), dealt(entries, "held", "seeking").alias("b")
+    cond = " AND ".join(f"a.{c} = b.{c}" for c in [*group, "seeking_block", "held_block"])
+    pairs = a.join(b, F.expr(f"{cond} AND a.comp != b.comp AND (b.main OR a.sid < b.sid) AND "
+                             + _bounded("a.sid", "b.sid", ("a.n", "a.pos", "b.n", "b.pos"))))
     return pairs.select(F.greatest("a.sid", "b.sid").alias("u"),
                         F.least("a.sid", "b.sid").alias("v")).distinct()
 

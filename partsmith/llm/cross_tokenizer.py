@@ -44,11 +44,11 @@ from partsmith.llm.common import written
 from partsmith.llm.wordhash import mix
 
 #: Bytes of text in a block, unless one text is longer.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Texts whose chunks are looked up together, by their characters.
-CALL_CHARS = 1 << 19
+CALL_CHARS = 1 << 18
 #: Chunks (and characters of one) that a task remembers; beyond, it begins anew.
-MEMO_CHUNKS, MEMO_CHARS = 500_000, 64
+MEMO_CHUNKS, MEMO_CHARS = 200_000, 64
 #: Groups with more pairs than this are first reduced to their distinct ids.
 WIDE = 4096
 

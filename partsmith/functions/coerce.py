@@ -98,18 +98,38 @@ def json_array_text_sql(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN '[]' ELSE to_json({x}, map('ignoreNullFields', 'false')) END"
 
 
-def ladder_json_sql(entries: str, typed: str) -> str:
-    """Price-ladder entries (array of VARIANT) -> JSON text: the typed ``ladder`` and
-    ``usdPrice`` (NULLs kept) of ``typed``, then an entry's other keys as they are."""
-    known = f"to_json(element_at({typed}, i + 1), map('ignoreNullFields', 'false'))"
-    other = ("to_json(map_filter(try_cast(e AS MAP<STRING, VARIANT>),"
-             " (k, v) -> k NOT IN ('ladder', 'usdPrice')), map('ignoreNullFields', 'false'))")
-    # both texts are made once per entry; "{}" has no other key, NULL is no object
-    parts = f"transform({entries}, (e, i) -> named_struct('k', {known}, 'o', {other}))"
-    entry = ("CASE WHEN length(x.o) > 2 THEN concat(substr(x.k, 1, length(x.k) - 1), ',',"
-             " substr(x.o, 2)) ELSE x.k END")
-    return (f"CASE WHEN {entries} IS NULL THEN '[]' ELSE "
-            f"concat('[', array_join(transform({parts}, x -> {entry}), ','), ']') END")
+def ladder_texts_sql(entries: str, keys: list[str]) -> str:
+    """Price-ladder entries (array of VARIANT) -> array of structs: the known ``keys`` as text,
+    and ``other``, the JSON object of an entry's other keys (NULL: the entry is no object)."""
+    known = ", ".join(f"'{k}', try_variant_get(e, '$.{k}', 'string')" for k in keys)
+    names = ", ".join(f"'{k}'" for k in keys)
+    other = (f"to_json(map_filter(try_cast(e AS MAP<STRING, VARIANT>), (k, v) -> k NOT IN ({names})),"
+             " map('ignoreNullFields', 'false'))")
+    return f"transform({entries}, e -> named_struct({known}, 'other', {other}))"
+
+
+def ladder_typed_sql(texts: str) -> str:
+    """``ladder_texts_sql`` -> the same with ``ladder`` and ``usdPrice`` typed.  Plain digits
+    need no decimal (a lambda has no common subexpressions: ``lax_long_sql`` would make it
+    several times per entry)."""
+    ladder = ("CASE WHEN x.ladder RLIKE '^-?[0-9]{1,18}$' THEN CAST(x.ladder AS BIGINT) "
+              f"ELSE {lax_long_sql('x.ladder')} END")
+    return (f"transform({texts}, x -> named_struct('ladder', {ladder}, "
+            f"'usdPrice', {lax_double_sql('x.usdPrice')}, 'other', x.other))")
+
+
+def ladder_json_sql(typed: str) -> str:
+    """``ladder_typed_sql`` -> JSON text: the typed ``ladder`` and ``usdPrice`` (NULLs kept),
+    then an entry's other keys as they are; ``[]`` for a missing ladder.  Every entry is read
+    and written once, whatever the length of the ladder."""
+    price = "CAST(x.usdPrice AS STRING)"  # as to_json writes it: what is no number is quoted
+    price = (f"CASE WHEN x.usdPrice IN (double('NaN'), double('Infinity'), double('-Infinity')) "
+             f"THEN concat('\"', {price}, '\"') ELSE {price} END")
+    # "{}" has no other key, NULL is no object
+    entry = ("concat('{\"ladder\":', coalesce(CAST(x.ladder AS STRING), 'null'),"
+             f" ',\"usdPrice\":', coalesce({price}, 'null'),"
+             " CASE WHEN length(x.other) > 2 THEN concat(',', substr(x.other, 2)) ELSE '}' END)")
+    return f"coalesce(concat('[', array_join(transform({typed}, x -> {entry}), ','), ']'), '[]')"
 
 
 # --- Column helpers (same rules) -------------------------------------------------------

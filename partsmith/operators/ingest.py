@@ -82,12 +82,7 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
             typed.append(f"{C.lax_long_sql('r__catalog_id')} AS t__catalog_id")
             typed.append(f"{C.lax_long_sql('r__wm_catalog_id')} AS t__wm_catalog_id")
         elif c == "price_ladder":
-            text = {k: f"try_variant_get(e, '$.{k}', 'string')" for k in S.PRICE_KEYS}
-            typed.append(f"transform(v__{c}, e -> named_struct('ladder', {text['ladder']}, "
-                         f"'usdPrice', {text['usdPrice']})) AS {r}")
-            typed.append(f"transform(v__{c}, e -> named_struct("
-                         f"'ladder', {C.lax_long_sql(text['ladder'])}, "
-                         f"'usdPrice', {C.lax_double_sql(text['usdPrice'])})) AS t__{c}")
+            typed.append(f"{C.ladder_texts_sql(f'v__{c}', S.PRICE_KEYS)} AS {r}")
         elif c == "product_images":
             continue
         elif c in S.FLAG_COLUMNS:
@@ -97,7 +92,8 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
         elif isinstance(dtype, T.DoubleType):
             typed.append(f"{C.lax_double_sql(r)} AS t__{c}")
     typed.append(f"{C.lax_long_sql('r__product_id')} AS t__product_id")
-    stage2 = stage1.selectExpr("*", *typed)
+    stage2 = (stage1.selectExpr("*", *typed)
+              .selectExpr("*", f"{C.ladder_typed_sql('r__price_ladder')} AS t__price_ladder"))
 
     # 3. defaults, flags, JSON text, reject reason
     cols: list[str] = []
@@ -122,7 +118,7 @@ def records_from_documents(docs: DataFrame, include_raw_json: bool = True,
                    f"(z.{r}.ladder IS NOT NULL AND z.{tv}.ladder IS NULL) OR "
                    f"(z.{r}.usdPrice IS NOT NULL AND z.{tv}.usdPrice IS NULL)), false)")
             failures.append((S.doc_key(c), bad))
-            cols.append(f"{C.ladder_json_sql(f'v__{c}', tv)} AS {c}")
+            cols.append(f"{C.ladder_json_sql(tv)} AS {c}")
         elif c == "product_images":
             cols.append(f"coalesce(r__{c}, '[]') AS {c}")
         elif c in S.FLAG_COLUMNS:

@@ -160,9 +160,10 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     filters on flags derived from them stay above it instead of being pushed
     (and re-evaluated) further down the plan."""
     carry = [c for c in docs.columns if c != doc_col]
-    keyed = docs.select(*carry, F.inline(F.array(F.struct(
-        F.col(doc_col).alias(doc_col), F.json_object_keys(F.col(doc_col)).alias("doc_keys")))))
-    keyed = keyed.withColumn("not_text", F.expr(_not_text_sql(doc_col)))
+    keyed = docs.select(*carry, F.inline(F.array(F.struct(F.col(doc_col).alias(doc_col)))))
+    # between the generators: made once per document, and not at all where nothing reads them
+    keyed = keyed.withColumns({"doc_keys": F.json_object_keys(F.col(doc_col)),
+                               "not_text": F.expr(_not_text_sql(doc_col))})
     gen = F.json_tuple(F.col(doc_col), *DOC_KEYS).alias(*[f"k__{k}" for k in DOC_KEYS])
     return keyed.select("*", gen)
 

@@ -34,10 +34,14 @@ from partsmith.operators.ordering import materialize
 from partsmith.operators.progress import progress_series, run_totals
 from partsmith.operators.policies import product_rules
 from partsmith.session import run_marker
+from partsmith.sources import files
 from partsmith.sources.documents import bad_page_lines, inline_pages, read_page_stream
 from partsmith.streaming.catalog import Catalog
 
 ORDER = ["source_file", "page", "pos"]
+#: Micro-batches that a backlog is drained in, at most.  Each rewrites the buckets it touches
+#: (soon all of them), so as many of them as files would rewrite the catalog once per few files.
+BACKLOG_BATCHES = 8
 
 
 def _run(state: dict, run_ts: str) -> dict:
@@ -79,14 +83,14 @@ def ingest_batch(catalog: Catalog, batch: DataFrame, run_ts: str, include_raw_js
         state = catalog.write("product_params", params, version, state, buckets)
     rejects = recs.where("rejected").select(ts.alias("run_ts"), *ORDER, S.PRODUCT_KEY,
                                             "reject_reason", F.col("__doc").alias("doc"))
-    keyless = F.count_if(F.coalesce(F.col(S.PRODUCT_KEY), F.lit("")) == "")
-    n_rejects, n_keyless = rejects.agg(F.count(F.lit(1)), keyless).first()
+    keyless = F.coalesce(F.col(S.PRODUCT_KEY), F.lit("")) == ""
+    n_items, n_rejects, n_keyless = recs.agg(
+        F.count(F.lit(1)), F.count_if(F.col("rejected")), F.count_if(F.col("rejected") & keyless)).first()
     if n_rejects:
         state = catalog.append("rejects", rejects, version, state)
     pages = recs.groupBy("source_file", "page").agg(
         F.count(F.lit(1)).alias("items"),
         F.count(F.nullif("product_id", F.lit(0))).alias("known_items"))
-    n_items = pages.agg(F.sum("items")).first()[0]
     if n_items:
         state = catalog.append("pages", pages.select(
             ts.alias("run_ts"), "source_file", F.lit(version).cast("long").alias("batch"), "page",
@@ -163,18 +167,26 @@ def mark_unseen_products(catalog: Catalog, run_ts: str) -> bool:
     return True
 
 
+def backlog_trigger(n_files: int, files_per_trigger: int) -> int:
+    """Files per micro-batch: ``files_per_trigger``, or more where a landing of ``n_files`` would
+    take over ``BACKLOG_BATCHES`` micro-batches."""
+    return max(files_per_trigger, -(-n_files // BACKLOG_BATCHES))
+
+
 def run_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: str, run_ts: str,
                include_raw_json: bool = True, files_per_trigger: int = 1000,
                whole_catalog: bool = True, buckets: int = 16) -> int | None:
     """Drain ``landing`` into the catalog at ``table_root``; returns the current version.
     ``whole_catalog``: the run covers the catalog, so products it doesn't see are gone (a
-    run over one category or over stocked items only must set it to False)."""
+    run over one category or over stocked items only must set it to False).
+    ``files_per_trigger``: the least that a micro-batch takes (see ``backlog_trigger``)."""
     catalog = Catalog(spark, table_root, buckets)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(catalog, batch, run_ts, include_raw_json, (checkpoint, batch_id))
 
-    q = (read_page_stream(spark, landing, files_per_trigger)
+    landed = [n for n in files.names(spark, landing) or [] if not n.startswith(("_", "."))]
+    q = (read_page_stream(spark, landing, backlog_trigger(len(landed), files_per_trigger))
          .writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

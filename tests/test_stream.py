@@ -274,3 +274,18 @@ def test_a_run_logs_its_pages_and_ids(spark, scratch):
     assert api.summary(spark, root, run_ts="2001-01-01 00:00:00").collect() == []
     known = {r.page: r.known_items for r in Catalog(spark, root).read("pages").collect()}
     assert known == {1: 2, 2: 1, 3: 1}
+
+
+def test_a_long_landing_is_drained_in_few_micro_batches(spark, scratch):
+    pages = [_page(n, {"productCode": f"C{n}", "productModel": "m", "stockNumber": n},
+                   {"productCode": "C0", "productModel": "m", "stockNumber": n})
+             for n in range(1, 20)]
+    _land(f"{scratch}/in", [*pages, '{"dataList":[{"productCode":"C'])
+    root = f"{scratch}/cat"
+    # 20 files, of which the caller asks for one at a time
+    run_stream(spark, f"{scratch}/in", root, f"{scratch}/ck", RUN_TS, files_per_trigger=1)
+    catalog = Catalog(spark, root)
+    assert catalog.current_version() == 6  # seven commits of three files
+    got = {r.sku: r.stock for r in catalog.read("products").collect()}
+    assert got == {"C0": 19} | {f"C{n}": n for n in range(1, 20)}
+    assert catalog.read("pages").count() == 19 and catalog.read("bad_pages").count() == 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from partsmith.operators.index import (
     build_postings,
+    posting_lists,
     search_indexed,
     write_index,
     write_postings,
@@ -37,7 +38,8 @@ FROM (SELECT p_partkey, p_name, unnest(range(1, length(p_name) - 1)) AS i FROM p
 def postings_compact(spark, sf):
     """Postings of ``part.p_name`` written as range-partitioned, sorted files, read back."""
     path = scratch_path(spark, "postings")
-    write_postings(build_postings(t(spark, sf, "part"), ["p_partkey"], ["p_name"]), path)
+    write_postings(posting_lists(t(spark, sf, "part"), ["p_partkey"], ["p_name"]), path,
+                   lists=["p_partkey"])
     return spark.read.parquet(path)
 
 
@@ -49,7 +51,7 @@ def trigram_search_indexed(spark, sf):
     """Index over ``documents.text`` written; a search answered through its rarest lists and
     verified."""
     docs = t(spark, sf, "documents")
-    index = write_index(build_postings(spread(docs), ["doc_id"], ["text"]),
-                        scratch_path(spark, "index"))
+    index = write_index(posting_lists(spread(docs), ["doc_id"], ["text"]),
+                        scratch_path(spark, "index"), lists=["doc_id"])
     return search_indexed(docs, index, ["doc_id"], all=INDEXED_ALL,
                           none=INDEXED_NONE, columns=["text"]).select("doc_id", "lang")

@@ -220,6 +220,69 @@ def test_postings_are_generated_once(spark, scratch):
     assert calls.value == 50
 
 
+ODD_TEXTS = [("a", "Abcabc abc", "x"), ("a", "Abcabc abc", None), (None, "ab", "\0\0\0ß"), ("b", None, ""),
+             ("c", "", "ΟΔΟΣ İİ 語語語語"), ("d", "abc" * 50, "zab")]
+
+
+def _posting_rows(df):
+    return sorted(df.collect(), key=str)
+
+
+@pytest.mark.parametrize("block_chars, piece, batch", [(4 << 20, 64, 1 << 18), (4, 2, 3), (200, 1, 1)])
+def test_posting_lists_hold_the_rows_of_build_postings(spark, block_chars, piece, batch, monkeypatch):
+    from partsmith.operators import index as I
+
+    schema, cols = "id string, t string, u string", ["t", "u"]
+    df = spark.createDataFrame(ODD_TEXTS, schema)
+    for key, n in (("BLOCK_CHARS", block_chars), ("PIECE", piece), ("BATCH_POSTINGS", batch)):
+        monkeypatch.setattr(I, key, n)
+    for keys in (["id"], ["id", "t"]):
+        # the functions of the tasks, with these settings
+        got = []
+        for c in cols:
+            rows = df.where(F.length(c) > 0).select(*keys, I.fold(c).alias("__text")).toArrow()
+            for b in I._lists_of_batches(iter(rows.to_batches())):
+                for r in b.to_pylist():
+                    assert 1 <= len(r["id"]) <= piece
+                    got += [(r["trigram"], *k, c) for k in zip(*(r[k] for k in keys), strict=True)]
+        want = _posting_rows(build_postings(df, keys, cols))
+        assert sorted(got, key=str) == [tuple(r) for r in sorted(want, key=lambda r: str(tuple(r)))]
+        lists = I.posting_lists(df, keys, cols)
+        assert _posting_rows(I.list_postings(lists, keys)) == want
+
+
+def test_trigrams_beyond_the_basic_plane(spark):
+    from partsmith.operators.index import posting_lists
+
+    df = spark.createDataFrame([(1, "a😀b😀"), (2, "😀b")], "id long, body string")
+    got = {r.trigram: r.id for r in posting_lists(df, ["id"], ["body"]).collect()}
+    assert got == {g: [1] for g in literal_trigrams("a😀b😀")}
+
+
+def test_an_index_of_lists_moves_few_rows(spark, scratch):
+    from partsmith.operators import index as I
+
+    df = spark.range(0, 4000, 1, 4).selectExpr("id", "concat('the other text ', id % 50) AS body")
+    lists = I.posting_lists(df, ["id"], ["body"])
+    index = I.write_index(lists, f"{scratch}/i", lists=["id"], rows_per_file=9000)
+    want = build_postings(df, ["id"], ["body"])
+    n = want.count()
+    # what is staged, shuffled and sorted
+    assert lists.count() < n / 20
+    assert index.postings.dtypes == want.dtypes and index.postings.count() == n
+    assert index.postings.exceptAll(want).count() == 0
+    sizes = [r[1] for r in index.postings.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == -(-n // 9000) and max(sizes) < 2 * 9000
+    counts = {r.trigram: r.n_postings for r in index.trigrams.collect()}
+    assert counts == {r["trigram"]: r["count"] for r in want.groupBy("trigram").count().collect()}
+    # every file is a range of trigrams in order
+    ranges = sorted((r.lo, r.hi) for r in index.postings.groupBy(F.input_file_name()).agg(
+        F.min("trigram").alias("lo"), F.max("trigram").alias("hi")).collect())
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    hits = search_indexed(df, index, ["id"], all=["text 4"], columns=["body"])
+    assert hits.count() == search(df, all=["text 4"], columns=["body"]).count() == 880
+
+
 def test_bloom_filters_skip_row_groups_of_an_unsorted_copy(spark, scratch, plain_plans):
     from partsmith.operators.variants import LOOKUP_COLUMNS, bloom_options
 

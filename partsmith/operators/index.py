@@ -30,6 +30,8 @@ from partsmith.session import scratch_path
 from partsmith.sources.files import delete, folder_size
 
 FILE_BYTES = 128 << 20
+#: Postings in a file at most, about: lists that compress well still make tasks of this size.
+FILE_POSTINGS = 32 << 20
 ROW_GROUP_BYTES = 16 << 20
 #: Lists read for one term, and how much longer than the shortest one they may be.
 LISTS, WIDER = 3, 16
@@ -143,8 +145,8 @@ def list_postings(lists: DataFrame, keys: Sequence[str]) -> DataFrame:
 def write_postings(postings: DataFrame, path: str, rows_per_file: int | None = None,
                    compression: str = "zstd", file_bytes: int = FILE_BYTES,
                    lists: Sequence[str] = (), counts: str | None = None) -> None:
-    """Write the postings compacted into files of about ``file_bytes`` bytes (or
-    ``rows_per_file`` rows), at least one per core, range partitioned and sorted by trigram
+    """Write the postings compacted into files of about ``file_bytes`` bytes or
+    ``FILE_POSTINGS`` rows (or ``rows_per_file`` rows), at least one per core, range partitioned and sorted by trigram
     and key (one "segment" per range; a trigram with more rows than a file goes on in the
     next; rewriting the folder is the optimise step).
 
@@ -160,11 +162,12 @@ def write_postings(postings: DataFrame, path: str, rows_per_file: int | None = N
     n = F.sum(F.size(lists[0]) if lists else F.lit(1))
     order = ["trigram", *[F.get(c, F.lit(0)) if c in lists else F.col(c)
                           for c in postings.columns if c != "trigram"]]
+    n_rows = rows.agg(n).first()[0] or 0
     if rows_per_file is None:
         files = max(spark.sparkContext.defaultParallelism,
-                    -(-folder_size(spark, staged) // file_bytes))
+                    -(-folder_size(spark, staged) // file_bytes), -(-n_rows // FILE_POSTINGS))
     else:
-        files = max(1, -(-(rows.agg(n).first()[0] or 0) // rows_per_file))
+        files = max(1, -(-n_rows // rows_per_file))
     laid = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     ((list_postings(laid, lists) if lists else laid)
      .write.mode("overwrite").option("compression", compression)

@@ -283,6 +283,17 @@ def test_an_index_of_lists_moves_few_rows(spark, scratch):
     assert hits.count() == search(df, all=["text 4"], columns=["body"]).count() == 880
 
 
+def test_files_grow_with_the_postings_however_well_they_compress(spark, scratch, monkeypatch):
+    from partsmith.operators import index as I
+
+    monkeypatch.setattr(I, "FILE_POSTINGS", 4000)
+    df = spark.range(0, 4000, 1, 4).selectExpr("id", "'the same text' AS body")
+    I.write_postings(I.posting_lists(df, ["id"], ["body"]), f"{scratch}/p", lists=["id"])
+    back = spark.read.parquet(f"{scratch}/p")
+    sizes = [r[1] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 44000 and len(sizes) == 11 and max(sizes) < 2 * 4000
+
+
 def test_bloom_filters_skip_row_groups_of_an_unsorted_copy(spark, scratch, plain_plans):
     from partsmith.operators.variants import LOOKUP_COLUMNS, bloom_options
 

@@ -295,6 +295,67 @@ def test_topk_few_rows_and_large_numbers(spark):
     assert {r[2]: r[3] for r in got} == want and [r[2] for r in sorted(got, key=lambda r: r[1])] == [1, 2, 3]
 
 
+def _topk_rows():
+    """Vectors of whole numbers: many ties, zeros, repeated ids, ragged widths."""
+    rng = np.random.default_rng(3)
+    return [(int(i), [float(x) for x in rng.integers(-2, 3, size=rng.integers(0, 6))])
+            for i in rng.integers(-120, 400, size=260)]
+
+
+def test_topk_never_broadcasts_copies(spark):
+    """The planner sees the packed queries, not what shards copies of them would take."""
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.autoBroadcastJoinThreshold": "10MB",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB"}
+    before = {c: spark.conf.get(c, None) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        rows = [(i, [float(i % 7), 1.0]) for i in range(300)]
+        out = K.top_k(_vectors(spark, rows).repartition(3), F.col("vec_id") % 50 == 0)
+        assert sorted(tuple(r) for r in out.collect()) == brute_topk(rows)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "Generate" not in plan
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
+@pytest.mark.parametrize("size", [1, 2000])
+def test_topk_by_groups_of_queries(spark, monkeypatch, size):
+    monkeypatch.setattr(K, "BLOCK", 32)
+    monkeypatch.setattr(K, "QUERIES", 2)
+    monkeypatch.setattr(K, "GROUP_BYTES", size)
+    rows = _topk_rows()
+    got = sorted(tuple(r) for r in K.top_k(_vectors(spark, rows).repartition(3),
+                                           F.col("vec_id") % 50 == 0).collect())
+    # shorter vectors are different queries, though their scores may be equal
+    assert got == brute_topk(rows)
+
+
+def test_topk_queries_of_one_id_stay_apart(spark):
+    # -1.0 and -2.0 have one hash in Python
+    rows = [(0, [-1.0]), (0, [-2.0]), (1, [1.0]), (2, [3.0])]
+    got = sorted(tuple(r) for r in K.top_k(_vectors(spark, rows), F.col("vec_id") == 0).collect())
+    assert got == brute_topk(rows) and len(got) == 4
+
+
+@pytest.mark.parametrize("kind", [np.int32, np.int64, object])
+def test_topk_best_so_far_equals_sorting(kind):
+    rng = np.random.default_rng(4)
+    far = {np.int32: 3, np.int64: 1 << 61, object: 1 << 70}[kind]
+    own, k, seen = np.array([5, 7, 900]), 4, [[], [], []]
+    best = K._Best(own, k)
+    for n in (1, 50, 50, 3, 200, 200):
+        ids = np.sort(rng.integers(0, 12 if n == 50 else 300, size=n))
+        s = np.array([[int(x) * far for x in row] for row in rng.integers(-3, 4, size=(3, n))], dtype=kind)
+        best.add(s, ids)
+        for i in range(3):
+            seen[i] += [(-min(max(int(x), -2**63), 2**63 - 1), int(v))
+                        for x, v in zip(s[i], ids, strict=True) if v != own[i]]
+        got = list(zip(best.rows.tolist(), (-x for x in best.scores.tolist()), best.ids.tolist(), strict=True))
+        assert got == [(i, *x) for i in range(3) for x in sorted(seen[i])[:k]]
+
+
 # -- revisits ----------------------------------------------------------------------
 def test_canonical_urls(spark):
     urls = ["HTTP://WWW.Ex.com:80/a/?b=2&a=1#f", "https://ex.com/a?a=1&b=2", "ex.com/a/", None, ""]
